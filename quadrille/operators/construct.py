@@ -20,6 +20,7 @@ from ..schema import (
     object_is,
     statement_set,
 )
+from ..session import stage
 from .dataset import named_graphs, page, restrict
 
 Values = Sequence[str] | DataFrame | None
@@ -33,11 +34,13 @@ def construct_quads(
     graphs: Values = None,
     offset: int | None = None,
     limit: int | None = None,
+    is_set: bool = False,
 ) -> DataFrame:
     """Statements of named graphs whose subject, predicate, object and graph are in the given lists.
 
     An empty list does not restrict. Objects are IRIs. A page is cut before equal statements
-    collapse, in the order of the quad columns.
+    collapse, in the order of the quad columns. With ``is_set`` the quads are known to hold no
+    statement twice, as in a stored table, and nothing has to be shuffled.
     """
     rows = named_graphs(quads)
     rows = restrict(rows, "g", graphs)
@@ -48,7 +51,7 @@ def construct_quads(
     rows = restrict(rows, "o", objects)
     if _restricts(objects):
         rows = rows.where(F.col("o_type") == "uri")
-    return statement_set(page(rows, offset, limit))
+    return statement_set(page(rows, offset, limit), is_set=is_set)
 
 
 def _restricts(values: Values) -> bool:
@@ -84,14 +87,19 @@ def filter_construct(
     graphs: Values = None,
     offset: int | None = None,
     limit: int | None = None,
+    is_set: bool = False,
 ) -> DataFrame:
-    """All statements (of the listed predicates) of subjects that meet every filter in that graph."""
+    """All statements (of the listed predicates) of subjects that meet every filter in that graph.
+
+    The subjects are found first and written, so that Spark knows how many they are: few are sent to
+    the scan of the statements, which then stays where it is; many are joined by shuffle.
+    """
     scope = restrict(named_graphs(quads), "g", graphs)
-    subjects = subjects_with(scope, filters) if filters else None
     rows = restrict(scope, "p", predicates)
-    if subjects is not None:
+    if filters:
+        subjects = stage(subjects_with(scope, filters), "subjects")
         rows = rows.join(subjects, ["g", "s"], "left_semi")
-    return statement_set(page(rows.select(*QUAD_COLS), offset, limit))
+    return statement_set(page(rows.select(*QUAD_COLS), offset, limit), is_set=is_set)
 
 
 # --- templates --------------------------------------------------------------------------------

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..schema import QUAD_ORDER, TRIPLE_COLS, Term, as_term, graph_is, object_is
+from ..schema import QUAD_ORDER, TRIPLE_COLS, Term, as_quads, as_term, graph_is, object_is, statement_set
 from ..session import stage
 
 #: Up to this many values a list is a filter that Parquet statistics can serve; beyond, a join.
@@ -28,7 +28,7 @@ def default_graph(quads: DataFrame) -> DataFrame:
 
 
 def dataset_clause(
-    quads: DataFrame, default_graphs: Sequence[str] = (), named: Sequence[str] = ()
+    quads: DataFrame, default_graphs: Sequence[str] = (), named: Sequence[str] = (), is_set: bool = False
 ) -> DataFrame:
     """The dataset of FROM and FROM NAMED. Without either, all there is.
 
@@ -39,8 +39,8 @@ def dataset_clause(
         return quads
     parts = []
     if default_graphs:
-        merged = quads.where(F.col("g").isin(list(default_graphs)))
-        parts.append(merged.withColumn("g", F.lit(None).cast("string")).dropDuplicates())
+        merged = as_quads(quads.where(F.col("g").isin(list(default_graphs))), None)
+        parts.append(statement_set(merged, is_set=is_set and len(set(default_graphs)) == 1))
     if named:
         parts.append(quads.where(F.col("g").isin(list(named))))
     return parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])

@@ -49,9 +49,12 @@ def score_literals(quads: DataFrame, search: str) -> DataFrame:
         F.first("_len").alias("_len"),
         *[F.first(n).alias(n) for n in names],
     )
+    # The statistics ask for every column of the reduced literals, like the scoring below: so both
+    # read the same shuffle, and the texts are scanned and cut once.
     stats = docs.agg(
         F.struct(
             F.count(F.lit(1)).alias("n"),
+            F.count("value").alias("n_hit"),
             F.avg("_len").alias("avg"),
             *[F.count_if(F.col(n) > 0).alias(f"df{i}") for i, n in enumerate(names)],
         )
@@ -91,6 +94,7 @@ def search_construct(
     graphs: Values = None,
     offset: int | None = None,
     limit: int | None = None,
+    is_set: bool = False,
 ) -> DataFrame:
     """Statements whose literal is among the best matches; scores are not part of the result.
 
@@ -107,4 +111,4 @@ def search_construct(
     if _restricts(subjects):
         rows = rows.where(F.col("s_type") == "uri")
     found = rows.withColumn("key", F.sha2("o", 256)).join(hits, "key", "left_semi").drop("key")
-    return statement_set(page(found, offset, limit))
+    return statement_set(page(found, offset, limit), is_set=is_set)

@@ -35,6 +35,7 @@ def construct_quads(spark, sf_dir):
         predicates=["urn:p:n_regionkey", "urn:p:c_nationkey"],
         objects=["urn:region:1", "urn:nation:3", "urn:nation:7"],
         graphs=[NATION, CUSTOMER],
+        is_set=True,
     )
 
 
@@ -54,7 +55,7 @@ def graph_scope_default(spark, sf_dir):
     f"UNION ALL SELECT {C} FROM quads WHERE g = '{CUSTOMER}'",
 )
 def dataset_clause(spark, sf_dir):
-    return dataset.dataset_clause(V.quads(spark, sf_dir), [NATION, SUPPLIER], [CUSTOMER])
+    return dataset.dataset_clause(V.quads(spark, sf_dir), [NATION, SUPPLIER], [CUSTOMER], is_set=True)
 
 
 @query(
@@ -107,7 +108,7 @@ def has_value(spark, sf_dir):
     Q + f"SELECT DISTINCT {C} FROM (SELECT {C} FROM quads WHERE g IS NOT NULL ORDER BY {ORDER} LIMIT 300 OFFSET 500)",
 )
 def paging(spark, sf_dir):
-    return construct.construct_quads(V.quads(spark, sf_dir), offset=500, limit=300)
+    return construct.construct_quads(V.quads(spark, sf_dir), offset=500, limit=300, is_set=True)
 
 
 @query(
@@ -144,6 +145,7 @@ def filter_construct(spark, sf_dir):
         V.quads(spark, sf_dir),
         {"urn:p:c_mktsegment": literal("BUILDING"), "urn:p:c_nationkey": iri("urn:nation:3")},
         predicates=["urn:p:c_name", "urn:p:c_acctbal"],
+        is_set=True,
     )
 
 
@@ -196,7 +198,7 @@ def values_join(spark, sf_dir):
     urgent = V.table(spark, sf_dir, "orders").where("o_orderpriority = '1-URGENT'").select(
         F.concat(F.lit("urn:customer:"), F.col("o_custkey").cast("string"))
     )
-    return construct.construct_quads(V.quads(spark, sf_dir), subjects=urgent)
+    return construct.construct_quads(V.quads(spark, sf_dir), subjects=urgent, is_set=True)
 
 
 @query(
@@ -521,7 +523,7 @@ def topk_text(spark, sf_dir):
 )
 def search_construct(spark, sf_dir):
     return search.search_construct(
-        V.document_quads(spark, sf_dir), " ".join(_WORDS), predicates=["urn:p:text"], limit=25
+        V.document_quads(spark, sf_dir), " ".join(_WORDS), predicates=["urn:p:text"], limit=25, is_set=True
     )
 
 

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..schema import QUAD_COLS, RDF, RDF_LANGSTRING, RDF_TYPE, RDFS, XSD
-from ..session import fresh_path
+from ..session import allow_skew_splits, fresh_path
 from ..sources.relational import Entity, to_quads
 from ..sources.writers import read_quads, write_quads
 
@@ -48,6 +48,7 @@ _stored: dict[tuple[str, str, str], str] = {}
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    allow_skew_splits(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
@@ -60,7 +61,7 @@ def _store(spark: SparkSession, sf_dir: str, name: str, entities: list[Entity])
         quads = parts[0]
         for part in parts[1:]:
             quads = quads.unionByName(part)
-        write_quads(quads, path)
+        write_quads(quads, path, is_set=True)
         _stored[key] = path
     return _stored[key]
 

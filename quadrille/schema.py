@@ -88,9 +88,20 @@ def as_quads(triples: DataFrame, graph: str | None | Column) -> DataFrame:
     return triples.select(g.cast("string").alias("g"), *TRIPLE_COLS)
 
 
-def statement_set(df: DataFrame, cols: Sequence[str] = tuple(QUAD_COLS)) -> DataFrame:
-    """RDF models are sets: collapse equal statements (combined before the shuffle)."""
-    return df.select(*cols).dropDuplicates()
+def statement_set(
+    df: DataFrame, cols: Sequence[str] = tuple(QUAD_COLS), is_set: bool = False
+) -> DataFrame:
+    """RDF models are sets: collapse equal statements, unless it is known that there are none.
+
+    Copies are combined before the shuffle, so a statement on a third of the rows is no burden. The
+    shuffle is by the statement as one value: by its columns, Spark would leave rows where a join by
+    subject put them, and a subject with most of the rows could not be split any more.
+    """
+    rows = df.select(*cols)
+    if is_set:
+        return rows
+    whole = rows.select(F.struct(*cols).alias("_q"))
+    return whole.groupBy("_q").agg(F.lit(1).alias("_one")).select("_q.*")
 
 
 def same_row(left: str, right: str, cols: Iterable[str]) -> Column:

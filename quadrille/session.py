@@ -33,6 +33,12 @@ def local_session(cores: int | str = 8, app: str = "quadrille", **conf: str) ->
     return spark
 
 
+def allow_skew_splits(spark: SparkSession) -> None:
+    """Let adaptive execution split a hot join key even where that costs one more shuffle."""
+    for key in ("enabled", "skewJoin.enabled", "forceOptimizeSkewedJoin"):
+        spark.conf.set(f"spark.sql.adaptive.{key}", "true")
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The folder every executor can reach, named by ``spark.checkpoint.dir``.
 

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.terms import nt_iri, nt_term
-from ..schema import QUAD_COLS, XSD_STRING
+from ..schema import QUAD_COLS, XSD_STRING, statement_set
 
 
 def _triple() -> list[Column]:
@@ -95,13 +95,15 @@ def graph_bucket(g: str | Column, buckets: int) -> Column:
     return F.pmod(F.xxhash64(c), F.lit(buckets)).cast("int")
 
 
-def write_quads(quads: DataFrame, path: str, buckets: int = DEFAULT_BUCKETS) -> None:
-    """Store quads as Parquet in directories by graph bucket, clustered by predicate and subject.
+def write_quads(
+    quads: DataFrame, path: str, buckets: int = DEFAULT_BUCKETS, is_set: bool = False
+) -> None:
+    """Store a set of quads as Parquet, by graph bucket, clustered by predicate and subject.
 
     The range partitioning cuts inside a bucket as well, so one graph with most of the rows is still
     written by many tasks, and row-group statistics on ``p`` and ``s`` stay narrow.
     """
-    placed = quads.select(*QUAD_COLS, graph_bucket("g", buckets).alias("g_bucket"))
+    placed = statement_set(quads, is_set=is_set).select(*QUAD_COLS, graph_bucket("g", buckets).alias("g_bucket"))
     (
         placed.repartitionByRange("g_bucket", "p", "s", "o")
         .sortWithinPartitions("g_bucket", "p", "s")
