@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.terms import col
@@ -68,16 +68,20 @@ def canonical_request(angle_brackets: bool = True) -> Column:
     return F.array_join(parts, "&")
 
 
-def parse_request(query_string: str | Column) -> Column:
-    """A query string as a struct of the request columns; the inverse of :func:`canonical_request`."""
+def parse_requests(df: DataFrame, query_string: str = "request_key") -> DataFrame:
+    """Query strings as request columns, next to the other columns; undoes :func:`canonical_request`."""
     decode = F.try_url_decode
     pairs = F.transform(
-        F.split(col(query_string), "&"),
+        F.split(query_string, "&"),
         lambda kv: F.struct(
             decode(F.substring_index(kv, "=", 1)).alias("k"),
             decode(F.when(F.instr(kv, "=") > 0, F.substring(kv, F.instr(kv, "=") + 1, F.length(kv)))).alias("v"),
         ),
     )
+    rest = [c for c in df.columns if c != query_string]
+    # The pairs are a column of their own, so that a string is cut and decoded once.
+    cut = df.select(*rest, pairs.alias("_pairs"))
+    pairs = F.col("_pairs")
     values = lambda key: F.transform(
         F.filter(pairs, lambda e: e["k"] == key), lambda e: e["v"]
     )
@@ -98,7 +102,8 @@ def parse_request(query_string: str | Column) -> Column:
         )
 
     bound = F.filter(pairs, lambda e: e["k"].startswith("$"))
-    return F.struct(
+    return cut.select(
+        *rest,
         first("query").alias("query"),
         F.map_from_entries(
             F.transform(

@@ -13,8 +13,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.terms import TEXT_BOOLEAN, is_results_json, media_type, parse_boolean, rdf_format_of
-from ..schema import QUAD_COLS, TRIPLE_COLS, statement_set
-from ..sources.rdf_lines import parse_body
+from ..schema import TRIPLE_COLS, statement_set
+from ..sources.rdf_lines import body_is_valid, parse_statements
 from .construct import dereify
 from .solutions import parse_results, results_complete, solution_columns
 
@@ -145,26 +145,30 @@ def count_success(outcomes: DataFrame) -> DataFrame:
 # --- CONSTRUCT --------------------------------------------------------------------------------
 
 
-def _parsed(responses: DataFrame, wanted: Column) -> DataFrame:
-    """Adds ``_stmts``: the parsed lines of N-Triples and N-Quads bodies where ``wanted`` holds."""
+def _checked(responses: DataFrame, wanted: Column) -> DataFrame:
+    """Adds ``_valid``: whether a body parses; NULL where ``wanted`` does not hold or no reader fits."""
     fmt = rdf_format_of("content_type")
-    scope = F.concat(F.col("request_id").cast("string"), F.lit("."))
-    stmts = F.when(wanted & (fmt == "NQUADS"), parse_body(F.col("body"), scope)).when(
-        wanted & (fmt == "NTRIPLES"), parse_body(F.col("body"), scope, quads=False)
+    valid = F.when(wanted & (fmt == "NQUADS"), body_is_valid(F.col("body"))).when(
+        wanted & (fmt == "NTRIPLES"), body_is_valid(F.col("body"), quads=False)
     )
-    return responses.select("*", fmt.alias("_fmt"), stmts.alias("_stmts"))
+    return responses.select("*", valid.alias("_valid"))
 
 
-def _all_ok(stmts: Column) -> Column:
-    return F.coalesce(F.forall(stmts, lambda s: F.coalesce(s["ok"], F.lit(False))), F.lit(False))
+def _statements(responses: DataFrame) -> DataFrame:
+    """The statements of bodies that are known to parse, a row each."""
+    lines = responses.select(
+        F.col("request_id"), F.explode(F.split("body", "\n")).alias("value")
+    )
+    scope = F.concat(F.col("request_id").cast("string"), F.lit("."))
+    return parse_statements(lines, scope=scope, mode="DROPMALFORMED")
 
 
 def decode_construct(responses: DataFrame) -> DataFrame:
     """One row per response: success, status, and the error with the body that came instead."""
     failed = F.col("transport_error").isNotNull()
     ok = F.coalesce(F.col("status") == 200, F.lit(False)) & ~failed
-    rows = _parsed(responses, ok)
-    parsed = _all_ok(F.col("_stmts"))
+    rows = _checked(responses, ok)
+    parsed = F.coalesce(F.col("_valid"), F.lit(False))
     unsupported = F.concat(F.lit("unsupported Content-Type: "), F.coalesce("content_type", F.lit("none")))
     return rows.select(
         "request_id",
@@ -172,23 +176,19 @@ def decode_construct(responses: DataFrame) -> DataFrame:
         F.when(failed, 0).otherwise(F.col("status")).cast("int").alias("status"),
         F.when(failed, F.col("transport_error"))
         .when(~ok, F.col("body"))
-        .when(F.col("_stmts").isNull(), unsupported)
+        .when(F.col("_valid").isNull(), unsupported)
         .when(~parsed, F.lit("malformed body"))
         .alias("error"),
         F.when(failed, F.lit("unexpected error when processing request"))
         .when(~ok, F.lit("SPARQL endpoint returned unexpected response body"))
         .alias("message"),
-        F.when(ok & parsed, F.col("_stmts")).alias("_stmts"),
     )
 
 
 def construct_quads_of(responses: DataFrame) -> DataFrame:
     """The quads of successful CONSTRUCT responses: reified bodies put back together, per response."""
-    decoded = decode_construct(responses).where("success")
-    triples = decoded.select("request_id", F.explode("_stmts").alias("_t")).select(
-        "request_id", *[F.col(f"_t.{c}").alias(c) for c in TRIPLE_COLS]
-    )
-    return dereify(triples, keep=["request_id"])
+    ok = (F.col("status") == 200) & F.col("transport_error").isNull()
+    return dereify(_statements(_checked(responses, ok).where("_valid")), keep=["request_id"])
 
 
 # --- graph store ------------------------------------------------------------------------------
@@ -206,31 +206,32 @@ def decode_graph(responses: DataFrame, mode: str = "PERMISSIVE") -> DataFrame:
         answered = responses.where(F.when(lost, raised.cast("boolean")).otherwise(True))
     else:
         answered = responses.where(~lost)
-    has_body = F.coalesce(F.length("body") > 0, F.lit(False))
-    rows = _parsed(answered, has_body)
-    success = status_success("status", mode)
     unknown = F.concat(F.lit("request failed with status code: "), F.col("status").cast("string"))
-    return rows.select(
+    return _with_model(answered).select(
         "request_id",
-        success.alias("success"),
+        status_success("status", mode).alias("success"),
         "status",
         F.when(status_success("status", "PERMISSIVE").isNull(), unknown).alias("error"),
-        F.when(_all_ok(F.col("_stmts")), F.col("_stmts")).alias("model"),
+        F.coalesce(F.col("_valid"), F.lit(False)).alias("has_model"),
     )
 
 
-def model_size(model: str = "model") -> Column:
-    """Statements of a decoded model as a set; NULL without a model."""
-    plain = F.transform(F.col(model), lambda s: F.struct(*[s[c].alias(c) for c in QUAD_COLS]))
-    return F.when(F.col(model).isNotNull(), F.size(F.array_distinct(plain)))
+def _with_model(responses: DataFrame) -> DataFrame:
+    return _checked(responses, F.coalesce(F.length("body") > 0, F.lit(False)))
 
 
-def graph_models(decoded: DataFrame) -> DataFrame:
-    """Statements of the models of decoded graph store responses, as sets."""
-    rows = decoded.select("request_id", F.explode("model").alias("_t")).select(
-        "request_id", *[F.col(f"_t.{c}").alias(c) for c in TRIPLE_COLS]
-    )
-    return statement_set(rows, ["request_id", *TRIPLE_COLS])
+def graph_models(responses: DataFrame) -> DataFrame:
+    """Statements of the models of graph store responses: a set per response."""
+    parsed = _statements(_with_model(responses.where(F.col("transport_error").isNull())).where("_valid"))
+    return statement_set(parsed, ["request_id", *TRIPLE_COLS])
+
+
+def graph_outcomes(responses: DataFrame, mode: str = "PERMISSIVE") -> DataFrame:
+    """Decoded graph store responses with the size ``n`` of their model, NULL without one."""
+    sizes = graph_models(responses).groupBy("request_id").agg(F.count(F.lit(1)).alias("_n"))
+    decoded = decode_graph(responses, mode).join(sizes, "request_id", "left")
+    n = F.when(F.col("has_model"), F.coalesce("_n", F.lit(0)))
+    return decoded.select("request_id", "success", "status", "error", n.cast("bigint").alias("n"))
 
 
 def merge_responses(*branches: DataFrame) -> DataFrame:

@@ -33,9 +33,8 @@ def score_literals(quads: DataFrame, search: str) -> DataFrame:
     terms = sorted({w for w in _split(search)})
     literals = named_graphs(quads).where(F.col("o_type") == "literal")
     if search.strip() == "*":
-        return literals.groupBy(F.sha2("o", 256).alias("key")).agg(F.first("o").alias("value")).select(
-            "key", "value", F.lit(1.0).alias("score")
-        )
+        distinct = literals.select("o").distinct()
+        return distinct.select(F.sha2("o", 256).alias("key"), F.col("o").alias("value"), F.lit(1.0).alias("score"))
     if not terms:
         raise ValueError("the search has no word")
     # Words are cut once, then counted.
@@ -44,11 +43,9 @@ def score_literals(quads: DataFrame, search: str) -> DataFrame:
     counted = cut.select("o", F.size("_w").alias("_len"), *tf)
     names = [f"_tf{i}" for i in range(len(terms))]
     hit = reduce(Column.__or__, [F.col(n) > 0 for n in names])
-    docs = counted.groupBy(F.sha2("o", 256).alias("key")).agg(
-        F.first(F.when(hit, F.col("o"))).alias("value"),
-        F.first("_len").alias("_len"),
-        *[F.first(n).alias(n) for n in names],
-    )
+    docs = counted.select(
+        F.sha2("o", 256).alias("key"), F.when(hit, F.col("o")).alias("value"), "_len", *names
+    ).distinct()
     # The statistics ask for every column of the reduced literals, like the scoring below: so both
     # read the same shuffle, and the texts are scanned and cut once.
     stats = docs.agg(

@@ -214,7 +214,7 @@ def decode_construct(spark, sf_dir):
               "coalesce(status = 200 AND content_type <> 'application/rdf+xml', false) AS success"),
 )
 def decode_construct_outcomes(spark, sf_dir):
-    return responses.decode_construct(V.responses(spark, sf_dir, "construct")).drop("_stmts")
+    return responses.decode_construct(V.responses(spark, sf_dir, "construct"))
 
 
 _GRAPH_SIZE = (
@@ -227,11 +227,10 @@ _GRAPH_SIZE = (
     "decode_graph",
     R + "SELECT request_id, CASE WHEN status IN (200, 204) THEN true WHEN status = 404 THEN false END AS success, status, "
     "CASE WHEN status = 500 THEN 'request failed with status code: 500' END AS error, "
-    f"{_GRAPH_SIZE} AS n FROM responses WHERE route = 'graph' AND transport_error IS NULL",
+    f"CAST({_GRAPH_SIZE} AS BIGINT) AS n FROM responses WHERE route = 'graph' AND transport_error IS NULL",
 )
 def decode_graph(spark, sf_dir):
-    decoded = responses.decode_graph(V.responses(spark, sf_dir, "graph"))
-    return decoded.select("request_id", "success", "status", "error", responses.model_size().alias("n"))
+    return responses.graph_outcomes(V.responses(spark, sf_dir, "graph"))
 
 
 @query(
@@ -241,11 +240,11 @@ def decode_graph(spark, sf_dir):
 )
 def empty_payload(spark, sf_dir):
     raw = V.responses(spark, sf_dir, "graph").where(F.col("status").isin(200, 204))
-    decoded = responses.decode_graph(raw).select("request_id", "model")
+    decoded = responses.decode_graph(raw).select("request_id", "has_model")
     joined = raw.select("request_id", (F.coalesce(F.length("body"), F.lit(0)) == 0).alias("empty")).join(
         decoded, "request_id", "left"
     )
-    return joined.groupBy("empty", F.col("model").isNotNull().alias("has_model")).agg(F.count(F.lit(1)).alias("n"))
+    return joined.groupBy("empty", "has_model").agg(F.count(F.lit(1)).alias("n"))
 
 
 @query(
@@ -257,7 +256,7 @@ def empty_payload(spark, sf_dir):
     "WHERE o_orderstatus = 'O' OR (o_orderstatus = 'P' AND o_totalprice >= 250000 AND k.t = 'uri')",
 )
 def swallow_parse_error(spark, sf_dir):
-    return responses.graph_models(responses.decode_graph(V.responses(spark, sf_dir, "graph")))
+    return responses.graph_models(V.responses(spark, sf_dir, "graph"))
 
 
 @query(

@@ -236,15 +236,15 @@ def canonical_request(spark, sf_dir):
     "CASE WHEN o_totalprice > 200000 THEN CAST(5000 AS BIGINT) END AS timeout FROM orders",
 )
 def parse_request(spark, sf_dir):
-    keyed = V.requests(spark, sf_dir).select("request_id", RQ.canonical_request().alias("k"))
-    parsed = keyed.select("request_id", RQ.parse_request("k").alias("r"))
-    s, total = F.element_at("r.bindings", "s"), F.element_at("r.bindings", "total")
+    keyed = V.requests(spark, sf_dir).select("request_id", RQ.canonical_request().alias("request_key"))
+    parsed = RQ.parse_requests(keyed)
+    s, total = F.element_at("bindings", "s"), F.element_at("bindings", "total")
     return parsed.select(
-        "request_id", "r.query", s["value"].alias("bound_s"), total["value"].alias("bound_total"),
+        "request_id", "query", s["value"].alias("bound_s"), total["value"].alias("bound_total"),
         total["datatype"].alias("bound_type"),
-        F.array_join("r.default_graphs", " ").alias("default_graphs"),
-        F.array_join("r.named_graphs", " ").alias("named_graphs"),
-        "r.limit", "r.offset", "r.reasoning", "r.timeout",
+        F.array_join("default_graphs", " ").alias("default_graphs"),
+        F.array_join("named_graphs", " ").alias("named_graphs"),
+        "limit", "offset", "reasoning", "timeout",
     )
 
 

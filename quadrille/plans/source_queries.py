@@ -36,7 +36,7 @@ def read_nquads(spark, sf_dir):
     f"SELECT CAST(NULL AS VARCHAR) AS g, {TRIPLE} FROM quads WHERE p NOT IN ('urn:p:o_orderdate', 'urn:p:c_nationkey')",
 )
 def read_turtle(spark, sf_dir):
-    """Customers with a predicate list over several lines, orders with prefixed names and datatypes."""
+    """Customers with prefixed names and lists over several lines, orders with full names."""
     head = "@prefix p: <urn:p:> .\n@prefix xsd: <" + XSD + "> .\nPREFIX t: <urn:type:>\n"
     quoted = lambda c: F.concat(F.lit('"'), terms.escape_literal(c.cast("string")), F.lit('"'))
     price = lambda c: quoted(F.col(c).cast("decimal(18,2)"))
@@ -49,10 +49,10 @@ def read_turtle(spark, sf_dir):
     )
     o = V.table(spark, sf_dir, "orders").select(
         F.concat(
-            F.lit(head.replace("p:", "q:", 1)), F.lit("<urn:orders:"), "o_orderkey", F.lit("> a <urn:type:orders>; q:o_custkey <urn:customer:"),
-            "o_custkey", F.lit("> ; q:o_orderstatus "), quoted(F.col("o_orderstatus")), F.lit("^^xsd:string;q:o_totalprice "),
+            F.lit("<urn:orders:"), "o_orderkey", F.lit("> a <urn:type:orders>; <urn:p:o_custkey> <urn:customer:"),
+            "o_custkey", F.lit("> ; <urn:p:o_orderstatus> "), quoted(F.col("o_orderstatus")), F.lit(";<urn:p:o_totalprice> "),
             price("o_totalprice"), F.lit("^^<" + XSD + "decimal> .\n<urn:orders:"), "o_orderkey",
-            F.lit("> q:o_orderpriority "), quoted(F.col("o_orderpriority")), F.lit("."),
+            F.lit("> <urn:p:o_orderpriority> "), quoted(F.col("o_orderpriority")), F.lit("."),
         ).alias("value")
     )
     path = fresh_path(spark, "ttl")

@@ -13,68 +13,78 @@ from pyspark.sql import functions as F
 from ..functions.terms import unescape
 from ..schema import QUAD_COLS, RDF_LANGSTRING, XSD_STRING
 
-_IRI = "<[^<>\"{}|^`\\x00-\\x20]*>"
+_UCHAR = "\\\\u[0-9A-Fa-f]{4}|\\\\U[0-9A-Fa-f]{8}"
+_IRI_CHARS = "[^<>\"{}|^`\\\\\\x00-\\x20]*+"
+_IRI = f"<{_IRI_CHARS}(?:(?:{_UCHAR}){_IRI_CHARS})*+>"
 _BNODE = "_:[^\\s<>\"]*[^\\s<>\".]"
-_SUFFIX = "(?:\\^\\^(" + _IRI + ")|@([a-zA-Z]+(?:-[a-zA-Z0-9]+)*))?"
-_HEAD = f"(?s)^\\s*({_IRI}|{_BNODE})\\s*({_IRI})\\s*"
+_TEXT = "[^\"\\\\]*+"
+# The possessive loops neither backtrack nor recurse, however long the text is.
+_LITERAL = f"\"({_TEXT}(?:(?:\\\\[tbnrf\"'\\\\]|{_UCHAR}){_TEXT})*+)\""
+_SUFFIX = f"(?:\\^\\^({_IRI})|@([a-zA-Z]+(?:-[a-zA-Z0-9]+)*))?"
+_HEAD = f"(?s)^\\s*({_IRI}|{_BNODE})\\s*({_IRI})\\s*(?:({_IRI}|{_BNODE})|{_LITERAL}{_SUFFIX})"
 _GRAPH = f"\\s*({_IRI}|{_BNODE})?"
 _END = "\\s*\\.\\s*(?:#.*)?\\z"
-# The possessive loop over the literal neither backtracks nor recurses, however long the text is.
-_STATEMENT = f"{_HEAD}(?:({_IRI}|{_BNODE})|\"((?:[^\"\\\\]++|\\\\.)*+)\"{_SUFFIX}){_GRAPH}{_END}"
+_STATEMENT = {True: _HEAD + _GRAPH + _END, False: _HEAD + "()" + _END}
 _SEP = "\x01"
 # The literal comes last, so that a separator inside it does not matter.
 _FIELDS = _SEP.join(["$1", "$2", "$3", "$5", "$6", "$7", "$4"])
 
 
-def _fields(line: Column) -> Column:
-    cut = F.regexp_replace(line, _STATEMENT, _FIELDS)
-    return F.when(cut != line, F.split(cut, _SEP, 7))
+def is_statement(line: Column, quads: bool = True) -> Column:
+    """The line is a statement of N-Quads, or of N-Triples."""
+    return line.rlike(_STATEMENT[quads])
 
 
-def _statement(f: Column, scope: Column, quads: bool) -> dict[str, Column]:
+def _fields(line: Column, quads: bool) -> Column:
+    """Subject, predicate, object IRI, datatype, language, graph, literal; NULL for another line.
+
+    Fields that are not there are empty. A field with an escape that means no character is NULL.
+    """
+    cut = F.split(F.regexp_replace(line, _STATEMENT[quads], _FIELDS), _SEP, 7)
+    # A line that is no statement comes through whole, and has no separator unless it has one itself.
+    cut = F.when(~F.contains(line, F.lit(_SEP)) | is_statement(line, quads), cut)
+    return F.when(F.contains(line, F.lit("\\")), F.transform(cut, unescape)).otherwise(cut)
+
+
+def _statement(f: Column, scope: Column) -> dict[str, Column]:
     """Quad columns from the fields of a line, and ``ok``: the line was a statement."""
-    at = lambda i: F.when(f[i] != "", f[i])
+    at = lambda i: F.nullif(f[i], F.lit(""))
+    is_bnode = lambda c: c.startswith("_:")
 
     def resource(c: Column) -> Column:
-        bnode = F.concat(scope, F.substring(c, F.lit(3), F.length(c)))
-        return F.when(c.startswith("_:"), bnode).otherwise(
-            unescape(F.substring(c, F.lit(2), F.length(c) - 2))
+        return F.when(is_bnode(c), F.concat(scope, F.substring(c, F.lit(3), F.length(c)))).otherwise(
+            F.substring(c, F.lit(2), F.length(c) - 2)
         )
 
     def kind(c: Column) -> Column:
-        return F.when(c.startswith("_:"), "bnode").when(c.isNotNull(), "uri")
+        return F.when(is_bnode(c), "bnode").when(c.isNotNull(), "uri")
 
-    literal = at(2).isNull()
-    plain = F.when(at(4).isNotNull(), RDF_LANGSTRING).otherwise(XSD_STRING)
-    out = {
+    literal = f[2] == ""
+    plain = F.when(f[4] != "", RDF_LANGSTRING).otherwise(XSD_STRING)
+    return {
         "g": resource(at(5)),
-        "s": resource(at(0)),
-        "s_type": kind(at(0)),
-        "p": resource(at(1)),
-        "o": F.when(literal, unescape(f[6])).otherwise(resource(at(2))),
-        "o_type": F.when(literal, "literal").otherwise(kind(at(2))),
+        "s": resource(f[0]),
+        "s_type": kind(f[0]),
+        "p": resource(f[1]),
+        "o": F.when(literal, f[6]).otherwise(resource(f[2])),
+        "o_type": F.when(literal, "literal").otherwise(kind(f[2])),
         "o_datatype": F.when(literal, F.coalesce(resource(at(3)), plain)),
         "o_lang": F.when(literal, at(4)),
+        "ok": (F.size(f) == 7) & ~F.exists(f, lambda x: x.isNull()),
     }
-    ok = f.isNotNull() & out["s"].isNotNull() & out["p"].isNotNull() & out["o"].isNotNull()
-    out["ok"] = ok & (out["g"].isNotNull() == at(5).isNotNull() if quads else at(5).isNull())
-    return out
 
 
 def _has_content(line: Column) -> Column:
     return ~line.rlike("^\\s*(?:#|\\z)")
 
 
-def parse_body(body: Column, scope: Column, quads: bool = True) -> Column:
-    """The statements of a body held in one cell, as an array of structs with an ``ok`` flag.
+def body_is_valid(body: Column, quads: bool = True) -> Column:
+    """Every line of a body held in one cell is a statement, empty or a comment.
 
-    Parsing stays inside the row: whether any line of a body is malformed needs no shuffle.
+    This is settled inside the row; to keep or drop a body as a whole needs no shuffle.
     """
-    lines = F.filter(F.split(body, "\n"), _has_content)
-    # The fields are an array of their own, so that each line is matched once.
-    fields = F.transform(lines, _fields)
-    return F.transform(
-        fields, lambda f: F.struct(*[c.alias(n) for n, c in _statement(f, scope, quads).items()])
+    return F.forall(
+        F.split(body, "\n"), lambda line: ~_has_content(line) | is_statement(line, quads)
     )
 
 
@@ -96,8 +106,8 @@ def parse_statements(
         raise ValueError(f"unknown mode {mode!r}")
     raw = F.col(line)
     rest = [c for c in lines.columns if c != line]
-    cut = lines.where(_has_content(raw)).withColumn("_f", _fields(raw))
-    columns = _statement(F.col("_f"), F.lit("") if scope is None else scope, quads)
+    cut = lines.where(_has_content(raw)).withColumn("_f", _fields(raw, quads))
+    columns = _statement(F.col("_f"), F.lit("") if scope is None else scope)
     parsed = cut.select(*rest, raw.alias("_line"), *[c.alias(n) for n, c in columns.items()])
     ok = F.coalesce(F.col("ok"), F.lit(False))
     if mode == "DROPMALFORMED":

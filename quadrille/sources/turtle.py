@@ -2,7 +2,7 @@
 
 A file is not read as one text. It is split in lines like any other; each line is cut in tokens; and
 what a token means — subject, predicate or object, and of which statement — follows from running
-aggregates over the tokens of the file, cut at file splits (:mod:`quadrille.operators.scans`). So one
+aggregates over the tokens of the file, cut in runs of lines (:mod:`quadrille.operators.scans`). So one
 huge file is as parallel as many small ones.
 
 Not covered, and reported in ``_corrupt_record``: blank node property lists ``[ ]``, collections
@@ -41,6 +41,7 @@ _TOKENS = "|".join(
     ]
 )
 _PUNCTUATION = (".", ";", ",")
+LINES_PER_BLOCK = 20_000
 
 
 def _tokens(lines: DataFrame) -> DataFrame:
@@ -104,7 +105,9 @@ def parse_turtle(lines: DataFrame, mode: str = "FAILFAST") -> DataFrame:
     toks = stage(_tokens(lines), "turtle-tokens")
     # SPARQL-style PREFIX needs no dot; both forms are one statement here.
     # Pass 1: the last punctuation before each token, and how many terms there were by then.
-    order, keys, block = ["line", "i"], ["file"], F.col("split")
+    # Lines of a split are numbered without gaps, so a block is a bounded run of them.
+    order, keys = ["line", "i"], ["file"]
+    block = F.struct("split", F.floor(F.col("line") / LINES_PER_BLOCK).alias("run"))
     counted = running(
         toks.withColumn("at", at), keys, order, block,
         {"terms": ("sum", _is_term(F.col("tok")).cast("bigint"))},

@@ -105,7 +105,7 @@ def write_quads(
     """
     placed = statement_set(quads, is_set=is_set).select(*QUAD_COLS, graph_bucket("g", buckets).alias("g_bucket"))
     (
-        placed.repartitionByRange("g_bucket", "p", "s", "o")
+        placed.repartitionByRange("g_bucket", "p", "s", F.xxhash64("o"))
         .sortWithinPartitions("g_bucket", "p", "s")
         .write.partitionBy("g_bucket")
         .parquet(path)
@@ -121,11 +121,11 @@ def read_quads(
     """Scan a stored quad table; with ``graphs`` only the buckets that may hold them are listed."""
     table = spark.read.parquet(path)
     if graphs is not None:
-        cond = F.lit(False)
-        for g in graphs:
-            name = F.lit(g).cast("string")
-            cond = cond | (
-                (F.col("g_bucket") == graph_bucket(name, buckets)) & F.col("g").eqNullSafe(name)
-            )
-        table = table.where(cond)
+        names = [F.lit(g).cast("string") for g in graphs]
+        named = [g for g in graphs if g is not None]
+        holds = F.col("g").isin(named) if named else F.lit(False)
+        if None in graphs:
+            holds = holds | F.col("g").isNull()
+        # The first condition is on the directories alone, the second one on what they hold.
+        table = table.where(F.col("g_bucket").isin([graph_bucket(n, buckets) for n in names])).where(holds)
     return table.select(*QUAD_COLS)
