@@ -36,19 +36,20 @@ def is_statement(line: Column, quads: bool = True) -> Column:
 
 
 def _fields(line: Column, quads: bool) -> Column:
-    """Subject, predicate, object IRI, datatype, language, graph, literal; NULL for another line.
+    """Subject, predicate, object IRI, datatype, language, graph, literal; another line is one field.
 
     Fields that are not there are empty. A field with an escape that means no character is NULL.
     """
     cut = F.split(F.regexp_replace(line, _STATEMENT[quads], _FIELDS), _SEP, 7)
-    # A line that is no statement comes through whole, and has no separator unless it has one itself.
+    # A line that is no statement comes through whole: one field, unless it has a separator itself.
     cut = F.when(~F.contains(line, F.lit(_SEP)) | is_statement(line, quads), cut)
     return F.when(F.contains(line, F.lit("\\")), F.transform(cut, unescape)).otherwise(cut)
 
 
 def _statement(f: Column, scope: Column) -> dict[str, Column]:
     """Quad columns from the fields of a line, and ``ok``: the line was a statement."""
-    at = lambda i: F.nullif(f[i], F.lit(""))
+    get = lambda i: F.get(f, F.lit(i))
+    at = lambda i: F.nullif(get(i), F.lit(""))
     is_bnode = lambda c: c.startswith("_:")
 
     def resource(c: Column) -> Column:
@@ -59,15 +60,15 @@ def _statement(f: Column, scope: Column) -> dict[str, Column]:
     def kind(c: Column) -> Column:
         return F.when(is_bnode(c), "bnode").when(c.isNotNull(), "uri")
 
-    literal = f[2] == ""
-    plain = F.when(f[4] != "", RDF_LANGSTRING).otherwise(XSD_STRING)
+    literal = get(2) == ""
+    plain = F.when(get(4) != "", RDF_LANGSTRING).otherwise(XSD_STRING)
     return {
         "g": resource(at(5)),
-        "s": resource(f[0]),
-        "s_type": kind(f[0]),
-        "p": resource(f[1]),
-        "o": F.when(literal, f[6]).otherwise(resource(f[2])),
-        "o_type": F.when(literal, "literal").otherwise(kind(f[2])),
+        "s": resource(get(0)),
+        "s_type": kind(get(0)),
+        "p": resource(get(1)),
+        "o": F.when(literal, get(6)).otherwise(resource(get(2))),
+        "o_type": F.when(literal, "literal").otherwise(kind(get(2))),
         "o_datatype": F.when(literal, F.coalesce(resource(at(3)), plain)),
         "o_lang": F.when(literal, at(4)),
         "ok": (F.size(f) == 7) & ~F.exists(f, lambda x: x.isNull()),

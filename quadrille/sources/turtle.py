@@ -2,8 +2,8 @@
 
 A file is not read as one text. It is split in lines like any other; each line is cut in tokens; and
 what a token means — subject, predicate or object, and of which statement — follows from running
-aggregates over the tokens of the file, cut in runs of lines (:mod:`quadrille.operators.scans`). So one
-huge file is as parallel as many small ones.
+aggregates over the tokens of the file, cut in runs of lines. So one huge file is as parallel as many
+small ones.
 
 Not covered, and reported in ``_corrupt_record``: blank node property lists ``[ ]``, collections
 ``( )`` and long strings in triple quotes. Relative IRIs are kept as written.
@@ -15,7 +15,6 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions.terms import unescape
-from ..operators.scans import running
 from ..schema import QUAD_COLS, RDF_LANGSTRING, RDF_TYPE, XSD, XSD_STRING
 from ..session import stage
 
@@ -41,6 +40,7 @@ _TOKENS = "|".join(
     ]
 )
 _PUNCTUATION = (".", ";", ",")
+_DIRECTIVES = ("@prefix", "@base", "prefix", "base")
 LINES_PER_BLOCK = 20_000
 
 
@@ -81,10 +81,6 @@ def _tokens(lines: DataFrame) -> DataFrame:
     )
 
 
-def _is_term(tok: Column) -> Column:
-    return ~tok.isin(*_PUNCTUATION)
-
-
 def read_turtle(spark: SparkSession, path: str | list[str], mode: str = "FAILFAST") -> DataFrame:
     """Turtle files under a path as quads of the default graph (not yet a set).
 
@@ -100,78 +96,85 @@ def read_turtle(spark: SparkSession, path: str | list[str], mode: str = "FAILFAS
 
 
 def parse_turtle(lines: DataFrame, mode: str = "FAILFAST") -> DataFrame:
-    """Turtle lines ``(value, file, split, line)``; ``split`` and ``line`` give their order in a file."""
-    at = F.struct("split", "line", "i")
-    toks = stage(_tokens(lines), "turtle-tokens")
-    # SPARQL-style PREFIX needs no dot; both forms are one statement here.
-    # Pass 1: the last punctuation before each token, and how many terms there were by then.
-    # Lines of a split are numbered without gaps, so a block is a bounded run of them.
-    order, keys = ["line", "i"], ["file"]
-    block = F.struct("split", F.floor(F.col("line") / LINES_PER_BLOCK).alias("run"))
-    counted = running(
-        toks.withColumn("at", at), keys, order, block,
-        {"terms": ("sum", _is_term(F.col("tok")).cast("bigint"))},
+    """Turtle lines ``(value, file, split, line)``; ``split`` and ``line`` give their order in a file.
+
+    Blocks of lines are worked on by themselves first: each keeps what it knows at its end, these few
+    rows are accumulated per file, and put on the rows of the blocks after. That happens twice: for
+    the punctuation before a token, which settles its role, and for the subject and predicate before an
+    object. Each result is written once, as it feeds both the summary and the rows.
+    """
+    toks = _tokens(lines).select(
+        "*",
+        F.struct("split", "line", "i").alias("at"),
+        F.struct("split", F.floor(F.col("line") / LINES_PER_BLOCK).alias("run")).alias("block"),
     )
-    starts_directive = F.lower("tok").isin("prefix", "base") & ~F.col("tok").contains(":")
-    directive_end = F.col("tok").isin("@prefix", "@base")
-    placed = running(
-        counted, keys, order, block,
-        {
-            "last": (
-                "max",
-                F.when(~_is_term(F.col("tok")) | starts_directive, F.struct("at", "terms", "tok")),
-            ),
-            # The word that opened the directive the token is in, if any.
-            "last_at": ("max", F.when(directive_end | starts_directive, F.struct("at", "terms", "tok"))),
-        },
+    in_block = Window.partitionBy("file", "block").orderBy("line", "i")
+    so_far = in_block.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    breaks = F.col("tok").isin(*_PUNCTUATION) | F.lower("tok").isin(*_DIRECTIVES)
+    counted = toks.select("*", F.count_if(~breaks).over(so_far).alias("terms"))
+    local = stage(
+        counted.select("*", F.max(F.when(breaks, F.struct("at", "terms", "tok"))).over(so_far).alias("last")),
+        "turtle-tokens",
     )
-    since = F.col("terms") - F.coalesce(F.col("last.terms"), F.lit(0))
-    after = F.coalesce(F.col("last.tok"), F.lit("."))
-    at_word = F.lower(F.col("last_at.tok"))
-    in_at = (
-        at_word.startswith("@")
-        & (F.col("terms") > F.col("last_at.terms"))
-        & (
-            F.col("last").isNull() | (F.col("last.at") < F.col("last_at.at"))
-        )
+    ends = local.groupBy("file", "block").agg(F.max("terms").alias("n"), F.max("last").alias("last"))
+    blocks = Window.partitionBy("file").orderBy("block")
+    earlier = blocks.rowsBetween(Window.unboundedPreceding, -1)
+    totals = ends.select("*", F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("base"))
+    moved = F.struct("last.at", (F.col("last.terms") + F.col("base")).alias("terms"), "last.tok")
+    carried = stage(
+        totals.select(
+            "file", "block", "base",
+            F.max(F.when(F.col("last").isNotNull(), moved)).over(earlier).alias("carried"),
+        ),
+        "turtle-blocks",
     )
-    # SPARQL form: the keyword acts as punctuation, the two (or one) terms after it are its own.
-    sparql_args = F.when(after.rlike("(?i)^prefix$"), 2).when(after.rlike("(?i)^base$"), 1)
-    in_sparql = after.rlike("(?i)^(prefix|base)$") & (since <= sparql_args)
-    n = F.when(after.rlike("(?i)^(prefix|base)$"), since - sparql_args).otherwise(since)
+    placed = local.join(carried, ["file", "block"]).select(
+        *toks.columns,
+        breaks.alias("breaks"),
+        F.coalesce(F.col("last.at"), F.col("carried.at")).alias("dir_at"),
+        F.lower(F.coalesce(F.col("last.tok"), F.col("carried.tok"), F.lit("."))).alias("after"),
+        F.when(F.col("last").isNotNull(), F.col("terms") - F.col("last.terms"))
+        .otherwise(F.col("terms") + F.col("base") - F.coalesce(F.col("carried.terms"), F.lit(0)))
+        .alias("since"),
+    )
+    args = F.when(F.col("after").isin("@prefix", "prefix"), 2).when(F.col("after").isin("@base", "base"), 1)
+    n = F.col("since") - F.coalesce(args, F.lit(0))
     role = (
-        F.when(~_is_term(F.col("tok")) | starts_directive, F.lit(None))
-        .when(directive_end, F.lit(None))
-        .when(in_at | in_sparql, F.lit("directive"))
-        .when(after.isin(".") | after.rlike("(?i)^(prefix|base)$"),
-              F.when(n == 1, "s").when(n == 2, "p").when(n == 3, "o").otherwise("bad"))
-        .when(after == ";", F.when(n == 1, "p").when(n == 2, "o").otherwise("bad"))
-        .otherwise(F.when(n == 1, "o").otherwise("bad"))
+        F.when(F.col("since") <= args, "directive")
+        .when(F.col("after") == ";", F.when(n == 1, "p").when(n == 2, "o").otherwise("bad"))
+        .when(F.col("after") == ",", F.when(n == 1, "o").otherwise("bad"))
+        .otherwise(F.when(n == 1, "s").when(n == 2, "p").when(n == 3, "o").otherwise("bad"))
     )
-    roles = stage(placed.select(
-        "file", "split", "line", "i", "at", "tok", "lang", "dt", role.alias("role"),
-        F.col("last_at.at").alias("dir_at"),
-    ), "turtle-roles")
-    prefixes = _prefixes(roles)
+    roles = placed.where(~F.col("breaks")).select(*toks.columns, "dir_at", role.alias("role"))
+    prefixes = stage(_prefixes(roles), "turtle-prefixes")
+    value = F.struct("at", "v", "kind", "bad_term")
     terms = stage(
-        _resolve(roles.where(F.col("role").isin("s", "p", "o", "bad")), prefixes), "turtle-terms"
+        _resolve(roles.where(F.col("role") != "directive"), prefixes).select(
+            "*",
+            F.max(F.when(F.col("role") == "s", value)).over(so_far).alias("subj"),
+            F.max(F.when(F.col("role") == "p", value)).over(so_far).alias("pred"),
+        ),
+        "turtle-terms",
+    )
+    heads = terms.groupBy("file", "block").agg(F.max("subj").alias("subj"), F.max("pred").alias("pred"))
+    before = stage(
+        heads.select(
+            "file", "block",
+            F.max("subj").over(earlier).alias("subj_before"), F.max("pred").over(earlier).alias("pred_before"),
+        ),
+        "turtle-heads",
+    )
+    joined = terms.where(F.col("role").isin("o", "bad")).join(before, ["file", "block"]).select(
+        "v", "kind", "lang", "o_datatype", "role", "tok", "bad_term",
+        F.coalesce("subj", "subj_before").alias("subj"), F.coalesce("pred", "pred_before").alias("pred"),
     )
-    # Pass 2: the subject and predicate that each object belongs to.
-    value = F.struct("at", "v", "kind", "bad_term")
-    joined = running(
-        terms, keys, order, block,
-        {
-            "subj": ("max", F.when(F.col("role") == "s", value)),
-            "pred": ("max", F.when(F.col("role") == "p", value)),
-        },
-    ).where(F.col("role").isin("o", "bad"))
     bad = (
         (F.col("role") == "bad")
         | F.col("bad_term")
         | F.coalesce(F.col("subj.bad_term"), F.lit(True))
         | F.coalesce(F.col("pred.bad_term"), F.lit(True))
-        | (F.col("subj.kind") == "literal")
-        | (F.col("pred.kind") != "uri")
+        | F.coalesce(F.col("subj.kind") == "literal", F.lit(True))
+        | F.coalesce(F.col("pred.kind") != "uri", F.lit(True))
     )
     out = joined.select(
         F.lit(None).cast("string").alias("g"),
@@ -267,7 +270,7 @@ def _resolve(terms: DataFrame, prefixes: DataFrame) -> DataFrame:
         .otherwise(XSD_STRING)
     )
     resolved = with_ns.select(
-        "file", "split", "line", "i", "at", "tok", "role", "lang",
+        "file", "block", "line", "i", "at", "tok", "role", "lang",
         value.alias("v"),
         kind.alias("kind"),
         F.when(literal, datatype).alias("o_datatype"),
