@@ -59,9 +59,7 @@ def read_results_json(
     good = F.coalesce(results_complete(F.col("_doc")), F.lit(False))
     error = F.lit("failed to un-marshall result")
     if mode == "FAILFAST":
-        bindings = F.when(good, F.col("_doc.results.bindings")).otherwise(
-            F.from_json(F.raise_error(error), f"array<{_BINDING}>")
-        )
+        bindings = F.when(good, F.col("_doc.results.bindings")).otherwise(F.raise_error(error))
         rows = decoded.select(*rest, F.posexplode(bindings).alias("row_no", "_b"))
         return rows.select(*rest, "row_no", *solution_columns(F.col("_b"), variables))
     if mode == "DROPMALFORMED":
