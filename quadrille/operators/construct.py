@@ -151,7 +151,7 @@ def reify(quads: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
     """
     null = F.lit("\x1e")
     parts = [F.coalesce(F.col(c), null) for c in [*keep, *QUAD_COLS]]
-    label = F.sha2(F.concat_ws("\x1f", *parts), 256)
+    label = F.left(F.sha2(F.concat_ws("\x1f", *parts), 256), F.lit(32))
     no = F.lit(None).cast("string")
     part = lambda p, *o: F.struct(
         F.lit(p).alias("p"), *[v.alias(c) for v, c in zip(o, OBJECT_COLS)]

@@ -69,23 +69,17 @@ def canonical_request(angle_brackets: bool = True) -> Column:
 
 
 def parse_requests(df: DataFrame, query_string: str = "request_key") -> DataFrame:
-    """Query strings as request columns, next to the other columns; undoes :func:`canonical_request`."""
-    decode = F.try_url_decode
-    pairs = F.transform(
-        F.split(query_string, "&"),
-        lambda kv: F.struct(
-            decode(F.substring_index(kv, "=", 1)).alias("k"),
-            decode(F.when(F.instr(kv, "=") > 0, F.substring(kv, F.instr(kv, "=") + 1, F.length(kv)))).alias("v"),
-        ),
-    )
+    """Query strings as request columns, next to the other columns; undoes :func:`canonical_request`.
+
+    Each key is picked out of the text by itself, so only what is wanted is decoded.
+    """
     rest = [c for c in df.columns if c != query_string]
-    # The pairs are a column of their own, so that a string is cut and decoded once.
-    cut = df.select(*rest, pairs.alias("_pairs"))
-    pairs = F.col("_pairs")
-    values = lambda key: F.transform(
-        F.filter(pairs, lambda e: e["k"] == key), lambda e: e["v"]
-    )
-    first = lambda key: F.get(values(key), 0)
+    decode = F.try_url_decode
+    # Every part then starts with "&", so that a pattern starts with a fixed text to look for.
+    text = F.concat(F.lit("&"), F.col(query_string))
+    raw = lambda key: F.regexp_extract_all(text, F.lit(f"&{key}=([^&]*)"), F.lit(1))
+    values = lambda key: F.transform(raw(key), decode)
+    first = lambda key: decode(F.get(raw(key), F.lit(0)))
     bare = lambda g: F.regexp_replace(g, "^<(.*)>$", "$1")
 
     def term(text: Column) -> Column:
@@ -101,16 +95,18 @@ def parse_requests(df: DataFrame, query_string: str = "request_key") -> DataFram
             F.when(literal, lang).alias("lang"),
         )
 
-    bound = F.filter(pairs, lambda e: e["k"].startswith("$"))
-    return cut.select(
+    bound = F.regexp_extract_all(text, F.lit("&(?:\\$|%24)([^=&]*=[^&]*)"), F.lit(1))
+    entry = lambda kv: F.struct(
+        F.substring_index(kv, "=", 1), decode(F.substring(kv, F.instr(kv, "=") + 1, F.length(kv)))
+    )
+    # Names and decoded values first, terms from these, so that each value is decoded once.
+    bindings = F.transform(
+        F.transform(bound, entry), lambda e: F.struct(e["col1"], term(e["col2"]))
+    )
+    return df.select(
         *rest,
         first("query").alias("query"),
-        F.map_from_entries(
-            F.transform(
-                bound,
-                lambda e: F.struct(F.substring(e["k"], F.lit(2), F.length(e["k"])), term(e["v"])),
-            )
-        ).alias("bindings"),
+        F.map_from_entries(bindings).alias("bindings"),
         F.transform(values("default-graph-uri"), bare).alias("default_graphs"),
         F.transform(values("named-graph-uri"), bare).alias("named_graphs"),
         first("limit").try_cast("bigint").alias("limit"),

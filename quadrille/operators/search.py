@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..schema import statement_set
+from ..session import stage
 from .construct import Values, _restricts
 from .dataset import named_graphs, page, restrict
 
@@ -43,15 +44,17 @@ def score_literals(quads: DataFrame, search: str) -> DataFrame:
     counted = cut.select("o", F.size("_w").alias("_len"), *tf)
     names = [f"_tf{i}" for i in range(len(terms))]
     hit = reduce(Column.__or__, [F.col(n) > 0 for n in names])
-    docs = counted.select(
-        F.sha2("o", 256).alias("key"), F.when(hit, F.col("o")).alias("value"), "_len", *names
-    ).distinct()
-    # The statistics ask for every column of the reduced literals, like the scoring below: so both
-    # read the same shuffle, and the texts are scanned and cut once.
+    # The reduced literals are small next to the texts and needed twice, so they are written: the
+    # texts are scanned and cut once.
+    docs = stage(
+        counted.select(
+            F.sha2("o", 256).alias("key"), F.when(hit, F.col("o")).alias("value"), "_len", *names
+        ).distinct(),
+        "literals",
+    )
     stats = docs.agg(
         F.struct(
             F.count(F.lit(1)).alias("n"),
-            F.count("value").alias("n_hit"),
             F.avg("_len").alias("avg"),
             *[F.count_if(F.col(n) > 0).alias(f"df{i}") for i, n in enumerate(names)],
         )
