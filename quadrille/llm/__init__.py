@@ -1,0 +1,10 @@
+"""Operators for preparing training data, and their registered queries.
+
+Functions of this package travel to the executors by value, so workers need not have it installed.
+"""
+
+import sys
+
+from pyspark import cloudpickle
+
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
