@@ -4,10 +4,17 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from quadrille.llm import ngram_join
+from quadrille.llm import ngram_join, packing, toxicity
 from quadrille.llm.registry import ORACLES, QUERIES, query, table
 
 
+def tokenizer_path(name: str) -> str:
+    """Where an installed vocabulary file is, the same on every executor."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
 def queries():
     return dict(QUERIES)
 
@@ -19,3 +26,13 @@ def oracle_sql() -> dict[str, str]:
 @query("op1_ngram_jaccard_join")
 def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.ngram_jaccard_join(table(spark, sf_dir, "documents"))
+
+
+@query("op2_toxicity")
+def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@query("op8_best_fit_packing")
+def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.best_fit_packing(table(spark, sf_dir, "documents"), tokenizer_path("word_bpe_49k.json"))

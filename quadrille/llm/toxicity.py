@@ -22,6 +22,7 @@ from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.regression import IsotonicRegression
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.functions import pandas_udf
 
 from quadrille.session import stage
 
@@ -238,23 +239,13 @@ def keep_civil(docs: DataFrame, labels: DataFrame, threshold: float = 0.7, sampl
                   labels, sample)
     if model.trees is None:
         return docs if model.constant < threshold else docs.where(F.lit(False))
-    names = docs.columns
-    whole = docs.select(F.struct(*names).alias("row"), F.col("text").cast("string").alias("text"))
     lexicon = model.lexicon
 
-    def run(batches):
-        codes = WordCodes(lexicon)
-        for batch in batches:
-            yield pd.DataFrame({"features": [features_of(t or "", codes) for t in batch["text"]]})
-
-    del whole, run
-    from pyspark.sql.functions import pandas_udf
-
     @pandas_udf("array<double>")
     def features(parts: Iterator[pd.Series]) -> Iterator[pd.Series]:
         codes = WordCodes(lexicon)
         for texts in parts:
             yield pd.Series([features_of(t or "", codes) for t in texts])
 
-    rows = docs.select(F.struct(*names).alias("row"), features(F.col("text").cast("string")).alias("features"))
+    rows = docs.select(F.struct(*docs.columns).alias("row"), features(F.col("text").cast("string")).alias("features"))
     return model.calibrated(rows).where(F.col("score") < threshold).select("row.*")
