@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from quadrille.llm import ngram_join, packing, toxicity
+from quadrille.llm import language, ngram_join, packing, toxicity
 from quadrille.llm.registry import ORACLES, QUERIES, query, table
 
 
@@ -33,6 +33,11 @@ def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+@query("op3_language_id")
+def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language.language_id(table(spark, sf_dir, "documents"))
+
+
 @query("op8_best_fit_packing")
 def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.best_fit_packing(table(spark, sf_dir, "documents"), tokenizer_path("word_bpe_49k.json"))
