@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from quadrille.llm import language, ngram_join, packing, toxicity
+from quadrille.llm import language, ngram_join, packing, sharding, toxicity
 from quadrille.llm.registry import ORACLES, QUERIES, query, table
 
 
@@ -38,6 +39,18 @@ def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language.language_id(table(spark, sf_dir, "documents"))
 
 
+@query("op7_sharding")
+def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    # The digest moves in place of the text, which stays the first part of the key.
+    placed = sharding.histogram_sort(
+        docs.select("doc_id", F.crc32(F.coalesce("text", F.lit(""))).alias("text_crc32"), F.xxhash64("text").alias("text_hash"),
+                    F.octet_length("text").alias("n_bytes")),
+        40, [F.col("text_hash"), F.col("doc_id")], F.coalesce("n_bytes", F.lit(0)) + 16)
+    return placed.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot",
+                         F.lit(None).cast("int").alias("grown_shard"))
+
+
 @query("op8_best_fit_packing")
 def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.best_fit_packing(table(spark, sf_dir, "documents"), tokenizer_path("word_bpe_49k.json"))
