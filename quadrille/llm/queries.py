@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quadrille.llm import fingerprints, html_text, language, ngram_join, packing, sharding, toxicity, url_filter
+from quadrille.llm import fingerprints, html_text, language, neighbours, ngram_join, packing, sharding, toxicity, url_filter
 from quadrille.llm.registry import ORACLES, QUERIES, query, table
 
 
@@ -39,6 +39,11 @@ def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language.language_id(table(spark, sf_dir, "documents"))
 
 
+@query("op4_nearest_neighbours")
+def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neighbours.nearest_neighbours(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
+
+
 @query("op5_html_text")
 def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_text.main_text(table(spark, sf_dir, "pages"))
