@@ -166,7 +166,7 @@ def _search(k: int):
     def run(key: tuple, left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
         if not len(left) or not len(right):
             return pd.DataFrame({"query_id": [], "vec_id": [], "score": []})
-        q, r, s = best_of_block(_matrix(left["vector"]), left["query_id"].to_numpy(), _matrix(right["vector"]),
+        q, r, s = best_of_block(_matrix(left["of_query"]), left["query_id"].to_numpy(), _matrix(right["of_row"]),
                                 right["vec_id"].to_numpy(), k)
         return pd.DataFrame({"query_id": q, "vec_id": r, "score": s})
 
@@ -218,13 +218,13 @@ def nearest_neighbours(table: DataFrame, is_query, k: int = 20, sample: int = SA
     each = F.explode(F.sequence(F.lit(0), F.lit(query_blocks - 1)))
     right = (
         routed.select("vec_id", "vector", F.col("parts")[0].alias("part")).join(sizes, "part")
-        .select("part", F.pmod(F.xxhash64("vec_id"), "blocks").cast("int").alias("block"), each.alias("of"), "vec_id", "vector")
+        .select("part", F.pmod(F.xxhash64("vec_id"), "blocks").cast("int").alias("block"), each.alias("of"), "vec_id", F.col("vector").alias("of_row"))
     )
     left = (
         routed.where(is_query).select(F.col("vec_id").alias("query_id"), "vector", F.explode("parts").alias("part"))
         .join(sizes, "part")
         .select("part", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"),
-                F.pmod(F.xxhash64("query_id"), F.lit(query_blocks)).cast("int").alias("of"), "query_id", "vector")
+                F.pmod(F.xxhash64("query_id"), F.lit(query_blocks)).cast("int").alias("of"), "query_id", F.col("vector").alias("of_query"))
     )
     group = ["part", "block", "of"]
     found = left.groupBy(*group).cogroup(right.groupBy(*group)).applyInPandas(
