@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quadrille.llm import fingerprints, html_text, language, neighbours, ngram_join, packing, sharding, toxicity, url_filter
+from quadrille.llm import fingerprints, html_text, language, neighbours, ngram_join, packing, pieces, sharding, toxicity, url_filter
 from quadrille.llm.registry import ORACLES, QUERIES, query, table
 
 
@@ -75,6 +75,11 @@ def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.best_fit_packing(table(spark, sf_dir, "documents"), tokenizer_path("word_bpe_49k.json"))
 
 
+@query("op9_sentencepiece")
+def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pieces.encoding_digest(table(spark, sf_dir, "documents"), tokenizer_path("piece_bpe_32k.model"))
+
+
 @query("op10_fingerprints")
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints.fingerprint_documents(table(spark, sf_dir, "documents"))
