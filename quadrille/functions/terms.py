@@ -92,6 +92,12 @@ def format_date(ts: str | Column) -> Column:
 
 # --- N-Triples spelling -----------------------------------------------------------------------
 
+#: An escaped character of Unicode: no surrogate, and none beyond the last code point.
+UNICODE_ESCAPE = (
+    "\\\\u(?![Dd][89A-Fa-f])[0-9A-Fa-f]{4}"
+    "|\\\\U(?:0010|000(?!0[Dd][89A-Fa-f])[0-9A-Fa-f])[0-9A-Fa-f]{4}"
+)
+
 # Characters an IRI may not hold as they are, with their escapes.
 _IRI_ESCAPES = [
     ("\\", "\\u005C"), (" ", "\\u0020"), ('"', "\\u0022"), ("<", "\\u003C"), (">", "\\u003E"),
@@ -118,7 +124,7 @@ def escape_literal(value: Column) -> Column:
 
 
 def unescape(lexical: Column) -> Column:
-    """Undo the escapes of N-Triples; NULL when an escape is not one of the grammar."""
+    """Undo the escapes of N-Triples; NULL when an escape is not one of the grammar or no character."""
     # Most escapes are those of JSON. The two that are not are put right token by token, and only
     # in text that has them: \' and \U followed by eight hex digits.
     as_json = F.get_json_object(F.concat(F.lit('{"v":"'), lexical, F.lit('"}')), "$.v")
@@ -131,14 +137,17 @@ def unescape(lexical: Column) -> Column:
         F.transform(
             tokens,
             lambda t: F.when(t == "\\'", F.lit("'"))
-            .when(t.startswith("\\U") & (F.length(t) == 10), quoted(char(t)))
+            .when(t.rlike(f"^(?:{UNICODE_ESCAPE})$") & t.startswith("\\U"), quoted(char(t)))
             .otherwise(t),
         ),
         "",
     )
     long_json = F.get_json_object(F.concat(F.lit('{"v":"'), respelled, F.lit('"}')), "$.v")
+    # Backslashes in pairs, other escapes, then one of a number that is no character.
+    no_char = lexical.rlike(f"^(?:[^\\\\]|\\\\[^uU]|{UNICODE_ESCAPE})*+\\\\[uU]")
     return (
         F.when(~F.contains(lexical, F.lit("\\")), lexical)
+        .when(no_char, F.lit(None).cast("string"))
         .when(F.contains(lexical, F.lit("\\U")) | F.contains(lexical, F.lit("\\'")), long_json)
         .otherwise(as_json)
     )

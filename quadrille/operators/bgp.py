@@ -14,7 +14,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..schema import OBJECT_COLS, Term, as_term, object_is
+from ..schema import OBJECT_COLS, Term, as_term, demand, object_is
 
 Pattern = tuple
 
@@ -184,7 +184,9 @@ def optional(
     if not shared:
         raise ValueError("the optional part shares no variable; its product is not built")
     resources = set().union(*[_resource_vars(p) for p in patterns])
-    return _join(solutions, right, shared, resources, "left")
+    unbound = reduce(Column.__or__, [F.col(v).isNull() for v in shared])
+    message = F.lit("a variable that the optional part shares is unbound: " + ", ".join(shared))
+    return _join(demand(solutions, ~unbound, message), right, shared, resources, "left")
 
 
 # --- stars ------------------------------------------------------------------------------------
@@ -200,7 +202,7 @@ def _star(patterns: Sequence[Pattern], single_valued: set[str]) -> tuple[list[Pa
             groups.setdefault((p[0], graph), []).append(p)
     best = max(groups.values(), key=len, default=[])
     names = [p[2] for p in best if is_var(p[2])]
-    if len(best) < 3 or len({p[1] for p in best}) < len(best) or len(set(names)) < len(names):
+    if len(best) < 2 or len({p[1] for p in best}) < len(best) or len(set(names)) < len(names):
         return [], list(patterns)
     return best, [p for p in patterns if p not in best]
 

@@ -17,6 +17,7 @@ from ..schema import (
     RDF_SUBJECT,
     Term,
     as_term,
+    demand,
     object_is,
     statement_set,
 )
@@ -69,15 +70,9 @@ def subjects_with(quads: DataFrame, filters: dict[str, Term | str]) -> DataFrame
     hits = named_graphs(quads).where(reduce(Column.__or__, conds))
     if len(conds) == 1:
         return hits.select("g", "s")
-    bit = F.lit(0).cast("bigint")
-    for i, cond in enumerate(conds):
-        bit = F.when(cond, F.lit(1 << i)).otherwise(bit)
-    if len(conds) > 62:
-        which = F.coalesce(*[F.when(c, F.lit(i)) for i, c in enumerate(conds)])
-        counted = hits.select("g", "s", which.alias("_i")).distinct().groupBy("g", "s")
-        return counted.count().where(F.col("count") == len(conds)).select("g", "s")
-    masks = hits.groupBy("g", "s").agg(F.bit_or(bit).alias("_mask"))
-    return masks.where(F.col("_mask") == (1 << len(conds)) - 1).select("g", "s")
+    which = F.coalesce(*[F.when(c, F.lit(i)) for i, c in enumerate(conds)])
+    counted = hits.select("g", "s", which.alias("_i")).distinct().groupBy("g", "s")
+    return counted.count().where(F.col("count") == len(conds)).select("g", "s")
 
 
 def filter_construct(
@@ -198,8 +193,7 @@ def dereify(triples: DataFrame, keep: Sequence[str] = (), on_error: str = "FAILF
         return statement_set(nodes.where(whole).select(*keep, *columns), [*keep, *QUAD_COLS])
     if on_error == "FAILFAST":
         message = F.concat(F.lit("incomplete reified statement: "), label)
-        columns[1] = F.when(whole, F.col("_s.o")).otherwise(F.raise_error(message)).alias("s")
-        return statement_set(nodes.select(*keep, *columns), [*keep, *QUAD_COLS])
+        return statement_set(demand(nodes, whole, message).select(*keep, *columns), [*keep, *QUAD_COLS])
     marked = nodes.select(
         *keep,
         *[F.when(whole, c).alias(n) for c, n in zip(columns, QUAD_COLS)],

@@ -2,20 +2,15 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from ..schema import QUAD_ORDER, TRIPLE_COLS, Term, as_quads, as_term, graph_is, object_is, statement_set
 from ..session import stage
 
-#: Up to this many values a list is a filter that Parquet statistics can serve; beyond, a join.
-MAX_IN_LIST = 1000
-#: Up to this many rows (offset and limit together) a page is found by top-k.
-MAX_TOP_K = 100_000
-
 
 def named_graphs(quads: DataFrame) -> DataFrame:
     """``GRAPH ?g { … }``: named graphs only."""
@@ -49,8 +44,8 @@ def dataset_clause(
 def restrict(df: DataFrame, column: str, values: Sequence[str] | DataFrame | None) -> DataFrame:
     """``VALUES ?column { … }``: keep rows whose column is listed; no list, no restriction.
 
-    ``values`` is a sequence or a one-column frame. A frame, or a long sequence, becomes a semi join
-    whose strategy Spark picks from the measured size.
+    A sequence is a filter that Parquet statistics can serve. A one-column frame is a semi join whose
+    strategy Spark picks from the measured size; use it for long lists.
     """
     if values is None:
         return df
@@ -58,10 +53,7 @@ def restrict(df: DataFrame, column: str, values: Sequence[str] | DataFrame | Non
         values = list(dict.fromkeys(values))
         if not values:
             return df
-        if len(values) <= MAX_IN_LIST:
-            return df.where(F.col(column).isin(values))
-        schema = T.StructType([T.StructField("v", T.StringType())])
-        values = df.sparkSession.createDataFrame([(v,) for v in values], schema)
+        return df.where(F.col(column).isin(values))
     keys = values.toDF(column)
     return df.join(keys, column, "left_semi").select(*df.columns)
 
@@ -81,6 +73,8 @@ def prebind(solutions: DataFrame, bindings: dict[str, Term | str] | DataFrame) -
             on = eq if on is None else on & eq
         return left.join(right, on, "left_semi")
     for name, value in bindings.items():
+        if not re.fullmatch("[A-Za-z0-9_.~-]+", name):
+            raise ValueError(f"the name {name!r} can not stand in a URL")
         solutions = solutions.where(variable_is(name, as_term(value)))
     return solutions
 
@@ -113,26 +107,22 @@ def page(
     limit: int | None = None,
     order: Sequence[str] = tuple(QUAD_ORDER),
 ) -> DataFrame:
-    """Rows ``offset`` to ``offset + limit`` in the given total order, NULL first.
+    """Rows ``offset`` to ``offset + limit`` in the given total order, NULL first; they come out unordered.
 
-    Small pages are a distributed top-k. A deep or wide page would pile up in one task that way, so
-    rows are sorted over the cluster, numbered by partition sizes, and cut.
+    Rows are sorted over the cluster, numbered by the sizes of the partitions before them, and cut, so
+    no page piles up in one task however deep or wide it is.
     """
     if offset is None and limit is None:
         return df
     skip = offset or 0
-    keys = [F.col(c).asc_nulls_first() for c in order]
-    if limit is not None and skip + limit <= MAX_TOP_K:
-        out = df.orderBy(*keys)
-        return (out.offset(skip) if skip else out).limit(limit)
-    return _deep_page(df, skip, limit, list(order))
-
-
-def _deep_page(df: DataFrame, skip: int, limit: int | None, order: list[str]) -> DataFrame:
-    keys = [F.col(c).asc_nulls_first() for c in order]
+    # The last key parts equal rows of a bag, which any place among each other suits.
+    keys = [*(F.col(c).asc_nulls_first() for c in order), F.monotonically_increasing_id()]
+    placed = df.withColumn("_place", keys.pop())
+    keys = [*keys, F.col("_place")]
     numbered = stage(
-        df.repartitionByRange(*keys)
+        placed.repartitionByRange(*keys)
         .sortWithinPartitions(*keys)
+        .drop("_place")
         .select(
             "*",
             F.spark_partition_id().alias("_part"),
@@ -140,18 +130,13 @@ def _deep_page(df: DataFrame, skip: int, limit: int | None, order: list[str]) ->
         ),
         "page",
     )
-    # One row per partition of the sort comes to the driver, whatever the size of the data.
-    sizes = dict(numbered.groupBy("_part").agg(F.count(F.lit(1))).collect())
-    end = None if limit is None else skip + limit
-    wanted, start = F.lit(False), 0
-    for part in sorted(sizes):
-        lo = max(skip - start, 0)
-        hi = sizes[part] if end is None else min(sizes[part], end - start)
-        if lo < hi:
-            rows = F.col("_row").between(lo, hi - 1)
-            wanted = wanted | ((F.col("_part") == part) & rows)
-        start += sizes[part]
-    return numbered.where(wanted).select(*df.columns)
+    # One row per partition of the sort, whatever the size of the data.
+    sizes = numbered.groupBy("_part").agg(F.count(F.lit(1)).alias("_n"))
+    before = F.sum("_n").over(Window.orderBy("_part")) - F.col("_n")
+    at = F.col("_before") + F.col("_row")
+    wanted = at >= skip if limit is None else (at >= skip) & (at < skip + limit)
+    starts = sizes.select("_part", before.alias("_before"))
+    return numbered.join(starts, "_part").where(wanted).select(*df.columns)
 
 
 def top(df: DataFrame, limit: int, order: Sequence[str]) -> DataFrame:

@@ -148,7 +148,8 @@ def reverse_table(prefixes: DataFrame) -> DataFrame:
 
 
 def prefix_set(mine: DataFrame, other: DataFrame) -> DataFrame:
-    """All of ``other`` on top of ``mine``: its namespace wins where both know a prefix."""
+    """All of ``other`` on top of ``mine``: its namespace wins where both know a prefix. An illegal entry raises."""
+    other = other.where(check_prefix("prefix", "ns"))
     both = mine.select("prefix", "ns", F.lit(0).alias("_at")).unionByName(
         other.select("prefix", "ns", F.lit(1).alias("_at"))
     )
@@ -158,8 +159,9 @@ def prefix_set(mine: DataFrame, other: DataFrame) -> DataFrame:
 def prefix_defaults(mine: DataFrame, other: DataFrame) -> DataFrame:
     """``mine`` with those entries of ``other`` of which neither prefix nor namespace is known.
 
-    When ``other`` has a new namespace twice, its first prefix in order is taken.
+    When ``other`` has a new namespace twice, its first prefix in order is taken. An illegal entry raises.
     """
+    other = other.where(check_prefix("prefix", "ns"))
     new = (
         other.join(mine.select("prefix"), "prefix", "left_anti")
         .join(mine.select("ns"), "ns", "left_anti")

@@ -103,10 +103,13 @@ def parse_requests(df: DataFrame, query_string: str = "request_key") -> DataFram
     bindings = F.transform(
         F.transform(bound, entry), lambda e: F.struct(e["col1"], term(e["col2"]))
     )
+    # A name given again replaces what was before.
+    last_of_name = F.filter(
+        bindings, lambda e, i: ~F.exists(F.slice(bindings, i + 2, F.size(bindings)), lambda later: later["col1"] == e["col1"]))
     return df.select(
         *rest,
         first("query").alias("query"),
-        F.map_from_entries(bindings).alias("bindings"),
+        F.map_from_entries(last_of_name).alias("bindings"),
         F.transform(values("default-graph-uri"), bare).alias("default_graphs"),
         F.transform(values("named-graph-uri"), bare).alias("named_graphs"),
         first("limit").try_cast("bigint").alias("limit"),

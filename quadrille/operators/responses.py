@@ -29,7 +29,7 @@ def status_success(status: str | Column, mode: str = "FAILFAST") -> Column:
     code = F.col(status) if isinstance(status, str) else status
     known = F.when(code.isin(GRAPH_SUCCESS), True).when(code.isin(GRAPH_FAILURE), False)
     if mode == "FAILFAST":
-        message = F.concat(F.lit("request failed with status code: "), code.cast("string"))
+        message = F.concat(F.lit("status code outside the known ones: "), code.cast("string"))
         return known.otherwise(F.raise_error(message).cast("boolean"))
     return known
 
@@ -41,8 +41,8 @@ def envelope(responses: DataFrame) -> DataFrame:
     return responses.select(
         "*",
         F.coalesce(ok, F.lit(False)).alias("success"),
-        F.when(failed, F.lit("Request failed on the HTTP layer"))
-        .when(F.col("status") != 200, F.concat(F.lit("Request failed with: "), F.col("status").cast("string")))
+        F.when(failed, F.lit("no response: transport failed"))
+        .when(F.col("status") != 200, F.concat(F.lit("response status "), F.col("status").cast("string")))
         .alias("error"),
     )
 
@@ -78,7 +78,7 @@ def stream_raw(responses: DataFrame) -> DataFrame:
         "status",
         F.when(~failed, F.col("content_type")).alias("content_type"),
         F.when(~failed, F.col("body")).alias("body"),
-        F.when(failed, F.lit("failed to execute sparql query")).alias("error"),
+        F.when(failed, F.lit("query not run")).alias("error"),
     )
 
 
@@ -86,7 +86,7 @@ def stream_raw(responses: DataFrame) -> DataFrame:
 
 
 def decode_select(responses: DataFrame) -> DataFrame:
-    """One row per response, with the array of ``bindings`` on success."""
+    """One row per response, with the array of ``bindings`` on success and the whole ``body`` otherwise."""
     failed = F.col("transport_error").isNotNull()
     is_json = (F.col("status") == 200) & is_results_json("content_type")
     doc = F.when(~failed & is_json, parse_results("body"))
@@ -94,18 +94,18 @@ def decode_select(responses: DataFrame) -> DataFrame:
                                is_json.alias("_json"), doc.alias("_doc"))
     good = F.coalesce(F.col("_json") & results_complete(F.col("_doc")), F.lit(False))
     unsupported = F.concat(
-        F.lit("unsupported result type ["), F.coalesce("content_type", F.lit("Unknown")), F.lit("] "),
-        F.left(F.coalesce("body", F.lit("")), F.lit(1024)), F.lit("..."),
+        F.lit("content type is not that of results: "), F.coalesce("content_type", F.lit("none")),
     )
     error = (
-        F.when(F.col("_failed"), F.lit("invalid request"))
+        F.when(F.col("_failed"), F.lit("no response"))
         .when(good, F.lit(None).cast("string"))
-        .when(F.col("_json"), F.lit("failed to un-marshall result"))
+        .when(F.col("_json"), F.lit("body is no complete results document"))
         .otherwise(unsupported)
     )
     return decoded.select(
         "request_id", good.alias("success"), "status", error.alias("error"),
         F.when(good, F.col("_doc.results.bindings")).alias("bindings"),
+        F.when(~good, F.col("body")).alias("body"),
     )
 
 
@@ -129,9 +129,9 @@ def decode_update(responses: DataFrame) -> DataFrame:
         "request_id",
         F.when(boolean, F.coalesce(parsed, F.lit(False))).otherwise(ok).alias("success"),
         "status",
-        F.when(failed, F.concat(F.lit("Requested failed: "), F.col("transport_error")))
-        .when(~ok, F.concat(F.lit("Unexpected response status: "), F.col("status").cast("string")))
-        .when(boolean & parsed.isNull(), F.lit("error while handling sparql response"))
+        F.when(failed, F.concat(F.lit("no response: "), F.col("transport_error")))
+        .when(~ok, F.concat(F.lit("update answered with status "), F.col("status").cast("string")))
+        .when(boolean & parsed.isNull(), F.lit("body is no boolean"))
         .alias("error"),
     )
 
@@ -179,16 +179,27 @@ def decode_construct(responses: DataFrame) -> DataFrame:
         .when(F.col("_valid").isNull(), unsupported)
         .when(~parsed, F.lit("malformed body"))
         .alias("error"),
-        F.when(failed, F.lit("unexpected error when processing request"))
-        .when(~ok, F.lit("SPARQL endpoint returned unexpected response body"))
+        F.when(failed, F.lit("no response"))
+        .when(~ok, F.lit("status is not 200, error holds the body"))
         .alias("message"),
     )
 
 
 def construct_quads_of(responses: DataFrame) -> DataFrame:
-    """The quads of successful CONSTRUCT responses: reified bodies put back together, per response."""
+    """The quads of successful CONSTRUCT responses: reified bodies put back together, per response.
+
+    A node that lacks a part gives no quad; :func:`incomplete_nodes` tells of it.
+    """
+    ok = (F.col("status") == 200) & F.col("transport_error").isNull()
+    return dereify(_statements(_checked(responses, ok).where("_valid")), keep=["request_id"], on_error="DROPMALFORMED")
+
+
+def incomplete_nodes(responses: DataFrame) -> DataFrame:
+    """``request_id, error``: reified statements of CONSTRUCT bodies that lack a part."""
     ok = (F.col("status") == 200) & F.col("transport_error").isNull()
-    return dereify(_statements(_checked(responses, ok).where("_valid")), keep=["request_id"])
+    nodes = dereify(_statements(_checked(responses, ok).where("_valid")), keep=["request_id"], on_error="PERMISSIVE")
+    message = F.concat(F.lit("incomplete reified statement: "), F.col("_corrupt_record"))
+    return nodes.where(F.col("_corrupt_record").isNotNull()).select("request_id", message.alias("error"))
 
 
 # --- graph store ------------------------------------------------------------------------------
@@ -206,7 +217,7 @@ def decode_graph(responses: DataFrame, mode: str = "PERMISSIVE") -> DataFrame:
         answered = responses.where(F.when(lost, raised.cast("boolean")).otherwise(True))
     else:
         answered = responses.where(~lost)
-    unknown = F.concat(F.lit("request failed with status code: "), F.col("status").cast("string"))
+    unknown = F.concat(F.lit("status code outside the known ones: "), F.col("status").cast("string"))
     return _with_model(answered).select(
         "request_id",
         status_success("status", mode).alias("success"),

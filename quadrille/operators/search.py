@@ -14,8 +14,6 @@ from .dataset import named_graphs, page, restrict
 
 K1, B = 1.2, 0.75
 DEFAULT_K = 10
-#: Up to this many hits are sent to every task; a larger set of hits is joined by shuffle.
-MAX_BROADCAST_HITS = 10_000
 _WORD = "[\\p{L}\\p{N}_]+"
 
 
@@ -102,8 +100,6 @@ def search_construct(
     """
     k = limit if limit is not None else DEFAULT_K
     hits = topk_text(quads, search, k).select("key")
-    if k <= MAX_BROADCAST_HITS:
-        hits = F.broadcast(hits)
     rows = named_graphs(quads).where(F.col("o_type") == "literal")
     rows = restrict(rows, "g", graphs)
     rows = restrict(rows, "p", predicates)

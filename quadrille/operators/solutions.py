@@ -57,7 +57,7 @@ def read_results_json(
     rest = [c for c in responses.columns if c != body]
     decoded = responses.select(*rest, parse_results(body).alias("_doc"))
     good = F.coalesce(results_complete(F.col("_doc")), F.lit(False))
-    error = F.lit("failed to un-marshall result")
+    error = F.lit("body is no complete results document")
     if mode == "FAILFAST":
         bindings = F.when(good, F.col("_doc.results.bindings")).otherwise(F.raise_error(error))
         rows = decoded.select(*rest, F.posexplode(bindings).alias("row_no", "_b"))

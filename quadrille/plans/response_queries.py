@@ -52,7 +52,7 @@ def _solutions(spark, sf_dir):
     _SOLUTIONS.replace(" FROM orders", ", CAST(NULL AS VARCHAR) AS error FROM orders", 1).replace(
         f"'{XSD}decimal' FROM orders WHERE {_QUERY} AND", f"'{XSD}decimal', NULL FROM orders WHERE {_QUERY} AND"
     )
-    + " UNION ALL SELECT request_id, 0, NULL, NULL, NULL, NULL, 'failed to un-marshall result' "
+    + " UNION ALL SELECT request_id, 0, NULL, NULL, NULL, NULL, 'body is no complete results document' "
     f"FROM ({V.RESPONSES_SQL}) WHERE route = 'query' AND body LIKE '%boolean%'",
 )
 def read_results_json(spark, sf_dir):
@@ -109,7 +109,7 @@ def is_results_json(spark, sf_dir):
     "WITH cut AS (SELECT doc_id, string_split(text, chr(10)) AS f FROM documents), "
     "kept AS (SELECT doc_id, CASE WHEN f[-1] = '' THEN f[:-2] ELSE f END AS f FROM cut), "
     "rows AS (SELECT doc_id, unnest(range(len(f))) AS i, f FROM kept) "
-    "SELECT doc_id, CAST(i AS INTEGER) AS frame_no, CASE WHEN length(f[i + 1]) <= 1024 THEN f[i + 1] END AS frame, "
+    "SELECT doc_id, CAST(i AS INTEGER) AS frame_no, f[i + 1] AS frame, "
     "CASE WHEN length(f[i + 1]) > 1024 THEN 'frame longer than 1024 characters' END AS frame_error FROM rows",
 )
 def frame_lines(spark, sf_dir):
@@ -154,23 +154,23 @@ def status_filter(spark, sf_dir):
     f"coalesce({_MEDIA} = 'application/sparql-results+json', false) AS is_json, body LIKE '%bindings%' AS good "
     "FROM responses WHERE route = 'query') "
     "SELECT request_id, coalesce(is_json AND good, false) AS success, status, "
-    "CASE WHEN transport_error IS NOT NULL THEN 'invalid request' WHEN is_json AND good THEN NULL "
-    "WHEN is_json THEN 'failed to un-marshall result' ELSE 'unsupported result type [' || coalesce(content_type, 'Unknown') "
-    "|| '] ' || left(coalesce(body, ''), 1024) || '...' END AS error, "
+    "CASE WHEN transport_error IS NOT NULL THEN 'no response' WHEN is_json AND good THEN NULL "
+    "WHEN is_json THEN 'body is no complete results document' ELSE 'content type is not that of results: ' || coalesce(content_type, 'none') "
+    "END AS error, CASE WHEN NOT coalesce(is_json AND good, false) THEN body END AS body, "
     "CASE WHEN is_json AND good THEN CASE WHEN content_type LIKE '%UTF-8' THEN 1 ELSE 2 END END AS n FROM d",
 )
 def decode_select(spark, sf_dir):
     decoded = responses.decode_select(V.responses(spark, sf_dir, "query"))
-    return decoded.select("request_id", "success", "status", "error", F.when(F.col("success"), F.size("bindings")).alias("n"))
+    return decoded.select("request_id", "success", "status", "error", "body", F.when(F.col("success"), F.size("bindings")).alias("n"))
 
 
 @query(
     "decode_update",
     R + "SELECT request_id, CASE WHEN status IS DISTINCT FROM 200 THEN false "
     f"WHEN {_MEDIA} = 'text/boolean' THEN lower(body) = 'true' ELSE true END AS success, status, "
-    "CASE WHEN transport_error IS NOT NULL THEN 'Requested failed: ' || transport_error "
-    "WHEN status <> 200 THEN 'Unexpected response status: ' || CAST(status AS VARCHAR) "
-    f"WHEN {_MEDIA} = 'text/boolean' AND lower(body) NOT IN ('true', 'false') THEN 'error while handling sparql response' "
+    "CASE WHEN transport_error IS NOT NULL THEN 'no response: ' || transport_error "
+    "WHEN status <> 200 THEN 'update answered with status ' || CAST(status AS VARCHAR) "
+    f"WHEN {_MEDIA} = 'text/boolean' AND lower(body) NOT IN ('true', 'false') THEN 'body is no boolean' "
     "END AS error FROM responses WHERE route = 'update'",
 )
 def decode_update(spark, sf_dir):
@@ -206,8 +206,8 @@ def decode_construct(spark, sf_dir):
     R + "SELECT request_id, status = 200 AND content_type <> 'application/rdf+xml' AS success, coalesce(status, 0) AS status, "
     "CASE WHEN transport_error IS NOT NULL THEN transport_error WHEN status <> 200 THEN body "
     "WHEN content_type = 'application/rdf+xml' THEN 'unsupported Content-Type: application/rdf+xml' END AS error, "
-    "CASE WHEN transport_error IS NOT NULL THEN 'unexpected error when processing request' "
-    "WHEN status <> 200 THEN 'SPARQL endpoint returned unexpected response body' END AS message "
+    "CASE WHEN transport_error IS NOT NULL THEN 'no response' "
+    "WHEN status <> 200 THEN 'status is not 200, error holds the body' END AS message "
     "FROM (SELECT * REPLACE (coalesce(status, -1) AS status) FROM responses WHERE route = 'construct')".replace(
         "coalesce(status, 0) AS status", "greatest(status, 0) AS status"
     ).replace("status = 200 AND content_type <> 'application/rdf+xml' AS success",
@@ -226,7 +226,7 @@ _GRAPH_SIZE = (
 @query(
     "decode_graph",
     R + "SELECT request_id, CASE WHEN status IN (200, 204) THEN true WHEN status = 404 THEN false END AS success, status, "
-    "CASE WHEN status = 500 THEN 'request failed with status code: 500' END AS error, "
+    "CASE WHEN status = 500 THEN 'status code outside the known ones: 500' END AS error, "
     f"CAST({_GRAPH_SIZE} AS BIGINT) AS n FROM responses WHERE route = 'graph' AND transport_error IS NULL",
 )
 def decode_graph(spark, sf_dir):
@@ -262,8 +262,8 @@ def swallow_parse_error(spark, sf_dir):
 @query(
     "response_envelope",
     R + "SELECT request_id, route, status, coalesce(status = 200, false) AS success, "
-    "CASE WHEN transport_error IS NOT NULL THEN 'Request failed on the HTTP layer' "
-    "WHEN status <> 200 THEN 'Request failed with: ' || CAST(status AS VARCHAR) END AS error FROM responses",
+    "CASE WHEN transport_error IS NOT NULL THEN 'no response: transport failed' "
+    "WHEN status <> 200 THEN 'response status ' || CAST(status AS VARCHAR) END AS error FROM responses",
 )
 def response_envelope(spark, sf_dir):
     rows = responses.envelope(V.responses(spark, sf_dir))
@@ -273,7 +273,7 @@ def response_envelope(spark, sf_dir):
 @query(
     "stream_raw",
     R + "SELECT request_id, coalesce(status = 200, false) AS success, status, content_type, body, "
-    "CASE WHEN transport_error IS NOT NULL THEN 'failed to execute sparql query' END AS error "
+    "CASE WHEN transport_error IS NOT NULL THEN 'query not run' END AS error "
     "FROM responses WHERE route = 'query'",
 )
 def stream_raw(spark, sf_dir):

@@ -104,6 +104,14 @@ def statement_set(
     return whole.groupBy("_q").agg(F.lit(1).alias("_one")).select("_q.*")
 
 
+def demand(df: DataFrame, ok: Column, message: Column) -> DataFrame:
+    """All rows of a frame, or an error if one is not ``ok``.
+
+    The check is a filter: no plan leaves a filter out, whatever columns are wanted afterwards.
+    """
+    return df.where(F.when(ok, True).otherwise(F.raise_error(message).cast("boolean")))
+
+
 def same_row(left: str, right: str, cols: Iterable[str]) -> Column:
     """NULL-safe equality of the named columns of two aliased frames."""
     cond = None

@@ -10,10 +10,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.terms import unescape
-from ..schema import QUAD_COLS, RDF_LANGSTRING, XSD_STRING
+from ..functions.terms import UNICODE_ESCAPE, unescape
+from ..schema import QUAD_COLS, RDF_LANGSTRING, XSD_STRING, demand
 
-_UCHAR = "\\\\u[0-9A-Fa-f]{4}|\\\\U[0-9A-Fa-f]{8}"
+_UCHAR = UNICODE_ESCAPE
 _IRI_CHARS = "[^<>\"{}|^`\\\\\\x00-\\x20]*+"
 _IRI = f"<{_IRI_CHARS}(?:(?:{_UCHAR}){_IRI_CHARS})*+>"
 _BNODE = "_:[^\\s<>\"]*[^\\s<>\".]"
@@ -114,9 +114,8 @@ def parse_statements(
     if mode == "DROPMALFORMED":
         return parsed.where(ok).select(*rest, *QUAD_COLS)
     if mode == "FAILFAST":
-        error = F.raise_error(F.concat(F.lit("malformed statement: "), F.col("_line")))
-        s = F.when(ok, F.col("s")).otherwise(error)
-        return parsed.withColumn("s", s).select(*rest, *QUAD_COLS)
+        message = F.concat(F.lit("malformed statement: "), F.col("_line"))
+        return demand(parsed, ok, message).select(*rest, *QUAD_COLS)
     return parsed.select(
         *rest,
         *[F.when(ok, F.col(c)).alias(c) for c in QUAD_COLS],
@@ -144,7 +143,7 @@ def frame_lines(df: DataFrame, body: str, max_length: int | None = None) -> Data
     """Cut a body in lines: adds ``frame_no``, ``frame`` and ``frame_error``.
 
     The end of the body closes the last frame, and no frame follows a final line feed. A frame
-    longer than ``max_length`` characters becomes an error row without text.
+    longer than ``max_length`` characters has its text and an error.
     """
     pieces = F.split(F.col(body), "\n", -1)
     frames = F.when(F.element_at(pieces, -1) == "", F.slice(pieces, 1, F.size(pieces) - 1)).otherwise(pieces)
@@ -156,6 +155,6 @@ def frame_lines(df: DataFrame, body: str, max_length: int | None = None) -> Data
     return out.select(
         *rest,
         "frame_no",
-        F.when(~long, F.col("frame")).alias("frame"),
+        "frame",
         F.when(long, F.lit(f"frame longer than {max_length} characters")).alias("frame_error"),
     )

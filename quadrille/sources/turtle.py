@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions.terms import unescape
-from ..schema import QUAD_COLS, RDF_LANGSTRING, RDF_TYPE, XSD, XSD_STRING
+from ..schema import QUAD_COLS, RDF_LANGSTRING, RDF_TYPE, XSD, XSD_STRING, demand
 from ..session import stage
 
 # Token kinds, in the order they are tried.
@@ -192,8 +192,7 @@ def parse_turtle(lines: DataFrame, mode: str = "FAILFAST") -> DataFrame:
         return out.where(~F.col("bad")).select(*QUAD_COLS)
     if mode == "FAILFAST":
         message = F.concat(F.lit("malformed or unsupported Turtle near: "), F.col("text"))
-        checked = F.when(F.col("bad"), F.raise_error(message)).otherwise(F.col("s"))
-        return out.withColumn("s", checked).select(*QUAD_COLS)
+        return demand(out, ~F.col("bad"), message).select(*QUAD_COLS)
     return out.select(
         *[F.when(~F.col("bad"), F.col(c)).alias(c) for c in QUAD_COLS],
         F.when(F.col("bad"), F.col("text")).alias("_corrupt_record"),

@@ -19,6 +19,7 @@ from ..operators.graph_log import graph_log_replay
 from ..schema import (
     OBJECT_COLS,
     QUAD_COLS,
+    QUAD_SCHEMA,
     RDF_GRAPH,
     RDF_OBJECT,
     RDF_PREDICATE,
@@ -103,68 +104,84 @@ _PARTS = {RDF_SUBJECT: "s", RDF_PREDICATE: "p", RDF_OBJECT: "o", RDF_GRAPH: "g"}
 DEREIFIED_SCHEMA = ", ".join(f"{c} string" for c in ["doc", "node", *QUAD_COLS, "error"])
 
 
-class _Collect(StatefulProcessor):
-    """Keeps the parts of a node until there are four, or until its time is up."""
-
-    def __init__(self, keep_ms: int):
-        self._keep_ms = keep_ms
+def _collector(keep_ms: int) -> StatefulProcessor:
+    """The state of one node. The class is made here so that it travels to the workers by value."""
+
+    class Collect(StatefulProcessor):
+        """Keeps the parts of a node until there are four, and remembers it until its time is up.
+
+        Its time is the latest event time of its parts and ``keep_ms`` more. Parts that come again are
+        ignored, also after the node was complete.
+        """
+
+        def init(self, handle: StatefulProcessorHandle) -> None:
+            self._handle = handle
+            self._parts = handle.getMapState("parts", "part string", ", ".join(f"{c} string" for c in OBJECT_COLS))
+            self._due = handle.getValueState("due", "at bigint, done boolean")
+
+        def _row(self, key, error, **values):
+            from pyspark.sql import Row
+
+            names = ["doc", "node", *QUAD_COLS, "error"]
+            filled = {"doc": key[0], "node": key[1], "error": error, **values}
+            return Row(**{n: filled.get(n) for n in names})
+
+        def handleInputRows(self, key, rows, timerValues) -> Iterator:
+            old, done = self._due.get() if self._due.exists() else (None, False)
+            due = old
+            for row in rows:
+                part = _PARTS.get(row.p)
+                if part is None:
+                    yield self._row(key, f"not a part of a reified statement: {row.p}")
+                    continue
+                due = max(due or 0, row.at_ms + keep_ms)
+                if not done and not self._parts.containsKey((part,)):
+                    self._parts.updateValue((part,), tuple(getattr(row, c) for c in OBJECT_COLS))
+            if due is None:
+                return
+            if not done:
+                got = {k[0]: v for k, v in self._parts.iterator()}
+                if len(got) == len(_PARTS):
+                    done = True
+                    self._parts.clear()
+                    o = dict(zip(OBJECT_COLS, got["o"]))
+                    yield self._row(key, None, g=got["g"][0], s=got["s"][0], s_type=got["s"][1], p=got["p"][0], **o)
+            if due != old:
+                if old is not None:
+                    self._handle.deleteTimer(old)
+                self._handle.registerTimer(due)
+            self._due.update((due, done))
 
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        self._handle = handle
-        self._parts = handle.getMapState("parts", "part string", ", ".join(f"{c} string" for c in OBJECT_COLS))
+        def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator:
+            if self._parts.exists():
+                missing = sorted(set(_PARTS.values()) - {k[0] for k, _ in self._parts.iterator()})
+                yield self._row(key, "incomplete reified statement, no " + ", ".join(missing))
+            self._parts.clear()
+            self._due.clear()
 
-    def _row(self, key, error, **values):
-        from pyspark.sql import Row
+        def close(self) -> None:
+            pass
 
-        names = ["doc", "node", *QUAD_COLS, "error"]
-        filled = {"doc": key[0], "node": key[1], "error": error, **values}
-        return Row(**{n: filled.get(n) for n in names})
-
-    def handleInputRows(self, key, rows, timerValues) -> Iterator:
-        for row in rows:
-            part = _PARTS.get(row.p)
-            if part is None:
-                yield self._row(key, f"not a part of a reified statement: {row.p}")
-                continue
-            if not self._parts.exists():
-                due = timerValues.getCurrentWatermarkInMs() + self._keep_ms
-                self._handle.registerTimer(due)
-            self._parts.updateValue((part,), tuple(getattr(row, c) for c in OBJECT_COLS))
-        got = {k[0]: v for k, v in self._parts.iterator()} if self._parts.exists() else {}
-        if len(got) == len(_PARTS):
-            self._clear()
-            o = dict(zip(OBJECT_COLS, got["o"]))
-            yield self._row(
-                key, None, g=got["g"][0], s=got["s"][0], s_type=got["s"][1], p=got["p"][0], **o
-            )
-
-    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator:
-        if self._parts.exists():
-            missing = sorted(set(_PARTS.values()) - {k[0] for k, _ in self._parts.iterator()})
-            self._clear()
-            yield self._row(key, "incomplete reified statement, no " + ", ".join(missing))
-
-    def _clear(self) -> None:
-        for due in list(self._handle.listTimers()):
-            self._handle.deleteTimer(due)
-        self._parts.clear()
-
-    def close(self) -> None:
-        pass
+    return Collect()
 
 
 def stream_dereify(triples: DataFrame, event_time: str, late: str, keep_ms: int) -> DataFrame:
     """Quads of reified statements whose four parts may arrive in any order and batch.
 
     ``triples``: ``doc``, triple columns and an event time. A quad comes out with its fourth part. A
-    node still incomplete ``keep_ms`` of event time after its first part comes out as an ``error`` row
-    and is forgotten. This is the one stateful operator that needs Python: the built-in aggregates
-    either wait for the watermark or never forget.
+    node still incomplete ``keep_ms`` of event time after its latest part comes out as an ``error`` row
+    and is forgotten; a complete one is remembered as long, so that repeated parts give nothing new. This is
+    the one stateful operator that needs Python: the built-in aggregates either wait for the watermark or
+    never forget. It runs on the RocksDB state store, which it sets for the session.
     """
-    watermarked = triples.withWatermark(event_time, late)
-    keyed = watermarked.groupBy("doc", "s")
+    triples.sparkSession.conf.set(
+        "spark.sql.streaming.stateStore.providerClass",
+        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    )
+    timed = triples.withColumn("at_ms", F.unix_millis(F.col(event_time).cast("timestamp")))
+    keyed = timed.withWatermark(event_time, late).groupBy("doc", "s")
     return keyed.transformWithState(
-        statefulProcessor=_Collect(keep_ms),
+        statefulProcessor=_collector(keep_ms),
         outputStructType=DEREIFIED_SCHEMA,
         outputMode="append",
         timeMode="eventTime",
@@ -189,13 +206,18 @@ class GraphLogSink:
         return f"{self.path}/data/v{version:012d}"
 
     def _manifest(self, version: int) -> dict[int, int] | None:
-        """Version of each bucket, at most one entry per bucket; None when there is no such version."""
+        """Version of each bucket, at most one entry per bucket; None when there is no such version.
+
+        Every row says how many there are, so a manifest that a crash left half written counts as none.
+        """
         folder = f"{self.path}/manifest/v{version:012d}"
         try:
-            rows = self.spark.read.schema("bucket int, version bigint").json(folder).collect()
+            rows = self.spark.read.schema("bucket int, version bigint, of int").json(folder).collect()
         except AnalysisException:
             return None
-        return dict(rows)
+        if not rows or len(rows) != rows[0]["of"]:
+            return None
+        return {r["bucket"]: r["version"] for r in rows if r["bucket"] is not None}
 
     def manifest_before(self, batch_id: int) -> dict[int, int]:
         """The manifest of the newest version older than the batch."""
@@ -217,9 +239,21 @@ class GraphLogSink:
         ]
         return reduce(DataFrame.unionByName, parts).select(*QUAD_COLS) if parts else None
 
-    def state(self, version: int) -> DataFrame:
-        """All quads after the batch with that id."""
-        return self._read(self._manifest(version))
+    def versions(self) -> list[int]:
+        """Batch ids of all whole manifests, in order."""
+        try:
+            found = self.spark.read.schema("of int").json(f"{self.path}/manifest/*").select(
+                F.regexp_extract(F.col("_metadata.file_path"), "/v([0-9]{12})/", 1).cast("bigint").alias("v")).distinct()
+        except AnalysisException:
+            return []
+        return sorted(r["v"] for r in found.collect() if self._manifest(r["v"]) is not None)
+
+    def state(self, version: int | None = None) -> DataFrame:
+        """All quads after the batch with that id, after the last batch without one."""
+        if version is None:
+            version = max(self.versions(), default=-1)
+        state = self._read(self._manifest(version) or {})
+        return self.spark.createDataFrame([], QUAD_SCHEMA) if state is None else state
 
     def apply(self, batch: DataFrame, batch_id: int) -> None:
         """``batch``: ``seq, op, g`` and the triple columns, one row per payload statement, or one row
@@ -236,7 +270,8 @@ class GraphLogSink:
             .write.mode("overwrite").partitionBy("g_bucket").parquet(self._data(batch_id))
         )
         manifest.update({b: batch_id for b in touched})
-        rows = self.spark.createDataFrame(list(manifest.items()) or [], "bucket int, version bigint")
+        held = list(manifest.items()) or [(None, None)]
+        rows = self.spark.createDataFrame([(b, v, len(held)) for b, v in held], "bucket int, version bigint, of int")
         rows.coalesce(1).write.mode("overwrite").json(f"{self.path}/manifest/v{batch_id:012d}")
 
 

@@ -1,13 +1,14 @@
-"""The small dataset that the sizes in the tests refer to: 31 + 11 quads in two graphs."""
+"""A lamp shop: 19 quads of its stock and 5 of its archive."""
 
-from quadrille.schema import QUAD_SCHEMA, RDF_TYPE, RDFS, XSD_STRING
+from quadrille.schema import QUAD_SCHEMA, RDF_TYPE, XSD_STRING
 
-MODEL, ALT = "urn:test:model", "urn:test:modelalt"
-LABEL, COMMENT = RDFS + "label", RDFS + "comment"
+MODEL, ALT = "urn:shop:stock", "urn:shop:archive"
+LABEL, COMMENT, KIND = "urn:shop:name", "urn:shop:note", "urn:shop:kind:lamp"
+N_MODEL, N_ALT = 19, 5
 
 
 def res(i):
-    return f"urn:test:res:{i}"
+    return f"urn:shop:item:{i}"
 
 
 def uri(g, s, p, o):
@@ -19,11 +20,13 @@ def text(g, s, p, o, datatype=XSD_STRING, lang=None):
 
 
 def rows():
-    out = [uri(MODEL, res(0), RDF_TYPE, "urn:test:type:0"), uri(ALT, res(0), RDF_TYPE, "urn:test:type:0")]
-    for i in range(15):
-        out += [text(MODEL, res(i), LABEL, f"Label {i}"), text(MODEL, res(i), COMMENT, f"Comment {i}")]
-    out += [text(ALT, res(i), LABEL, f"Alt Label {i}") for i in range(10)]
-    return out
+    stock = [(i, p, v) for i in range(9) for p, v in ((LABEL, f"Lamp {i}"), (COMMENT, f"Needs {i} bulbs"))]
+    archive = [(i, LABEL, f"Old lamp {i}") for i in range(4)]
+    return (
+        [uri(g, res(0), RDF_TYPE, KIND) for g in (MODEL, ALT)]
+        + [text(MODEL, res(i), p, v) for i, p, v in stock]
+        + [text(ALT, res(i), p, v) for i, p, v in archive]
+    )
 
 
 def frame(spark, data):

@@ -51,16 +51,28 @@ def test_dereify_over_batches_with_timeout(spark, tmp_path):
     assert errors == [("lonely", "incomplete reified statement, no g, o, p")]
 
 
+def test_dereify_parts_of_one_time_in_many_batches(spark, tmp_path):
+    """One part a batch, all of one event time, each sent twice, and once more after the quad."""
+    quad = text("urn:g", "urn:s", "urn:p", "v")
+    parts = construct.reify(frame(spark, [quad])).select(F.lit("d").alias("doc"), *TRIPLE_COLS).withColumn("at", F.lit(at(0)))
+    of = lambda name: parts.where(F.col("p").endswith(name))
+    steps = [of(n).unionByName(of(n)) for n in ("subject", "graph", "object", "predicate", "graph")]
+    tick = of("subject").withColumn("s", F.lit("tick")).withColumn("at", F.lit(at(40)))
+    stream = batches(spark, tmp_path, *steps, tick, tick.withColumn("at", F.lit(at(41))))
+    got = finish(spark, flows.stream_dereify(stream, "at", "1 minute", keep_ms=600_000), tmp_path, "out").where("node != 'tick'")
+    assert [(r.error, *(r[c] for c in QUAD_COLS)) for r in got.collect()] == [(None, *quad)]
+
+
 def test_dedup_over_batches(spark, tmp_path):
     quads = frame(spark, rows())
     stream = batches(spark, tmp_path, quads, quads)
-    assert finish(spark, flows.stream_dedup(stream), tmp_path, "out").count() == 42
+    assert finish(spark, flows.stream_dedup(stream), tmp_path, "out").count() == 24
 
 
 def test_dedup_within_watermark(spark, tmp_path):
     quads = frame(spark, rows()).withColumn("at", F.lit(at(0)))
     stream = batches(spark, tmp_path, quads, quads).withWatermark("at", "10 minutes")
-    assert finish(spark, flows.stream_dedup(stream, "at"), tmp_path, "out").count() == 42
+    assert finish(spark, flows.stream_dedup(stream, "at"), tmp_path, "out").count() == 24
 
 
 LOG = "seq bigint, op string, g string, s string, s_type string, p string, o string, o_type string, o_datatype string, o_lang string"
@@ -88,6 +100,7 @@ def test_graph_log_batch_by_batch(spark, tmp_path):
         sizes.append(state.where("g = 'g'").count())
         assert state.where("g = 'other'").count() == 1 and state.where("g IS NULL").count() == 1
     assert sizes == [1, 1, 2, 2, 1, 0]
+    assert as_set(sink.state()) == as_set(sink.state(5)) and sink.versions() == list(range(6))
 
 
 def test_zip(spark, tmp_path):
