@@ -23,19 +23,21 @@ ROWS_PER_PART = 4_096
 #: Neighbours of a vertex of the graph, and the recall wanted on the sample.
 DEGREE, RECALL = 16, 0.95
 #: Rows and queries of one task, at most.
-BLOCK = 4_096
+BLOCK = 2_048
 HIDDEN, EPOCHS, RATE, BATCH = 128, 25, 0.003, 256
 
 
 def neighbour_graph(x: np.ndarray, degree: int) -> np.ndarray:
     """A symmetric 0/1 matrix: each vector and the ``degree`` others of largest inner product."""
-    scores = x @ x.T
-    np.fill_diagonal(scores, -np.inf)
     degree = min(degree, len(x) - 1)
-    near = np.argpartition(-scores, degree - 1, axis=1)[:, :degree] if degree > 0 else np.empty((len(x), 0), int)
-    graph = np.zeros(scores.shape, np.float32)
-    graph[np.arange(len(x))[:, None], near] = 1.0
-    return np.maximum(graph, graph.T)
+    graph = np.zeros((len(x), len(x)), np.float32)
+    for at in range(0, len(x) if degree > 0 else 0, 256):
+        rows = np.arange(at, min(at + 256, len(x)))
+        scores = x[rows] @ x.T
+        scores[rows - at, rows] = -np.inf
+        near = np.argpartition(-scores, degree - 1, axis=1)[:, :degree]
+        graph[rows[:, None], near] = graph[near, rows[:, None]] = 1.0
+    return graph
 
 
 def _halves(graph: np.ndarray, rng: np.random.Generator) -> np.ndarray:
