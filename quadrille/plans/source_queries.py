@@ -33,7 +33,7 @@ def read_nquads(spark, sf_dir):
 @query(
     "read_turtle",
     f"WITH quads AS ({V.entity_sql(V.BY_TABLE['customer'])} UNION ALL {V.entity_sql(V.BY_TABLE['orders'])}) "
-    f"SELECT CAST(NULL AS VARCHAR) AS g, {TRIPLE} FROM quads WHERE p NOT IN ('urn:p:o_orderdate', 'urn:p:c_nationkey')",
+    f"SELECT CAST(NULL AS VARCHAR) AS g, {TRIPLE} FROM quads",
 )
 def read_turtle(spark, sf_dir):
     """Customers with prefixed names and lists over several lines, orders with full names."""
@@ -44,7 +44,7 @@ def read_turtle(spark, sf_dir):
         F.concat(
             F.lit(head), F.lit("<urn:customer:"), "c_custkey", F.lit("> a t:customer ;\n  p:c_name "),
             quoted(F.col("c_name")), F.lit(" ;\n\tp:c_acctbal\n"), price("c_acctbal"),
-            F.lit("^^xsd:decimal ; p:c_mktsegment # a comment\n "), quoted(F.col("c_mktsegment")), F.lit(" ."),
+            F.lit("^^xsd:decimal ; p:c_mktsegment # a comment\n "), quoted(F.col("c_mktsegment")), F.lit(" ; p:c_nationkey <urn:nation:"), "c_nationkey", F.lit("> ."),
         ).alias("value")
     )
     o = V.table(spark, sf_dir, "orders").select(
@@ -52,13 +52,15 @@ def read_turtle(spark, sf_dir):
             F.lit("<urn:orders:"), "o_orderkey", F.lit("> a <urn:type:orders>; <urn:p:o_custkey> <urn:customer:"),
             "o_custkey", F.lit("> ; <urn:p:o_orderstatus> "), quoted(F.col("o_orderstatus")), F.lit(";<urn:p:o_totalprice> "),
             price("o_totalprice"), F.lit("^^<" + XSD + "decimal> .\n<urn:orders:"), "o_orderkey",
-            F.lit("> <urn:p:o_orderpriority> "), quoted(F.col("o_orderpriority")), F.lit("."),
+            F.lit("> <urn:p:o_orderpriority> "), quoted(F.col("o_orderpriority")), F.lit(","),
+            quoted(F.col("o_orderpriority")), F.lit(";\n<urn:p:o_orderdate> "),
+            quoted(F.date_format("o_orderdate", "yyyy-MM-dd'T'HH:mm:ss")), F.lit("^^<" + XSD + "dateTime>."),
         ).alias("value")
     )
     path = fresh_path(spark, "ttl")
     c.write.text(path + "/customer")
     o.write.text(path + "/orders")
-    return turtle.read_turtle(spark, [path + "/customer", path + "/orders"])
+    return statement_set(turtle.read_turtle(spark, [path + "/customer", path + "/orders"]))
 
 
 @query(

@@ -1,280 +1,294 @@
-"""Turtle files: prefixes, ``a``, and predicate and object lists.
+"""Turtle files: prefixes, bases, ``a``, and predicate and object lists.
 
-A file is not read as one text. It is split in lines like any other; each line is cut in tokens; and
-what a token means — subject, predicate or object, and of which statement — follows from running
-aggregates over the tokens of the file, cut in runs of lines. So one huge file is as parallel as many
-small ones.
+A file is split in parts like any text. Strings end on their line, so every part can be cut in statements from its
+first full stop on. A statement that needs nothing from before its part is parsed at once. What is left
+are the ends of each part and its declarations, a row per part: these are put together in order of the
+file, which gives the statements across parts and the prefixes that hold at the start of each. With them,
+the statements that waited are parsed. All parts are written once in between.
 
-Not covered, and reported in ``_corrupt_record``: blank node property lists ``[ ]``, collections
-``( )`` and long strings in triple quotes. Relative IRIs are kept as written.
+Not covered, and reported in ``_corrupt_record`` with the whole statement: blank node property lists
+``[ ]``, collections ``( )`` and long strings in triple quotes.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+import re
+from collections.abc import Iterator
+from urllib.parse import urljoin
+
+import pandas as pd
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.terms import unescape
-from ..schema import QUAD_COLS, RDF_LANGSTRING, RDF_TYPE, XSD, XSD_STRING, demand
+from ..schema import QUAD_COLS, RDF_LANGSTRING, RDF_TYPE, TRIPLE_COLS, XSD, XSD_STRING, demand
 from ..session import stage
 
-# Token kinds, in the order they are tried.
-_TOKENS = "|".join(
-    [
-        "#.*",  # comment
-        "\"\"\"|'''",  # long string: not covered
-        "\"(?:[^\"\\\\]++|\\\\.)*+\"",
-        "'(?:[^'\\\\]++|\\\\.)*+'",
-        "<[^<>\"{}|^`\\x00-\\x20]*>",
-        "@prefix\\b|@base\\b",
-        "@[a-zA-Z]+(?:-[a-zA-Z0-9]+)*",
-        "\\^\\^",
-        "[\\[\\]()]",
-        "[;,]",
-        "[+-]?(?:[0-9]+\\.[0-9]+|\\.[0-9]+|[0-9]+)(?:[eE][+-]?[0-9]+)?(?![\\w:])",
-        "_:\\w(?:[\\w.-]*[\\w-])?",
-        "(?:[A-Za-z](?:[\\w.-]*[\\w-])?)?:(?:(?:[\\w:%]|\\\\.)(?:(?:[\\w.:%-]|\\\\.)*(?:[\\w:%-]|\\\\.))?)?",
-        "\\w+",
-        "\\.",
-        "\\S+",  # anything else is an error
-    ]
+TOKEN = re.compile(
+    r"""#[^\n]*|\"\"\"|'''|"(?:[^"\\\n]|\\.)*"|'(?:[^'\\\n]|\\.)*'|<[^<>"{}|^`\x00-\x20]*>"""
+    r"""|@[a-zA-Z]+(?:-[a-zA-Z0-9]+)*|\^\^|[\[\]();,]|(?:\\.|[^\s<>"'#();,\[\]^\\])+|\S"""
 )
-_PUNCTUATION = (".", ";", ",")
-_DIRECTIVES = ("@prefix", "@base", "prefix", "base")
-LINES_PER_BLOCK = 20_000
+IRI = re.compile(r"<(.*)>")
+SCHEME = re.compile(r"[A-Za-z][A-Za-z0-9+.-]*:")
+NUMBER = {
+    XSD + "integer": re.compile(r"[+-]?\d+"),
+    XSD + "decimal": re.compile(r"[+-]?\d*\.\d+"),
+    XSD + "double": re.compile(r"[+-]?(?:\d+\.?\d*|\.\d+)[eE][+-]?\d+"),
+}
+ESCAPE = re.compile(r"\\(?:u([0-9A-Fa-f]{4})|U([0-9A-Fa-f]{8})|(.))", re.S)
+ESCAPED = {"t": "\t", "b": "\b", "n": "\n", "r": "\r", "f": "\f", '"': '"', "'": "'", "\\": "\\"}
+BASE = "<>"
 
 
-def _tokens(lines: DataFrame) -> DataFrame:
-    """Tokens in file order: ``file, split, line, i, tok, lang, dt``.
+class Malformed(Exception):
+    """The statement is none, or is not covered."""
 
-    A language tag or datatype follows its literal on the same line and is put on it.
-    """
-    words = lines.select(
-        "file",
-        "split",
-        "line",
-        F.filter(
-            F.regexp_extract_all("value", F.lit(_TOKENS), F.lit(0)), lambda t: ~t.startswith("#")
-        ).alias("toks"),
-    )
-    at = lambda i: F.when(i >= 0, F.get("toks", i))
-    is_string = lambda c: c.rlike("^[\"']")
-    is_lang = lambda c: c.startswith("@") & ~c.isin("@prefix", "@base")
-
-    def token(tok: Column, i: Column) -> Column:
-        nxt, prev, prev2 = at(i + 1), at(i - 1), at(i - 2)
-        swallowed = (is_string(prev) & (is_lang(tok) | (tok == "^^"))) | (
-            (prev == "^^") & is_string(prev2)
-        )
-        return F.struct(
-            i.alias("i"),
-            tok.alias("tok"),
-            F.when(is_string(tok) & is_lang(nxt), F.substring(nxt, F.lit(2), F.length(nxt))).alias("lang"),
-            F.when(is_string(tok) & (nxt == "^^"), at(i + 2)).alias("dt"),
-            F.coalesce(swallowed, F.lit(False)).alias("swallowed"),
-        )
-
-    return (
-        words.select("file", "split", "line", F.explode(F.transform("toks", token)).alias("_t"))
-        .where(~F.col("_t.swallowed"))
-        .select("file", "split", "line", "_t.i", "_t.tok", "_t.lang", "_t.dt")
-    )
+
+class Undeclared(Malformed):
+    """A prefix or base is missing, which an earlier part of the file may declare."""
+
+
+def unescape(text: str) -> str:
+    def char(m: re.Match) -> str:
+        if m[3]:
+            if m[3] not in ESCAPED:
+                raise Malformed
+            return ESCAPED[m[3]]
+        code = int(m[1] or m[2], 16)
+        if code > 0x10FFFF or 0xD800 <= code <= 0xDFFF:
+            raise Malformed
+        return chr(code)
+
+    return ESCAPE.sub(char, text) if "\\" in text else text
+
+
+def is_directive(tokens: list[str]) -> bool:
+    return tokens[0].lower() in ("@prefix", "@base", "prefix", "base") and not tokens[0].endswith(":")
+
+
+class Statements:
+    """Cuts lines in statements, each a list of tokens."""
+
+    def __init__(self) -> None:
+        self.open: list[str] = []
+
+    def _end(self) -> list[str]:
+        done, self.open = self.open, []
+        return done
+
+    def feed(self, text: str) -> Iterator[list[str]]:
+        for token in TOKEN.findall(text):
+            first = token[0]
+            if first == "#":
+                continue
+            if first not in "<\"'" and token[-1] == "." and not token.endswith("\\."):
+                word = token.rstrip(".")
+                if word:
+                    self.open.append(word)
+                # A second full stop is an empty statement, which is none.
+                yield self._end() + ([] if len(token) - len(word) == 1 else ["."])
+                continue
+            self.open.append(token)
+            # The SPARQL forms of the declarations have no full stop.
+            if self.open[0].lower() == {2: "base", 3: "prefix"}.get(len(self.open)):
+                yield self._end()
+
+
+def resolve(iri: str, known: dict[str, str]) -> str:
+    iri = unescape(iri)
+    if SCHEME.match(iri):
+        return iri
+    if BASE not in known:
+        raise Undeclared
+    base = known[BASE]
+    if base.split(":", 1)[0] in ("http", "https", "ftp", "file"):
+        return urljoin(base, iri)
+    return base.split("#")[0] + iri if iri.startswith("#") or not iri else base[: base.rfind("/") + 1] + iri
+
+
+def resource(token: str, known: dict[str, str], scope: str) -> tuple[str, str]:
+    """Value and kind of an IRI, a prefixed name or a blank node."""
+    if token[0] == "<":
+        if not IRI.fullmatch(token):
+            raise Malformed
+        return resolve(token[1:-1], known), "uri"
+    if token.startswith("_:") and len(token) > 2:
+        return scope + token[2:], "bnode"
+    prefix, colon, local = token.partition(":")
+    if not colon or not re.fullmatch(r"(?:\w[\w.-]*)?", prefix):
+        raise Malformed
+    if prefix not in known:
+        raise Undeclared
+    return known[prefix] + re.sub(r"\\(.)", r"\1", local), "uri"
+
+
+def declare(tokens: list[str], known: dict[str, str]) -> None:
+    kind = tokens[0].lower().lstrip("@")
+    if kind == "base" and len(tokens) == 2 and IRI.fullmatch(tokens[1]):
+        known[BASE] = resolve(tokens[1][1:-1], known)
+    elif kind == "prefix" and len(tokens) == 3 and tokens[1].endswith(":") and IRI.fullmatch(tokens[2]):
+        known[tokens[1][:-1]] = resolve(tokens[2][1:-1], known)
+    else:
+        raise Malformed
+
+
+def literal(tokens: list[str], at: int, known: dict[str, str], scope: str) -> tuple[tuple, int]:
+    """Object columns of the literal at a place, and the place after it."""
+    token = tokens[at]
+    if token[0] in "\"'":
+        if len(token) < 2 or token in ('"""', "'''") or token[-1] != token[0]:
+            raise Malformed
+        value = unescape(token[1:-1])
+        follows = tokens[at + 1] if at + 1 < len(tokens) else ""
+        if follows.startswith("@"):
+            return (value, "literal", RDF_LANGSTRING, follows[1:]), at + 2
+        if follows == "^^":
+            if at + 2 >= len(tokens):
+                raise Malformed
+            return (value, "literal", resource(tokens[at + 2], known, scope)[0], None), at + 3
+        return (value, "literal", XSD_STRING, None), at + 1
+    if token in ("true", "false"):
+        return (token, "literal", XSD + "boolean", None), at + 1
+    for datatype, pattern in NUMBER.items():
+        if pattern.fullmatch(token):
+            return (token, "literal", datatype, None), at + 1
+    value, kind = resource(token, known, scope)
+    return (value, kind, None, None), at + 1
+
+
+def triples(tokens: list[str], known: dict[str, str], scope: str) -> list[tuple]:
+    """The triples of a statement in the order of the triple columns."""
+    if len(tokens) < 3:
+        raise Malformed
+    subject, out, at = resource(tokens[0], known, scope), [], 1
+    while at < len(tokens):
+        verb = (RDF_TYPE, "uri") if tokens[at] == "a" else resource(tokens[at], known, scope)
+        if verb[1] != "uri":
+            raise Malformed
+        while True:
+            at += 1
+            if at >= len(tokens):
+                raise Malformed
+            object_, at = literal(tokens, at, known, scope)
+            out.append((*subject, verb[0], *object_))
+            if at == len(tokens) or tokens[at] != ",":
+                break
+        if at < len(tokens) and tokens[at] != ";":
+            raise Malformed
+        while at < len(tokens) and tokens[at] == ";":
+            at += 1
+    return out
+
+
+_OUT = ["file", "part", "kind", *TRIPLE_COLS, "text", "tail", "known"]
+_SCHEMA = "file string, part bigint, kind string, " + ", ".join(f"{c} string" for c in TRIPLE_COLS) + (
+    ", text string, tail string, known map<string,string>")
+_NONE = (None,) * len(TRIPLE_COLS)
+
+
+class Rows:
+    """Rows of one kind of result each: a quad, a corrupt or waiting statement, the ends of a part, what holds at its start."""
+
+    def __init__(self) -> None:
+        self.rows: list[tuple] = []
+
+    def statement(self, file: str, part: int, scope: str, tokens: list[str], known: dict[str, str], final: bool) -> None:
+        """Parse a statement into rows; one that may still find its prefix later waits unless it is ``final``."""
+        if not tokens:
+            return
+        try:
+            if is_directive(tokens):
+                declare(tokens, known)
+            else:
+                self.rows += [(file, part, "quad", *t, None, None, None) for t in triples(tokens, known, scope)]
+        except Undeclared:
+            kind = "corrupt" if final else "waits"
+            self.rows.append((file, part, kind, *_NONE, " ".join(tokens), scope, dict(known)))
+        except Malformed:
+            self.rows.append((file, part, "corrupt", *_NONE, " ".join(tokens), None, None))
+
+    def part_ends(self, file: str, part: int, head: list[str] | None, tail: list[str], known: dict[str, str]) -> None:
+        self.rows.append((file, part, "ends", *_NONE, None if head is None else " ".join(head), " ".join(tail), dict(known)))
+
+    def frame(self) -> pd.DataFrame:
+        rows, self.rows = self.rows, []
+        return pd.DataFrame(rows, columns=_OUT)
+
+
+def _cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Statements of each part in order; the first part of a file begins at the start of a statement."""
+    out = Rows()
+    now, statements, head, begun, known, scope = None, Statements(), None, False, {}, ""
+
+    def close() -> None:
+        if now is not None:
+            out.part_ends(*now, head, statements.open, known)
+
+    for batch in batches:
+        for file, part, line, own in zip(batch["file"], batch["part"], batch["value"], batch["scope"]):
+            if (file, part) != now:
+                close()
+                now, statements, scope, known = (file, part), Statements(), own, {}
+                begun, head = part == 0, [] if part == 0 else None
+            for tokens in statements.feed(line or ""):
+                if begun:
+                    out.statement(file, part, scope, tokens, known, part == 0)
+                else:
+                    begun, head = True, [*tokens, "."]
+        yield out.frame()
+    close()
+    yield out.frame()
+
+
+def _join_parts(key: tuple, parts: pd.DataFrame) -> pd.DataFrame:
+    """The parts of a file in order: statements across them, and what is declared at the start of each."""
+    out, known, statements, scope = Rows(), {}, Statements(), ""
+    for part, head, tail, own, scope in parts.sort_values("part")[["part", "text", "tail", "known", "scope"]].itertuples(index=False):
+        for tokens in statements.feed(head if head is not None else tail):
+            out.statement(key[0], part, scope, tokens, known, True)
+        if head is not None:
+            out.rows.append((key[0], part, "starts", *_NONE, None, None, dict(known)))
+            known.update(own or {})
+            statements = Statements()
+            statements.open = TOKEN.findall(tail or "")
+    if statements.open:
+        out.rows.append((key[0], -1, "corrupt", *_NONE, " ".join(statements.open), None, None))
+    return out.frame()
+
+
+def _parse_waiting(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    out = Rows()
+    for batch in batches:
+        for file, part, text, scope, own, before in zip(*(batch[c] for c in ("file", "part", "text", "tail", "known", "before"))):
+            known = dict(before or {}) | dict(own or {})
+            out.statement(file, part, scope, TOKEN.findall(text), known, True)
+        yield out.frame()
 
 
 def read_turtle(spark: SparkSession, path: str | list[str], mode: str = "FAILFAST") -> DataFrame:
     """Turtle files under a path as quads of the default graph (not yet a set).
 
-    Modes are those of :func:`quadrille.sources.rdf_lines.parse_statements`.
+    Modes are those of :func:`quadrille.sources.rdf_lines.parse_statements`, by whole statements.
     """
     lines = spark.read.text(path, lineSep="\n").select(
-        "value",
-        F.col("_metadata.file_path").alias("file"),
-        F.col("_metadata.file_block_start").alias("split"),
-        F.monotonically_increasing_id().alias("line"),
-    )
+        "value", F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("part"))
     return parse_turtle(lines, mode)
 
 
 def parse_turtle(lines: DataFrame, mode: str = "FAILFAST") -> DataFrame:
-    """Turtle lines ``(value, file, split, line)``; ``split`` and ``line`` give their order in a file.
-
-    Blocks of lines are worked on by themselves first: each keeps what it knows at its end, these few
-    rows are accumulated per file, and put on the rows of the blocks after. That happens twice: for
-    the punctuation before a token, which settles its role, and for the subject and predicate before an
-    object. Each result is written once, as it feeds both the summary and the rows.
-    """
-    toks = _tokens(lines).select(
-        "*",
-        F.struct("split", "line", "i").alias("at"),
-        F.struct("split", F.floor(F.col("line") / LINES_PER_BLOCK).alias("run")).alias("block"),
-    )
-    in_block = Window.partitionBy("file", "block").orderBy("line", "i")
-    so_far = in_block.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    breaks = F.col("tok").isin(*_PUNCTUATION) | F.lower("tok").isin(*_DIRECTIVES)
-    counted = toks.select("*", F.count_if(~breaks).over(so_far).alias("terms"))
-    local = stage(
-        counted.select("*", F.max(F.when(breaks, F.struct("at", "terms", "tok"))).over(so_far).alias("last")),
-        "turtle-tokens",
-    )
-    ends = local.groupBy("file", "block").agg(F.max("terms").alias("n"), F.max("last").alias("last"))
-    blocks = Window.partitionBy("file").orderBy("block")
-    earlier = blocks.rowsBetween(Window.unboundedPreceding, -1)
-    totals = ends.select("*", F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("base"))
-    moved = F.struct("last.at", (F.col("last.terms") + F.col("base")).alias("terms"), "last.tok")
-    carried = stage(
-        totals.select(
-            "file", "block", "base",
-            F.max(F.when(F.col("last").isNotNull(), moved)).over(earlier).alias("carried"),
-        ),
-        "turtle-blocks",
-    )
-    placed = local.join(carried, ["file", "block"]).select(
-        *toks.columns,
-        breaks.alias("breaks"),
-        F.coalesce(F.col("last.at"), F.col("carried.at")).alias("dir_at"),
-        F.lower(F.coalesce(F.col("last.tok"), F.col("carried.tok"), F.lit("."))).alias("after"),
-        F.when(F.col("last").isNotNull(), F.col("terms") - F.col("last.terms"))
-        .otherwise(F.col("terms") + F.col("base") - F.coalesce(F.col("carried.terms"), F.lit(0)))
-        .alias("since"),
-    )
-    args = F.when(F.col("after").isin("@prefix", "prefix"), 2).when(F.col("after").isin("@base", "base"), 1)
-    n = F.col("since") - F.coalesce(args, F.lit(0))
-    role = (
-        F.when(F.col("since") <= args, "directive")
-        .when(F.col("after") == ";", F.when(n == 1, "p").when(n == 2, "o").otherwise("bad"))
-        .when(F.col("after") == ",", F.when(n == 1, "o").otherwise("bad"))
-        .otherwise(F.when(n == 1, "s").when(n == 2, "p").when(n == 3, "o").otherwise("bad"))
-    )
-    roles = placed.where(~F.col("breaks")).select(*toks.columns, "dir_at", role.alias("role"))
-    prefixes = stage(_prefixes(roles), "turtle-prefixes")
-    value = F.struct("at", "v", "kind", "bad_term")
-    terms = stage(
-        _resolve(roles.where(F.col("role") != "directive"), prefixes).select(
-            "*",
-            F.max(F.when(F.col("role") == "s", value)).over(so_far).alias("subj"),
-            F.max(F.when(F.col("role") == "p", value)).over(so_far).alias("pred"),
-        ),
-        "turtle-terms",
-    )
-    heads = terms.groupBy("file", "block").agg(F.max("subj").alias("subj"), F.max("pred").alias("pred"))
-    before = stage(
-        heads.select(
-            "file", "block",
-            F.max("subj").over(earlier).alias("subj_before"), F.max("pred").over(earlier).alias("pred_before"),
-        ),
-        "turtle-heads",
-    )
-    joined = terms.where(F.col("role").isin("o", "bad")).join(before, ["file", "block"]).select(
-        "v", "kind", "lang", "o_datatype", "role", "tok", "bad_term",
-        F.coalesce("subj", "subj_before").alias("subj"), F.coalesce("pred", "pred_before").alias("pred"),
-    )
-    bad = (
-        (F.col("role") == "bad")
-        | F.col("bad_term")
-        | F.coalesce(F.col("subj.bad_term"), F.lit(True))
-        | F.coalesce(F.col("pred.bad_term"), F.lit(True))
-        | F.coalesce(F.col("subj.kind") == "literal", F.lit(True))
-        | F.coalesce(F.col("pred.kind") != "uri", F.lit(True))
-    )
-    out = joined.select(
-        F.lit(None).cast("string").alias("g"),
-        F.col("subj.v").alias("s"),
-        F.col("subj.kind").alias("s_type"),
-        F.col("pred.v").alias("p"),
-        F.col("v").alias("o"),
-        F.col("kind").alias("o_type"),
-        "o_datatype",
-        F.when(F.col("kind") == "literal", F.col("lang")).alias("o_lang"),
-        bad.alias("bad"),
-        F.concat_ws(" ", "subj.v", "pred.v", "tok").alias("text"),
-    )
+    """Turtle lines ``value, file, part``: the lines of a part stand together and in order, and ``part``
+    orders the parts of a file from 0 on."""
+    scope = F.concat(F.lower(F.hex(F.xxhash64("file"))), F.lit("."))
+    cut = stage(lines.select("value", "file", "part", scope.alias("scope")).mapInPandas(_cut, _SCHEMA), "turtle")
+    ends = cut.where("kind = 'ends'").select("file", "part", "text", "tail", "known", scope.alias("scope"))
+    joined = stage(ends.groupBy("file").applyInPandas(_join_parts, _SCHEMA), "turtle-ends")
+    starts = joined.where("kind = 'starts'").select("file", "part", F.col("known").alias("before"))
+    waiting = cut.where("kind = 'waits'").join(starts, ["file", "part"], "left").mapInPandas(_parse_waiting, _SCHEMA)
+    found = cut.unionByName(joined).unionByName(waiting).where("kind IN ('quad', 'corrupt')")
+    good = F.col("kind") == "quad"
+    out = found.select(good.alias("good"), F.lit(None).cast("string").alias("g"), *TRIPLE_COLS, "text")
     if mode == "DROPMALFORMED":
-        return out.where(~F.col("bad")).select(*QUAD_COLS)
+        return out.where("good").select(*QUAD_COLS)
     if mode == "FAILFAST":
-        message = F.concat(F.lit("malformed or unsupported Turtle near: "), F.col("text"))
-        return demand(out, ~F.col("bad"), message).select(*QUAD_COLS)
-    return out.select(
-        *[F.when(~F.col("bad"), F.col(c)).alias(c) for c in QUAD_COLS],
-        F.when(F.col("bad"), F.col("text")).alias("_corrupt_record"),
-    )
-
-
-def _prefixes(roles: DataFrame) -> DataFrame:
-    """Prefix declarations as ``(file, prefix, ns, from, until)``: one per place it holds."""
-    args = roles.where(F.col("role") == "directive").groupBy("file", "dir_at").agg(
-        F.max(F.when(F.col("tok").endswith(":"), F.col("tok"))).alias("name"),
-        F.max(F.when(F.col("tok").startswith("<"), F.col("tok"))).alias("ns"),
-    )
-    place = Window.partitionBy("file", "prefix").orderBy("dir_at")
-    named = args.where(F.col("name").isNotNull() & F.col("ns").isNotNull()).select(
-        "file",
-        F.expr("substring(name, 1, length(name) - 1)").alias("prefix"),
-        unescape(F.expr("substring(ns, 2, length(ns) - 2)")).alias("ns"),
-        "dir_at",
-    )
-    # A prefix declared again with the same namespace changes nothing.
-    changes = named.select("*", F.lag("ns").over(place).alias("_prev")).where(
-        F.col("_prev").isNull() | (F.col("ns") != F.col("_prev"))
-    )
-    return changes.select("file", "prefix", "ns", "dir_at", F.lead("dir_at").over(place).alias("until"))
-
-
-def _resolve(terms: DataFrame, prefixes: DataFrame) -> DataFrame:
-    """Token text to term columns; prefixed names are looked up where they stand in the file."""
-    tok = F.col("tok")
-    is_name = ~tok.rlike("^[<\"'_]") & F.contains(tok, F.lit(":"))
-    dt_name = F.col("dt").isNotNull() & ~F.col("dt").startswith("<")
-
-    def look_up(df: DataFrame, name: Column, cond: Column, out: str) -> DataFrame:
-        # Rows without a prefix get no key and never match.
-        key = F.when(cond, F.substring_index(name, ":", 1))
-        t = df.withColumn("_pre", key).alias("t")
-        p = prefixes.alias("p")
-        on = (
-            (F.col("t.file") == F.col("p.file"))
-            & (F.col("t._pre") == F.col("p.prefix"))
-            & (F.col("t.at") > F.col("p.dir_at"))
-            & (F.col("p.until").isNull() | (F.col("t.at") < F.col("p.until")))
-        )
-        return t.join(p, on, "left").select("t.*", F.col("p.ns").alias(out)).drop("_pre")
-
-    with_ns = look_up(look_up(terms, tok, is_name, "ns"), F.col("dt"), dt_name, "dt_ns")
-
-    def local(name: Column) -> Column:
-        rest = F.substring(name, F.instr(name, ":") + 1, F.length(name))
-        return F.regexp_replace(rest, "\\\\(.)", "$1")
-
-    inner = F.substring(tok, F.lit(2), F.length(tok) - 2)
-    number = tok.rlike("^[+-]?[0-9.]")
-    value = (
-        F.when(tok == "a", F.when(F.col("role") == "p", RDF_TYPE))
-        .when(tok.startswith("<"), unescape(inner))
-        .when(tok.startswith("_:"), F.concat(
-            F.lower(F.hex(F.xxhash64("file"))), F.lit("."), F.substring(tok, F.lit(3), F.length(tok))
-        ))
-        .when(tok.rlike("^[\"']."), unescape(F.replace(inner, F.lit("\t"), F.lit("\\t"))))
-        .when(number | tok.isin("true", "false"), tok)
-        .when(is_name, F.concat(F.col("ns"), local(tok)))
-    )
-    literal = tok.rlike("^[\"']") | number | tok.isin("true", "false")
-    kind = F.when(literal, "literal").when(tok.startswith("_:"), "bnode").otherwise("uri")
-    datatype = (
-        F.when(F.col("lang").isNotNull(), RDF_LANGSTRING)
-        .when(F.col("dt").startswith("<"), unescape(F.expr("substring(dt, 2, length(dt) - 2)")))
-        .when(F.col("dt").isNotNull(), F.concat(F.col("dt_ns"), local(F.col("dt"))))
-        .when(tok.isin("true", "false"), XSD + "boolean")
-        .when(number & tok.rlike("[eE]"), XSD + "double")
-        .when(number & F.contains(tok, F.lit(".")), XSD + "decimal")
-        .when(number, XSD + "integer")
-        .otherwise(XSD_STRING)
-    )
-    resolved = with_ns.select(
-        "file", "block", "line", "i", "at", "tok", "role", "lang",
-        value.alias("v"),
-        kind.alias("kind"),
-        F.when(literal, datatype).alias("o_datatype"),
-        (literal & datatype.isNull()).alias("_no_dt"),
-    )
-    return resolved.select(
-        "*", (F.col("v").isNull() | F.col("_no_dt")).alias("bad_term")
-    ).drop("_no_dt")
+        message = F.concat(F.lit("malformed or unsupported Turtle: "), F.col("text"))
+        return demand(out, F.col("good"), message).select(*QUAD_COLS)
+    return out.select(*QUAD_COLS, F.when(~F.col("good"), F.col("text")).alias("_corrupt_record"))

@@ -107,12 +107,16 @@ ex:b foaf:knows _:x
 '''
 
 
-@pytest.mark.parametrize("block", [1, 2, 20_000])
-def test_turtle(spark, tmp_path, monkeypatch, block):
-    monkeypatch.setattr(turtle, "LINES_PER_BLOCK", block)
-    (tmp_path / "a.ttl").write_text(TTL)
-    (tmp_path / "b.ttl").write_text("@prefix ex: <http://other/> .\nex:s ex:p ex:o .\n")
-    got = {(r.s, r.p, r.o if r.o_type != "bnode" else "_", r.o_datatype, r.o_lang) for r in turtle.read_turtle(spark, str(tmp_path)).collect()}
+def turtle_parts(spark, files, width):
+    """Lines of files in parts of so many lines, as a reader would give them."""
+    rows = [(t, name, i // width) for name, text in files.items() for i, t in enumerate(text.split("\n"))]
+    return spark.createDataFrame(rows, "value string, file string, part bigint").coalesce(1)
+
+
+@pytest.mark.parametrize("width", [1, 2, 20_000])
+def test_turtle(spark, width):
+    lines = turtle_parts(spark, {"a": TTL, "b": "@prefix ex: <http://other/> .\nex:s ex:p ex:o .\n"}, width)
+    got = {(r.s, r.p, r.o if r.o_type != "bnode" else "_", r.o_datatype, r.o_lang) for r in turtle.parse_turtle(lines).collect()}
     f, a, b = "http://foaf/", "http://ex/a", "http://ex2/b"
     assert got == {
         (a, "http://www.w3.org/1999/02/22-rdf-syntax-ns#type", f + "Person", None, None),
@@ -126,6 +130,37 @@ def test_turtle(spark, tmp_path, monkeypatch, block):
     }
 
 
+BASED = """@base <http://ex/dir/> .
+<a> <p> <#f> , <../up> ;
+    <q>
+"x"
+  ^^
+<urn:dt> .
+@prefix : <http://ex/p#> . :s :p 4 . :s :p "\\u00e9\\t"@fr.
+:t :p\\.q :o;.
+<bad> <p> .
+:s :p "\\U00110000" .
+no:ns :p :o .
+:u :p 1 2 .
+BASE <urn:x:>
+<#y> a <urn:Z> .
+:open :p :o
+"""
+
+
+@pytest.mark.parametrize("width", [1, 3, 1000])
+def test_turtle_bases_terms_over_lines_and_open_ends(spark, width):
+    got = turtle.parse_turtle(turtle_parts(spark, {"f": BASED}, width), "PERMISSIVE").collect()
+    a, s, p = "http://ex/dir/a", "http://ex/p#s", "http://ex/dir/p"
+    assert {(r.s, r.p, r.o, r.o_datatype, r.o_lang) for r in got if r._corrupt_record is None} == {
+        (a, p, "http://ex/dir/#f", None, None), (a, p, "http://ex/up", None, None), (a, "http://ex/dir/q", "x", "urn:dt", None),
+        (s, "http://ex/p#p", "4", XSD + "integer", None), (s, "http://ex/p#p", "é\t", RDF_LANGSTRING, "fr"),
+        ("http://ex/p#t", "http://ex/p#p.q", "http://ex/p#o", None, None), ("urn:x:#y", RDF_TYPE, "urn:Z", None, None),
+    }
+    assert sorted(r._corrupt_record for r in got if r._corrupt_record) == [
+        ':open :p :o', ':s :p "\\U00110000"', ":u :p 1 2", "<bad> <p>", "no:ns :p :o"]
+
+
 def test_turtle_says_what_it_can_not_read(spark, tmp_path):
     (tmp_path / "a.ttl").write_text("<urn:a> <urn:p> [ <urn:q> 1 ] .\nun:known <urn:p> <urn:o> .\n<urn:b> <urn:p> <urn:o> .\n")
     got = turtle.read_turtle(spark, str(tmp_path), "PERMISSIVE")
