@@ -1,7 +1,8 @@
 """RDFS entailment (rules 2, 3, 5, 7, 9, 11): domain, range, sub-property, sub-class.
 
-The vocabulary is small next to the data, so its hierarchies are closed first, in rounds; the data is
-then passed once per rule. Only a vocabulary that describes RDFS itself needs more passes.
+The vocabulary is small next to the data, so it is read out, closed in rounds and written first. The
+data is then passed once, joined with what its property and its class entail. Only a vocabulary that
+describes RDFS itself needs more passes.
 """
 
 from __future__ import annotations
@@ -72,61 +73,61 @@ def rdfs_closure(quads: DataFrame) -> DataFrame:
         size = grown
 
 
-def _pass(quads: DataFrame) -> DataFrame:
-    no = F.lit(None).cast("string")
-
-    def statement(s, s_type, p, o, o_type):
-        values = (F.col("g"), s, s_type, p, o, o_type, no, no)
-        return [v.alias(c) for v, c in zip(values, QUAD_COLS)]
-
-    # Rules 5 and 11: the hierarchies themselves, each pair in the graph of its first edge.
-    props = transitive_closure(_edges(quads, SUB_PROPERTY))
-    classes = transitive_closure(_edges(quads, SUB_CLASS))
-    hierarchies = [
-        _up(quads.where(F.col("p") == predicate), closure).select(
-            *statement(F.col("s"), F.col("s_type"), F.col("p"), F.col("sup.v"), F.col("sup.t"))
-        )
-        for predicate, closure in ((SUB_PROPERTY, props), (SUB_CLASS, classes))
-    ]
-    # Rule 7: statements with each super-property.
-    over = props.where((F.col("sub") != F.col("sup")) & (F.col("sup.t") == "uri"))
-    lifted = quads.join(over, F.col("p") == F.col("sub.v")).select(
-        *[F.col("sup.v").alias("p") if c == "p" else F.col(c) for c in QUAD_COLS]
-    )
-    stated = quads.select(*QUAD_COLS).unionByName(lifted)
-    # Rules 2 and 3: types from domain and range. One join serves both.
+def _rules(vocabulary: DataFrame, props: DataFrame, classes: DataFrame) -> DataFrame:
+    """``_p, supers, domains, ranges``: all that a statement with a property entails.
+
+    A property has the domains and ranges of the properties above it, and with each class those above it.
+    """
+    above = props.where(F.col("sup.t") == "uri").select(F.col("sub.v").alias("_p"), F.col("sup.v").alias("_q"))
+    supers = above.where("_p != _q").groupBy("_p").agg(F.collect_set("_q").alias("supers"))
     signature = (
-        quads.where(F.col("p").isin(DOMAIN, RANGE) & (F.col("o_type") != "literal"))
-        .select(
-            F.col("s").alias("_prop"), (F.col("p") == DOMAIN).alias("_is_domain"),
-            F.col("o").alias("_cls"), F.col("o_type").alias("_cls_type"),
-        )
-        .distinct()
-    )
-    used = stated.join(signature, F.col("p") == F.col("_prop")).where(
-        F.col("_is_domain") | (F.col("o_type") != "literal")
-    )
-    subject = F.when(F.col("_is_domain"), F.col("s")).otherwise(F.col("o"))
-    subject_type = F.when(F.col("_is_domain"), F.col("s_type")).otherwise(F.col("o_type"))
-    is_a = F.lit(RDF_TYPE)
-    from_signature = used.select(
-        *statement(subject, subject_type, is_a, F.col("_cls"), F.col("_cls_type"))
-    )
-    types = statement_set(
-        stated.where((F.col("p") == RDF_TYPE) & (F.col("o_type") != "literal")).unionByName(from_signature)
+        vocabulary.where(F.col("p").isin(DOMAIN, RANGE) & (F.col("o_type") != "literal"))
+        .select(F.col("s").alias("_q"), (F.col("p") == DOMAIN).alias("of_subject"),
+                F.struct(F.col("o").alias("v"), F.col("o_type").alias("t")).alias("cls"))
     )
-    # Rule 9: every super-class of every type.
-    inherited = _up(types, classes.where(F.col("sub") != F.col("sup"))).select(
-        *statement(F.col("s"), F.col("s_type"), is_a, F.col("sup.v"), F.col("sup.t"))
+    own = signature.select(F.col("_q").alias("_p"), "_q")
+    stated = above.unionByName(own).distinct().join(signature, "_q").select("_p", "of_subject", "cls")
+    inherited = stated.join(classes, F.col("cls") == F.col("sub")).select("_p", "of_subject", F.col("sup").alias("cls"))
+    types = stated.unionByName(inherited).groupBy("_p").agg(
+        F.collect_set(F.when(F.col("of_subject"), F.col("cls"))).alias("domains"),
+        F.collect_set(F.when(~F.col("of_subject"), F.col("cls"))).alias("ranges"),
     )
-    out = stated.unionByName(types).unionByName(inherited)
-    for part in hierarchies:
-        out = out.unionByName(part)
-    return statement_set(out)
+    return supers.join(types, "_p", "full")
 
 
-def _up(rows: DataFrame, closure: DataFrame) -> DataFrame:
-    """Rows with each node (``sup``) that is above their object."""
-    return rows.join(
-        closure, (F.col("o") == F.col("sub.v")) & (F.col("o_type") == F.col("sub.t"))
-    )
+def _above(closure: DataFrame, kind: str) -> DataFrame:
+    """All nodes above each node of a hierarchy, in a row."""
+    return closure.groupBy("sub").agg(F.collect_set("sup").alias("sups")).select(
+        F.lit(kind).alias("_kind"), F.col("sub.v").alias("_v"), F.col("sub.t").alias("_t"), "sups")
+
+
+def _pass(quads: DataFrame) -> DataFrame:
+    """One pass over the data, after the vocabulary was read, closed and written."""
+    vocabulary = stage(quads.where(F.col("p").isin(SUB_PROPERTY, SUB_CLASS, DOMAIN, RANGE)), "vocabulary")
+    props = transitive_closure(_edges(vocabulary, SUB_PROPERTY))
+    classes = transitive_closure(_edges(vocabulary, SUB_CLASS))
+    rules = stage(_rules(vocabulary, props, classes), "rules")
+    above = stage(_above(props, "p").unionByName(_above(classes, "c")), "above")
+
+    # Types and sub-classes go up with the classes, sub-properties with the properties.
+    kind = F.when(F.col("p").isin(RDF_TYPE, SUB_CLASS), "c").when(F.col("p") == SUB_PROPERTY, "p")
+    rows = quads.select(*QUAD_COLS, kind.alias("_k")).join(rules, F.col("p") == F.col("_p"), "left").join(
+        above, (F.col("_k") == F.col("_kind")) & (F.col("o") == F.col("_v")) & (F.col("o_type") == F.col("_t")), "left")
+
+    def statement(**changed):
+        return F.struct(*[changed.get(c, F.col(c)).cast("string").alias(c) for c in QUAD_COLS])
+
+    def resource(c):
+        return {"o": c["v"], "o_type": c["t"], "o_datatype": F.lit(None), "o_lang": F.lit(None)}
+
+    is_a = F.lit(RDF_TYPE)
+    entailed = [
+        F.array(statement()),
+        F.transform("supers", lambda q: statement(p=q)),
+        F.transform("domains", lambda c: statement(p=is_a, **resource(c))),
+        F.when(F.col("o_type") != "literal", F.transform(
+            "ranges", lambda c: statement(s=F.col("o"), s_type=F.col("o_type"), p=is_a, **resource(c)))),
+        F.transform("sups", lambda c: statement(**resource(c))),
+    ]
+    some = F.filter(F.array(*entailed), lambda part: part.isNotNull())
+    return statement_set(rows.select(F.explode(F.flatten(some)).alias("_s")).select("_s.*"))
