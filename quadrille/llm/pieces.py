@@ -3,8 +3,9 @@
 A text is a lattice of pieces; a segmentation is a path, and its score the sum of the scores of its pieces. Viterbi
 scores from the front are exact heuristics for an A-star search from the back, which therefore completes
 the N best paths and touches little else. The lattice falls apart wherever two neighbouring characters never
-stand inside one piece, so it is searched stretch by stretch, stretches are remembered, and the N best of a
-text are merged from those of its stretches.
+stand inside one piece, so it is worked on stretch by stretch. The best path of each stretch, and what the
+next best loses, are remembered; the search runs in the few words of a text that lose least, and the N best
+of the text are merged from theirs.
 """
 
 from __future__ import annotations
@@ -25,6 +26,8 @@ STRETCH = re.compile(f"{SPACE}+[^{SPACE}]*|[^{SPACE}]+")
 KEPT, LONGEST_KEPT = 1 << 18, 48
 
 Segmentation = tuple[float, tuple[int, ...]]
+#: Score, ids, and what the next best segmentation loses.
+Best = tuple[float, bytes, float]
 
 
 class Vocabulary:
@@ -75,6 +78,31 @@ class Vocabulary:
                 front[i + 1] = max(front[i + 1], here + s)
         return into, front
 
+    def best(self, text: str) -> Best:
+        """The best segmentation of a stretch, and by how much the next best is worse."""
+        into, front = self.lattice(text)
+        ids: list[tuple[int, ...]] = []
+        taken, j = set(), len(text)
+        while j:
+            for edge in into[j]:
+                # Of equal scores the longest last piece, as in the search below.
+                if front[edge[0]] + edge[1] == front[j]:
+                    break
+            taken.add((edge[0], j))
+            ids.append(edge[2])
+            j = edge[0]
+        back = [float("-inf")] * len(text) + [0.0]
+        second = float("-inf")
+        for j in range(len(text), 0, -1):
+            rest = back[j]
+            for i, s, _ in into[j]:
+                total = s + rest
+                if total > back[i]:
+                    back[i] = total
+                if (i, j) not in taken and front[i] + total > second:
+                    second = front[i] + total
+        return front[-1], np.array([k for part in reversed(ids) for k in part], "<u4").tobytes(), front[-1] - second
+
     def n_best(self, text: str, n: int) -> list[Segmentation]:
         """The ``n`` best segmentations of a stretch, best first; equal scores in the order of the search."""
         edges, front = self.lattice(text)
@@ -108,56 +136,63 @@ class Encoder:
         self.vocabulary, self.n = Vocabulary(path), n
         v = self.vocabulary
         self.raw = [bytes([v.value[i]]) if i in v.value else t.encode() for i, t in enumerate(v.text)]
-        self.stretches: dict[str, list[tuple[float, bytes]]] = {}
-        self.words: dict[str, list[tuple[float, bytes]]] = {}
+        self.stretches: dict[str, Best] = {}
+        self.words: dict[str, Best] = {}
+        self.searched: dict[str, list[tuple[float, bytes]]] = {}
 
-    def _kept(self, memory: dict, text: str, found: list) -> list:
+    @staticmethod
+    def _kept(memory: dict, text: str, found):
         if len(text) <= LONGEST_KEPT:
             if len(memory) >= KEPT:
                 memory.clear()
             memory[text] = found
         return found
 
-    def _stretch(self, text: str) -> list[tuple[float, bytes]]:
-        found = self.stretches.get(text)
-        if found is None:
-            found = [(s, np.array(ids, "<u4").tobytes()) for s, ids in self.vocabulary.n_best(text, self.n)]
-            self._kept(self.stretches, text, found)
-        return found
+    def _stretch(self, text: str) -> Best:
+        return self.stretches.get(text) or self._kept(self.stretches, text, self.vocabulary.best(text))
+
+    def _word(self, text: str) -> Best:
+        found = [self._stretch(s) for s in self.vocabulary.stretches(text)]
+        if len(found) > 1:
+            found = [(sum(f[0] for f in found), b"".join(f[1] for f in found), min(f[2] for f in found))]
+        return self._kept(self.words, text, found[0])
 
-    def _word(self, text: str) -> list[tuple[float, bytes]]:
-        found = self.words.get(text)
+    def _alternatives(self, word: str) -> list[tuple[float, bytes]]:
+        """The N best of a word: of its stretches by search, merged."""
+        found = self.searched.get(word)
         if found is None:
-            found = self._merge([self._stretch(s) for s in self.vocabulary.stretches(text)])
-            self._kept(self.words, text, found)
+            parts = [[(s, np.array(ids, "<u4").tobytes()) for s, ids in self.vocabulary.n_best(t, self.n)]
+                     for t in self.vocabulary.stretches(word)]
+            found = self._kept(self.searched, word, self._merge(parts))
         return found
 
     def _merge(self, parts: list[list[tuple[float, bytes]]]) -> list[tuple[float, bytes]]:
         """The N best of a row of parts from the N best of each, best first."""
-        if len(parts) == 1:
-            return parts[0]
-        # Another segmentation can only be among the N best if its part loses among the least.
-        loss = [(p[0][0] - p[1][0], k) for k, p in enumerate(parts) if len(p) > 1]
-        open_ = sorted(k for _, k in heapq.nsmallest(self.n - 1, loss))
-        best = sum([p[0][0] for p in parts])
         merged: list[tuple[float, tuple[int, ...]]] = [(0.0, ())]
-        for k in open_:
-            lost = [parts[k][0][0] - s for s, _ in parts[k]]
-            merged = sorted((a + b, c + (i,)) for a, c in merged for i, b in enumerate(lost))[: self.n]
-        ids = [p[0][1] for p in parts]
-        out = []
-        for lost, choice in merged:
-            for k, i in zip(open_, choice):
-                ids[k] = parts[k][i][1]
-            out.append((best - lost, b"".join(ids)))
-        return out
+        for p in parts:
+            merged = sorted((a + p[0][0] - s, c + (i,)) for a, c in merged for i, (s, _) in enumerate(p))[: self.n]
+        best = sum(p[0][0] for p in parts)
+        return [(best - lost, b"".join(p[i][1] for p, i in zip(parts, choice))) for lost, choice in merged]
 
     def encode(self, text: str) -> list[tuple[float, bytes]]:
         """The N best of a text: score and ids, best first. An empty text has one, without ids."""
         if not text:
             return [(0.0, b"")]
-        word = self.words.get
-        return self._merge([word(w) or self._word(w) for w in STRETCH.findall(SPACE + text.replace(" ", SPACE))])
+        known = self.words.get
+        words = STRETCH.findall(SPACE + text.replace(" ", SPACE))
+        found = [known(w) or self._word(w) for w in words]
+        # Another segmentation can only be among the N best if its word loses among the least.
+        least = heapq.nsmallest(self.n - 1, zip([f[2] for f in found], range(len(found))))
+        open_ = sorted(k for loss, k in least if loss != float("inf"))
+        parts, at = [], 0
+        for k in open_:
+            parts += [self._fixed(found[at:k]), self._alternatives(words[k])]
+            at = k + 1
+        return self._merge([*parts, self._fixed(found[at:])])
+
+    @staticmethod
+    def _fixed(found: list[Best]) -> list[tuple[float, bytes]]:
+        return [(sum([f[0] for f in found]), b"".join([f[1] for f in found]))]
 
     def decode(self, ids: bytes) -> str:
         """The text of ids: pieces joined, runs of byte pieces read as UTF-8, the leading blank taken off."""
