@@ -152,7 +152,12 @@ class Encoder:
         return self.stretches.get(text) or self._kept(self.stretches, text, self.vocabulary.best(text))
 
     def _word(self, text: str) -> Best:
-        found = [self._stretch(s) for s in self.vocabulary.stretches(text)]
+        if text[-2:-1] and text[-2:] not in self.vocabulary.inside:
+            # Mostly a word and a punctuation mark.
+            head = text[:-1]
+            found = [self.words.get(head) or self._word(head), self._stretch(text[-1])]
+        else:
+            found = [self._stretch(s) for s in self.vocabulary.stretches(text)]
         if len(found) > 1:
             found = [(sum(f[0] for f in found), b"".join(f[1] for f in found), min(f[2] for f in found))]
         return self._kept(self.words, text, found[0])
@@ -233,7 +238,7 @@ def encoding_digest(docs: DataFrame, model: str, n: int = 4) -> DataFrame:
     """``doc_id, n_ids, ids_crc32, scores, crc32s, round_trip`` of each document.
 
     ``n_ids`` and ``ids_crc32`` are of the best segmentation, ``scores`` and ``crc32s`` of all ``n`` (ids as
-    little-endian unsigned 32-bit numbers); ``round_trip`` is whether each decodes to the text, in
+    little-endian unsigned 32-bit numbers); ``round_trip`` is whether the best decodes to the text, in
     which the vocabulary's blank sign stands for a blank. Rows are handled as in ``encode_n_best``.
     """
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -244,7 +249,7 @@ def encoding_digest(docs: DataFrame, model: str, n: int = 4) -> DataFrame:
                 text = text or ""
                 found = encoder.encode(text)
                 crcs = [zlib.crc32(ids) for _, ids in found]
-                same = all(encoder.decode(ids) == text.replace(SPACE, " ") for _, ids in found)
+                same = encoder.decode(found[0][1]) == text.replace(SPACE, " ")
                 out.append((doc_id, len(found[0][1]) // 4, crcs[0], [s for s, _ in found], crcs, same))
             frame = pd.DataFrame(out, columns=["doc_id", "n_ids", "ids_crc32", "scores", "crc32s", "round_trip"])
             yield frame.assign(doc_id=frame["doc_id"].astype("Int64"))
