@@ -152,7 +152,8 @@ class Encoder:
         return self.stretches.get(text) or self._kept(self.stretches, text, self.vocabulary.best(text))
 
     def _word(self, text: str) -> Best:
-        if text[-2:-1] and text[-2:] not in self.vocabulary.inside:
+        inside = self.vocabulary.inside
+        if len(text) > 2 and text[-2:] not in inside and text[-3:-1] in inside:
             # Mostly a word and a punctuation mark.
             head = text[:-1]
             found = [self.words.get(head) or self._word(head), self._stretch(text[-1])]

@@ -116,7 +116,7 @@ def every_segmentation(vocabulary, text):
 def test_n_best_of_all_segmentations():
     encoder = pieces.Encoder(MODEL, 4)
     rng = random.Random(1)
-    texts = ["the cat", "hello, world", " a  b", "don't stop", "x\n\ny", "日本 é😀", "aaaaaa", "   ", "ab.cd,ef"]
+    texts = ["the cat", "hello, world", " a  b", "don't stop", "x\n\ny", "日本 é😀", "aaaaaa", "   ", "ab.cd,ef", "a.", ".a", "ab,", ",;" * 3]
     for text in texts + ["".join(rng.choice("abn ,.e") for _ in range(9)) for _ in range(30)]:
         found = [(s, tuple(np.frombuffer(i, "<u4").tolist())) for s, i in encoder.encode(text)]
         whole = every_segmentation(encoder.vocabulary, pieces.SPACE + text.replace(" ", pieces.SPACE))
@@ -124,6 +124,13 @@ def test_n_best_of_all_segmentations():
         assert len(set(found)) == len(found) and set(found) <= set(whole)
 
 
+def test_long_texts_without_words():
+    encoder = pieces.Encoder(MODEL, 4)
+    for text in (",;" * 20000, "ab" * 10000, "x." * 5000 + " " + "q" * 3000):
+        found = encoder.encode(text)
+        assert len(found) == 4 and all(encoder.decode(i) == text for _, i in found)
+
+
 def test_pieces_round_trip(spark):
     rows = some_rows() + [(9, "tab\tline\nfeed  two"), (11, "👩‍👩‍👧 \u0000 ok")]
     coded = pieces.encode_n_best(docs(spark, rows), MODEL)
