@@ -29,7 +29,7 @@ QUERIES = [
     "topk_text", "search_construct", "decode_select", "decode_update", "decode_construct",
     "decode_graph", "read_results_json", "map_solutions", "write_nquads", "read_turtle",
     "read_jsonld", "short_form", "qname_for", "prefix_join", "canonical_request", "parse_request",
-    "stream_ingest", "stream_graph_log",
+    "stream_ingest", "stream_graph_log", "stream_dereify", "construct_reasoning",
 ]
 
 LINEITEM = Entity(

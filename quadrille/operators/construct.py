@@ -23,6 +23,7 @@ from ..schema import (
 )
 from ..session import stage
 from .dataset import named_graphs, page, restrict
+from .reasoning import rdfs_closure
 
 Values = Sequence[str] | DataFrame | None
 
@@ -36,13 +37,17 @@ def construct_quads(
     offset: int | None = None,
     limit: int | None = None,
     is_set: bool = False,
+    reasoning: bool = False,
 ) -> DataFrame:
     """Statements of named graphs whose subject, predicate, object and graph are in the given lists.
 
     An empty list does not restrict. Objects are IRIs. A page is cut before equal statements
     collapse, in the order of the quad columns. With ``is_set`` the quads are known to hold no
-    statement twice, as in a stored table, and nothing has to be shuffled.
+    statement twice, as in a stored table, and nothing has to be shuffled. With ``reasoning`` what the
+    quads entail by RDFS counts as stated.
     """
+    if reasoning:
+        quads, is_set = rdfs_closure(quads), True
     rows = named_graphs(quads)
     rows = restrict(rows, "g", graphs)
     rows = restrict(rows, "p", predicates)
@@ -83,12 +88,16 @@ def filter_construct(
     offset: int | None = None,
     limit: int | None = None,
     is_set: bool = False,
+    reasoning: bool = False,
 ) -> DataFrame:
     """All statements (of the listed predicates) of subjects that meet every filter in that graph.
 
     The subjects are found first and written, so that Spark knows how many they are: few are sent to
-    the scan of the statements, which then stays where it is; many are joined by shuffle.
+    the scan of the statements, which then stays where it is; many are joined by shuffle. With
+    ``reasoning`` what the quads entail by RDFS counts as stated.
     """
+    if reasoning:
+        quads, is_set = stage(rdfs_closure(quads), "closure"), True
     scope = restrict(named_graphs(quads), "g", graphs)
     rows = restrict(scope, "p", predicates)
     if filters:

@@ -11,6 +11,7 @@ from ..schema import statement_set
 from ..session import stage
 from .construct import Values, _restricts
 from .dataset import named_graphs, page, restrict
+from .reasoning import rdfs_closure
 
 K1, B = 1.2, 0.75
 DEFAULT_K = 10
@@ -93,11 +94,14 @@ def search_construct(
     offset: int | None = None,
     limit: int | None = None,
     is_set: bool = False,
+    reasoning: bool = False,
 ) -> DataFrame:
     """Statements whose literal is among the best matches; scores are not part of the result.
 
     The limit bounds the matches (10 without one) and then the statements as well.
     """
+    if reasoning:
+        quads, is_set = stage(rdfs_closure(quads), "closure"), True
     k = limit if limit is not None else DEFAULT_K
     hits = topk_text(quads, search, k).select("key")
     rows = named_graphs(quads).where(F.col("o_type") == "literal")

@@ -8,7 +8,7 @@ from ..operators import bgp, construct, dataset, graph_log, reasoning, scans, se
 from ..operators.dataset import page
 from ..schema import QUAD_COLS, RDF, RDF_TYPE, RDFS, TRIPLE_COLS, XSD, iri, literal
 from . import views as V
-from .registry import query
+from .registry import ORACLES, query
 
 Q = f"WITH quads AS ({V.QUADS_SQL}) "
 D = f"WITH docs AS ({V.DOCUMENTS_SQL}) "
@@ -487,6 +487,17 @@ def rdfs_closure(spark, sf_dir):
     return reasoning.rdfs_closure(V.hierarchy(spark, sf_dir))
 
 
+@query(
+    "construct_reasoning",
+    "SELECT * FROM (" + ORACLES["rdfs_closure"] + f") WHERE p = '{RDF_TYPE}' AND s LIKE 'urn:part:1%'",
+)
+def construct_reasoning(spark, sf_dir):
+    """Types that are stated or entailed."""
+    quads = V.hierarchy(spark, sf_dir)
+    typed = construct.construct_quads(quads, predicates=[RDF_TYPE], reasoning=True)
+    return typed.where(F.col("s").startswith("urn:part:1"))
+
+
 # --- search -----------------------------------------------------------------------------------
 
 _WORDS = ["hand", "éou", "ntea"]
