@@ -60,9 +60,10 @@ def stream_route(spark, sf_dir):
 
 @query("stream_dedup", f"WITH quads AS ({V.QUADS_SQL}) SELECT DISTINCT {C} FROM quads")
 def stream_dedup(spark, sf_dir):
-    quads = V.quads(spark, sf_dir)
-    stream = _replay(spark, quads.unionByName(quads), "stream-quads")
-    return _finished(spark, flows.stream_dedup(stream), "deduplicated")
+    """Statements that come twice within an hour; what is older is forgotten."""
+    quads = V.quads(spark, sf_dir).withColumn("at", F.to_timestamp(F.lit("2024-01-01 00:00:00")))
+    stream = _replay(spark, quads.unionByName(quads), "stream-quads").withWatermark("at", "1 hour")
+    return _finished(spark, flows.stream_dedup(stream, "at").select(*QUAD_COLS), "deduplicated")
 
 
 @query(
@@ -77,8 +78,9 @@ def stream_zip(spark, sf_dir):
         (F.col("ts") + F.expr("interval 5 seconds")).alias("answered"),
     )
     zipped = flows.stream_zip(
-        _replay(spark, asked, "stream-asked"), _replay(spark, answered, "stream-answered"),
-        "asked", "answered", within="1 minute", late="60 days",
+        _replay(spark, asked.repartitionByRange("asked"), "stream-asked"),
+        _replay(spark, answered.repartitionByRange("answered"), "stream-answered"),
+        "asked", "answered", within="1 minute", late="1 hour",
     )
     return _finished(spark, zipped.select("request_id", "kind", "answer"), "zipped")
 
