@@ -22,8 +22,8 @@ SAMPLE = 4_096
 ROWS_PER_PART = 4_096
 #: Neighbours of a vertex of the graph, and the recall wanted on the sample.
 DEGREE, RECALL = 16, 0.95
-#: Rows and queries of one task, at most.
-BLOCK = 2_048
+#: Rows of any parts, and queries, that meet in one task, about.
+SLAB, QUERIES = 16_384, 512
 HIDDEN, EPOCHS, RATE, BATCH = 128, 25, 0.003, 256
 
 
@@ -165,12 +165,26 @@ def best_of_block(queries: np.ndarray, query_ids: np.ndarray, rows: np.ndarray,
 
 
 def _search(k: int):
+    """The best rows of a slab for each query of a block, out of the parts that the query probes."""
+
     def run(key: tuple, left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
         if not len(left) or not len(right):
             return pd.DataFrame({"query_id": [], "vec_id": [], "score": []})
-        q, r, s = best_of_block(_matrix(left["of_query"]), left["query_id"].to_numpy(), _matrix(right["of_row"]),
-                                right["vec_id"].to_numpy(), k)
-        return pd.DataFrame({"query_id": q, "vec_id": r, "score": s})
+        queries, query_ids = _matrix(left["of_query"]), left["query_id"].to_numpy()
+        rows, row_ids, part = _matrix(right["of_row"]), right["vec_id"].to_numpy(), right["part"].to_numpy()
+        probes = np.stack([np.asarray(p) for p in left["parts"]])
+        found = []
+        for one in np.unique(part):
+            q, r = np.flatnonzero((probes == one).any(axis=1)), np.flatnonzero(part == one)
+            if len(q):
+                found.append(best_of_block(queries[q], query_ids[q], rows[r], row_ids[r], k))
+        if not found:
+            return pd.DataFrame({"query_id": [], "vec_id": [], "score": []})
+        q, r, s = (np.concatenate(x) for x in zip(*found))
+        order = np.lexsort((r, -s, q))
+        q, r, s = q[order], r[order], s[order]
+        keep = np.arange(len(q)) - np.searchsorted(q, q) < k
+        return pd.DataFrame({"query_id": q[keep], "vec_id": r[keep], "score": s[keep]})
 
     return run
 
@@ -212,24 +226,16 @@ def nearest_neighbours(table: DataFrame, is_query, k: int = 20, sample: int = SA
         return pd.Series(list(router.ranked(_matrix(vectors))[:, : index.probes].astype(np.int32)))
 
     routed = stage(rows.withColumn("parts", parts_of("vector")), "routed")
-    sizes = routed.groupBy(F.col("parts")[0].alias("part")).agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"))
-    n_queries = routed.where(is_query).count()
-    query_blocks = max(1, -(-n_queries // BLOCK))
-    # One row per part, of which there are 256 at most.
-    sizes = F.broadcast(sizes)
-    each = F.explode(F.sequence(F.lit(0), F.lit(query_blocks - 1)))
-    right = (
-        routed.select("vec_id", "vector", F.col("parts")[0].alias("part")).join(sizes, "part")
-        .select("part", F.pmod(F.xxhash64("vec_id"), "blocks").cast("int").alias("block"), each.alias("of"), "vec_id", F.col("vector").alias("of_row"))
-    )
-    left = (
-        routed.where(is_query).select(F.col("vec_id").alias("query_id"), "vector", F.explode("parts").alias("part"))
-        .join(sizes, "part")
-        .select("part", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"),
-                F.pmod(F.xxhash64("query_id"), F.lit(query_blocks)).cast("int").alias("of"), "query_id", F.col("vector").alias("of_query"))
-    )
-    group = ["part", "block", "of"]
-    found = left.groupBy(*group).cogroup(right.groupBy(*group)).applyInPandas(
+    slabs = -(-lengths["n"] // SLAB)
+    blocks = max(1, -(-routed.where(is_query).count() // QUERIES))
+    every = lambda n: F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
+    right = routed.select(
+        F.pmod(F.xxhash64("vec_id"), F.lit(slabs)).cast("int").alias("slab"), every(blocks).alias("block"), "vec_id",
+        F.col("parts")[0].alias("part"), F.col("vector").alias("of_row"))
+    left = routed.where(is_query).select(
+        every(slabs).alias("slab"), F.pmod(F.xxhash64("vec_id"), F.lit(blocks)).cast("int").alias("block"),
+        F.col("vec_id").alias("query_id"), "parts", F.col("vector").alias("of_query"))
+    found = left.groupBy("slab", "block").cogroup(right.groupBy("slab", "block")).applyInPandas(
         _search(k), "query_id long, vec_id long, score double")
     rank = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id"))
     return found.withColumn("rank", rank).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
