@@ -3,8 +3,9 @@
 Each page is cut in blocks of text below a tree of elements. Containers are scored by the text of their
 blocks that is not in links, a parent getting half of what a child has. A page votes for the paths of its good
 containers, as tags and classes without digits; votes are summed per host in Spark. A page is then read
-again with the best paths of its host: the first of them that has text on the page gives the article, or else the
-page's own best container.
+again with the best paths of its host: the first of them that has text on the page gives the core of the article, or
+else the page's own best container. Around the core, the whole enclosing article or main element belongs to it, and
+further out what is beside it and not mostly links.
 """
 
 from __future__ import annotations
@@ -207,17 +208,49 @@ class Page:
                 break
         if not chosen:
             chosen = {max(scores, key=lambda e: (scores[e], -e))}
+        whole, around = self._article(chosen)
         out = []
-        for element, text, _ in self.blocks:
+        for element, text, link_chars in self.blocks:
             if self.drop[element]:
                 continue
             e = element
-            while e >= 0 and e not in chosen:
+            while e >= 0 and e not in whole:
                 e = self.parent[e]
-            if e >= 0:
+            if e >= 0 or element in around and 2 * link_chars <= len(text):
                 out.append(text)
         return "\n".join(out)
 
+    def _article(self, chosen: set[int]) -> tuple[set[int], set[int]]:
+        """Elements that belong to the article of these containers as a whole, and those around them."""
+        whole, around = set(), set()
+        for e in chosen:
+            above = [e]
+            while self.parent[above[-1]] >= 0:
+                above.append(self.parent[above[-1]])
+            marks = [k for tag in ("main", "article") for k, a in enumerate(above) if self.tag[a] == tag]
+            top = marks[-1] if marks else 0
+            whole.add(above[top])
+            around.update(above[top + 1 :])
+        if not around:
+            return whole, around
+        chars, links, titles = ([0] * len(self.parent) for _ in range(3))
+        for element, text, link_chars in self.blocks:
+            if not self.drop[element]:
+                title, e = False, element
+                while e >= 0 and e not in around:
+                    title = title or self.tag[e] == "h1"
+                    chars[e] += len(text)
+                    # The headline of an article is often a link to it.
+                    links[e] += 0 if title else link_chars
+                    titles[e] += title
+                    e = self.parent[e]
+        for e, parent in enumerate(self.parent):
+            if parent in around and e not in around and chars[e] and 2 * links[e] <= chars[e]:
+                # Containers below the body are parts of the page, which need a sign that they are of the article.
+                if self.tag[parent] not in ("body", "html", "#") or self.tag[e] in PARAGRAPHS or self.weight[e] > 1 or titles[e]:
+                    whole.add(e)
+        return whole, around
+
 
 def page_votes(html: str) -> list[dict]:
     """A vote from 0.5 to 1 for the path of each container that is about as good as the best one."""

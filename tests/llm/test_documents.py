@@ -158,6 +158,29 @@ def test_blocks_of_an_article(html, want):
     assert html_text.Page(html).text([]) == want
 
 
+LONG = "many words of the story " * 40
+
+
+@pytest.mark.parametrize("html, want", [
+    (f"<body><article><h1>T</h1><p>intro</p><div class='body'><p>{LONG}</p></div><p>end</p></article>", ["T", "intro", LONG, "end"]),
+    (f"<article><div class=lead><p>first</p></div><div class=body><p>{LONG}</p></div></article>", ["first", LONG]),
+    (f"<body><div id=page><div class=lead><p>first</p></div><div class=body><p>{LONG}</p></div><div class=more><a href=x>other story</a></div></div>",
+     ["first", LONG]),
+    (f"<body><main><h1><a href=x>T</a></h1><article><section><p>{LONG}</p></section><ul><li><a href=x>source</a></ul></article></main>",
+     ["T", LONG, "source"]),
+    (f"<body><h1>T</h1><div class=body><p>{LONG}</p></div><p>end</p><ul><li><a href=x>home</a></ul><div class=chat>x</div>", ["T", LONG, "end"])])
+def test_all_of_an_article_around_its_core(html, want):
+    assert html_text.Page(html).text([]) == "\n".join(w.strip() for w in want)
+
+
+def test_whole_articles_by_the_paths_of_a_host(spark):
+    page = "<body><article><h1>T{n}</h1><p>intro</p><div class=lead>lead {n}</div><div class=body><p>{body}</p></div><p>end</p></article>"
+    rows = [(n, f"http://n.org/{n}", page.format(n=n, body=LONG if n else "short")) for n in range(6)]
+    got = html_text.main_text(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()
+    assert {r["page_id"]: r["text"] for r in got} == {
+        n: f"T{n}\nintro\nlead {n}\n{LONG.strip() if n else 'short'}\nend" for n in range(6)}
+
+
 def test_host_paths_win(spark):
     page = "<body><div class='c{n}'><p>{body}</p></div><div class='chat'><p>{noise}</p></div></body>"
     rows = [(i, f"http://h.org/{i}", page.format(n=i, body="good words here " * 20, noise="x")) for i in range(9)]
