@@ -53,6 +53,12 @@ NAMES = frozenset(
     "login share sharing social related recommended recommendations comment comments commentlist respond reply "
     "replies disqus discussion widget widgets toolbar pagination pager copyright skip hidden".split())
 GOOD_NAMES = frozenset("article content main post entry story body text".split())
+#: Words after which a name tells of a state, and heads of a name whose first word says what is in them.
+STATES = frozenset("no non not without with has have is hide show overflow".split())
+BOXES = frozenset(
+    "area author avatar bar block body bottom box btn button buttons card container count field footer form group header "
+    "heading holder icon icons inner item items label left link links list meta panel placeholder post posts region "
+    "right row section slot stories tab tabs thread title toggle top unit wrap wrapper zone".split())
 
 
 def _attributes(text: str) -> dict[str, str]:
@@ -64,29 +70,59 @@ def _names(attributes: dict[str, str]) -> set[str]:
     return {w.lower() for w in NAME_WORD.findall(both)}
 
 
+def _hidden(attributes: dict[str, str]) -> bool:
+    return bool("hidden" in attributes or attributes.get("aria-hidden") == "true"
+                or re.search(r"display\s*:\s*none", attributes.get("style", "")))
+
+
+def _marks(attributes: dict[str, str]) -> set[str]:
+    """The names of other parts than the article among whole classes and ids, their heads, or the firsts of boxes."""
+    found = set()
+    for token in f"{attributes.get('class', '')} {attributes.get('id', '')}".split():
+        words = [w.lower() for w in NAME_WORD.findall(token)]
+        if not words or STATES.intersection(words[:-1]):
+            continue
+        first, head = words[0], words[-1]
+        if len(words) == 1 or head in NAMES and head != "hidden" and not (head == "header" and first in GOOD_NAMES):
+            found.add(head)
+        elif head in BOXES and first not in ("header", "hidden"):
+            found.add(first)
+    return found & NAMES
+
+
 class Page:
     """The blocks of a page and the elements they stand in."""
 
     def __init__(self, html: str) -> None:
+        self.mutes = True
+        self._reset()
+        self._read(html)
+        if self.muted_chars > sum(len(text) for _, text, _ in self.blocks):
+            # Most of the text would be lost by names of inline elements: they do not tell of adverts here.
+            self._reset()
+            self.mutes = False
+            self._read(html)
+        self._drop_marked()
+
+    def _reset(self) -> None:
         self.parent, self.tag, self.label, self.drop, self.weight = [-1], ["#"], [""], [False], [1.0]
-        self.in_article = [False]
+        self.in_article, self.marked = [False], [False]
         self.blocks: list[tuple[int, str, int]] = []
-        self._read(html)
+        self.muted_chars = 0
 
     def _add(self, parent: int, tag: str, attributes: dict[str, str]) -> int:
         names = _names(attributes) if attributes else set()
-        hidden = "hidden" in attributes or attributes.get("aria-hidden") == "true" or re.search(
-            r"display\s*:\s*none", attributes.get("style", ""))
         within = self.in_article[parent]
         out = tag in NOT_ARTICLE or tag == "header" and not within or attributes.get("role", "").lower() in ROLES
-        named = names & NAMES
-        if tag in ("html", "body", "article", "main") or within and named <= {"header"}:
+        named = _marks(attributes) if names & NAMES else set()
+        if tag in ("html", "body") or within and named <= {"header"}:
             named = set()
         self.parent.append(parent)
         self.tag.append(tag)
         classes = sorted({re.sub(r"\d+", "", c) for c in attributes.get("class", "").split()} - {""})
         self.label.append(".".join([tag, *classes]))
-        self.drop.append(bool(self.drop[parent] or out or hidden or named))
+        self.drop.append(bool(self.drop[parent] or out or _hidden(attributes)))
+        self.marked.append(bool(named))
         self.weight.append(1.5 if tag in ("article", "main") else 1.2 if names & GOOD_NAMES else 1.0)
         self.in_article.append(within or tag in ("article", "main"))
         return len(self.parent) - 1
@@ -94,7 +130,7 @@ class Page:
     def _read(self, html: str) -> None:
         stack, pieces = [0], []
         link = link_chars = at = muted = 0
-        mute = ""
+        mute, named = "", False
 
         def flush() -> None:
             nonlocal link_chars, muted
@@ -116,7 +152,9 @@ class Page:
 
         match = TAG.search(html)
         while match:
-            if match.start() > at and not muted:
+            if match.start() > at and muted:
+                self.muted_chars += named * (match.start() - at)
+            elif match.start() > at:
                 piece = html[at : match.start()]
                 pieces.append(piece)
                 if link:
@@ -135,9 +173,12 @@ class Page:
                         if tag == "p":
                             flush()
                         close((tag,), ("table",) if tag in PARAGRAPHS and tag != "table" else ())
+                elif tag in ("svg", "math") and match[3].endswith("/"):
+                    pass
                 elif tag in RAW:
                     end = re.compile(rf"</{re.escape(tag)}\b[^>]*>", re.I).search(html, at)
-                    at = end.end() if end else len(html)
+                    # A drawing or formula that is left open holds nothing but its own elements.
+                    at = end.end() if end else at if tag in ("svg", "math") else len(html)
                 elif tag in VOID:
                     if tag == "hr":
                         flush()
@@ -147,8 +188,10 @@ class Page:
                     if tag in INLINE:
                         if tag == "a":
                             link = 1
-                        if attributes and self._dropped(attributes):
-                            mute, muted = tag, 1
+                        if attributes and not muted:
+                            named = not _hidden(attributes)
+                            if not named or self.mutes and _marks(attributes):
+                                mute, muted = tag, 1
                     else:
                         if tag not in ("option", "optgroup"):
                             close(("p",), ("td", "th", "table", "button", "object"))
@@ -167,10 +210,25 @@ class Page:
             pieces.append(tail)
         flush()
 
-    @staticmethod
-    def _dropped(attributes: dict[str, str]) -> bool:
-        return bool(_names(attributes) & NAMES or "hidden" in attributes or attributes.get("aria-hidden") == "true"
-                    or "none" in attributes.get("style", ""))
+    def _drop_marked(self) -> None:
+        """Drops what is below a marked name, unless that is the article or most of the text of the page."""
+        if not any(self.marked):
+            return
+        n = len(self.parent)
+        chars, articles = [0] * n, [0] * n
+        for element, text, _ in self.blocks:
+            if not self.drop[element]:
+                chars[element] += len(text)
+        for e in range(n - 1, 0, -1):
+            # An article of a comment, as its name tells, is none of the page.
+            articles[e] += self.tag[e] in ("article", "main") and not self.marked[e] and not self.drop[e]
+            chars[self.parent[e]] += chars[e]
+            articles[self.parent[e]] += articles[e]
+        for e in range(1, n):
+            # Comments may be longer than the article that they stand beside.
+            most = not articles[0] and 2 * chars[e] > chars[0]
+            named = self.marked[e] and self.tag[e] not in ("article", "main") and not articles[e] and not most
+            self.drop[e] = self.drop[e] or self.drop[self.parent[e]] or named
 
     def scores(self) -> dict[int, float]:
         """The score of each container that has text."""

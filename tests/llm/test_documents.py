@@ -181,6 +181,22 @@ def test_whole_articles_by_the_paths_of_a_host(spark):
         n: f"T{n}\nintro\nlead {n}\n{LONG.strip() if n else 'short'}\nend" for n in range(6)}
 
 
+@pytest.mark.parametrize("html, want", [
+    ("<article><p>a <a style='text-decoration:none'>word</a> and <span style='border:none'>more</span></p></article>", "a word and more"),
+    ("<article><p>a <span style='display: none'>not</span> b</p></article>", "a b"),
+    *((f"<body><div class='{c}'><article><p>story</p></article></div>", "story")
+      for c in ("overflow-hidden", "no-sidebar", "with-sidebar", "page-header-content", "sidebar", "widget")),
+    ("<body><div class='has-sidebar-left'><p>story</p></div><div class='left-sidebar'><p>side</p></div>", "story"),
+    (f"<body><div class='header'><h1>T</h1><p>{LONG}</p></div><p>end</p>", f"T\n{LONG.strip()}\nend"),
+    (f"<article><p>story</p></article><div class='comments-area'><article class='comment-body'><p>{LONG}</p></article></div>", "story"),
+    ("<main><article class='share'><p>one</p></article><article><p>and two</p></article></main>", "one\nand two"),
+    (f"<div class='post'><p><span class='share'>{LONG}</span> end</p></div>", LONG + "end"),
+    ("<article><p>a <svg viewBox='0 0 1 1'/> b</p><p>c <math/> d</p></article>", "a b\nc d"),
+    ("<article><svg><path/><p>a</p></article>", "a"), ("<article><p>a<svg><text>no</text></svg> b</p></article>", "a b")])
+def test_names_and_styles_that_do_not_mute(html, want):
+    assert html_text.Page(html).text([]) == want
+
+
 def test_host_paths_win(spark):
     page = "<body><div class='c{n}'><p>{body}</p></div><div class='chat'><p>{noise}</p></div></body>"
     rows = [(i, f"http://h.org/{i}", page.format(n=i, body="good words here " * 20, noise="x")) for i in range(9)]
