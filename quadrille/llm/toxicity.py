@@ -5,7 +5,8 @@ others. Features are densities of lexicon hits, how near second-person words sta
 punctuation and obfuscation (letters mixed with digits and signs, read back to plain letters).
 
 Only labelled rows whose ``crc32(doc_id) mod 3`` is not 1 are learned from, at most ``sample`` of them,
-taken by a hash of ``doc_id``. Part of them makes the lexicon, part grows the trees, part calibrates.
+taken by a hash of ``doc_id``. Three fifths of them make the lexicon, one fifth grows the trees, and one calibrates; where
+one of the last two does not hold both classes, both grow the trees and calibrate.
 """
 
 from __future__ import annotations
@@ -204,15 +205,19 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
     labelled = stage(labelled_sample(docs, labels, sample), "labelled")
     lexicon = learn_lexicon(labelled.where(_fold(5) < 3))
     rows = stage(with_features(labelled.where(_fold(5) >= 3), lexicon, "doc_id long, toxic int"), "features")
-    counts = {r["toxic"]: r["n"] for r in rows.groupBy("toxic").agg(F.count("*").alias("n")).collect()}
-    if not counts.get(0) or not counts.get(1):
+    by_fold = {(r["fold"], r["toxic"]): r["n"]
+               for r in rows.groupBy(_fold(5).alias("fold"), "toxic").agg(F.count("*").alias("n")).collect()}
+    counts = {t: sum(n for (_, toxic), n in by_fold.items() if toxic == t) for t in (0, 1)}
+    if not counts[0] or not counts[1]:
         both = sum(counts.values())
-        return Model(lexicon, constant=counts.get(1, 0) / both if both else 0.0)
+        return Model(lexicon, constant=counts[1] / both if both else 0.0)
+    apart = all(by_fold.get((fold, toxic)) for fold in (3, 4) for toxic in (0, 1))
+    to_grow, to_calibrate = (rows.where(_fold(5) == 3), rows.where(_fold(5) == 4)) if apart else (rows, rows)
     label = F.col("toxic").cast("double")
     trees = GBTClassifier(featuresCol="vector", labelCol="label", maxDepth=3, maxIter=15, stepSize=0.2, seed=7,
                           minInstancesPerNode=3)
-    model = Model(lexicon, trees.fit(rows.withColumn("vector", array_to_vector("features")).withColumn("label", label)))
-    scored = model.raw(rows).select("raw_score", label.alias("label"))
+    model = Model(lexicon, trees.fit(to_grow.withColumn("vector", array_to_vector("features")).withColumn("label", label)))
+    scored = model.raw(to_calibrate).select("doc_id", "raw_score", label.alias("label"))
     model.calibration = IsotonicRegression(featuresCol="raw_score", labelCol="label",
                                            predictionCol="calibrated").fit(scored)
     return model

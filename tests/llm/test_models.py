@@ -54,6 +54,25 @@ def test_toxicity_of_held_out_rows(spark):
     assert sorted(r["doc_id"] or -1 for r in kept.collect()) == sorted(r["doc_id"] or -1 for r in got if not r["predicted"])
 
 
+@pytest.mark.parametrize("toxic_folds, apart", [((0, 1, 2, 3, 4), True), ((0, 1, 2, 3), False)])
+def test_calibrated_on_other_rows_than_the_trees(spark, monkeypatch, toxic_folds, apart):
+    docs, labels, _ = toxic_world()
+    frame, marks = (spark.createDataFrame(x, c) for x, c in ((docs, DOCS), (labels, "doc_id long, quality int, toxic int")))
+    fold = {r["doc_id"]: r["fold"] for r in marks.select("doc_id", toxicity._fold(5).alias("fold")).collect()}
+    marks = spark.createDataFrame([(i, q, t if fold[i] in toxic_folds else 0) for i, q, t in labels], marks.schema)
+    seen = {}
+    for kind in (toxicity.GBTClassifier, toxicity.IsotonicRegression):
+        def fit(self, rows, fit=kind.fit, name=kind.__name__):
+            seen[name] = {r["doc_id"]: r["label"] for r in rows.select("*").collect()}
+            return fit(self, rows)
+        monkeypatch.setattr(kind, "fit", fit)
+    toxicity.train(frame, marks)
+    grown, calibrated = seen["GBTClassifier"], seen["IsotonicRegression"]
+    assert (not grown.keys() & calibrated.keys()) == apart
+    assert all(set(x.values()) == {0.0, 1.0} for x in (grown, calibrated))
+    assert len(grown.keys() | calibrated.keys()) == sum(crc(i) % 3 != 1 and fold[i] >= 3 for i, _, _ in labels)
+
+
 def test_labels_of_held_out_rows_do_not_matter(spark):
     docs, labels, _ = toxic_world(300)
     frame = spark.createDataFrame(docs, DOCS)
