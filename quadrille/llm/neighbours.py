@@ -2,8 +2,9 @@
 
 On a bounded sample a graph of nearest neighbours is cut in balanced parts, by recursive bisection along its
 slowest mode and swaps that lower the cut. A small classifier learns the part of a vector. Every row of the
-table goes to its most probable part; a query goes to several most probable ones, as many as give the
-wanted recall on the sample, and all rows of those parts are ranked by their exact inner products.
+table goes to its most probable part; a query goes to several most probable ones, as many as give the wanted
+recall for vectors held out of training against all rows, and all rows of those parts are ranked by their exact
+inner products.
 """
 
 from __future__ import annotations
@@ -18,9 +19,12 @@ from quadrille.session import stage
 
 #: Vectors that partition and classifier are learned from, at most, in order of a hash of ``vec_id``.
 SAMPLE = 4_096
+#: Further vectors, at most, that tell how many parts to probe, or an eighth of a small table; with fewer than the
+#: least number all parts are probed.
+HELD, LEAST_HELD = 256, 32
 #: Rows of a part, about; there are 8 to 256 parts, a power of two.
 ROWS_PER_PART = 4_096
-#: Neighbours of a vertex of the graph, and the recall wanted on the sample.
+#: Neighbours of a vertex of the graph, and the recall wanted on vectors held out of training.
 DEGREE, RECALL = 16, 0.95
 #: Rows of any parts, and queries, that meet in one task, about.
 SLAB, QUERIES = 16_384, 512
@@ -114,34 +118,17 @@ class Router:
         return np.argsort(-(hidden @ self.w[1] + self.b[1]), axis=1, kind="stable")
 
 
-def probes_for(x: np.ndarray, ranked: np.ndarray, k: int, wanted: float) -> int:
-    """How many parts each query must see for the wanted recall among the sample itself."""
-    parts = ranked.shape[1]
-    if len(x) < 2:
-        return parts
-    home, place = ranked[:, 0], np.empty_like(ranked)
-    np.put_along_axis(place, ranked, np.arange(parts)[None, :].repeat(len(x), 0), axis=1)
-    queries = np.arange(0, len(x), max(1, len(x) // 1000))
-    scores = x[queries] @ x.T
-    scores[np.arange(len(queries)), queries] = -np.inf
-    k = min(k, len(x) - 1)
-    near = np.argpartition(-scores, k - 1, axis=1)[:, :k]
-    needed = place[queries[:, None], home[near]] + 1
-    share = np.cumsum(np.bincount(needed.ravel(), minlength=parts + 1)) / needed.size
-    return int(np.searchsorted(share, wanted))
-
-
 class Index:
     """What the tasks need to route vectors: it depends on the sample, not on the size of the table."""
 
-    def __init__(self, sample: np.ndarray, rows: int, k: int, recall: float = RECALL) -> None:
+    def __init__(self, sample: np.ndarray, rows: int) -> None:
         rng = np.random.default_rng(11)
         self.parts = 8
         while self.parts < 256 and self.parts * ROWS_PER_PART < rows:
             self.parts *= 2
+        self.probes = self.parts
         label = balanced_parts(neighbour_graph(sample, DEGREE), self.parts, rng)
         self.router = Router(sample, label, self.parts, rng)
-        self.probes = probes_for(sample, self.router.ranked(sample), k, recall)
 
 
 def _matrix(vectors) -> np.ndarray:
@@ -189,6 +176,36 @@ def _search(k: int):
     return run
 
 
+def probes_for(rows: DataFrame, count: int, router: Router, ids: np.ndarray, held: np.ndarray, k: int, wanted: float) -> int:
+    """How many parts a query must see for the wanted recall: held-out queries against all rows.
+
+    The mean over the queries, less two standard errors, reaches ``wanted``.
+    """
+    ranked = router.ranked(held)
+
+    def near(slab: pd.DataFrame) -> pd.DataFrame:
+        x, row_ids = _matrix(slab["vector"]), slab["vec_id"].to_numpy()
+        q, r, score = best_of_block(held, ids, x, row_ids, k)
+        order = np.argsort(row_ids)
+        home = router.ranked(x)[:, 0][order[np.searchsorted(row_ids, r, sorter=order)]]
+        return pd.DataFrame({"query_id": q, "vec_id": r, "score": score, "home": home})
+
+    slab = F.pmod(F.xxhash64("vec_id"), F.lit(-(-count // SLAB)))
+    found = rows.groupBy(slab.alias("slab")).applyInPandas(near, "query_id long, vec_id long, score double, home int")
+    rank = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id"))
+    # At most k rows of each held-out query.
+    best = found.withColumn("rank", rank).where(F.col("rank") <= k).select("query_id", "home").toPandas()
+    number = {q: n for n, q in enumerate(ids.tolist())}
+    place = np.argsort(ranked, axis=1, kind="stable")
+    seen = np.zeros(ranked.shape)
+    at = best["query_id"].map(number).to_numpy()
+    np.add.at(seen, (at, place[at, best["home"].to_numpy()]), 1.0)
+    recall = np.cumsum(seen, axis=1) / np.maximum(seen.sum(axis=1, keepdims=True), 1.0)
+    least = recall.mean(axis=0) - 2 * recall.std(axis=0) / np.sqrt(len(held))
+    enough = np.flatnonzero(least >= wanted)
+    return int(enough[0]) + 1 if len(enough) else ranked.shape[1]
+
+
 def usable(table: DataFrame) -> DataFrame:
     """``vec_id, vector``: one row per ``vec_id``, without vectors that are NULL, zero or not finite."""
     vector = F.col("embedding").cast("array<double>")
@@ -217,9 +234,17 @@ def nearest_neighbours(table: DataFrame, is_query, k: int = 20, sample: int = SA
     if lengths is None:
         return empty
     rows = rows.where(F.size("vector") == lengths["d"])
-    chosen = rows.orderBy(F.xxhash64("vec_id"), "vec_id").limit(sample).select("vector").collect()
-    index = Index(_matrix(r["vector"] for r in chosen), lengths["n"], k)
+    chosen = rows.orderBy(F.xxhash64("vec_id"), "vec_id").limit(sample + HELD).select("vec_id", "vector").collect()
+    learned = len(chosen) - min(HELD, len(chosen) // 8)
+    index = Index(_matrix(r["vector"] for r in chosen[:learned]), lengths["n"])
     router = index.router
+    # Copies of each other are one query, copies of what the router has seen are none.
+    known, held = {tuple(r["vector"]) for r in chosen[:learned]}, {}
+    for r in chosen[learned:]:
+        if (vector := tuple(r["vector"])) not in known:
+            held.setdefault(vector, r["vec_id"])
+    if len(held) >= LEAST_HELD:
+        index.probes = probes_for(rows, lengths["n"], router, np.array(list(held.values()), np.int64), _matrix(held), k, RECALL)
 
     @pandas_udf("array<int>")
     def parts_of(vectors: pd.Series) -> pd.Series:

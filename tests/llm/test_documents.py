@@ -249,6 +249,46 @@ def test_neighbours(spark):
     assert hits / (20 * len(queries)) >= 0.9
 
 
+@pytest.mark.parametrize("kind", ["random", "centres"])
+def test_recall_on_more_rows_than_the_sample(spark, kind):
+    rng = np.random.default_rng(8)
+    n, sample = 6000, 1024
+    x = rng.standard_normal((n, 24))
+    if kind == "centres":
+        x = 3 * rng.standard_normal((60, 24))[rng.integers(0, 60, n)] + x
+    x[1000:3000] = x[1000]
+    x = x.astype(np.float32).astype(np.float64)
+    rows = vectors(spark, [(i, v.tolist()) for i, v in enumerate(x)])
+    got = neighbours.nearest_neighbours(rows, F.col("vec_id") % 20 == 0, 20, sample).toPandas()
+    hits = {}
+    for q, g in got.groupby("query_id"):
+        score = x @ x[q]
+        score[q] = -np.inf
+        # Copies tie: any that scores as well as the twentieth is a neighbour.
+        least = np.partition(score, n - 20)[n - 20] - 1e-9
+        hits[q] = (score[g["vec_id"]] >= least).sum()
+    assert len(hits) == n // 20
+    # Queries that are copies of the hot vector do not count: they find each other in any case.
+    recall = sum(h for q, h in hits.items() if not 1000 <= q < 3000) / (20 * sum(not 1000 <= q < 3000 for q in hits))
+    print("recall", kind, recall)
+    assert recall >= neighbours.RECALL
+
+
+def test_probes_are_chosen_on_vectors_that_were_not_learned(spark, monkeypatch):
+    x = np.random.default_rng(3).standard_normal((600, 8)).astype(np.float32)
+    learned, asked = [], []
+    train, probes_for = neighbours.Router.__init__, neighbours.probes_for
+    monkeypatch.setattr(neighbours.Router, "__init__", lambda self, x, *a: (learned.extend(map(tuple, x)), train(self, x, *a))[1])
+
+    def probes(*args):
+        asked.extend(tuple(v) for a in args if isinstance(a, np.ndarray) and a.ndim == 2 and a.dtype == np.float64 for v in a)
+        return probes_for(*args)
+
+    monkeypatch.setattr(neighbours, "probes_for", probes)
+    neighbours.nearest_neighbours(vectors(spark, [(i, v.tolist()) for i, v in enumerate(x)]), F.col("vec_id") % 20 == 0)
+    assert len(asked) >= 32 and not set(asked) & set(learned)
+
+
 def test_neighbours_of_few_rows(spark):
     few = neighbours.nearest_neighbours(vectors(spark, [(0, [1.0, 0.0]), (7, [1.0, 1.0]), (20, [2.0, 0.0])]), F.col("vec_id") % 20 == 0)
     assert sorted(map(tuple, few.collect())) == [(0, 1, 20, 2.0), (0, 2, 7, 1.0), (20, 1, 0, 2.0), (20, 2, 7, 2.0)]
