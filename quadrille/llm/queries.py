@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quadrille.llm import fingerprints, html_text, language, neighbours, ngram_join, packing, pieces, sharding, toxicity, url_filter
+from quadrille.llm import fill_middle, fingerprints, html_text, language, neighbours, ngram_join, packing, pieces, sharding, toxicity, url_filter
 from quadrille.llm.registry import ORACLES, QUERIES, query, table
 
 
@@ -83,3 +83,28 @@ def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op10_fingerprints")
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints.fingerprint_documents(table(spark, sf_dir, "documents"))
+
+
+OP11_SQL = """
+with hashed as (
+  select doc_id, coalesce(text, '') as text, sha256('1:' || coalesce(cast(doc_id as varchar), '')) as h from documents),
+numbers as (
+  select doc_id, text, length(text) as n,
+    cast('0x' || substr(h, 1, 8) as bigint) as h1, cast('0x' || substr(h, 9, 8) as bigint) as h2,
+    cast('0x' || substr(h, 17, 8) as bigint) as h3, cast('0x' || substr(h, 25, 8) as bigint) as h4 from hashed),
+cuts as (
+  select doc_id, text, n, least(h1 % (n + 1), h2 % (n + 1)) as a, greatest(h1 % (n + 1), h2 % (n + 1)) as b,
+    case when text = '' or contains(text, '<P>') or contains(text, '<S>') or contains(text, '<M>') or h3 % 100 >= 90 then 'plain'
+      when h4 % 100 < 20 then 'spm' else 'psm' end as form from numbers),
+parts as (
+  select *, substring(text, 1, a) as prefix, substring(text, a + 1, b - a) as middle, substring(text, b + 1) as suffix from cuts)
+select doc_id, n, form, case when form <> 'plain' then a end as prefix_chars, case when form <> 'plain' then b - a end as middle_chars,
+  sha256(case form when 'plain' then text when 'psm' then '<P>' || prefix || '<S>' || suffix || '<M>' || middle
+    else '<S>' || suffix || '<P>' || prefix || '<M>' || middle end) as output_sha256,
+  sha256(text) as restored_sha256
+from parts"""
+
+
+@query("op11_fill_in_middle", OP11_SQL)
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fill_middle.digests(fill_middle.fill_in_middle(table(spark, sf_dir, "documents")))
