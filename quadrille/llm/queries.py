@@ -5,7 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quadrille.llm import fill_middle, fingerprints, html_text, language, neighbours, ngram_join, packing, pieces, sharding, toxicity, url_filter
+from quadrille.llm import (
+    bbit_minhash, fill_middle, fingerprints, html_text, language, merkle, neighbours, ngram_join, packing, pieces, sharding,
+    toxicity, url_filter)
 from quadrille.llm.registry import ORACLES, QUERIES, query, table
 
 
@@ -108,3 +110,35 @@ from parts"""
 @query("op11_fill_in_middle", OP11_SQL)
 def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fill_middle.digests(fill_middle.fill_in_middle(table(spark, sf_dir, "documents")))
+
+
+OP12_SQL = r"""
+with recursive words as (
+  select doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x20\x09-\x0D]+') as w from documents),
+sets as (
+  select doc_id, case when len(w) = 0 then [] when len(w) < 5 then [array_to_string(w, ' ')]
+    else list_sort(list_distinct(list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' ')))) end as grams
+  from words),
+classes as (select min(doc_id) as id, grams, len(grams) as n from sets where len(grams) > 0 group by grams),
+entries as (select id, n, unnest(grams) as gram from classes),
+links as (
+  select a.id as u, b.id as v from entries a join entries b on a.gram = b.gram and a.id <> b.id
+  group by a.id, b.id, a.n, b.n having 100 * count(*) >= 85 * (a.n + b.n - count(*))),
+reach as (
+  select id as u, id as v from classes
+  union select reach.u, links.v from reach join links on reach.v = links.u),
+components as (select u as id, min(v) as component from reach group by u)
+select s.doc_id, cast(len(s.grams) as bigint) as n_shingles, coalesce(c.component, s.doc_id) as component_id,
+  coalesce(c.component, s.doc_id) = s.doc_id as kept
+from sets s left join classes k on s.grams = k.grams left join components c on c.id = k.id"""
+
+
+@query("op12_bbit_near_duplicates", OP12_SQL)
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bbit_minhash.bbit_near_duplicates(table(spark, sf_dir, "documents"))
+
+
+@query("op13_merkle_manifest", merkle.manifest_sql())
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merkle.manifest_digests(table(spark, sf_dir, "documents"))
