@@ -28,24 +28,28 @@ def last_resets(ops: DataFrame) -> DataFrame:
     return ops.where(F.col("op").isin(*_RESETS)).groupBy("g").agg(F.max("seq").alias("reset"))
 
 
+def unhidden(rows: DataFrame, resets: DataFrame) -> DataFrame:
+    """Statements with their ``seq`` but for those of graphs that were emptied later; those without ``seq`` came first.
+
+    A graph with most of the rows is one key of the join; its side is split by adaptive execution, as the other
+    side has one row per graph.
+    """
+    rows, resets = rows.alias("w"), resets.alias("r")
+    kept = rows.join(resets, F.col("w.g").eqNullSafe(F.col("r.g")), "left").where(
+        F.col("r.reset").isNull() | (F.col("w.seq") >= F.col("r.reset"))
+    )
+    return kept.select("w.*")
+
+
 def graph_log_replay(
     ops: DataFrame, payload: DataFrame, initial: DataFrame | None = None
 ) -> DataFrame:
-    """The quads after all operations. The last PUT or DELETE of a graph counts, and POSTs after it.
-
-    A graph with most of the log is one key of the join with the resets; its side is split by
-    adaptive execution, as the other side has one row per graph.
-    """
-    resets = last_resets(ops).alias("r")
+    """The quads after all operations. The last PUT or DELETE of a graph counts, and POSTs after it."""
     rows = _writes(ops, payload)
     if initial is not None:
         before = F.lit(None).cast("bigint").alias("seq")
         rows = rows.unionByName(initial.select(before, *QUAD_COLS))
-    rows = rows.alias("w")
-    kept = rows.join(resets, F.col("w.g").eqNullSafe(F.col("r.g")), "left").where(
-        F.col("r.reset").isNull() | (F.col("w.seq") >= F.col("r.reset"))
-    )
-    return statement_set(kept.select(*[f"w.{c}" for c in QUAD_COLS]))
+    return statement_set(unhidden(rows, last_resets(ops)))
 
 
 def graph_log_outcomes(

@@ -2,7 +2,7 @@
 
 Input columns: ``request_id``, ``status`` (NULL when the transport failed), ``content_type``,
 ``body``, ``transport_error``. Output: the request id, ``success``, ``status``, ``error``, and the payload.
-Everything is decided inside the row of a response; nothing is shuffled to find out about errors.
+Everything but JSON-LD is decided inside the row of a response; nothing is shuffled to find out about errors.
 """
 
 from __future__ import annotations
@@ -13,8 +13,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.terms import TEXT_BOOLEAN, is_results_json, media_type, parse_boolean, rdf_format_of
-from ..schema import TRIPLE_COLS, statement_set
-from ..sources.rdf_lines import body_is_valid, parse_statements
+from ..schema import QUAD_COLS, QUAD_SCHEMA, TRIPLE_COLS, demand, statement_set
+from ..sources import jsonld, turtle
+from ..sources.rdf_lines import cell_quads
 from .construct import dereify
 from .solutions import parse_results, results_complete, solution_columns
 
@@ -145,29 +146,44 @@ def count_success(outcomes: DataFrame) -> DataFrame:
 # --- CONSTRUCT --------------------------------------------------------------------------------
 
 
-def _checked(responses: DataFrame, wanted: Column) -> DataFrame:
-    """Adds ``_valid``: whether a body parses; NULL where ``wanted`` does not hold or no reader fits."""
-    fmt = rdf_format_of("content_type")
-    valid = F.when(wanted & (fmt == "NQUADS"), body_is_valid(F.col("body"))).when(
-        wanted & (fmt == "NTRIPLES"), body_is_valid(F.col("body"), quads=False)
-    )
-    return responses.select("*", valid.alias("_valid"))
+_QUADS = f"array<{QUAD_SCHEMA.simpleString()}>"
 
 
-def _statements(responses: DataFrame) -> DataFrame:
-    """The statements of bodies that are known to parse, a row each."""
-    lines = responses.select(
-        F.col("request_id"), F.explode(F.split("body", "\n")).alias("value")
-    )
+def _read_bodies(responses: DataFrame, wanted: Column) -> tuple[DataFrame, DataFrame]:
+    """Responses with ``_format`` and ``_valid``, and the statements of all valid bodies with their ``request_id``.
+
+    ``_format`` is NULL where ``wanted`` does not hold or no reader fits; ``_valid`` says whether the body parses as a
+    whole. Lines and Turtle are parsed once, inside the row, with the prefixes and blank nodes of the response alone.
+    Nodes of JSON-LD lie in each other to any depth: they are read level by level, a table each, and only the
+    ids of bodies that can not be read go back to the responses.
+    """
     scope = F.concat(F.col("request_id").cast("string"), F.lit("."))
-    return parse_statements(lines, scope=scope, mode="DROPMALFORMED")
+    rows = responses.withColumn("_format", F.when(wanted, rdf_format_of("content_type"))).withColumn("_scope", scope)
+    rows = turtle.parse_cells(
+        rows.withColumn("_turtle", F.when(F.col("_format") == "TURTLE", F.col("body"))), "_turtle", F.col("_scope"), "_triples")
+    in_row = (
+        F.when(F.col("_format") == "NQUADS", cell_quads(F.col("body"), scope))
+        .when(F.col("_format") == "NTRIPLES", cell_quads(F.col("body"), scope, quads=False))
+        .when(F.col("_format") == "TURTLE", F.col("_triples"))
+    )
+    rows = rows.withColumn("_quads", in_row.cast(_QUADS)).drop("_turtle", "_triples")
+    cells = responses.where(wanted & (rdf_format_of("content_type") == "JSONLD"))
+    linked = jsonld.parse_cells(cells.select(F.col("body").alias("value"), scope.alias("_scope")))
+    bad = linked.where("wrong").select("_scope", F.lit(True).alias("_bad")).distinct()
+    valid = F.when(F.col("_format") == "JSONLD", F.col("_bad").isNull()).when(F.col("_format").isNotNull(), F.col("_quads").isNotNull())
+    checked = rows.join(bad, "_scope", "left").withColumn("_valid", valid).drop("_scope", "_bad", "_quads")
+    # An outer explode: for any other, Spark puts a condition on the array in front, and parses once more.
+    own = rows.select("request_id", F.explode_outer("_quads").alias("_q")).where("_q IS NOT NULL").select("request_id", "_q.*")
+    request = F.substring("_scope", F.lit(1), F.length("_scope") - 1).cast(responses.schema["request_id"].dataType)
+    good = linked.join(bad, "_scope", "left_anti").select(request.alias("request_id"), *QUAD_COLS)
+    return checked, own.unionByName(good)
 
 
 def decode_construct(responses: DataFrame) -> DataFrame:
     """One row per response: success, status, and the error with the body that came instead."""
     failed = F.col("transport_error").isNotNull()
     ok = F.coalesce(F.col("status") == 200, F.lit(False)) & ~failed
-    rows = _checked(responses, ok)
+    rows, _ = _read_bodies(responses, ok)
     parsed = F.coalesce(F.col("_valid"), F.lit(False))
     unsupported = F.concat(F.lit("unsupported Content-Type: "), F.coalesce("content_type", F.lit("none")))
     return rows.select(
@@ -191,13 +207,13 @@ def construct_quads_of(responses: DataFrame) -> DataFrame:
     A node that lacks a part gives no quad; :func:`incomplete_nodes` tells of it.
     """
     ok = (F.col("status") == 200) & F.col("transport_error").isNull()
-    return dereify(_statements(_checked(responses, ok).where("_valid")), keep=["request_id"], on_error="DROPMALFORMED")
+    return dereify(_read_bodies(responses, ok)[1], keep=["request_id"], on_error="DROPMALFORMED")
 
 
 def incomplete_nodes(responses: DataFrame) -> DataFrame:
     """``request_id, error``: reified statements of CONSTRUCT bodies that lack a part."""
     ok = (F.col("status") == 200) & F.col("transport_error").isNull()
-    nodes = dereify(_statements(_checked(responses, ok).where("_valid")), keep=["request_id"], on_error="PERMISSIVE")
+    nodes = dereify(_read_bodies(responses, ok)[1], keep=["request_id"], on_error="PERMISSIVE")
     message = F.concat(F.lit("incomplete reified statement: "), F.col("_corrupt_record"))
     return nodes.where(F.col("_corrupt_record").isNotNull()).select("request_id", message.alias("error"))
 
@@ -208,33 +224,31 @@ def incomplete_nodes(responses: DataFrame) -> DataFrame:
 def decode_graph(responses: DataFrame, mode: str = "PERMISSIVE") -> DataFrame:
     """One row per answered response: success by status code, and its model if it has one.
 
-    No body, a body of an unknown type and a body with a malformed line all mean no model, never a
+    No body, a body of an unknown type and a body with a malformed statement all mean no model, never a
     failure. Responses lost in transport have no row; with ``FAILFAST`` they raise, as do unknown codes.
     """
-    lost = F.col("transport_error").isNotNull()
+    lost, known = F.col("transport_error").isNotNull(), status_success("status", "PERMISSIVE")
+    unknown = F.concat(F.lit("status code outside the known ones: "), F.col("status").cast("string"))
     if mode == "FAILFAST":
-        raised = F.raise_error(F.concat(F.lit("transport failed: "), F.col("transport_error")))
-        answered = responses.where(F.when(lost, raised.cast("boolean")).otherwise(True))
+        answered = demand(responses, ~lost, F.concat(F.lit("transport failed: "), F.col("transport_error")))
+        answered = demand(answered, known.isNotNull(), F.coalesce(unknown, F.lit("no status code")))
     else:
         answered = responses.where(~lost)
-    unknown = F.concat(F.lit("status code outside the known ones: "), F.col("status").cast("string"))
-    return _with_model(answered).select(
-        "request_id",
-        status_success("status", mode).alias("success"),
-        "status",
-        F.when(status_success("status", "PERMISSIVE").isNull(), unknown).alias("error"),
-        F.coalesce(F.col("_valid"), F.lit(False)).alias("has_model"),
+    rows, _ = _read_bodies(answered, _has_body())
+    return rows.select(
+        "request_id", known.alias("success"), "status", F.when(known.isNull(), unknown).alias("error"),
+        F.coalesce("_valid", F.lit(False)).alias("has_model"),
     )
 
 
-def _with_model(responses: DataFrame) -> DataFrame:
-    return _checked(responses, F.coalesce(F.length("body") > 0, F.lit(False)))
+def _has_body() -> Column:
+    return F.coalesce(F.length("body") > 0, F.lit(False))
 
 
 def graph_models(responses: DataFrame) -> DataFrame:
     """Statements of the models of graph store responses: a set per response."""
-    parsed = _statements(_with_model(responses.where(F.col("transport_error").isNull())).where("_valid"))
-    return statement_set(parsed, ["request_id", *TRIPLE_COLS])
+    _, found = _read_bodies(responses.where(F.col("transport_error").isNull()), _has_body())
+    return statement_set(found, ["request_id", *TRIPLE_COLS])
 
 
 def graph_outcomes(responses: DataFrame, mode: str = "PERMISSIVE") -> DataFrame:

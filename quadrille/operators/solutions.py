@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.terms import as_type
+from ..schema import demand
 
 #: The SPARQL 1.1 results JSON format.
 _BINDING = "map<string,struct<type:string,datatype:string,value:string,`xml:lang`:string>>"
@@ -90,10 +91,8 @@ def map_solutions(
 def map_field(solutions: DataFrame, variable: str, kind: str = "string") -> DataFrame:
     """One variable, typed, that every solution must bind; a missing or ill-typed one raises."""
     value = as_type(variable, kind)
-    missing = F.raise_error(F.lit(f"no {kind} value for {variable}"))
-    return solutions.select(
-        F.when(value.isNotNull(), value).otherwise(missing).alias(variable)
-    )
+    bound = demand(solutions, value.isNotNull(), F.lit(f"no {kind} value for {variable}"))
+    return bound.select(value.alias(variable))
 
 
 def map_iri_field(solutions: DataFrame, variable: str) -> DataFrame:

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions import terms
 from ..operators import bgp, responses, solutions
-from ..schema import XSD
+from ..schema import RDF_LANGSTRING, XSD
 from ..sources import rdf_lines, writers
 from . import views as V
 from .registry import query
@@ -17,6 +17,8 @@ _MEDIA = "lower(trim(split_part(content_type, ';', 1)))"
 _KEY = "'urn:orders:' || CAST(o_orderkey AS VARCHAR)"
 _CUST = "'urn:customer:' || CAST(o_custkey AS VARCHAR)"
 _PRICE = "CAST(CAST(o_totalprice AS DECIMAL(18,2)) AS VARCHAR)"
+_CUSTOMER = "'urn:customer:' || CAST(c_custkey AS VARCHAR)"
+_NATION = "'urn:nation:' || CAST(c_nationkey AS VARCHAR)"
 _QUERY = "o_totalprice >= 100000 AND o_orderpriority IN ('1-URGENT', '5-LOW') AND o_orderstatus IN ('O', 'F')"
 VARS = ["order", "customer", "total"]
 
@@ -74,15 +76,16 @@ def decode_boolean(spark, sf_dir):
 
 _FORMAT = (
     f"CASE {_MEDIA} WHEN 'application/n-triples' THEN 'NTRIPLES' WHEN 'application/n-quads' THEN 'NQUADS' "
-    "WHEN 'text/x-nquads' THEN 'NQUADS' WHEN 'application/octet-stream' THEN 'NTRIPLES' END"
+    "WHEN 'text/x-nquads' THEN 'NQUADS' WHEN 'application/octet-stream' THEN 'NTRIPLES' WHEN 'text/turtle' THEN 'TURTLE' "
+    "WHEN 'application/ld+json' THEN 'JSONLD' END"
 )
 
 
 @query(
     "rdf_format_of",
     R + f", f AS (SELECT content_type, {_FORMAT} AS rdf_format FROM responses) SELECT content_type, rdf_format, "
-    "CASE rdf_format WHEN 'NTRIPLES' THEN 'application/n-triples' WHEN 'NQUADS' THEN 'application/n-quads' END "
-    "AS sent_as, count(*) AS n FROM f GROUP BY ALL",
+    "CASE rdf_format WHEN 'NTRIPLES' THEN 'application/n-triples' WHEN 'NQUADS' THEN 'application/n-quads' "
+    "WHEN 'TURTLE' THEN 'text/turtle' WHEN 'JSONLD' THEN 'application/ld+json' END AS sent_as, count(*) AS n FROM f GROUP BY ALL",
 )
 def rdf_format_of(spark, sf_dir):
     named = V.responses(spark, sf_dir).select(
@@ -192,7 +195,11 @@ _CONSTRUCTED = (
     "CAST(NULL AS VARCHAR) AS o_datatype, CAST(NULL AS VARCHAR) AS o_lang FROM orders WHERE o_orderpriority = '3-MEDIUM' "
     "AND o_totalprice >= 100000 AND (o_orderstatus <> 'P' OR o_totalprice < 250000) UNION ALL "
     f"SELECT o_orderkey, 'urn:g:orders', {_KEY}, 'uri', 'urn:p:o_totalprice', {_PRICE}, 'literal', '{XSD}decimal', NULL "
-    "FROM orders WHERE o_orderpriority = '3-MEDIUM' AND o_totalprice >= 100000 AND o_orderstatus = 'F'"
+    "FROM orders WHERE o_orderpriority = '3-MEDIUM' AND o_totalprice >= 100000 AND o_orderstatus = 'F' UNION ALL "
+    f"SELECT -1 - c_custkey, 'urn:g:customer', {_CUSTOMER}, 'uri', 'urn:p:c_name', {V.LONG_TEXT}, 'literal', '{XSD}string', NULL "
+    "FROM customer WHERE c_custkey % 8 = 0 UNION ALL "
+    f"SELECT -1 - c_custkey, 'urn:g:customer', {_CUSTOMER}, 'uri', 'urn:p:c_nationkey', {_NATION}, 'uri', NULL, NULL "
+    "FROM customer WHERE c_custkey % 8 = 1"
 )
 
 
@@ -203,22 +210,24 @@ def decode_construct(spark, sf_dir):
 
 @query(
     "decode_construct_outcomes",
-    R + "SELECT request_id, status = 200 AND content_type <> 'application/rdf+xml' AS success, coalesce(status, 0) AS status, "
+    R + "SELECT request_id, status = 200 AND content_type <> 'application/rdf+xml' AND body NOT LIKE '%broken%' AS success, coalesce(status, 0) AS status, "
     "CASE WHEN transport_error IS NOT NULL THEN transport_error WHEN status <> 200 THEN body "
-    "WHEN content_type = 'application/rdf+xml' THEN 'unsupported Content-Type: application/rdf+xml' END AS error, "
+    "WHEN content_type = 'application/rdf+xml' THEN 'unsupported Content-Type: application/rdf+xml' "
+    "WHEN body LIKE '%broken%' THEN 'malformed body' END AS error, "
     "CASE WHEN transport_error IS NOT NULL THEN 'no response' "
     "WHEN status <> 200 THEN 'status is not 200, error holds the body' END AS message "
     "FROM (SELECT * REPLACE (coalesce(status, -1) AS status) FROM responses WHERE route = 'construct')".replace(
         "coalesce(status, 0) AS status", "greatest(status, 0) AS status"
-    ).replace("status = 200 AND content_type <> 'application/rdf+xml' AS success",
-              "coalesce(status = 200 AND content_type <> 'application/rdf+xml', false) AS success"),
+    ).replace("status = 200 AND content_type <> 'application/rdf+xml' AND body NOT LIKE '%broken%' AS success",
+              "coalesce(status = 200 AND content_type <> 'application/rdf+xml' AND body NOT LIKE '%broken%', false) AS success"),
 )
 def decode_construct_outcomes(spark, sf_dir):
     return responses.decode_construct(V.responses(spark, sf_dir, "construct"))
 
 
 _GRAPH_SIZE = (
-    "CASE WHEN status = 200 AND body LIKE '%orderstatus%' THEN 2 WHEN status = 200 AND body LIKE '<urn%' "
+    "CASE WHEN content_type LIKE 'text/turtle%' AND body NOT LIKE '%broken%' THEN 2 "
+    "WHEN content_type = 'application/ld+json' AND body NOT LIKE '%broken%' THEN 3 WHEN status = 200 AND body LIKE '%orderstatus%' THEN 2 WHEN status = 200 AND body LIKE '<urn%' "
     "AND body NOT LIKE '%broken%' THEN 1 END"
 )
 
@@ -253,7 +262,16 @@ def empty_payload(spark, sf_dir):
     "CAST(NULL AS VARCHAR) AS o_lang FROM (SELECT *, unnest([{'p': 'urn:p:o_custkey', 's': " + _KEY + ", 'o': " + _CUST
     + ", 't': 'uri', 'd': NULL}, {'p': 'urn:p:o_orderstatus', 's': " + _KEY + ", 'o': o_orderstatus, 't': 'literal', 'd': '"
     + XSD + "string'}]) AS k FROM orders WHERE o_orderpriority = '4-NOT SPECIFIED' AND o_totalprice >= 100000) "
-    "WHERE o_orderstatus = 'O' OR (o_orderstatus = 'P' AND o_totalprice >= 250000 AND k.t = 'uri')",
+    "WHERE o_orderstatus = 'O' OR (o_orderstatus = 'P' AND o_totalprice >= 250000 AND k.t = 'uri') UNION ALL "
+    f"SELECT -1 - c_custkey, {_CUSTOMER}, 'uri', 'urn:p:c_nationkey', {_NATION}, 'uri', NULL, NULL FROM customer WHERE c_custkey % 8 = 4 UNION ALL "
+    f"SELECT -1 - c_custkey, {_CUSTOMER}, 'uri', 'urn:p:c_mktsegment', c_mktsegment, 'literal', '{RDF_LANGSTRING}', 'en' "
+    "FROM customer WHERE c_custkey % 8 = 4 UNION ALL "
+    f"SELECT -1 - c_custkey, {_CUSTOMER}, 'uri', 'urn:p:c_acctbal', CAST(CAST(c_acctbal AS DECIMAL(18,2)) AS VARCHAR), 'literal', '{XSD}decimal', NULL "
+    "FROM customer WHERE c_custkey % 8 = 5 UNION ALL "
+    f"SELECT -1 - c_custkey, {_CUSTOMER}, 'uri', 'urn:p:knows', CAST(-1 - c_custkey AS VARCHAR) || '.x', 'bnode', NULL, NULL "
+    "FROM customer WHERE c_custkey % 8 = 5 UNION ALL "
+    f"SELECT -1 - c_custkey, CAST(-1 - c_custkey AS VARCHAR) || '.x', 'bnode', 'urn:p:c_name', c_name, 'literal', '{XSD}string', NULL "
+    "FROM customer WHERE c_custkey % 8 = 5",
 )
 def swallow_parse_error(spark, sf_dir):
     return responses.graph_models(V.responses(spark, sf_dir, "graph"))
@@ -297,7 +315,7 @@ def zip_response(spark, sf_dir):
     "merge_responses",
     R + "SELECT route, count(*) AS n, count(*) FILTER (CASE route WHEN 'query' THEN coalesce(body LIKE '%bindings%', false) "
     f"WHEN 'update' THEN status = 200 AND ({_MEDIA} <> 'text/boolean' OR lower(body) = 'true') "
-    "WHEN 'construct' THEN status = 200 AND content_type <> 'application/rdf+xml' END) AS n_success "
+    "WHEN 'construct' THEN status = 200 AND content_type <> 'application/rdf+xml' AND body NOT LIKE '%broken%' END) AS n_success "
     "FROM responses WHERE route <> 'graph' GROUP BY route",
 )
 def merge_responses(spark, sf_dir):

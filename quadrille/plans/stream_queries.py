@@ -98,21 +98,18 @@ def stream_dereify(spark, sf_dir):
     return _finished(spark, stream, "dereified").where("error IS NULL").select(*QUAD_COLS)
 
 
+#: Rows of the log in one file, and files of one batch.
+LOG_FILE, LOG_FILES = 1 << 14, 4
+
+
 @query("stream_graph_log", ORACLES["graph_log_replay"])
 def stream_graph_log(spark, sf_dir):
-    """The event log in three batches of one file each; the state after the last batch."""
-    log = V.ops(spark, sf_dir).join(V.payload(spark, sf_dir), "seq", "left")
+    """The event log in batches of several files, as many as the log is long; the state after the last batch."""
+    log = stage(V.ops(spark, sf_dir).join(V.payload(spark, sf_dir), "seq", "left"), "log")
+    files = log.count() // LOG_FILE + LOG_FILES + 1
     path = fresh_path(spark, "stream-log")
-    log = stage(log, "log")
-    first, last = log.agg(F.min("seq"), F.max("seq")).first()
-    width = (last - first) // 3 + 1 if first is not None else 1
-    for k in range(3):
-        # Files are taken in order of their time, so the segments are written one after the other.
-        segment = log.where(F.floor((F.col("seq") - F.lit(first)) / width) == k)
-        segment.coalesce(1).write.mode("append").parquet(path)
-    stream = spark.readStream.schema(log.schema).option("maxFilesPerTrigger", 1).parquet(path)
+    log.repartitionByRange(files, "seq").write.parquet(path)
+    stream = spark.readStream.schema(log.schema).option("maxFilesPerTrigger", LOG_FILES).parquet(path)
     sink = flows.GraphLogSink(spark, fresh_path(spark, "stream-store"))
     flows.stream_graph_log(stream, sink, fresh_path(spark, "stream-log-state")).awaitTermination()
     return sink.state()
-
-

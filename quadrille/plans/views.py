@@ -242,12 +242,43 @@ RESPONSE_COLUMNS = {
     ),
     "transport_error": "CASE WHEN o_totalprice < 25000 THEN 'connection reset' ELSE CAST(NULL AS VARCHAR(80)) END",
 }
-RESPONSES_SQL = _sql(RESPONSE_COLUMNS, "orders")
+
+_CK, _CN = "CAST(c_custkey AS VARCHAR(20))", "CAST(c_nationkey AS VARCHAR(20))"
+_BALANCE = "CAST(CAST(c_acctbal AS DECIMAL(18,2)) AS VARCHAR(30))"
+_Q, _QQQ, _LF = "chr(34)", "chr(34), chr(34), chr(34)", "chr(10)"
+#: What a string of a Turtle body holds, so that it must not be taken for a statement.
+LONG_TEXT = f"concat(c_name, {_LF}, '<urn:a> <urn:b> <urn:c> .', {_LF})"
+#: Bodies in Turtle and JSON-LD by the last digit of the key to base 8: answers to CONSTRUCT, then graphs; good and broken.
+LINKED_BODIES = [
+    f"concat('@prefix rdf: <{RDF}> .', {_LF}, 'PREFIX c: <urn:customer:>', {_LF}, '_:q rdf:subject c:', {_CK}, "
+    f"' ; rdf:predicate <urn:p:c_name> ;', {_LF}, ' rdf:object ', {_QQQ}, {LONG_TEXT}, {_QQQ}, ' ; rdf:graph <urn:g:customer> .', {_LF})",
+    f"concat('[{{\"@id\":\"_:q\",\"{RDF}subject\":[{{\"@id\":\"urn:customer:', {_CK}, '\"}}],\"{RDF}predicate\":[{{\"@id\":\"urn:p:c_nationkey\"}}],"
+    f"\"{RDF}object\":[{{\"@id\":\"urn:nation:', {_CN}, '\"}}],\"{RDF}graph\":[{{\"@id\":\"urn:g:customer\"}}]}}]')",
+    f"concat('@prefix c: <urn:customer:> .', {_LF}, 'c:', {_CK}, ' broken:name ', {_Q}, 'x', {_Q}, ' .')",
+    f"concat('[{{\"@id\":\"urn:customer:', {_CK}, '\",\"urn:p:broken\":[{{\"@list\":[]}}]}}]')",
+    f"concat('PREFIX p: <urn:p:>', {_LF}, '<urn:customer:', {_CK}, '> p:c_nationkey <urn:nation:', {_CN}, '> ;', {_LF}, "
+    f"'  p:c_mktsegment ', {_Q}, c_mktsegment, {_Q}, '@en .')",
+    f"concat('[{{\"@id\":\"urn:customer:', {_CK}, '\",\"urn:p:c_acctbal\":[{{\"@value\":\"', {_BALANCE}, '\",\"@type\":\"{XSD}decimal\"}}],"
+    f"\"urn:p:knows\":[{{\"@id\":\"_:x\",\"urn:p:c_name\":[{{\"@value\":\"', c_name, '\"}}]}}]}}]')",
+    f"concat('<urn:customer:', {_CK}, '> <urn:p:broken> ', {_QQQ}, 'never closed .', {_LF}, '<urn:a> <urn:b> <urn:c> .')",
+    f"concat('[{{\"@id\":\"urn:customer:', {_CK}, '\",\"urn:p:broken\":')",
+]
+LINKED_COLUMNS = {
+    "request_id": "CAST(-1 - c_custkey AS BIGINT)",
+    "route": "CASE WHEN c_custkey % 8 < 4 THEN 'construct' ELSE 'graph' END",
+    "status": "200",
+    "content_type": "CASE WHEN c_custkey % 2 = 0 THEN 'text/turtle; charset=UTF-8' ELSE 'application/ld+json' END",
+    "body": "CASE c_custkey % 8 " + " ".join(f"WHEN {i} THEN {b}" for i, b in enumerate(LINKED_BODIES)) + " END",
+    "transport_error": "CAST(NULL AS VARCHAR(80))",
+}
+RESPONSES_SQL = _sql(RESPONSE_COLUMNS, "orders") + " UNION ALL " + _sql(LINKED_COLUMNS, "customer")
 
 
 def responses(spark: SparkSession, sf_dir: str, route: str | None = None) -> DataFrame:
-    """One captured response per order: good ones of each route and every kind of bad one."""
-    out = table(spark, sf_dir, "orders").selectExpr(*_exprs(RESPONSE_COLUMNS))
+    """One captured response per order: good ones of each route and every kind of bad one. One per customer in Turtle or
+    JSON-LD."""
+    out = table(spark, sf_dir, "orders").selectExpr(*_exprs(RESPONSE_COLUMNS)).unionByName(
+        table(spark, sf_dir, "customer").selectExpr(*_exprs(LINKED_COLUMNS)))
     return out if route is None else out.where(F.col("route") == route)
 
 

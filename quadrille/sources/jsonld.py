@@ -79,6 +79,7 @@ def _statements(values: DataFrame) -> DataFrame:
     lexical = F.when(v("@type").isNull() & (native_type == XSD + "double"), _canonical_double(native)).otherwise(v("@value"))
     target = F.when(_is_node(), _id_of("_v"))
     out = values.select(
+        "_scope",
         F.col("_graph").alias("g"),
         label(F.col("_id")).alias("s"),
         kind(F.col("_id")).alias("s_type"),
@@ -133,12 +134,43 @@ def read_jsonld(
 
 def parse_documents(texts: DataFrame, mode: str = "FAILFAST", arrays: bool = True) -> DataFrame:
     """Documents ``value`` with their ``_scope`` and ``_place``: arrays of nodes, or a node each."""
+    parsed = _nodes_of(texts, arrays)
+    if mode == "FAILFAST":
+        parsed = demand(parsed, F.col("_whole"), F.lit("malformed JSON-LD"))
+    found = _found(parsed)
+    if mode == "DROPMALFORMED":
+        return found.where("not wrong").select(*QUAD_COLS)
+    if mode == "FAILFAST":
+        return demand(found, ~F.col("wrong"), F.concat(F.lit("unsupported JSON-LD: "), "text")).select(*QUAD_COLS)
+    broken = parsed.where("NOT _whole").select(
+        *[F.lit(None).cast("string").alias(c) for c in QUAD_COLS], F.col("value").alias("_corrupt_record"))
+    return found.select(
+        *[F.when(~F.col("wrong"), F.col(c)).alias(c) for c in QUAD_COLS],
+        F.when(F.col("wrong"), F.col("text")).alias("_corrupt_record"),
+    ).unionByName(broken)
+
+
+def parse_cells(texts: DataFrame) -> DataFrame:
+    """Documents ``value`` with a ``_scope`` each, as quads with ``_scope`` and ``wrong``; a document that can not be
+    read as a whole is one row that is ``wrong``. The rows are written, as who reads them wants to know first which
+    documents are good."""
+    parsed = _nodes_of(texts.withColumn("_place", F.lit("")), True)
+    found = _found(parsed).select("_scope", *QUAD_COLS, "wrong")
+    broken = parsed.where("NOT _whole").select(
+        "_scope", *[F.lit(None).cast("string").alias(c) for c in QUAD_COLS], F.lit(True).alias("wrong"))
+    return stage(found.unionByName(broken), "jsonld-bodies")
+
+
+def _nodes_of(texts: DataFrame, arrays: bool) -> DataFrame:
+    """Adds the ``_nodes`` of each document and whether it is ``_whole``."""
     text = F.col("value") if arrays else F.concat(F.lit("["), F.col("value"), F.lit("]"))
     parsed = texts.withColumn("_nodes", F.from_json(text, f"array<{_NODE}>"))
-    whole = F.coalesce(F.forall("_nodes", lambda n: n.isNotNull()), F.lit(False))
-    if mode == "FAILFAST":
-        parsed = demand(parsed, whole, F.lit("malformed JSON-LD"))
-    each = parsed.where(whole).select("_scope", "_place", F.posexplode("_nodes").alias("_i", "_node"))
+    return parsed.withColumn("_whole", F.coalesce(F.forall("_nodes", lambda n: n.isNotNull()), F.lit(False)))
+
+
+def _found(parsed: DataFrame) -> DataFrame:
+    """The statements of all documents that are whole."""
+    each = parsed.where("_whole").select("_scope", "_place", F.posexplode("_nodes").alias("_i", "_node"))
     each = each.select("_scope", F.concat_ws("/", "_place", F.col("_i").cast("string")).alias("_path"), "_node")
     graph = F.element_at("_node", "@id")
     has_graph = F.map_contains_key("_node", "@graph")
@@ -148,14 +180,4 @@ def parse_documents(texts: DataFrame, mode: str = "FAILFAST", arrays: bool = Tru
         "_scope", graph.alias("_graph"), "_path",
         F.posexplode(F.from_json(F.element_at("_node", "@graph"), f"array<{_NODE}>")).alias("_j", "_node"))
     inside = inside.select("_scope", "_graph", F.concat_ws("/", "_path", F.lit("@graph"), F.col("_j").cast("string")).alias("_path"), "_node")
-    found = parse_nodes(stage(own.unionByName(inside), "nodes"))
-    if mode == "DROPMALFORMED":
-        return found.where("not wrong").select(*QUAD_COLS)
-    if mode == "FAILFAST":
-        return demand(found, ~F.col("wrong"), F.concat(F.lit("unsupported JSON-LD: "), "text")).select(*QUAD_COLS)
-    broken = parsed.where(~whole).select(
-        *[F.lit(None).cast("string").alias(c) for c in QUAD_COLS], F.col("value").alias("_corrupt_record"))
-    return found.select(
-        *[F.when(~F.col("wrong"), F.col(c)).alias(c) for c in QUAD_COLS],
-        F.when(F.col("wrong"), F.col("text")).alias("_corrupt_record"),
-    ).unionByName(broken)
+    return parse_nodes(stage(own.unionByName(inside), "nodes"))

@@ -80,13 +80,22 @@ def _has_content(line: Column) -> Column:
 
 
 def body_is_valid(body: Column, quads: bool = True) -> Column:
-    """Every line of a body held in one cell is a statement, empty or a comment.
+    """Every line of a body held in one cell is a statement, empty or a comment."""
+    return F.forall(F.split(body, "\n"), lambda line: ~_has_content(line) | is_statement(line, quads))
 
-    This is settled inside the row; to keep or drop a body as a whole needs no shuffle.
+
+def cell_quads(body: Column, scope: Column, quads: bool = True) -> Column:
+    """The statements of a body held in one cell, as an array; NULL if one of its lines is neither a statement nor
+    empty nor a comment.
+
+    All of it is settled inside the row: to keep or drop a body as a whole needs no shuffle.
     """
-    return F.forall(
-        F.split(body, "\n"), lambda line: ~_has_content(line) | is_statement(line, quads)
-    )
+    lines = F.filter(F.split(body, "\n"), _has_content)
+    of = lambda f: F.struct(*[c.alias(n) for n, c in _statement(f, scope).items()])
+    parsed = F.transform(lines, lambda line: F.get(F.transform(F.array(_fields(line, quads)), of), F.lit(0)))
+    quad = lambda r: F.struct(*[r[c].alias(c) for c in QUAD_COLS])
+    whole = lambda rs: F.when(F.forall(rs, lambda r: r["ok"]), F.transform(rs, quad))
+    return F.get(F.transform(F.array(parsed), whole), F.lit(0))
 
 
 def parse_statements(

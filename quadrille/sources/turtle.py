@@ -1,267 +1,379 @@
-"""Turtle files: prefixes, bases, ``a``, and predicate and object lists.
+"""Turtle: prefixes, bases, ``a``, predicate and object lists, and strings over many lines.
 
-A file is split in parts like any text. Strings end on their line, so every part can be cut in statements from its
-first full stop on. A statement that needs nothing from before its part is parsed at once. What is left
-are the ends of each part and its declarations, a row per part: these are put together in order of the
-file, which gives the statements across parts and the prefixes that hold at the start of each. With them,
-the statements that waited are parsed. All parts are written once in between.
+Texts are cut in statements, and statements in tokens, by one regular expression each; everything after that
+is array expressions over the tokens. A body held in one cell is parsed inside its row (``parse_cells``).
+
+A file is split in parts like any text, and the lines of a part in chunks. Only a string in triple quotes reaches over
+the end of a line, so what a chunk means depends on where it begins: outside of any string, or within one of either
+kind. How each of the three would end is a small table per chunk; a scan over these tables tells how every chunk
+begins, and each is then cut once. The ends of chunks, a few lines each, are put together per statement. Declarations
+are a table of changes per file, in which every name looks up the last one before its place.
 
 Not covered, and reported in ``_corrupt_record`` with the whole statement: blank node property lists
-``[ ]``, collections ``( )`` and long strings in triple quotes.
+``[ ]`` and collections ``( )``.
 """
 
 from __future__ import annotations
 
-import re
-from collections.abc import Iterator
-from urllib.parse import urljoin
+import math
+from collections.abc import Callable, Iterator
 
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from ..functions.terms import unescape
+from ..operators.scans import running
 from ..schema import QUAD_COLS, RDF_LANGSTRING, RDF_TYPE, TRIPLE_COLS, XSD, XSD_STRING, demand
 from ..session import stage
 
-TOKEN = re.compile(
-    r"""#[^\n]*|\"\"\"|'''|"(?:[^"\\\n]|\\.)*"|'(?:[^'\\\n]|\\.)*'|<[^<>"{}|^`\x00-\x20]*>"""
-    r"""|@[a-zA-Z]+(?:-[a-zA-Z0-9]+)*|\^\^|[\[\]();,]|(?:\\.|[^\s<>"'#();,\[\]^\\])+|\S"""
-)
-IRI = re.compile(r"<(.*)>")
-SCHEME = re.compile(r"[A-Za-z][A-Za-z0-9+.-]*:")
-NUMBER = {
-    XSD + "integer": re.compile(r"[+-]?\d+"),
-    XSD + "decimal": re.compile(r"[+-]?\d*\.\d+"),
-    XSD + "double": re.compile(r"[+-]?(?:\d+\.?\d*|\.\d+)[eE][+-]?\d+"),
-}
-ESCAPE = re.compile(r"\\(?:u([0-9A-Fa-f]{4})|U([0-9A-Fa-f]{8})|(.))", re.S)
-ESCAPED = {"t": "\t", "b": "\b", "n": "\n", "r": "\r", "f": "\f", '"': '"', "'": "'", "\\": "\\"}
-BASE = "<>"
-
-
-class Malformed(Exception):
-    """The statement is none, or is not covered."""
-
-
-class Undeclared(Malformed):
-    """A prefix or base is missing, which an earlier part of the file may declare."""
-
-
-def unescape(text: str) -> str:
-    def char(m: re.Match) -> str:
-        if m[3]:
-            if m[3] not in ESCAPED:
-                raise Malformed
-            return ESCAPED[m[3]]
-        code = int(m[1] or m[2], 16)
-        if code > 0x10FFFF or 0xD800 <= code <= 0xDFFF:
-            raise Malformed
-        return chr(code)
-
-    return ESCAPE.sub(char, text) if "\\" in text else text
-
-
-def is_directive(tokens: list[str]) -> bool:
-    return tokens[0].lower() in ("@prefix", "@base", "prefix", "base") and not tokens[0].endswith(":")
-
-
-class Statements:
-    """Cuts lines in statements, each a list of tokens."""
-
-    def __init__(self) -> None:
-        self.open: list[str] = []
-
-    def _end(self) -> list[str]:
-        done, self.open = self.open, []
-        return done
-
-    def feed(self, text: str) -> Iterator[list[str]]:
-        for token in TOKEN.findall(text):
-            first = token[0]
-            if first == "#":
-                continue
-            if first not in "<\"'" and token[-1] == "." and not token.endswith("\\."):
-                word = token.rstrip(".")
-                if word:
-                    self.open.append(word)
-                # A second full stop is an empty statement, which is none.
-                yield self._end() + ([] if len(token) - len(word) == 1 else ["."])
-                continue
-            self.open.append(token)
-            # The SPARQL forms of the declarations have no full stop.
-            if self.open[0].lower() == {2: "base", 3: "prefix"}.get(len(self.open)):
-                yield self._end()
-
-
-def resolve(iri: str, known: dict[str, str]) -> str:
-    iri = unescape(iri)
-    if SCHEME.match(iri):
-        return iri
-    if BASE not in known:
-        raise Undeclared
-    base = known[BASE]
-    if base.split(":", 1)[0] in ("http", "https", "ftp", "file"):
-        return urljoin(base, iri)
-    return base.split("#")[0] + iri if iri.startswith("#") or not iri else base[: base.rfind("/") + 1] + iri
-
-
-def resource(token: str, known: dict[str, str], scope: str) -> tuple[str, str]:
-    """Value and kind of an IRI, a prefixed name or a blank node."""
-    if token[0] == "<":
-        if not IRI.fullmatch(token):
-            raise Malformed
-        return resolve(token[1:-1], known), "uri"
-    if token.startswith("_:") and len(token) > 2:
-        return scope + token[2:], "bnode"
-    prefix, colon, local = token.partition(":")
-    if not colon or not re.fullmatch(r"(?:\w[\w.-]*)?", prefix):
-        raise Malformed
-    if prefix not in known:
-        raise Undeclared
-    return known[prefix] + re.sub(r"\\(.)", r"\1", local), "uri"
-
-
-def declare(tokens: list[str], known: dict[str, str]) -> None:
-    kind = tokens[0].lower().lstrip("@")
-    if kind == "base" and len(tokens) == 2 and IRI.fullmatch(tokens[1]):
-        known[BASE] = resolve(tokens[1][1:-1], known)
-    elif kind == "prefix" and len(tokens) == 3 and tokens[1].endswith(":") and IRI.fullmatch(tokens[2]):
-        known[tokens[1][:-1]] = resolve(tokens[2][1:-1], known)
-    else:
-        raise Malformed
-
-
-def literal(tokens: list[str], at: int, known: dict[str, str], scope: str) -> tuple[tuple, int]:
-    """Object columns of the literal at a place, and the place after it."""
-    token = tokens[at]
-    if token[0] in "\"'":
-        if len(token) < 2 or token in ('"""', "'''") or token[-1] != token[0]:
-            raise Malformed
-        value = unescape(token[1:-1])
-        follows = tokens[at + 1] if at + 1 < len(tokens) else ""
-        if follows.startswith("@"):
-            return (value, "literal", RDF_LANGSTRING, follows[1:]), at + 2
-        if follows == "^^":
-            if at + 2 >= len(tokens):
-                raise Malformed
-            return (value, "literal", resource(tokens[at + 2], known, scope)[0], None), at + 3
-        return (value, "literal", XSD_STRING, None), at + 1
-    if token in ("true", "false"):
-        return (token, "literal", XSD + "boolean", None), at + 1
-    for datatype, pattern in NUMBER.items():
-        if pattern.fullmatch(token):
-            return (token, "literal", datatype, None), at + 1
-    value, kind = resource(token, known, scope)
-    return (value, kind, None, None), at + 1
-
-
-def triples(tokens: list[str], known: dict[str, str], scope: str) -> list[tuple]:
-    """The triples of a statement in the order of the triple columns."""
-    if len(tokens) < 3:
-        raise Malformed
-    subject, out, at = resource(tokens[0], known, scope), [], 1
-    while at < len(tokens):
-        verb = (RDF_TYPE, "uri") if tokens[at] == "a" else resource(tokens[at], known, scope)
-        if verb[1] != "uri":
-            raise Malformed
-        while True:
-            at += 1
-            if at >= len(tokens):
-                raise Malformed
-            object_, at = literal(tokens, at, known, scope)
-            out.append((*subject, verb[0], *object_))
-            if at == len(tokens) or tokens[at] != ",":
-                break
-        if at < len(tokens) and tokens[at] != ";":
-            raise Malformed
-        while at < len(tokens) and tokens[at] == ";":
-            at += 1
-    return out
-
-
-_OUT = ["file", "part", "kind", *TRIPLE_COLS, "text", "tail", "known"]
-_SCHEMA = "file string, part bigint, kind string, " + ", ".join(f"{c} string" for c in TRIPLE_COLS) + (
-    ", text string, tail string, known map<string,string>")
-_NONE = (None,) * len(TRIPLE_COLS)
-
-
-class Rows:
-    """Rows of one kind of result each: a quad, a corrupt or waiting statement, the ends of a part, what holds at its start."""
-
-    def __init__(self) -> None:
-        self.rows: list[tuple] = []
-
-    def statement(self, file: str, part: int, scope: str, tokens: list[str], known: dict[str, str], final: bool) -> None:
-        """Parse a statement into rows; one that may still find its prefix later waits unless it is ``final``."""
-        if not tokens:
-            return
-        try:
-            if is_directive(tokens):
-                declare(tokens, known)
-            else:
-                self.rows += [(file, part, "quad", *t, None, None, None) for t in triples(tokens, known, scope)]
-        except Undeclared:
-            kind = "corrupt" if final else "waits"
-            self.rows.append((file, part, kind, *_NONE, " ".join(tokens), scope, dict(known)))
-        except Malformed:
-            self.rows.append((file, part, "corrupt", *_NONE, " ".join(tokens), None, None))
-
-    def part_ends(self, file: str, part: int, head: list[str] | None, tail: list[str], known: dict[str, str]) -> None:
-        self.rows.append((file, part, "ends", *_NONE, None if head is None else " ".join(head), " ".join(tail), dict(known)))
-
-    def frame(self) -> pd.DataFrame:
-        rows, self.rows = self.rows, []
-        return pd.DataFrame(rows, columns=_OUT)
-
-
-def _cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Statements of each part in order; the first part of a file begins at the start of a statement."""
-    out = Rows()
-    now, statements, head, begun, known, scope = None, Statements(), None, False, {}, ""
-
-    def close() -> None:
-        if now is not None:
-            out.part_ends(*now, head, statements.open, known)
+# --- the grammar of tokens; possessive loops neither backtrack nor recurse, however long a text is -----------
 
+_GAP = r"(?:\s++|#[^\n]*+)*+"
+_LONG = {q: rf"{q * 3}[^{q}\\]*+(?:(?:\\.|{q}(?!{q}{q}))[^{q}\\]*+)*+{q * 3}" for q in "\"'"}
+_SHORT = {q: rf"{q}(?!{q}{q})[^{q}\\\n\r]*+(?:\\[^\n\r][^{q}\\\n\r]*+)*+{q}" for q in "\"'"}
+_TEXT = "|".join([*_LONG.values(), *_SHORT.values()])
+_IRI = r'<[^<>"{}|^`\x00-\x20]*+>'
+_LETTER = r"""[^\s<>"'#();,.\[\]\\^]"""
+# A full stop belongs to a word if the word goes on after it, or is a number that begins with it.
+_WORD = rf"(?:\.(?=[0-9]))?+(?:\\.|{_LETTER})(?:\\.|{_LETTER}|\.+(?=\\.|{_LETTER}))*+"
+_LANG = "@([a-zA-Z]+(?:-[a-zA-Z0-9]+)*+)"
+_SUFFIX = rf"(?:{_GAP}{_LANG}|{_GAP}\^\^{_GAP}({_IRI}|{_WORD}))?+"
+_TOKEN = rf"(?s)#[^\n]*+|(?:{_TEXT}){_SUFFIX}|{_IRI}|{_WORD}|\S"
+
+_OPENS = "(?!\"\"\"|''')"
+_PASSED = rf"\s++|#[^\n]*+|{_TEXT}|{_IRI}|{_WORD}"
+_PREFIX_NAME = r"""[^\s:<>"'#]*+:"""
+# The SPARQL forms of the declarations have no full stop.
+_DONE = rf"(?:{_GAP}(?i:prefix)\s{_GAP}{_PREFIX_NAME}{_GAP}{_IRI}|{_GAP}(?i:base)\s{_GAP}{_IRI}|(?:{_PASSED}|{_OPENS}[^.])*+\.)"
+#: A statement; or, where none ends, all that is left.
+_STATEMENT = rf"(?s)\G{_DONE}|\G.++"
+_IS_DONE = rf"(?s)\A{_DONE}\z"
+_LEFT_OPEN = rf"(?s)\A(?:{_PASSED}|{_OPENS}.)*+(\"\"\"|'''|)"
+_CLOSES = [rf"(?s)\A[^{q}\\]*+(?:(?:\\.|{q}(?!{q}{q}))[^{q}\\]*+)*+{q * 3}" for q in "\"'"]
+
+_DIRECTIVE = rf"(?is)\A{_GAP}@?(?:prefix\s{_GAP}({_PREFIX_NAME})|base\s){_GAP}<([^>]*+)>{_GAP}\.?\z"
+_IS_DIRECTIVE = rf"(?is)\A{_GAP}@?(?:prefix|base)\s"
+_BLANK = rf"(?s)\A{_GAP}\z"
+_SEP = "\x01"
+_LITERAL = "(?s)\\A(?:" + "|".join(
+    f"{q * n}((?:[^{q}\\\\]|\\\\.|{q}(?!{q}{q}))*+){q * n}" if n == 3 else f"{q}(?!{q}{q})((?:[^{q}\\\\]|\\\\.)*+){q}"
+    for n in (3, 1) for q in "\"'") + f"){_SUFFIX}\\z"
+# Language, datatype, text: the text comes last, so that a separator inside it does not matter.
+_LITERAL_FIELDS = f"$5{_SEP}$6{_SEP}$1$2$3$4"
+_NUMBERS = {XSD + "integer": r"\A[+-]?[0-9]+\z", XSD + "decimal": r"\A[+-]?[0-9]*\.[0-9]+\z",
+            XSD + "double": r"\A[+-]?(?:[0-9]+\.?[0-9]*|\.[0-9]+)[eE][+-]?[0-9]+\z"}
+_SCHEME = r"\A[A-Za-z][A-Za-z0-9+.-]*:"
+
+_PLACE = "struct<part:bigint,chunk:bigint,at:bigint>"
+_KNOWN = f"array<struct<name:string,place:{_PLACE},iri:string>>"
+
+
+def _let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` of a value that is computed once."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
+def _find(text: Column, pattern: str) -> Column:
+    return F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
+
+
+# --- IRIs ---------------------------------------------------------------------------------------------------
+
+
+def _without_dots(path: Column) -> Column:
+    """A path without ``.`` and ``..``."""
+    steps = F.split(path, "/")
+    last = F.element_at(steps, -1)
+
+    def step(done: Column, s: Column) -> Column:
+        up = F.when(F.size(done) > 1, F.slice(done, F.lit(1), F.size(done) - 1)).otherwise(done)
+        return F.when(s == ".", done).when(s == "..", up).otherwise(F.concat(done, F.array(s)))
+
+    kept = F.aggregate(steps, F.array().cast("array<string>"), step)
+    # A path that ends in dots ends in a folder.
+    return F.array_join(F.when(last.isin(".", ".."), F.concat(kept, F.array(F.lit("")))).otherwise(kept), "/")
+
+
+def _resolve(iri: Column, base: Column) -> Column:
+    """An IRI against a base; NULL if it is relative and there is no base."""
+
+    def against(b: Column) -> Column:
+        plain = F.substring_index(b, "#", 1)
+        server = F.regexp_extract(b, r"\A([^:/?#]+:(?://[^/?#]*)?)", 1)
+        path = F.substring_index(F.substr(plain, F.char_length(server) + 1), "?", 1)
+        folder = F.regexp_extract(path, r"(?s)\A(.*/)", 1)
+        folder = F.when((folder == "") & F.contains(server, F.lit("//")), "/").otherwise(folder)
+        ref_path, ref_rest = F.regexp_extract(iri, r"(?s)\A([^?#]*)", 1), F.regexp_extract(iri, r"(?s)\A[^?#]*(.*)", 1)
+        joined = F.when(iri.startswith("/"), ref_path).otherwise(F.concat(folder, ref_path))
+        joined = F.when(joined.rlike(r"(?:\A|/)\.\.?(?:/|\z)"), _without_dots(joined)).otherwise(joined)
+        return (
+            F.when((iri == "") | iri.startswith("#"), F.concat(plain, iri))
+            .when(iri.startswith("//"), F.concat(F.regexp_extract(b, r"\A([^:]+:)", 1), iri))
+            .when(iri.startswith("?"), F.concat(server, path, iri))
+            .otherwise(F.concat(server, joined, ref_rest))
+        )
+
+    return F.when(iri.rlike(_SCHEME), iri).when(base.isNotNull(), _let(base, against))
+
+
+# --- declarations -------------------------------------------------------------------------------------------
+
+
+def _declaration(statement: Column) -> Column:
+    """``name, iri`` as written: the prefix with its colon, or an empty name for the base; NULL if it is none."""
+    fields = F.split(F.regexp_replace(statement, _DIRECTIVE, f"$1{_SEP}$2"), _SEP, 2)
+    return F.when(statement.rlike(_DIRECTIVE), F.struct(F.get(fields, F.lit(0)).alias("name"), unescape(F.get(fields, F.lit(1))).alias("iri")))
+
+
+def _in_order(declared: Column) -> Column:
+    """Declarations sorted by place, each IRI resolved against the base before it."""
+    start = F.struct(F.lit(None).cast("string").alias("base"), F.array().cast(_KNOWN).alias("out"))
+
+    def one(done: Column, d: Column) -> Column:
+        return _let(_resolve(d["iri"], done["base"]), lambda iri: F.struct(
+            F.when(d["name"] == "", iri).otherwise(done["base"]).alias("base"),
+            F.concat(done["out"], F.array(F.struct(d["name"].alias("name"), d["place"].alias("place"), iri.alias("iri")))).alias("out")))
+
+    return F.aggregate(declared, start, one, lambda done: done["out"])
+
+
+def _look_up(known: Column, name: Column, place: Column) -> Column:
+    """The last IRI declared for a name before a place."""
+    return F.try_element_at(F.filter(known, lambda d: (d["name"] == name) & (d["place"] < place)), F.lit(-1))["iri"]
+
+
+# --- statements ---------------------------------------------------------------------------------------------
+
+
+def _lexical(text: Column) -> Column:
+    """The characters of a string; NULL if it has an escape that is none."""
+    # Quotes that need no escape here need one where the escapes are undone.
+    quoted = F.regexp_replace(text, r'(?s)\G((?:[^"\\]|\\.)*+)"', r'$1\\"')
+    legal = text.rlike(r"""(?s)\A(?:[^\\]|\\[tbnrf"'\\uU])*+\z""")
+    return F.when(~F.contains(text, F.lit("\\")), text).when(legal, unescape(quoted))
+
+
+def _resource(token: Column, known: Column, place: Column, scope: Column) -> Column:
+    """``value, type`` of an IRI, a prefixed name or a blank node."""
+    inside = unescape(F.substring(token, F.lit(2), F.char_length(token) - 2))
+    full = _let(inside, lambda i: _resolve(i, _look_up(known, F.lit(""), place)))
+    name = F.concat(F.substring_index(token, ":", 1), F.lit(":"))
+    local = F.substr(token, F.char_length(name) + 1)
+    local = F.when(F.contains(local, F.lit("\\")), F.regexp_replace(local, r"\\(.)", "$1")).otherwise(local)
+    is_iri, is_bnode = token.startswith("<"), token.startswith("_:")
+    value = (
+        F.when(is_iri, F.when(token.endswith(">"), full))
+        .when(is_bnode, F.when(F.char_length(token) > 2, F.concat(scope, F.substr(token, F.lit(3)))))
+        .when(token.rlike(r"(?U)\A(?:\w[\w.-]*)?:"), F.concat(_look_up(known, name, place), local))
+    )
+    return F.struct(value.alias("value"), F.when(is_bnode, "bnode").otherwise("uri").alias("type"))
+
+
+def _object(token: Column, known: Column, place: Column, scope: Column) -> Column:
+    """The columns of an object; a NULL value if the token is none."""
+    none = F.lit(None).cast("string")
+
+    def term(value: Column, kind: Column, datatype: Column, lang: Column) -> Column:
+        return F.struct(value.alias("o"), kind.alias("o_type"), datatype.alias("o_datatype"), lang.alias("o_lang"))
+
+    def string(f: Column) -> Column:
+        lang, datatype = F.get(f, F.lit(0)), F.get(f, F.lit(1))
+        full = _let(_resource(datatype, known, place, scope), lambda r: F.when(r["type"] == "uri", r["value"]))
+        kind = F.when(lang != "", F.lit(RDF_LANGSTRING)).when(datatype != "", full).otherwise(F.lit(XSD_STRING))
+        value = F.when(F.size(f) == 3, _lexical(F.get(f, F.lit(2))))
+        return _let(kind, lambda k: term(F.when(k.isNotNull(), value), F.lit("literal"), k, F.nullif(lang, F.lit(""))))
+
+    fields = F.split(F.regexp_replace(token, _LITERAL, _LITERAL_FIELDS), _SEP, 3)
+    number = F.lit(None).cast("string")
+    for datatype, pattern in _NUMBERS.items():
+        number = F.when(token.rlike(pattern), F.lit(datatype)).otherwise(number)
+    number = F.when(token.rlike(r"\A[0-9+.-]"), number)
+    plain = F.when(token.isin("true", "false"), F.lit(XSD + "boolean")).otherwise(number)
+    resource = _let(_resource(token, known, place, scope), lambda r: term(r["value"], r["type"], none, none))
+    return F.when(token.rlike("\\A[\"']"), _let(fields, string)).otherwise(
+        _let(plain, lambda p: F.when(p.isNotNull(), term(token, F.lit("literal"), p, none)).otherwise(resource)))
+
+
+def _triples(tokens: Column, known: Column, place: Column, scope: Column) -> Column:
+    """The triples of a statement: its tokens are cut at ``;``, and each group is a predicate and its objects.
+
+    NULL if one of the terms or the order of tokens is wrong.
+    """
+    n = F.size(tokens)
+    cuts = F.filter(F.sequence(F.lit(1), n - 1), lambda i: F.get(tokens, i) == ";")
+    bounds = F.concat(F.array(F.lit(0)), cuts, F.array(n))
+    groups = _let(bounds, lambda b: F.transform(
+        F.sequence(F.lit(1), F.size(b) - 1),
+        lambda k: F.slice(tokens, F.get(b, k - 1) + 2, F.get(b, k) - F.get(b, k - 1) - 1)))
+    is_well = lambda g: (F.size(g) % 2 == 0) & F.forall(
+        F.filter(g, lambda _, i: (i % 2 == 0) & (i > 0)), lambda t: t == ",")
+    subject = _resource(F.get(tokens, F.lit(0)), known, place, scope)
+
+    def group(g: Column, s: Column) -> Column:
+        verb = _let(_resource(F.get(g, F.lit(0)), known, place, scope), lambda r: F.when(r["type"] == "uri", r["value"]))
+        verb = F.when(F.get(g, F.lit(0)) == "a", F.lit(RDF_TYPE)).otherwise(verb)
+        objects = F.filter(g, lambda _, i: i % 2 == 1)
+        return _let(verb, lambda p: F.transform(objects, lambda t: _let(_object(t, known, place, scope), lambda o: F.struct(
+            s["value"].alias("s"), s["type"].alias("s_type"), p.alias("p"), *(o[c].alias(c) for c in ("o", "o_type", "o_datatype", "o_lang"))))))
+
+    def all_of(gs: Column) -> Column:
+        full = F.filter(gs, lambda g: F.size(g) > 0)
+        made = _let(subject, lambda s: F.flatten(F.transform(full, lambda g: group(g, s))))
+        return F.when((F.size(F.get(gs, F.lit(0))) > 0) & F.forall(full, is_well), made)
+
+    whole = F.when(n >= 3, _let(groups, all_of))
+    return _let(whole, lambda ts: F.when(F.forall(ts, lambda t: t["s"].isNotNull() & t["p"].isNotNull() & t["o"].isNotNull()), ts))
+
+
+def _parsed(statement: Column, ends: Column, known: Column, place: Column, scope: Column) -> Column:
+    """``triples``, NULL for what is no statement, and then its ``text``, of a piece that holds more than gaps.
+    ``ends`` says that the piece has its end, which only the last one of a text can lack."""
+    tokens = F.filter(_find(statement, _TOKEN), lambda t: ~t.startswith("#"))
+    # All but the full stop of a statement that has one.
+    tokens = _let(tokens, lambda t: F.when(ends & (F.element_at(t, -1) == "."), F.slice(t, F.lit(1), F.size(t) - 1)).otherwise(t))
+    declared = _let(_declaration(statement), lambda d: _resolve(d["iri"], _look_up(known, F.lit(""), place)))
+    nothing = F.array().cast("array<struct<" + ",".join(f"{c}:string" for c in TRIPLE_COLS) + ">>")
+
+    def result(t: Column) -> Column:
+        triples = F.when(statement.rlike(_IS_DIRECTIVE), F.when(declared.isNotNull(), nothing)).when(ends, _triples(t, known, place, scope))
+        return _let(triples, lambda made: F.struct(made.alias("triples"), F.when(made.isNull(), F.array_join(t, " ")).alias("text")))
+
+    return _let(tokens, result)
+
+
+def parse_cells(texts: DataFrame, text: str, scope: Column, out: str) -> DataFrame:
+    """Whole documents in a column: adds ``out``, the quads of each document as an array, NULL if a piece of it is no
+    statement.
+
+    Prefixes hold within their document, blank nodes get ``scope`` in front. All of it happens inside the row.
+    """
+    place = lambda i: F.struct(*(F.lit(0).cast("bigint").alias(c) for c in ("part", "chunk")), i.cast("bigint").alias("at"))
+    quad = lambda t: F.struct(F.lit(None).cast("string").alias("g"), *[t[c].alias(c) for c in TRIPLE_COLS])
+
+    def declared(pieces: Column) -> Column:
+        found = F.transform(pieces, lambda p, i: _let(
+            F.when(p.rlike(_IS_DIRECTIVE), _declaration(p)),
+            lambda d: F.struct(d["name"].alias("name"), place(i).alias("place"), d["iri"].alias("iri"))))
+        return _in_order(F.filter(found, lambda d: d["name"].isNotNull()))
+
+    def whole(parsed: Column) -> Column:
+        good = F.forall(parsed, lambda p: p["triples"].isNotNull())
+        return F.when(good, F.transform(F.flatten(F.transform(parsed, lambda p: p["triples"])), quad))
+
+    # One expression, in which every step is bound once: columns that build on each other would be computed again
+    # for every condition that is pushed down.
+    pieces = F.filter(_find(F.col(text), _STATEMENT), lambda p: ~p.rlike(_BLANK))
+    quads = _let(pieces, lambda ps: _let(declared(ps), lambda known: _let(
+        F.transform(ps, lambda p, i: _let(place(i), lambda at: _parsed(
+            p, (i < F.size(ps) - 1) | p.rlike(_IS_DONE), known, at, scope))), whole)))
+    return texts.withColumn(out, F.when(F.col(text).isNotNull(), quads))
+
+
+# --- files --------------------------------------------------------------------------------------------------
+
+
+def _chunks(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """The lines of each batch that stand together in a part, as one text."""
+    now, chunk = None, 0
     for batch in batches:
-        for file, part, line, own in zip(batch["file"], batch["part"], batch["value"], batch["scope"]):
-            if (file, part) != now:
-                close()
-                now, statements, scope, known = (file, part), Statements(), own, {}
-                begun, head = part == 0, [] if part == 0 else None
-            for tokens in statements.feed(line or ""):
-                if begun:
-                    out.statement(file, part, scope, tokens, known, part == 0)
-                else:
-                    begun, head = True, [*tokens, "."]
-        yield out.frame()
-    close()
-    yield out.frame()
-
-
-def _join_parts(key: tuple, parts: pd.DataFrame) -> pd.DataFrame:
-    """The parts of a file in order: statements across them, and what is declared at the start of each."""
-    out, known, statements, scope = Rows(), {}, Statements(), ""
-    for part, head, tail, own, scope in parts.sort_values("part")[["part", "text", "tail", "known", "scope"]].itertuples(index=False):
-        for tokens in statements.feed(head if head is not None else tail):
-            out.statement(key[0], part, scope, tokens, known, True)
-        if head is not None:
-            out.rows.append((key[0], part, "starts", *_NONE, None, None, dict(known)))
-            known.update(own or {})
-            statements = Statements()
-            statements.open = TOKEN.findall(tail or "")
-    if statements.open:
-        out.rows.append((key[0], -1, "corrupt", *_NONE, " ".join(statements.open), None, None))
-    return out.frame()
-
-
-def _parse_waiting(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    out = Rows()
-    for batch in batches:
-        for file, part, text, scope, own, before in zip(*(batch[c] for c in ("file", "part", "text", "tail", "known", "before"))):
-            known = dict(before or {}) | dict(own or {})
-            out.statement(file, part, scope, TOKEN.findall(text), known, True)
-        yield out.frame()
+        for key, rows in batch.groupby(["file", "part"], sort=False):
+            chunk = chunk + 1 if key == now else 0
+            now = key
+            yield pd.DataFrame({"file": [key[0]], "part": [key[1]], "chunk": [chunk], "text": ["\n".join(rows["value"].fillna(""))]})
+
+
+def _how_it_ends(text: Column) -> Column:
+    """What a chunk leaves open (0 nothing, 1 a string in double quotes, 2 in single quotes), by what it begins in."""
+    code = lambda t: F.when(t == '"""', 1).when(t == "'''", 2).otherwise(0)
+    after = lambda t: code(F.regexp_extract(t, _LEFT_OPEN, 1))
+
+    def within(kind: int) -> Column:
+        return _let(F.regexp_extract(text, _CLOSES[kind - 1], 0), lambda c: F.when(c == "", kind).otherwise(
+            after(F.substr(text, F.char_length(c) + 1))))
+
+    quotes = F.contains(text, F.lit('"""')) | F.contains(text, F.lit("'''"))
+    return F.when(quotes, F.array(after(text), within(1), within(2))).otherwise(F.array(F.lit(0), F.lit(1), F.lit(2)))
+
+
+def _compose(first: Column, then: Column) -> Column:
+    return F.transform(first, lambda s: F.get(then, s))
+
+
+def _scan(rows: DataFrame, keys: list[str], order: str, longest: int) -> DataFrame:
+    """``ends`` of all rows up to each, composed: every round takes in twice as many rows before it."""
+    window = Window.partitionBy(*keys).orderBy(order)
+    for i in range(math.ceil(math.log2(max(longest, 1)))):
+        before = F.lag("ends", 1 << i).over(window)
+        rows = rows.withColumn("ends", F.when(before.isNull(), F.col("ends")).otherwise(_compose(before, F.col("ends"))))
+    return rows
+
+
+def _beginnings(chunks: DataFrame) -> DataFrame:
+    """``file, part, chunk, begins`` of the chunks that begin within a string: first within each part, then over parts."""
+    own = stage(chunks.select("file", "part", "chunk", _how_it_ends(F.col("text")).alias("ends")), "turtle-ends")
+    longest = own.groupBy("file", "part").agg(F.count("*").alias("n"))
+    longest = longest.groupBy("file").agg(F.max("n").alias("n"), F.count("*").alias("parts")).agg(F.max("n"), F.max("parts")).first()
+    within = _scan(own, ["file", "part"], "chunk", longest[0] or 1)
+    in_part = Window.partitionBy("file", "part").orderBy("chunk")
+    within = stage(within.select("file", "part", "chunk", "ends", F.lag("ends").over(in_part).alias("before")), "turtle-ends")
+    parts = within.groupBy("file", "part").agg(F.max_by("ends", "chunk").alias("ends"))
+    parts = _scan(parts, ["file"], "part", longest[1] or 1)
+    start = F.lag("ends").over(Window.partitionBy("file").orderBy("part"))
+    parts = parts.select("file", "part", F.coalesce(F.get(start, F.lit(0)), F.lit(0)).alias("start"))
+    begins = F.when(F.col("before").isNull(), F.col("start")).otherwise(F.get("before", F.col("start")))
+    return within.join(parts, ["file", "part"]).select("file", "part", "chunk", begins.alias("begins")).where("begins > 0")
+
+
+def _cut(chunks: DataFrame) -> DataFrame:
+    """A row per chunk: ``head`` up to its first end of a statement, NULL without one, the statements ``inner``, and
+    the ``tail`` after the last."""
+    begins = stage(_beginnings(chunks), "turtle-begins")
+    text, begin = F.col("text"), F.coalesce("begins", F.lit(0))
+    closed = F.when(begin == 1, F.regexp_extract(text, _CLOSES[0], 0)).when(begin == 2, F.regexp_extract(text, _CLOSES[1], 0)).otherwise("")
+    rows = chunks.join(begins, ["file", "part", "chunk"], "left").withColumn("closed", closed)
+    inside = (begin > 0) & (F.col("closed") == "")
+    pieces = F.when(~inside, _find(F.substr(text, F.char_length("closed") + 1), _STATEMENT)).otherwise(F.array().cast("array<string>"))
+    rows = rows.withColumn("pieces", pieces)
+    last = F.try_element_at("pieces", F.lit(-1))
+    rows = rows.withColumn("done", F.size("pieces") - F.when(last.rlike(_IS_DONE), 0).otherwise(1))
+    ended = F.col("done") > 0
+    return stage(rows.select(
+        "file", "part", "chunk",
+        F.when(ended, F.concat("closed", F.get("pieces", F.lit(0)))).alias("head"),
+        F.when(ended, F.coalesce(F.get("pieces", F.col("done")), F.lit(""))).otherwise(text).alias("tail"),
+        F.when(ended, F.slice("pieces", F.lit(2), F.col("done") - 1)).otherwise(F.array().cast("array<string>")).alias("inner")), "turtle-cut")
+
+
+def _over_chunks(cut: DataFrame) -> DataFrame:
+    """Statements that begin in one chunk and end in another, with the place where they end."""
+    ended = F.when(F.col("head").isNotNull(), 1).otherwise(0).cast("bigint")
+    ends = cut.select("file", "part", "chunk", "head", "tail")
+    ends = running(ends, ["file"], ["part", "chunk"], F.col("part"), {"before": ("sum_before", ended)})
+    before = F.coalesce("before", F.lit(0))
+    fragment = lambda group, text: F.struct(group.alias("group"), F.col(text).alias("text"))
+    both = F.array(fragment(before, "head"), fragment(before + ended, "tail"))
+    pieces = ends.select("file", "part", "chunk", F.explode(both).alias("f")).where("f.text IS NOT NULL")
+    whole = pieces.groupBy("file", "f.group").agg(
+        F.array_sort(F.collect_list(F.struct("part", "chunk", "f.text"))).alias("of")
+    ).select("file", F.array_join("of.text", "\n").alias("text"), F.element_at("of", -1).alias("last"))
+    whole = whole.withColumn("pieces", _find(F.col("text"), _STATEMENT))
+    return whole.select("file", F.posexplode("pieces").alias("at", "statement"), "last", F.size("pieces").alias("n")).select(
+        "file", F.struct("last.part", "last.chunk", F.col("at").cast("bigint").alias("at")).alias("place"), "statement",
+        ((F.col("at") < F.col("n") - 1) | F.col("statement").rlike(_IS_DONE)).alias("ends"))
+
+
+def _changes(statements: DataFrame) -> DataFrame:
+    """``file, known``: the declarations of each file in order, without those that change nothing."""
+    found = statements.where(F.col("statement").rlike(_IS_DIRECTIVE)).select("file", "place", _declaration(F.col("statement")).alias("d"))
+    found = found.where("d IS NOT NULL").select("file", "place", "d.name", "d.iri")
+    before = F.lag("iri").over(Window.partitionBy("file", "name").orderBy("place"))
+    # A relative IRI can mean another one after the base has changed.
+    new = ~before.eqNullSafe(F.col("iri")) | ~F.col("iri").rlike(_SCHEME)
+    found = found.withColumn("new", new).where("new")
+    declared = F.transform(F.array_sort(F.collect_list(F.struct("place", "name", "iri"))),
+                           lambda d: F.struct(d["name"].alias("name"), d["place"].alias("place"), d["iri"].alias("iri")))
+    return found.groupBy("file").agg(declared.alias("declared")).select("file", _in_order(F.col("declared")).alias("known"))
 
 
 def read_turtle(spark: SparkSession, path: str | list[str], mode: str = "FAILFAST") -> DataFrame:
@@ -277,18 +389,25 @@ def read_turtle(spark: SparkSession, path: str | list[str], mode: str = "FAILFAS
 def parse_turtle(lines: DataFrame, mode: str = "FAILFAST") -> DataFrame:
     """Turtle lines ``value, file, part``: the lines of a part stand together and in order, and ``part``
     orders the parts of a file from 0 on."""
+    if mode not in ("FAILFAST", "DROPMALFORMED", "PERMISSIVE"):
+        raise ValueError(f"unknown mode {mode!r}")
+    cut = _cut(lines.select("value", "file", "part").mapInPandas(_chunks, "file string, part bigint, chunk bigint, text string"))
+    # Statements within a chunk come after those that end in it.
+    inner = cut.select("file", "part", "chunk", F.posexplode("inner").alias("at", "statement")).select(
+        "file", F.struct("part", "chunk", (F.col("at") + (1 << 32)).alias("at")).alias("place"), "statement",
+        F.lit(True).alias("ends"))
+    statements = inner.unionByName(_over_chunks(cut)).where(~F.col("statement").rlike(_BLANK))
+    known = stage(_changes(statements), "turtle-known")
     scope = F.concat(F.lower(F.hex(F.xxhash64("file"))), F.lit("."))
-    cut = stage(lines.select("value", "file", "part", scope.alias("scope")).mapInPandas(_cut, _SCHEMA), "turtle")
-    ends = cut.where("kind = 'ends'").select("file", "part", "text", "tail", "known", scope.alias("scope"))
-    joined = stage(ends.groupBy("file").applyInPandas(_join_parts, _SCHEMA), "turtle-ends")
-    starts = joined.where("kind = 'starts'").select("file", "part", F.col("known").alias("before"))
-    waiting = cut.where("kind = 'waits'").join(starts, ["file", "part"], "left").mapInPandas(_parse_waiting, _SCHEMA)
-    found = cut.unionByName(joined).unionByName(waiting).where("kind IN ('quad', 'corrupt')")
-    good = F.col("kind") == "quad"
-    out = found.select(good.alias("good"), F.lit(None).cast("string").alias("g"), *TRIPLE_COLS, "text")
-    if mode == "DROPMALFORMED":
-        return out.where("good").select(*QUAD_COLS)
+    rows = statements.join(known, "file", "left").select(
+        scope.alias("scope"), "place", "statement", "ends", F.coalesce("known", F.array().cast(_KNOWN)).alias("known"))
+    parsed = rows.select(_parsed(
+        F.col("statement"), F.col("ends"), F.col("known"), F.col("place"), F.col("scope")).alias("r"))
+    # An outer explode, and conditions on what comes out of it: others would be pushed below and parse once more.
+    each = parsed.select("r.text", F.explode_outer("r.triples").alias("t")).where("t IS NOT NULL OR text IS NOT NULL")
+    columns = [F.lit(None).cast("string").alias("g"), *(F.col(f"t.{c}") for c in TRIPLE_COLS)]
+    if mode == "PERMISSIVE":
+        return each.select(*columns, F.col("text").alias("_corrupt_record")).select(*QUAD_COLS, "_corrupt_record")
     if mode == "FAILFAST":
-        message = F.concat(F.lit("malformed or unsupported Turtle: "), F.col("text"))
-        return demand(out, F.col("good"), message).select(*QUAD_COLS)
-    return out.select(*QUAD_COLS, F.when(~F.col("good"), F.col("text")).alias("_corrupt_record"))
+        each = demand(each, F.col("t").isNotNull(), F.concat(F.lit("malformed or unsupported Turtle: "), F.col("text")))
+    return each.where("t IS NOT NULL").select(*columns).select(*QUAD_COLS)

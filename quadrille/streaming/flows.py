@@ -7,7 +7,6 @@ they are. What needs state says how long it keeps it.
 from __future__ import annotations
 
 from collections.abc import Iterator
-from functools import reduce
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
@@ -15,7 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 from ..functions.terms import is_results_json
-from ..operators.graph_log import graph_log_replay
+from ..operators.graph_log import last_resets, unhidden
 from ..schema import (
     OBJECT_COLS,
     QUAD_COLS,
@@ -24,7 +23,7 @@ from ..schema import (
     RDF_OBJECT,
     RDF_PREDICATE,
     RDF_SUBJECT,
-    TRIPLE_COLS,
+    statement_set,
 )
 from ..sources.rdf_lines import parse_statements
 from ..sources.writers import DEFAULT_BUCKETS, graph_bucket
@@ -191,88 +190,105 @@ def stream_dereify(triples: DataFrame, event_time: str, late: str, keep_ms: int)
 # --- graph log --------------------------------------------------------------------------------
 
 
+#: So many segments of one tier are merged to one of the next.
+FAN_IN = 8
+_ROWS = "seq bigint, " + ", ".join(f"{c} string" for c in QUAD_COLS)
+_RESET = "g string, reset bigint"
+
+
 class GraphLogSink:
-    """Applies batches of graph store operations to a stored state, one version per batch.
+    """A graph store as a log of segments: every batch of operations adds one, of its own size.
 
-    The state lies in buckets of graphs. A batch reads and rewrites only the buckets its operations
-    name; a manifest per version says which version holds each bucket. A batch that runs again after
-    a failure starts from the version before it and overwrites its own work, so it counts once.
+    A segment holds the statements a batch adds, each with the ``seq`` of its operation, and per graph the ``seq`` of the
+    last operation that emptied it. The state is put together when it is read: all statements but those of a graph
+    that was emptied later. So nothing depends on the order in which batches come. When ``FAN_IN`` segments of a
+    tier have piled up they are merged to one of the next, which drops what they hide from each other; a statement
+    is written once per tier, and a store of n batches has tiers as the logarithm of n.
+
+    A manifest per version lists its segments. A batch that runs again after a failure starts from the version before
+    it and overwrites its own work, so it counts once. Segments that were merged stay for the versions that list them.
     """
 
     def __init__(self, spark: SparkSession, path: str, buckets: int = DEFAULT_BUCKETS):
+        """Statements are clustered by so many ``buckets`` of graphs within a segment."""
         self.spark, self.path, self.buckets = spark, path.rstrip("/"), buckets
 
-    def _data(self, version: int) -> str:
-        return f"{self.path}/data/v{version:012d}"
+    def _segment(self, first: int, last: int) -> str:
+        return f"{self.path}/segments/v{first:012d}-{last:012d}"
 
-    def _manifest(self, version: int) -> dict[int, int] | None:
-        """Version of each bucket, at most one entry per bucket; None when there is no such version.
+    def _manifest(self, version: int) -> list[tuple[int, int, int]] | None:
+        """``first, last, tier`` of each segment in order; None when there is no such version.
 
         Every row says how many there are, so a manifest that a crash left half written counts as none.
         """
         folder = f"{self.path}/manifest/v{version:012d}"
         try:
-            rows = self.spark.read.schema("bucket int, version bigint, of int").json(folder).collect()
+            rows = self.spark.read.schema("first bigint, last bigint, tier int, of int").json(folder).collect()
         except AnalysisException:
             return None
         if not rows or len(rows) != rows[0]["of"]:
             return None
-        return {r["bucket"]: r["version"] for r in rows if r["bucket"] is not None}
-
-    def manifest_before(self, batch_id: int) -> dict[int, int]:
-        """The manifest of the newest version older than the batch."""
-        for version in range(batch_id - 1, -1, -1):
-            found = self._manifest(version)
-            if found is not None:
-                return found
-        return {}
-
-    def _read(self, manifest: dict[int, int]) -> DataFrame | None:
-        """The quads of the listed buckets, each from the version that holds it."""
-        by_version: dict[int, list[int]] = {}
-        for bucket, version in manifest.items():
-            by_version.setdefault(version, []).append(bucket)
-        schema = ", ".join([*[f"{c} string" for c in QUAD_COLS], "g_bucket int"])
-        parts = [
-            self.spark.read.schema(schema).parquet(self._data(version)).where(F.col("g_bucket").isin(held))
-            for version, held in sorted(by_version.items())
-        ]
-        return reduce(DataFrame.unionByName, parts).select(*QUAD_COLS) if parts else None
+        return sorted((r["first"], r["last"], r["tier"]) for r in rows)
+
+    def manifest_before(self, batch_id: int) -> list[tuple[int, int, int]]:
+        """The manifest of the newest version older than the batch, which mostly is the one just before."""
+        found = self._manifest(batch_id - 1) if batch_id else []
+        if found is None:
+            older = [v for v in self.versions() if v < batch_id]
+            found = self._manifest(older[-1]) if older else []
+        return found
 
     def versions(self) -> list[int]:
-        """Batch ids of all whole manifests, in order."""
+        """Batch ids of all whole manifests, in order; one job lists them all."""
         try:
-            found = self.spark.read.schema("of int").json(f"{self.path}/manifest/*").select(
-                F.regexp_extract(F.col("_metadata.file_path"), "/v([0-9]{12})/", 1).cast("bigint").alias("v")).distinct()
+            rows = self.spark.read.schema("of int").json(f"{self.path}/manifest/*")
         except AnalysisException:
             return []
-        return sorted(r["v"] for r in found.collect() if self._manifest(r["v"]) is not None)
+        version = F.regexp_extract(F.col("_metadata.file_path"), "/v([0-9]{12})/", 1).cast("bigint").alias("v")
+        whole = rows.groupBy(version).agg(F.count("*").alias("n"), F.max("of").alias("of")).where("n = of")
+        return sorted(r["v"] for r in whole.collect())
+
+    def _read(self, segments: list[tuple[int, int, int]]) -> tuple[DataFrame, DataFrame]:
+        """Statements of the segments that none of them hides, with their ``seq``, and the last reset of each graph."""
+        folders = [self._segment(first, last) for first, last, _ in segments]
+        rows = self.spark.read.schema(_ROWS).parquet(*[f + "/rows" for f in folders])
+        resets = self.spark.read.schema(_RESET).parquet(*[f + "/resets" for f in folders])
+        resets = resets.groupBy("g").agg(F.max("reset").alias("reset"))
+        return unhidden(rows, resets), resets
+
+    def _write(self, first: int, last: int, rows: DataFrame, resets: DataFrame) -> None:
+        folder = self._segment(first, last)
+        whole = rows.groupBy(F.struct(*QUAD_COLS).alias("q")).agg(F.max("seq").alias("seq")).select("seq", "q.*")
+        clustered = whole.repartitionByRange(graph_bucket("g", self.buckets), F.xxhash64("g"), "p", "s").sortWithinPartitions("g", "p", "s")
+        clustered.write.mode("overwrite").parquet(folder + "/rows")
+        resets.write.mode("overwrite").parquet(folder + "/resets")
 
     def state(self, version: int | None = None) -> DataFrame:
         """All quads after the batch with that id, after the last batch without one."""
         if version is None:
             version = max(self.versions(), default=-1)
-        state = self._read(self._manifest(version) or {})
-        return self.spark.createDataFrame([], QUAD_SCHEMA) if state is None else state
+        segments = self._manifest(version)
+        if not segments:
+            return self.spark.createDataFrame([], QUAD_SCHEMA)
+        rows, _ = self._read(segments)
+        # One segment holds each statement once.
+        return statement_set(rows, is_set=len(segments) == 1)
 
     def apply(self, batch: DataFrame, batch_id: int) -> None:
         """``batch``: ``seq, op, g`` and the triple columns, one row per payload statement, or one row
         with NULL triple for an operation without payload."""
-        ops = batch.select("seq", "op", "g").distinct()
-        payload = batch.where(F.col("s").isNotNull()).select("seq", *TRIPLE_COLS)
-        bucket = graph_bucket("g", self.buckets)
-        touched = [r[0] for r in ops.where(F.col("op") != "GET").select(bucket).distinct().collect()]
-        manifest = self.manifest_before(batch_id)
-        before = self._read({b: v for b, v in manifest.items() if b in touched})
-        after = graph_log_replay(ops, payload, before)
-        (
-            after.withColumn("g_bucket", bucket)
-            .write.mode("overwrite").partitionBy("g_bucket").parquet(self._data(batch_id))
-        )
-        manifest.update({b: batch_id for b in touched})
-        held = list(manifest.items()) or [(None, None)]
-        rows = self.spark.createDataFrame([(b, v, len(held)) for b, v in held], "bucket int, version bigint, of int")
-        rows.coalesce(1).write.mode("overwrite").json(f"{self.path}/manifest/v{batch_id:012d}")
+        resets = last_resets(batch)
+        rows = batch.where(F.col("s").isNotNull() & F.col("op").isin("PUT", "POST")).select("seq", *QUAD_COLS)
+        self._write(batch_id, batch_id, unhidden(rows, resets), resets)
+        segments = [*self.manifest_before(batch_id), (batch_id, batch_id, 0)]
+        while len(segments) >= FAN_IN and len({tier for *_, tier in segments[-FAN_IN:]}) == 1:
+            merged = segments[-FAN_IN:]
+            first, last, tier = merged[0][0], merged[-1][1], merged[0][2] + 1
+            self._write(first, last, *self._read(merged))
+            segments = [*segments[:-FAN_IN], (first, last, tier)]
+        listed = self.spark.createDataFrame(
+            [(*s, len(segments)) for s in segments], "first bigint, last bigint, tier int, of int")
+        listed.coalesce(1).write.mode("overwrite").json(f"{self.path}/manifest/v{batch_id:012d}")
 
 
 def stream_graph_log(log: DataFrame, sink: GraphLogSink, checkpoint: str):

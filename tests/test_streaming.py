@@ -103,6 +103,46 @@ def test_graph_log_batch_by_batch(spark, tmp_path):
     assert as_set(sink.state()) == as_set(sink.state(5)) and sink.versions() == list(range(6))
 
 
+def folders(path):
+    return {p.name: sum(f.stat().st_size for f in p.rglob("*.parquet")) for p in (path / "segments").iterdir()}
+
+
+def test_a_batch_writes_its_own_size(spark, tmp_path, monkeypatch):
+    """Segments of the batches, and merged ones of eight (here of two) of a tier; earlier versions stay readable."""
+    monkeypatch.setattr(flows, "FAN_IN", 2)
+    sink = flows.GraphLogSink(spark, str(tmp_path / "store"))
+    large = spark.range(2000).select(
+        F.col("id").alias("seq"), F.lit("POST").alias("op"), F.lit("big").alias("g"), F.col("id").cast("string").alias("s"),
+        F.lit("uri").alias("s_type"), F.lit("p").alias("p"), F.sha2(F.col("id").cast("string"), 256).alias("o"), F.lit("literal").alias("o_type"),
+        F.lit("d").alias("o_datatype"), F.lit(None).cast("string").alias("o_lang"))
+    sink.apply(large, 0)
+    before = folders(tmp_path / "store")
+    sizes = []
+    for i in range(1, 4):
+        sink.apply(spark.createDataFrame([entry(5000 + i, "POST", "big", f"new{i}")], LOG), i)
+        sizes.append(sink.state(i).count())
+    assert sizes == [2001, 2002, 2003] and sink.state(0).count() == 2000
+    made = folders(tmp_path / "store")
+    name = lambda a, b: f"v{a:012d}-{b:012d}"
+    assert set(made) == {name(i, i) for i in range(4)} | {name(0, 1), name(2, 3), name(0, 3)}
+    # A batch of one statement writes a small file, whatever the store holds.
+    assert all(made[name(i, i)] < before[name(0, 0)] / 4 for i in (1, 2, 3)) and made[name(2, 3)] < before[name(0, 0)] / 4
+    assert sink._manifest(3) == [(0, 3, 2)]
+
+
+def test_batches_may_come_in_any_order(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(flows, "FAN_IN", 3)
+    steps = [[entry(0, "POST", "g", "a"), entry(1, "POST", None, "n")], [entry(2, "PUT", "g", "b")], [entry(3, "POST", "g", "c"), entry(4, "DELETE", "h")],
+             [entry(5, "POST", "h", "x"), entry(5, "POST", "h", "x")], [entry(6, "DELETE", None)], [entry(7, "POST", None, "m")], [entry(8, "POST", "g", "c")]]
+    want = {("g", "b"), ("g", "c"), ("h", "x"), (None, "m")}
+    for n, order in enumerate(([0, 1, 2, 3, 4, 5, 6], [6, 3, 5, 1, 0, 4, 2], [5, 4, 3, 2, 1, 0, 6])):
+        sink = flows.GraphLogSink(spark, str(tmp_path / f"store{n}"))
+        for i, k in enumerate(order):
+            sink.apply(spark.createDataFrame(steps[k], LOG), i)
+        got = [(r["g"], r["o"]) for r in sink.state().collect()]
+        assert len(got) == 4 and set(got) == want
+
+
 def test_zip(spark, tmp_path):
     asked = spark.createDataFrame([(1, at(0)), (2, at(0)), (3, at(1))], "request_id int, asked timestamp")
     answered = spark.createDataFrame([(1, "ok", at(1)), (2, "late", at(50)), (3, "ok", at(2))], "request_id int, body string, answered timestamp")
