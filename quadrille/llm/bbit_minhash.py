@@ -10,8 +10,8 @@
 4. Within those, pairs that pass the estimate are confirmed on their full sets.
 
 Families are dealt over blocks of bounded size, and each pair of blocks is one task, so a family is never one group of
-one task. A task walks from row to row and looks only at rows that it has not reached yet: a thousand near copies cost
-about a thousand comparisons and give a thousand links, not their pairs.
+one task. A task walks from row to row and looks only at rows that share a band with it and were not reached yet: a thousand near
+copies cost about a thousand comparisons and give a thousand links, not their pairs.
 """
 
 from __future__ import annotations
@@ -29,12 +29,14 @@ from quadrille.llm.components import connected
 from quadrille.session import stage
 
 #: Minima kept of each set, bits kept of each minimum, and minima of one band. At a similarity of 0.85 a pair meets in
-#: none of the 42 bands with a chance of about 2e-9; at 0.3 it meets with one of 0.03.
-PERMUTATIONS, BITS, ROWS = 256, 2, 6
+#: none of the 32 bands with a chance of about 7e-9; at 0.3 it meets with one of 0.07.
+PERMUTATIONS, BITS, ROWS = 160, 2, 5
 #: Chance that a pair at the threshold fails the estimate.
 MISS = 1e-9
 #: Rows of one block of signatures, and shingles of one block of full sets.
 BLOCK_ROWS, BLOCK_ELEMENTS = 1 << 12, 1 << 18
+#: So many ids of documents, 16 bytes each, may be broadcast to fetch their texts; more are joined by a shuffle.
+BROADCAST_ROWS = 1 << 21
 
 
 class BBitMinHash:
@@ -110,21 +112,40 @@ def least_equal(percent: int, permutations: int = PERMUTATIONS, bits: int = BITS
     return permutations
 
 
-def forest(n: int, linked: Callable[[int, np.ndarray], np.ndarray]) -> np.ndarray:
-    """The first row of the tree of each row; ``linked(i, rest)`` says which of ``rest`` link with row ``i``.
+def forest(bands: np.ndarray, linked: Callable[[int, np.ndarray], np.ndarray]) -> np.ndarray:
+    """The first row of the tree of each row; ``linked(i, others)`` says which of ``others`` link with row ``i``.
 
-    Only rows that are not reached yet are asked for, which is all that trees need.
+    Only rows that share a band with row ``i`` and are not reached yet are asked for, which is all that trees need.
     """
-    root = np.arange(n)
-    rest = root.copy()
-    while len(rest):
-        start, rest = rest[0], rest[1:]
+    n, width = bands.shape
+    order = np.argsort(bands, axis=None, kind="stable")
+    sorted_bands = bands.ravel()[order]
+    begin = np.flatnonzero(np.concatenate(([True], sorted_bands[1:] != sorted_bands[:-1])))
+    rows_of = np.split(order // width, begin[1:])
+    bucket = np.empty(n * width, np.int64)
+    bucket[order] = np.repeat(np.arange(len(begin)), np.diff(np.append(begin, len(order))))
+    shared = np.array([len(r) > 1 for r in rows_of])
+    buckets = [b[shared[b]].tolist() for b in bucket.reshape(n, width)]
+    root, free = np.arange(n), np.ones(n, bool)
+    for start in range(n):
+        if not free[start]:
+            continue
+        free[start] = False
         queue = [start]
-        while queue and len(rest):
-            found = linked(queue.pop(), rest)
-            new, rest = rest[found], rest[~found]
-            root[new] = start
-            queue.extend(new.tolist())
+        while queue:
+            i = queue.pop()
+            met = []
+            for b in buckets[i]:
+                # Rows that were reached leave a bucket once and for all.
+                if len(rows_of[b]):
+                    rows_of[b] = rows_of[b][free[rows_of[b]]]
+                    met.append(rows_of[b])
+            others = np.unique(np.concatenate(met)) if met else order[:0]
+            if len(others):
+                new = others[linked(i, others)]
+                free[new] = False
+                root[new] = start
+                queue.extend(new.tolist())
     return root
 
 
@@ -168,13 +189,17 @@ def _signatures(column: pd.Series) -> np.ndarray:
     return np.frombuffer(b"".join(column), np.uint64).reshape(len(column), -1)
 
 
+def _bands(column: pd.Series) -> np.ndarray:
+    return np.stack(column.to_list()).astype(np.int64)
+
+
 def _estimate(least: int, bits: int):
     """Trees of the rows of a tile whose signatures are near enough."""
 
     def run(group: pd.DataFrame) -> pd.DataFrame:
         group = group.sort_values("key", ignore_index=True)
         packed = _signatures(group["signature"])
-        root = forest(len(group), lambda i, rest: equal_fields(packed[i], packed[rest], bits) >= least)
+        root = forest(_bands(group["bands"]), lambda i, rest: equal_fields(packed[i], packed[rest], bits) >= least)
         keys = group["key"].to_numpy()
         return pd.DataFrame({"u": keys, "v": keys[root]})
 
@@ -204,7 +229,7 @@ def _confirm(least: int, bits: int, percent: int):
                 out[out] = 100 * both >= percent * (sizes[i] + sizes[near] - both)
             return out
 
-        root = forest(len(group), linked)
+        root = forest(_bands(group["bands"]), linked)
         keys = group["key"].to_numpy()
         return pd.DataFrame({"u": keys, "v": keys[root]})
 
@@ -256,21 +281,24 @@ def bbit_near_duplicates(docs: DataFrame, width: int = 5, percent: int = 85, per
         F.min("n").alias("n"), F.min("doc_id").alias("first"), F.min(F.struct("doc_id", "tid")).alias("one"),
         F.max("signature").alias("signature"), F.max("bands").alias("bands")), "bbit-classes")
 
+    # Both sides of the joins below grow with the table, so they are always dealt by key; a hot key is split at run time.
     entries = classes.select("key", F.explode("bands").alias("band"))
     met = entries.groupBy("band").agg(F.min("key").alias("v"), F.max("key").alias("last")).where("v != last")
-    candidates = connected(entries.join(met, "band").select(F.col("key").alias("u"), "v"))
+    candidates = connected(entries.join(met.hint("merge"), "band").select(F.col("key").alias("u"), "v"))
 
     least = least_equal(percent, permutations, bits)
-    members = stage(_whole(candidates), "bbit-families")
-    near = _trees(members, classes.select("key", "signature"), F.lit(1), BLOCK_ROWS, _estimate(least, bits))
+    members = stage(classes.select("key", "signature", "bands").join(_whole(candidates).hint("merge"), "key"), "bbit-families")
+    near = _trees(members.select("key", "family"), members.drop("family"), F.lit(1), BLOCK_ROWS, _estimate(least, bits))
 
-    members = stage(_whole(near).join(classes.select("key", "n", "one", "signature"), "key"), "bbit-families")
+    members = stage(classes.drop("first").join(_whole(near).hint("merge"), "key"), "bbit-families")
     chosen = members.select(F.col("one.doc_id").alias("one_id"), F.col("one.tid").alias("one_tid"))
+    if chosen.count() <= BROADCAST_ROWS:
+        chosen = F.broadcast(chosen)
     sets = (
         source.join(chosen, (F.col("tid") == F.col("one_tid")) & F.col("doc_id").eqNullSafe(F.col("one_id")), "left_semi")
         .select("text").mapInPandas(_full_sets(width), "key long, grams binary").dropDuplicates(["key"])
     )
-    payload = stage(sets.join(members.select("key", "signature"), "key"), "bbit-sets")
+    payload = stage(sets.join(members.select("key", "signature", "bands"), "key"), "bbit-sets")
     roots = _trees(members.select("key", "family", "n"), payload, F.col("n"), BLOCK_ELEMENTS, _confirm(least, bits, percent))
 
     groups = stage(classes.join(_whole(roots), "key").select("key", "family", "first"), "bbit-groups")
