@@ -216,16 +216,58 @@ def test_jsonld_loses_nothing(spark, tmp_path, layout):
     assert len({s for _, s, *_ in by_p["urn:p"]}) == 2 and {g for g, *_ in by_p["urn:p"]} == {"urn:g", None}
 
 
-def test_store_round_trip_and_pruning(spark, tmp_path):
+@pytest.mark.parametrize("buckets", [4, 16, 256])
+def test_store_round_trip_and_pruning(spark, tmp_path, buckets):
     data = frame(spark, rows() + [uri(None, "urn:s", "urn:p", "urn:o")])
     path = str(tmp_path / "quads")
-    writers.write_quads(data.unionByName(data), path, buckets=4)
-    assert writers.read_quads(spark, path, buckets=4).count() == 25
-    assert writers.read_quads(spark, path, [ALT, None], buckets=4).count() == 6
-    one = writers.read_quads(spark, path, [MODEL], buckets=4)
+    writers.write_quads(data.unionByName(data), path, buckets=buckets)
+    assert writers.read_quads(spark, path).count() == 25
+    assert writers.read_quads(spark, path, [ALT, None]).count() == 6
+    one = writers.read_quads(spark, path, [MODEL])
     assert one.count() == 19
     plan = one._jdf.queryExecution().executedPlan().toString()
-    assert "PartitionFilters: [isnotnull(g_bucket" in plan or "PartitionFilters: [(g_bucket" in plan
+    assert "PartitionFilters: [isnotnull(g_" in plan or "PartitionFilters: [(g_" in plan
+
+
+def many_graphs(spark, first, n, each):
+    """``each`` statements in every one of ``n`` graphs, and as many outside."""
+    no = F.lit(None).cast("string")
+    graph = F.when(F.col("id") % n > 0, F.concat(F.lit("urn:g"), F.col("id") % n + first))
+    return spark.range(n * each).select(
+        graph.alias("g"), F.concat(F.lit("urn:s"), F.col("id")).alias("s"), F.lit("uri").alias("s_type"), F.lit("urn:p").alias("p"),
+        F.lit("urn:o").alias("o"), F.lit("uri").alias("o_type"), no.alias("o_datatype"), no.alias("o_lang"))
+
+
+def files_of(df):
+    return {r[0].split("/g_depth=")[1].rsplit("/", 1)[0] for r in df.select(F.input_file_name()).distinct().collect()}
+
+
+def test_buckets_split_as_they_grow(spark, tmp_path):
+    path = str(tmp_path / "quads")
+    writers.write_quads(many_graphs(spark, 0, 40, 10), path, buckets=2, bucket_rows=60)
+    layout = writers.Layout(spark, path)
+    assert max(r["n_rows"] for r in layout.rows) <= 60 and sum(r["n_rows"] for r in layout.rows) == 400
+    assert len(set(layout.slots())) > 1 and sum(r["n_graphs"] for r in layout.rows) == 40
+    # What is there already is not added again; a graph that outgrows a bucket alone stays in one.
+    writers.append_quads(many_graphs(spark, 0, 40, 12).unionByName(many_graphs(spark, 500, 3, 90)), path, bucket_rows=60)
+    stored = writers.read_quads(spark, path)
+    want = many_graphs(spark, 0, 40, 12).unionByName(many_graphs(spark, 500, 3, 90)).select(*QUAD_COLS).distinct()
+    assert stored.count() == want.count() and stored.exceptAll(want).isEmpty()
+    layout = writers.Layout(spark, path)
+    assert layout.version == 1 and all(r["n_rows"] <= 60 or r["n_cells"] == 1 for r in layout.rows)
+    for g in ("urn:g7", "urn:g501", None):
+        one = writers.read_quads(spark, path, [g])
+        assert one.count() == want.where(F.col("g").eqNullSafe(F.lit(g))).count() and len(files_of(one)) == 1
+    assert writers.read_quads(spark, path, ["urn:none"]).count() == 0
+    assert writers.read_quads(spark, path, ["urn:g7", "urn:g8", "urn:g501"]).count() == 12 + 12 + 90
+
+
+def test_store_of_nothing_and_growth_from_it(spark, tmp_path):
+    path = str(tmp_path / "quads")
+    writers.write_quads(many_graphs(spark, 0, 5, 2).limit(0), path)
+    assert writers.read_quads(spark, path).count() == 0 and writers.read_quads(spark, path, ["urn:g1"]).count() == 0
+    writers.append_quads(many_graphs(spark, 0, 5, 2), path)
+    assert writers.read_quads(spark, path).count() == 10 and writers.read_quads(spark, path, ["urn:g1"]).count() == 2
 
 
 def test_frames(spark):
