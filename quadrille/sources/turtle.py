@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 
 from ..functions.terms import unescape
 from ..operators.scans import running
-from ..schema import QUAD_COLS, RDF_LANGSTRING, RDF_TYPE, TRIPLE_COLS, XSD, XSD_STRING, demand
+from ..schema import QUAD_COLS, RDF_LANGSTRING, RDF_TYPE, TRIPLE_COLS, XSD, XSD_STRING
 from ..session import stage
 
 # --- the grammar of tokens; possessive loops neither backtrack nor recurse, however long a text is -----------
@@ -35,8 +35,9 @@ _SHORT = {q: rf"{q}(?!{q}{q})[^{q}\\\n\r]*+(?:\\[^\n\r][^{q}\\\n\r]*+)*+{q}" for
 _TEXT = "|".join([*_LONG.values(), *_SHORT.values()])
 _IRI = r'<[^<>"{}|^`\x00-\x20]*+>'
 _LETTER = r"""[^\s<>"'#();,.\[\]\\^]"""
-# A full stop belongs to a word if the word goes on after it, or is a number that begins with it.
-_WORD = rf"(?:\.(?=[0-9]))?+(?:\\.|{_LETTER})(?:\\.|{_LETTER}|\.+(?=\\.|{_LETTER}))*+"
+_NUMBER = r"[+-]?+(?:[0-9]++(?:\.[0-9]*+(?=[eE])|\.[0-9]++)?+|\.[0-9]++)(?:[eE][+-]?+[0-9]++)?+"
+# A full stop belongs to a word if the word goes on after it.
+_WORD = rf"{_NUMBER}|(?:\\.|{_LETTER})(?:\\.|{_LETTER}|\.+(?=\\.|{_LETTER}))*+"
 _LANG = "@([a-zA-Z]+(?:-[a-zA-Z0-9]+)*+)"
 _SUFFIX = rf"(?:{_GAP}{_LANG}|{_GAP}\^\^{_GAP}({_IRI}|{_WORD}))?+"
 _TOKEN = rf"(?s)#[^\n]*+|(?:{_TEXT}){_SUFFIX}|{_IRI}|{_WORD}|\S"
@@ -403,11 +404,14 @@ def parse_turtle(lines: DataFrame, mode: str = "FAILFAST") -> DataFrame:
         scope.alias("scope"), "place", "statement", "ends", F.coalesce("known", F.array().cast(_KNOWN)).alias("known"))
     parsed = rows.select(_parsed(
         F.col("statement"), F.col("ends"), F.col("known"), F.col("place"), F.col("scope")).alias("r"))
-    # An outer explode, and conditions on what comes out of it: others would be pushed below and parse once more.
-    each = parsed.select("r.text", F.explode_outer("r.triples").alias("t")).where("t IS NOT NULL OR text IS NOT NULL")
+    # An outer explode, and one condition on what comes out of it: others would be pushed below and parse once more.
+    each = parsed.select("r.text", F.explode_outer("r.triples").alias("t"))
     columns = [F.lit(None).cast("string").alias("g"), *(F.col(f"t.{c}") for c in TRIPLE_COLS)]
     if mode == "PERMISSIVE":
-        return each.select(*columns, F.col("text").alias("_corrupt_record")).select(*QUAD_COLS, "_corrupt_record")
+        kept = each.where("t IS NOT NULL OR text IS NOT NULL")
+        return kept.select(*columns, F.col("text").alias("_corrupt_record")).select(*QUAD_COLS, "_corrupt_record")
+    good = F.col("t").isNotNull()
     if mode == "FAILFAST":
-        each = demand(each, F.col("t").isNotNull(), F.concat(F.lit("malformed or unsupported Turtle: "), F.col("text")))
-    return each.where("t IS NOT NULL").select(*columns).select(*QUAD_COLS)
+        message = F.concat(F.lit("malformed or unsupported Turtle: "), F.col("text"))
+        good = F.when(good, True).when(F.col("text").isNull(), False).otherwise(F.raise_error(message).cast("boolean"))
+    return each.where(good).select(*columns).select(*QUAD_COLS)
