@@ -171,60 +171,71 @@ def _resource(token: Column, known: Column, place: Column, scope: Column) -> Col
     return F.struct(value.alias("value"), F.when(is_bnode, "bnode").otherwise("uri").alias("type"))
 
 
-def _object(token: Column, known: Column, place: Column, scope: Column) -> Column:
-    """The columns of an object; a NULL value if the token is none."""
-    none = F.lit(None).cast("string")
-
-    def term(value: Column, kind: Column, datatype: Column, lang: Column) -> Column:
-        return F.struct(value.alias("o"), kind.alias("o_type"), datatype.alias("o_datatype"), lang.alias("o_lang"))
-
-    def string(f: Column) -> Column:
-        lang, datatype = F.get(f, F.lit(0)), F.get(f, F.lit(1))
-        full = _let(_resource(datatype, known, place, scope), lambda r: F.when(r["type"] == "uri", r["value"]))
-        kind = F.when(lang != "", F.lit(RDF_LANGSTRING)).when(datatype != "", full).otherwise(F.lit(XSD_STRING))
-        value = F.when(F.size(f) == 3, _lexical(F.get(f, F.lit(2))))
-        return _let(kind, lambda k: term(F.when(k.isNotNull(), value), F.lit("literal"), k, F.nullif(lang, F.lit(""))))
+def _term(token: Column, known: Column, place: Column, scope: Column) -> Column:
+    """A token and the columns of an object that it stands for; a NULL value if it is none.
 
-    fields = F.split(F.regexp_replace(token, _LITERAL, _LITERAL_FIELDS), _SEP, 3)
-    number = F.lit(None).cast("string")
+    What is looked up is the token itself, or the datatype of a string: one expression for both.
+    """
+    none = F.lit(None).cast("string")
+    number = none
     for datatype, pattern in _NUMBERS.items():
         number = F.when(token.rlike(pattern), F.lit(datatype)).otherwise(number)
     number = F.when(token.rlike(r"\A[0-9+.-]"), number)
     plain = F.when(token.isin("true", "false"), F.lit(XSD + "boolean")).otherwise(number)
-    resource = _let(_resource(token, known, place, scope), lambda r: term(r["value"], r["type"], none, none))
-    return F.when(token.rlike("\\A[\"']"), _let(fields, string)).otherwise(
-        _let(plain, lambda p: F.when(p.isNotNull(), term(token, F.lit("literal"), p, none)).otherwise(resource)))
+    fields = F.when(token.rlike("\\A[\"']"), F.split(F.regexp_replace(token, _LITERAL, _LITERAL_FIELDS), _SEP, 3))
+
+    def built(f: Column, kind: Column) -> Column:
+        lang, datatype = F.get(f, F.lit(0)), F.get(f, F.lit(1))
+        name = F.when(f.isNotNull(), F.nullif(datatype, F.lit(""))).when(kind.isNull(), token)
+
+        def term(r: Column) -> Column:
+            full = F.when(lang != "", F.lit(RDF_LANGSTRING)).when(datatype != "", F.when(r["type"] == "uri", r["value"])).otherwise(F.lit(XSD_STRING))
+            string = F.when((F.size(f) == 3) & full.isNotNull(), _lexical(F.get(f, F.lit(2))))
+            is_string, is_plain = f.isNotNull(), kind.isNotNull()
+            return F.struct(
+                token.alias("token"), F.when(is_string, string).when(is_plain, token).otherwise(r["value"]).alias("o"),
+                F.when(is_string | is_plain, "literal").otherwise(r["type"]).alias("o_type"),
+                F.when(is_string, full).when(is_plain, kind).alias("o_datatype"),
+                F.when(is_string, F.nullif(lang, F.lit(""))).alias("o_lang"))
+
+        return _let(_resource(name, known, place, scope), term)
+
+    return _let(fields, lambda f: _let(plain, lambda k: built(f, k)))
 
 
 def _triples(tokens: Column, known: Column, place: Column, scope: Column) -> Column:
-    """The triples of a statement: its tokens are cut at ``;``, and each group is a predicate and its objects.
+    """The triples of a statement: its terms are cut at ``;``, and each group is a predicate and its objects.
 
     NULL if one of the terms or the order of tokens is wrong.
     """
-    n = F.size(tokens)
-    cuts = F.filter(F.sequence(F.lit(1), n - 1), lambda i: F.get(tokens, i) == ";")
-    bounds = F.concat(F.array(F.lit(0)), cuts, F.array(n))
-    groups = _let(bounds, lambda b: F.transform(
-        F.sequence(F.lit(1), F.size(b) - 1),
-        lambda k: F.slice(tokens, F.get(b, k - 1) + 2, F.get(b, k) - F.get(b, k - 1) - 1)))
-    is_well = lambda g: (F.size(g) % 2 == 0) & F.forall(
-        F.filter(g, lambda _, i: (i % 2 == 0) & (i > 0)), lambda t: t == ",")
-    subject = _resource(F.get(tokens, F.lit(0)), known, place, scope)
-
-    def group(g: Column, s: Column) -> Column:
-        verb = _let(_resource(F.get(g, F.lit(0)), known, place, scope), lambda r: F.when(r["type"] == "uri", r["value"]))
-        verb = F.when(F.get(g, F.lit(0)) == "a", F.lit(RDF_TYPE)).otherwise(verb)
-        objects = F.filter(g, lambda _, i: i % 2 == 1)
-        return _let(verb, lambda p: F.transform(objects, lambda t: _let(_object(t, known, place, scope), lambda o: F.struct(
-            s["value"].alias("s"), s["type"].alias("s_type"), p.alias("p"), *(o[c].alias(c) for c in ("o", "o_type", "o_datatype", "o_lang"))))))
-
-    def all_of(gs: Column) -> Column:
-        full = F.filter(gs, lambda g: F.size(g) > 0)
-        made = _let(subject, lambda s: F.flatten(F.transform(full, lambda g: group(g, s))))
-        return F.when((F.size(F.get(gs, F.lit(0))) > 0) & F.forall(full, is_well), made)
-
-    whole = F.when(n >= 3, _let(groups, all_of))
-    return _let(whole, lambda ts: F.when(F.forall(ts, lambda t: t["s"].isNotNull() & t["p"].isNotNull() & t["o"].isNotNull()), ts))
+
+    def of(terms: Column) -> Column:
+        n = F.size(terms)
+        cuts = F.filter(F.sequence(F.lit(1), n - 1), lambda i: F.get(terms, i)["token"] == ";")
+        groups = _let(F.concat(F.array(F.lit(0)), cuts, F.array(n)), lambda b: F.transform(
+            F.sequence(F.lit(1), F.size(b) - 1),
+            lambda k: F.slice(terms, F.get(b, k - 1) + 2, F.get(b, k) - F.get(b, k - 1) - 1)))
+        subject = F.get(terms, F.lit(0))
+
+        def group(g: Column) -> Column:
+            first = F.get(g, F.lit(0))
+            verb = F.when(first["token"] == "a", F.lit(RDF_TYPE)).when(first["o_type"] == "uri", first["o"])
+            return F.transform(F.filter(g, lambda _, i: i % 2 == 1), lambda o: F.struct(
+                subject["o"].alias("s"), subject["o_type"].alias("s_type"), verb.alias("p"),
+                *(o[c].alias(c) for c in ("o", "o_type", "o_datatype", "o_lang"))))
+
+        is_well = lambda g: (F.size(g) % 2 == 0) & F.forall(
+            F.filter(g, lambda _, i: (i % 2 == 0) & (i > 0)), lambda t: t["token"] == ",")
+
+        def all_of(gs: Column) -> Column:
+            full = F.filter(gs, lambda g: F.size(g) > 0)
+            made = F.when((F.size(F.get(gs, F.lit(0))) > 0) & F.forall(full, is_well), F.flatten(F.transform(full, group)))
+            whole = lambda ts: F.when(F.forall(ts, lambda t: t["s"].isNotNull() & t["p"].isNotNull() & t["o"].isNotNull()), ts)
+            return _let(made, whole)
+
+        return F.when((n >= 3) & (subject["o_type"] != "literal"), _let(groups, all_of))
+
+    return _let(F.transform(tokens, lambda t: _term(t, known, place, scope)), of)
 
 
 def _parsed(statement: Column, ends: Column, known: Column, place: Column, scope: Column) -> Column:
