@@ -101,6 +101,10 @@ def has_value(variable: str) -> Column:
     return F.col(variable).isNotNull()
 
 
+#: Pages that end within so many rows are kept in the memory of each task.
+TOP_ROWS = 1 << 14
+
+
 def page(
     df: DataFrame,
     offset: int | None = None,
@@ -109,16 +113,23 @@ def page(
 ) -> DataFrame:
     """Rows ``offset`` to ``offset + limit`` in the given total order, NULL first; they come out unordered.
 
-    Rows are sorted over the cluster, numbered by the sizes of the partitions before them, and cut, so
-    no page piles up in one task however deep or wide it is.
+    A page that ends within ``TOP_ROWS`` rows is picked by a top-k: each task keeps as many rows, and nothing is sorted
+    or written. Others are sorted over the cluster, numbered by the sizes of the partitions before them, and
+    cut, so no page piles up in one task however deep or wide it is; before the exchange every task drops
+    what lies behind the end of the page.
     """
     if offset is None and limit is None:
         return df
     skip = offset or 0
+    if limit is not None and skip + limit <= TOP_ROWS:
+        return df.orderBy(*(F.col(c).asc_nulls_first() for c in order)).offset(skip).limit(limit)
     # The last key parts equal rows of a bag, which any place among each other suits.
     keys = [*(F.col(c).asc_nulls_first() for c in order), F.monotonically_increasing_id()]
     placed = df.withColumn("_place", keys.pop())
     keys = [*keys, F.col("_place")]
+    in_task = F.monotonically_increasing_id().bitwiseAND((1 << 33) - 1)
+    if limit is not None:
+        placed = placed.sortWithinPartitions(*keys).withColumn("_row", in_task).where(F.col("_row") < skip + limit).drop("_row")
     numbered = stage(
         placed.repartitionByRange(*keys)
         .sortWithinPartitions(*keys)
@@ -126,7 +137,7 @@ def page(
         .select(
             "*",
             F.spark_partition_id().alias("_part"),
-            F.monotonically_increasing_id().bitwiseAND((1 << 33) - 1).alias("_row"),
+            in_task.alias("_row"),
         ),
         "page",
     )

@@ -68,50 +68,66 @@ def canonical_request(angle_brackets: bool = True) -> Column:
     return F.array_join(parts, "&")
 
 
-def parse_requests(df: DataFrame, query_string: str = "request_key") -> DataFrame:
+_LITERAL = '(?s)^"(.*)"(?:@([A-Za-z0-9-]+)|\\^\\^<([^<>]*)>)?\\z'
+
+
+def _bare(graph: Column) -> Column:
+    return F.when(graph.startswith("<") & graph.endswith(">"), F.substring(graph, F.lit(2), F.length(graph) - 2)).otherwise(graph)
+
+
+def _term_of(text: Column) -> Column:
+    """A term from its text, which is matched once: language, datatype, and what stands between the quotes."""
+    fields = F.split(F.regexp_replace(text, _LITERAL, "$2\x01$3\x01$1"), "\x01", 3)
+
+    def term(f: Column) -> Column:
+        at = lambda i: F.nullif(F.get(f, F.lit(i)), F.lit(""))
+        literal = F.size(f) == 3
+        plain = F.when(at(0).isNotNull(), RDF_LANGSTRING).otherwise(XSD_STRING)
+        return F.struct(
+            F.when(literal, F.get(f, F.lit(2))).otherwise(_bare(text)).alias("value"),
+            F.when(literal, "literal").otherwise("uri").alias("type"),
+            F.when(literal, F.coalesce(at(1), plain)).alias("datatype"), F.when(literal, at(0)).alias("lang"))
+
+    # Only a text in quotes is cut, whatever characters others have.
+    cut = F.when(text.startswith('"'), fields).otherwise(F.array(text))
+    return F.get(F.transform(F.array(cut), term), F.lit(0))
+
+
+def parse_requests(df: DataFrame, query_string: str = "request_key", collect: bool = False) -> DataFrame:
     """Query strings as request columns, next to the other columns; undoes :func:`canonical_request`.
 
-    Each key is picked out of the text by itself, so only what is wanted is decoded.
+    A string is cut once, at ``&`` and ``=``, and only what is wanted is decoded. Of a name that is given several
+    times ``bindings`` has the last value; with ``collect`` it has all of them, in order, as an array per name.
     """
     rest = [c for c in df.columns if c != query_string]
     decode = F.try_url_decode
-    # Every part then starts with "&", so that a pattern starts with a fixed text to look for.
-    text = F.concat(F.lit("&"), F.col(query_string))
-    raw = lambda key: F.regexp_extract_all(text, F.lit(f"&{key}=([^&]*)"), F.lit(1))
-    values = lambda key: F.transform(raw(key), decode)
-    first = lambda key: decode(F.get(raw(key), F.lit(0)))
-    bare = lambda g: F.regexp_replace(g, "^<(.*)>$", "$1")
-
-    def term(text: Column) -> Column:
-        literal = text.startswith('"')
-        lang = F.nullif(F.regexp_extract(text, '(?s)^".*"@([A-Za-z0-9-]+)\\z', 1), F.lit(""))
-        datatype = F.nullif(F.regexp_extract(text, '(?s)^".*"\\^\\^<([^<>]*)>\\z', 1), F.lit(""))
-        return F.struct(
-            F.when(literal, F.regexp_extract(text, '(?s)^"(.*)"(?:@[A-Za-z0-9-]+|\\^\\^<[^<>]*>)?\\z', 1))
-            .otherwise(bare(text)).alias("value"),
-            F.when(literal, "literal").otherwise("uri").alias("type"),
-            F.when(literal, F.coalesce(datatype, F.when(lang.isNotNull(), RDF_LANGSTRING).otherwise(XSD_STRING)))
-            .alias("datatype"),
-            F.when(literal, lang).alias("lang"),
-        )
 
-    bound = F.regexp_extract_all(text, F.lit("&(?:\\$|%24)([^=&]*=[^&]*)"), F.lit(1))
-    entry = lambda kv: F.struct(
-        F.substring_index(kv, "=", 1), decode(F.substring(kv, F.instr(kv, "=") + 1, F.length(kv)))
-    )
-    # Names and decoded values first, terms from these, so that each value is decoded once.
-    bindings = F.transform(
-        F.transform(bound, entry), lambda e: F.struct(e["col1"], term(e["col2"]))
-    )
-    # A name given again replaces what was before.
-    last_of_name = F.filter(
-        bindings, lambda e, i: ~F.exists(F.slice(bindings, i + 2, F.size(bindings)), lambda later: later["col1"] == e["col1"]))
-    return df.select(
+    def pair(text: Column) -> Column:
+        name = F.substring_index(text, "=", 1)
+        return F.struct(name.alias("key"), F.substr(text, F.length(name) + 2).alias("value"))
+
+    cut = df.select(*rest, F.transform(F.split(F.col(query_string), "&"), pair).alias("_parts"))
+    named = F.filter("_parts", lambda p: p["key"].startswith("$") | p["key"].startswith("%24"))
+    entry = lambda p, i: F.struct(
+        F.when(p["key"].startswith("$"), F.substr(p["key"], F.lit(2))).otherwise(F.substr(p["key"], F.lit(4))).alias("key"), i.alias("at"),
+        F.get(F.transform(F.array(decode(p["value"])), _term_of), F.lit(0)).alias("term"))
+    # In order of name and place, so that the values of a name stand together.
+    cut = cut.withColumn("_bound", F.array_sort(F.transform(named, entry)))
+    other = lambda step: lambda e, i: ~F.coalesce(F.get("_bound", i + step)["key"] == e["key"], F.lit(False))
+    if collect:
+        firsts = F.filter("_bound", lambda e, i: (i == 0) | other(-1)(e, i))
+        bindings = F.transform(firsts, lambda e: F.struct(e["key"].alias("key"), F.transform(
+            F.filter("_bound", lambda b: b["key"] == e["key"]), lambda b: b["term"]).alias("value")))
+    else:
+        bindings = F.transform(F.filter("_bound", other(1)), lambda e: F.struct(e["key"].alias("key"), e["term"].alias("value")))
+    values = lambda key: F.transform(F.filter("_parts", lambda p: p["key"] == key), lambda p: decode(p["value"]))
+    first = lambda key: decode(F.get(F.filter("_parts", lambda p: p["key"] == key), F.lit(0))["value"])
+    return cut.select(
         *rest,
         first("query").alias("query"),
-        F.map_from_entries(last_of_name).alias("bindings"),
-        F.transform(values("default-graph-uri"), bare).alias("default_graphs"),
-        F.transform(values("named-graph-uri"), bare).alias("named_graphs"),
+        F.map_from_entries(bindings).alias("bindings"),
+        F.transform(values("default-graph-uri"), _bare).alias("default_graphs"),
+        F.transform(values("named-graph-uri"), _bare).alias("named_graphs"),
         first("limit").try_cast("bigint").alias("limit"),
         first("offset").try_cast("bigint").alias("offset"),
         first("reasoning").try_cast("boolean").alias("reasoning"),

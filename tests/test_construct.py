@@ -81,6 +81,16 @@ def test_pages_join_up(spark, quads):
     assert dataset.page(same, 10, 30).count() == 30
 
 
+@pytest.mark.parametrize("top", [0, 1 << 14])
+def test_pages_by_top_k_and_by_a_sort_are_the_same(spark, quads, tmp_path, monkeypatch, top):
+    monkeypatch.setattr(dataset, "TOP_ROWS", top)
+    twice = quads.unionByName(quads).repartition(5)
+    whole = sorted(rows() * 2, key=lambda r: tuple("" if v is None else v for v in r))
+    for skip, limit in ((0, 5), (7, 9), (40, 30), (0, 0), (3, 45)):
+        got = sorted(map(tuple, dataset.page(twice, skip, limit).collect()), key=str)
+        assert got == sorted(whole[skip : skip + limit], key=str)
+
+
 def test_names_in_urls(quads):
     with pytest.raises(ValueError):
         dataset.prebind(bgp.match(quads, ("?x", LABEL, "?n", "?g")), {"two words": iri("urn:x")})

@@ -117,6 +117,14 @@ def test_a_repeated_name_takes_its_last_value(spark):
     assert {k: v.value for k, v in got.items()} == {"x": "urn:b", "y": "urn:c"}
 
 
+def test_repeated_names_are_collected(spark):
+    df = spark.createDataFrame([(1, "query=q&$x=%3Curn:a%3E&%24y=%22c%22@en&$x=%22b%22&limit=5&limit=6&$x=%3Curn:a%3E"), (2, "query=q"), (3, "")], "id int, request_key string")
+    got = {r["id"]: r for r in RQ.parse_requests(df, collect=True).collect()}
+    assert {k: [(t.value, t.type, t.lang) for t in v] for k, v in got[1].bindings.items()} == {
+        "x": [("urn:a", "uri", None), ("b", "literal", None), ("urn:a", "uri", None)], "y": [("c", "literal", "en")]}
+    assert got[1]["limit"] == 5 and got[2].bindings == {} and got[2].default_graphs == [] and got[3].query is None
+
+
 def test_routes(spark):
     df = spark.createDataFrame([("query", "streamed"), ("query", "mapped"), ("update", None), ("construct", None), ("x", None)], "kind string, query_type string")
     assert [r[0] for r in df.select(RQ.route()).collect()] == ["query.streamed", "query.mapped", "update", "construct", None]
