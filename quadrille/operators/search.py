@@ -7,21 +7,16 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..schema import statement_set
+from ..schema import QUAD_COLS, statement_set
 from ..session import stage
 from .construct import Values, _restricts
 from .dataset import named_graphs, page, restrict
 from .reasoning import rdfs_closure
+from .text_index import TextIndex, impact, search_words, weight, words
 
-K1, B = 1.2, 0.75
 DEFAULT_K = 10
-_WORD = "[\\p{L}\\p{N}_]+"
-
-
-def words(text: str | Column) -> Column:
-    """Lower-case words of a text."""
-    c = F.col(text) if isinstance(text, str) else text
-    return F.regexp_extract_all(F.lower(c), F.lit(_WORD), F.lit(0))
+#: So many hits are broadcast to the statements.
+BROADCAST_HITS = 1000
 
 
 def score_literals(quads: DataFrame, search: str) -> DataFrame:
@@ -30,13 +25,11 @@ def score_literals(quads: DataFrame, search: str) -> DataFrame:
     Each task reduces a literal to its length and the counts of the few search words before anything is
     shuffled. Literals are told apart by digest; the text of those without a match never moves.
     """
-    terms = sorted({w for w in _split(search)})
     literals = named_graphs(quads).where(F.col("o_type") == "literal")
     if search.strip() == "*":
         distinct = literals.select("o").distinct()
         return distinct.select(F.sha2("o", 256).alias("key"), F.col("o").alias("value"), F.lit(1.0).alias("score"))
-    if not terms:
-        raise ValueError("the search has no word")
+    terms = search_words(search)
     # Words are cut once, then counted.
     cut = literals.select("o", words("o").alias("_w"))
     tf = [_occurrences("_w", t).alias(f"_tf{i}") for i, t in enumerate(terms)]
@@ -63,9 +56,7 @@ def score_literals(quads: DataFrame, search: str) -> DataFrame:
     parts = []
     for i, name in enumerate(names):
         df, tf_i = F.col(f"_s.df{i}"), F.col(name)
-        idf = F.log(F.lit(1.0) + (n - df + 0.5) / (df + 0.5))
-        norm = tf_i + K1 * (1 - B + B * F.col("_len") / avg)
-        parts.append(idf * tf_i * (K1 + 1) / norm)
+        parts.append(weight(n, df) * impact(tf_i, F.col("_len"), avg))
     return scored.select("key", "value", reduce(Column.__add__, parts).alias("score"))
 
 
@@ -73,14 +64,10 @@ def _occurrences(words: str, term: str) -> Column:
     return F.size(F.filter(words, lambda w: w == term))
 
 
-def _split(search: str) -> list[str]:
-    import re
-
-    return re.findall(r"\w+", search.lower())
-
-
-def topk_text(quads: DataFrame, search: str, k: int = DEFAULT_K) -> DataFrame:
-    """The ``k`` best literals, ties by text."""
+def topk_text(quads: DataFrame, search: str, k: int = DEFAULT_K, index: TextIndex | None = None) -> DataFrame:
+    """The ``k`` best literals, ties by text. With an ``index`` of the quads only what it holds of the words is read."""
+    if index is not None and search.strip() != "*":
+        return index.top(search, k)
     scored = score_literals(quads, search)
     return scored.orderBy(F.round("score", 9).desc(), "value").limit(k)
 
@@ -95,20 +82,25 @@ def search_construct(
     limit: int | None = None,
     is_set: bool = False,
     reasoning: bool = False,
+    index: TextIndex | None = None,
 ) -> DataFrame:
     """Statements whose literal is among the best matches; scores are not part of the result.
 
-    The limit bounds the matches (10 without one) and then the statements as well.
+    The limit bounds the matches (10 without one) and then the statements as well. An ``index`` is that of the
+    quads as they are given, so it does not go with ``reasoning``.
     """
     if reasoning:
+        if index is not None:
+            raise ValueError("the index does not know what is entailed")
         quads, is_set = stage(rdfs_closure(quads), "closure"), True
     k = limit if limit is not None else DEFAULT_K
-    hits = topk_text(quads, search, k).select("key")
+    hits = topk_text(quads, search, k, index).select(F.col("value").alias("o"))
     rows = named_graphs(quads).where(F.col("o_type") == "literal")
     rows = restrict(rows, "g", graphs)
     rows = restrict(rows, "p", predicates)
     rows = restrict(rows, "s", subjects)
     if _restricts(subjects):
         rows = rows.where(F.col("s_type") == "uri")
-    found = rows.withColumn("key", F.sha2("o", 256)).join(hits, "key", "left_semi").drop("key")
+    # A few hits go to the statements; of many, both sides are dealt.
+    found = rows.join(F.broadcast(hits) if k <= BROADCAST_HITS else hits, "o", "left_semi").select(*QUAD_COLS)
     return statement_set(page(found, offset, limit), is_set=is_set)

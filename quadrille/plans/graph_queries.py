@@ -489,13 +489,12 @@ def rdfs_closure(spark, sf_dir):
 
 @query(
     "construct_reasoning",
-    "SELECT * FROM (" + ORACLES["rdfs_closure"] + f") WHERE p = '{RDF_TYPE}' AND s LIKE 'urn:part:1%'",
+    "SELECT * FROM (" + ORACLES["rdfs_closure"] + f") WHERE p = '{RDF_TYPE}'",
 )
 def construct_reasoning(spark, sf_dir):
     """Types that are stated or entailed."""
     quads = V.hierarchy(spark, sf_dir)
-    typed = construct.construct_quads(quads, predicates=[RDF_TYPE], reasoning=True)
-    return typed.where(F.col("s").startswith("urn:part:1"))
+    return construct.construct_quads(quads, predicates=[RDF_TYPE], reasoning=True)
 
 
 # --- search -----------------------------------------------------------------------------------
@@ -522,7 +521,7 @@ SEARCH = (
     SEARCH + "SELECT o AS value, round(score, 6) AS score FROM scored ORDER BY round(score, 9) DESC, o LIMIT 10",
 )
 def topk_text(spark, sf_dir):
-    hits = search.topk_text(V.document_quads(spark, sf_dir), " ".join(_WORDS))
+    hits = search.topk_text(V.document_quads(spark, sf_dir), " ".join(_WORDS), index=V.document_index(spark, sf_dir))
     return hits.select("value", F.round("score", 6).alias("score"))
 
 
@@ -534,7 +533,8 @@ def topk_text(spark, sf_dir):
 )
 def search_construct(spark, sf_dir):
     return search.search_construct(
-        V.document_quads(spark, sf_dir), " ".join(_WORDS), predicates=["urn:p:text"], limit=25, is_set=True
+        V.document_quads(spark, sf_dir), " ".join(_WORDS), predicates=["urn:p:text"], limit=25, is_set=True,
+        index=V.document_index(spark, sf_dir),
     )
 
 
@@ -544,4 +544,4 @@ def search_construct(spark, sf_dir):
     f"SELECT DISTINCT {C} FROM docs WHERE o_type = 'literal' AND o IN (SELECT o FROM hits)",
 )
 def search_join(spark, sf_dir):
-    return search.search_construct(V.document_quads(spark, sf_dir), " ".join(_WORDS))
+    return search.search_construct(V.document_quads(spark, sf_dir), " ".join(_WORDS), index=V.document_index(spark, sf_dir))

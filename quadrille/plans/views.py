@@ -8,6 +8,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..operators.text_index import TextIndex, write_index
 from ..schema import QUAD_COLS, RDF, RDF_LANGSTRING, RDF_TYPE, RDFS, XSD
 from ..session import allow_skew_splits, fresh_path
 from ..sources.relational import Entity, to_quads
@@ -76,6 +77,16 @@ def document_quads(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_quads(spark, _store(spark, sf_dir, "document-quads", [DOCUMENTS]))
 
 
+def document_index(spark: SparkSession, sf_dir: str) -> TextIndex:
+    """The text index of the documents, written once per application."""
+    key = (spark.sparkContext.applicationId, sf_dir, "document-index")
+    if key not in _stored:
+        path = fresh_path(spark, "document-index")
+        write_index(document_quads(spark, sf_dir), path)
+        _stored[key] = path
+    return TextIndex(spark, _stored[key])
+
+
 def all_quads(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quads(spark, sf_dir).unionByName(document_quads(spark, sf_dir))
 
