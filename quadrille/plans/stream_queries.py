@@ -58,11 +58,27 @@ def stream_route(spark, sf_dir):
     return _finished(spark, routed.select("request_id", "route"), "routed")
 
 
-@query("stream_dedup", f"WITH quads AS ({V.QUADS_SQL}) SELECT DISTINCT {C} FROM quads")
+_PRIORITY = f"SELECT {C} FROM ({V.entity_sql(V.BY_TABLE['orders'])}) WHERE p = 'urn:p:o_orderpriority'"
+
+
+@query("stream_dedup", f"{_PRIORITY} UNION ALL {_PRIORITY}")
 def stream_dedup(spark, sf_dir):
-    """Statements that come twice within an hour; what is older is forgotten."""
-    quads = V.quads(spark, sf_dir).withColumn("at", F.to_timestamp(F.lit("2024-01-01 00:00:00")))
-    stream = _replay(spark, quads.unionByName(quads), "stream-quads").withWatermark("at", "1 hour")
+    """Statements of orders at the time of the order, in order of time: said again an hour later, which is
+    within the bound of a day, and again after 1,000 days, when they are forgotten and count as new."""
+    orders = V.table(spark, sf_dir, "orders").select(
+        F.concat(F.lit("urn:orders:"), F.col("o_orderkey").cast("string")).alias("s"), F.col("o_orderdate").cast("timestamp").alias("at"))
+    quads = V.quads(spark, sf_dir, ["urn:g:orders"]).where("p = 'urn:p:o_orderpriority'").join(orders, "s")
+    times = F.array(*(F.col("at") + F.expr(f"interval {later}") for later in ("0 hours", "1 hour", "1000 days")))
+    said = quads.select(*QUAD_COLS, F.explode(times).alias("at"))
+    path = fresh_path(spark, "stream-quads")
+    # Files are read in order of the time they were written; the four of a batch span about a year.
+    said = stage(said, "said")
+    first, last = said.agg(F.min("at"), F.max("at")).first()
+    width = (last - first) / 9 if first is not None else None
+    for k in range(9 if first is not None else 0):
+        span = (F.col("at") >= F.lit(first + k * width)) & ((F.col("at") < F.lit(first + (k + 1) * width)) if k < 8 else F.lit(True))
+        said.where(span).repartition(4).write.mode("append").parquet(path)
+    stream = spark.readStream.schema(said.schema).option("maxFilesPerTrigger", 4).parquet(path).withWatermark("at", "1 day")
     return _finished(spark, flows.stream_dedup(stream, "at").select(*QUAD_COLS), "deduplicated")
 
 

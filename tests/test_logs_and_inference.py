@@ -225,3 +225,34 @@ def test_search_scores(spark):
     assert best.count() == 1
     assert search.search_construct(quads, "red fox").count() == 4
     assert search.search_construct(quads, "*", limit=3).count() == 3
+
+
+def test_rounds_join_and_write_only_what_is_new(spark, monkeypatch):
+    """A vocabulary that makes vocabulary: each round's table holds the new statements alone."""
+    written = []
+    keep = reasoning.stage
+
+    def counted(df, name):
+        out = keep(df, name)
+        if name == "rdfs-delta":
+            written.append(out.count())
+        return out
+
+    monkeypatch.setattr(reasoning, "stage", counted)
+    sub = reasoning.SUB_CLASS
+    triples = [("urn:under", reasoning.SUB_PROPERTY, sub), ("urn:below", reasoning.SUB_PROPERTY, "urn:under"), ("urn:a", "urn:below", "urn:b"), ("urn:b", "urn:under", "urn:c"),
+               ("urn:x", reasoning.RDF_TYPE, "urn:a")] + [(f"urn:y{i}", reasoning.RDF_TYPE, "urn:other") for i in range(50)]
+    got = reasoning.rdfs_closure(frame(spark, [uri("g", *t) for t in triples]))
+    assert {(r.s, r.p, r.o) for r in got.collect()} == rdfs_by_hand(triples)
+    assert written[0] == len(triples) and written[-1] == 0 and sum(written) == got.count() and max(written[1:]) < 20
+
+
+@pytest.mark.parametrize("cut", [1, 4, 9])
+def test_a_closure_is_kept_up_under_inserts(spark, cut):
+    triples = [("urn:a", reasoning.SUB_CLASS, "urn:b"), ("urn:x", reasoning.RDF_TYPE, "urn:a"), ("urn:q", reasoning.RDFS + "domain", "urn:d"),
+               ("urn:x", "urn:p", "urn:y"), ("urn:b", reasoning.SUB_CLASS, "urn:c"), ("urn:p", reasoning.SUB_PROPERTY, "urn:q"), ("urn:z", "urn:p", "urn:x"),
+               ("urn:q", reasoning.RDFS + "range", "urn:a"), ("urn:d", reasoning.SUB_CLASS, "urn:e"), ("urn:x", "urn:p", "urn:y")]
+    of = lambda ts: frame(spark, [uri("g", *t) for t in ts])
+    closed = reasoning.rdfs_closure(of(triples[:cut]))
+    got = reasoning.extend_closure(closed, of(triples[cut - 1 :])).collect()
+    assert {(r.s, r.p, r.o) for r in got} == rdfs_by_hand(triples) and len(got) == len(set(got))

@@ -75,6 +75,24 @@ def test_dedup_within_watermark(spark, tmp_path):
     assert finish(spark, flows.stream_dedup(stream, "at"), tmp_path, "out").count() == 24
 
 
+def test_dedup_forgets_while_the_stream_runs(spark, tmp_path):
+    """One statement a minute, said again in the next batch within the bound, and much later outside of it."""
+    def batch(first, n, shift):
+        rows_ = [(*text("urn:g", f"urn:s{i}", "urn:p", "v"), at(0) + dt.timedelta(minutes=i + shift)) for i in range(first, first + n)]
+        return spark.createDataFrame(rows_, ", ".join(f"{c} string" for c in QUAD_COLS) + ", at timestamp")
+
+    steps = [batch(0, 100, 0).unionByName(batch(0, 100, 1)), batch(90, 60, 5), batch(1000, 5, 0), batch(2000, 5, 0), batch(0, 10, 3000), batch(4000, 1, 0)]
+    stream = batches(spark, tmp_path, *steps).withWatermark("at", "30 minutes")
+    query = (
+        flows.stream_dedup(stream, "at").writeStream.format("parquet").option("path", str(tmp_path / "out"))
+        .option("checkpointLocation", str(tmp_path / "state")).trigger(availableNow=True).start())
+    query.awaitTermination()
+    got = spark.read.parquet(str(tmp_path / "out")).groupBy("s").count().collect()
+    assert {r["s"]: r["count"] for r in got} == {f"urn:s{i}": 2 if i < 10 else 1 for i in [*range(150), *range(1000, 1005), *range(2000, 2005), 4000]}
+    held = [p["stateOperators"][0]["numRowsTotal"] for p in query.recentProgress]
+    assert max(held) >= 100 and held[-1] < 20
+
+
 LOG = "seq bigint, op string, g string, s string, s_type string, p string, o string, o_type string, o_datatype string, o_lang string"
 
 
