@@ -55,8 +55,8 @@ def namespace_split(uri: str | Column) -> Column:
 def as_type(value: str | Column, kind: str) -> Column:
     """A lexical form as the named type; NULL when it is not in the lexical space.
 
-    Kinds: ``string short int bigint boolean iri local_name``. ``bigint`` is an integer of up to 38
-    digits.
+    Kinds: ``string short int bigint integer boolean iri local_name``. ``bigint`` is an integer of up to 38
+    digits; ``integer`` one of any length, as its canonical text.
     """
     v = col(value)
     trimmed = F.trim(v)
@@ -65,6 +65,10 @@ def as_type(value: str | Column, kind: str) -> Column:
     if kind in ("short", "int", "bigint"):
         target = {"short": "smallint", "int": "int", "bigint": "decimal(38,0)"}[kind]
         return F.when(trimmed.rlike("^[+-]?[0-9]+$"), trimmed.try_cast(target))
+    if kind == "integer":
+        digits = F.regexp_replace(trimmed, "^[+-]?0*(?=[0-9])", "")
+        sign = F.when(trimmed.startswith("-") & (digits != "0"), F.lit("-")).otherwise(F.lit(""))
+        return F.when(trimmed.rlike("^[+-]?[0-9]+$"), F.concat(sign, digits))
     if kind == "boolean":
         return F.when(trimmed.isin("true", "1"), True).when(trimmed.isin("false", "0"), False)
     if kind == "iri":

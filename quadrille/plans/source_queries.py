@@ -87,6 +87,27 @@ def read_jsonld(spark, sf_dir):
     return jsonld.read_jsonld(spark, path, layout="lines")
 
 
+@query(
+    "read_jsonld_document",
+    f"WITH quads AS ({V.entity_sql(V.BY_TABLE['supplier'])}) SELECT {C} FROM quads",
+)
+def read_jsonld_document(spark, sf_dir):
+    """Suppliers as nodes of a named graph, a document per nation."""
+    value = lambda c, **more: F.array(F.struct(c.cast("string").alias("@value"), *(v.alias(k) for k, v in more.items())))
+    node = F.struct(
+        F.concat(F.lit("urn:supplier:"), F.col("s_suppkey").cast("string")).alias("@id"),
+        F.array(F.lit("urn:type:supplier")).alias("@type"),
+        value(F.col("s_name")).alias("urn:p:s_name"),
+        F.array(F.struct(F.concat(F.lit("urn:nation:"), F.col("s_nationkey").cast("string")).alias("@id"))).alias("urn:p:s_nationkey"),
+        value(F.col("s_acctbal").cast("decimal(18,2)"), **{"@type": F.lit(XSD + "decimal")}).alias("urn:p:s_acctbal"),
+    )
+    graph = F.struct(F.lit("urn:g:supplier").alias("@id"), F.collect_list(node).alias("@graph"))
+    docs = V.table(spark, sf_dir, "supplier").groupBy("s_nationkey").agg(F.to_json(F.array(graph)).alias("value"))
+    path = fresh_path(spark, "jsonld")
+    docs.write.partitionBy("s_nationkey").text(path)
+    return jsonld.read_jsonld(spark, path, layout="document")
+
+
 _LINES = (
     "SELECT '<urn:customer:' || CAST(c_custkey AS VARCHAR) || '> <urn:p:c_name> \"' || c_name || '\" .' AS line, true AS ok, c_custkey FROM customer "
     "UNION ALL SELECT '<urn:customer:' || CAST(c_custkey AS VARCHAR) || '> <urn:p:c_name> \"' || c_name || ' .', false, c_custkey FROM customer "

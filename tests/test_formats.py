@@ -303,6 +303,13 @@ def test_accessors(spark):
 
 
 
+def test_integers_of_any_length(spark):
+    long = "9" * 60
+    df = spark.createDataFrame([(v,) for v in (long, "-00" + long, "+7", " 007 ", "-0", "0", "1.0", "", "x", None)], "v string")
+    got = [r[0] for r in df.select(terms.as_type("v", "integer")).collect()]
+    assert got == [long, "-" + long, "7", "7", "0", "0", None, None, None, None]
+
+
 def test_failfast_holds_whatever_is_wanted(spark, tmp_path):
     good, bad = "<urn:a> <urn:p> \"x\" .\n", "<urn:a> <urn:p> .\n"
     for name, read in (("nt", rdf_lines.read_ntriples), ("nq", rdf_lines.read_nquads), ("ttl", turtle.read_turtle)):

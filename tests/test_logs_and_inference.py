@@ -256,3 +256,36 @@ def test_a_closure_is_kept_up_under_inserts(spark, cut):
     closed = reasoning.rdfs_closure(of(triples[:cut]))
     got = reasoning.extend_closure(closed, of(triples[cut - 1 :])).collect()
     assert {(r.s, r.p, r.o) for r in got} == rdfs_by_hand(triples) and len(got) == len(set(got))
+
+
+def test_checks_hold_whatever_is_wanted(spark):
+    """A missing value and an unknown status raise even where only the rows are counted."""
+    one = spark.createDataFrame([("urn:a", "uri", None, None), (None, None, None, None)], "x string, x_type string, x_datatype string, x_lang string")
+    for read in (solutions.map_iri_field, solutions.map_string_field):
+        with pytest.raises(PySparkException):
+            read(one, "x").count()
+    answers = spark.createDataFrame(
+        [(1, 999, "text/plain", "", None)], "request_id int, status int, content_type string, body string, transport_error string")
+    with pytest.raises(PySparkException):
+        responses.decode_graph(answers, "FAILFAST").count()
+    assert responses.decode_graph(answers).count() == 1
+
+
+TYPES = "request_id int, status int, content_type string, body string, transport_error string"
+
+
+def test_bodies_of_four_formats(spark):
+    """One bad statement makes one bad response, whatever the format; prefixes and nodes are those of the response."""
+    ttl, ld = "text/turtle", "application/ld+json"
+    good = '[{"@id":"_:n","urn:p":[{"@value":"x"},{"@id":"urn:o"}]}]'
+    rows_ = [
+        (1, 200, "application/n-triples", "<urn:s> <urn:p> <urn:o> .", None), (2, 200, ttl, "@prefix e: <urn:> .\ne:s e:p _:n , \"\"\"a .\nb\"\"\" .", None),
+        (3, 200, ttl, "e:s e:p e:o .", None), (4, 200, ld, good, None), (5, 200, ld, "[{", None), (6, 200, ld, '[{"@id":"urn:s","@context":"c"}]', None),
+        (7, 200, ttl, "<urn:s> <urn:p> <urn:o> . <urn:s> <urn:p> [ ] .", None), (8, 200, ld, "[]", None), (9, 200, ttl, " # nothing\n", None), (10, 500, ttl, "x", None)]
+    answers = spark.createDataFrame(rows_, TYPES)
+    outcomes = {r["request_id"]: (r["success"], r["n"]) for r in responses.graph_outcomes(answers).collect()}
+    assert outcomes == {1: (True, 1), 2: (True, 2), 3: (True, None), 4: (True, 2), 5: (True, None), 6: (True, None), 7: (True, None), 8: (True, 0), 9: (True, 0), 10: (None, None)}
+    models = {(r["request_id"], r["s"], r["o"]) for r in responses.graph_models(answers).collect()}
+    assert models == {(1, "urn:s", "urn:o"), (2, "urn:s", "2.n"), (2, "urn:s", "a .\nb"), (4, "4.n", "x"), (4, "4.n", "urn:o")}
+    errors = {r["request_id"]: r["error"] for r in responses.decode_construct(answers).collect()}
+    assert errors == {i: "malformed body" if i in (3, 5, 6, 7) else "x" if i == 10 else None for i in range(1, 11)}
