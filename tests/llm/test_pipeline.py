@@ -37,6 +37,6 @@ def test_stages(spark):
 
 def test_queries_are_registered():
     names = __spark_entry__.queries()
-    for n in range(1, 11):
+    for n in range(1, 14):
         assert sum(k.startswith(f"op{n}_") for k in names) == 1
     assert "pipeline" in names and 4 <= len(corpus_pipeline.STAGES) <= 5
