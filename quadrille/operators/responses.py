@@ -227,6 +227,11 @@ def decode_graph(responses: DataFrame, mode: str = "PERMISSIVE") -> DataFrame:
     No body, a body of an unknown type and a body with a malformed statement all mean no model, never a
     failure. Responses lost in transport have no row; with ``FAILFAST`` they raise, as do unknown codes.
     """
+    return _decoded_graphs(responses, mode)[0]
+
+
+def _decoded_graphs(responses: DataFrame, mode: str) -> tuple[DataFrame, DataFrame]:
+    """Outcomes and the statements of all models, from one reading of the bodies."""
     lost, known = F.col("transport_error").isNotNull(), status_success("status", "PERMISSIVE")
     unknown = F.concat(F.lit("status code outside the known ones: "), F.col("status").cast("string"))
     if mode == "FAILFAST":
@@ -234,11 +239,12 @@ def decode_graph(responses: DataFrame, mode: str = "PERMISSIVE") -> DataFrame:
         answered = demand(answered, known.isNotNull(), F.coalesce(unknown, F.lit("no status code")))
     else:
         answered = responses.where(~lost)
-    rows, _ = _read_bodies(answered, _has_body())
-    return rows.select(
+    rows, found = _read_bodies(answered, _has_body())
+    decoded = rows.select(
         "request_id", known.alias("success"), "status", F.when(known.isNull(), unknown).alias("error"),
         F.coalesce("_valid", F.lit(False)).alias("has_model"),
     )
+    return decoded, statement_set(found, ["request_id", *TRIPLE_COLS])
 
 
 def _has_body() -> Column:
@@ -247,14 +253,14 @@ def _has_body() -> Column:
 
 def graph_models(responses: DataFrame) -> DataFrame:
     """Statements of the models of graph store responses: a set per response."""
-    _, found = _read_bodies(responses.where(F.col("transport_error").isNull()), _has_body())
-    return statement_set(found, ["request_id", *TRIPLE_COLS])
+    return _decoded_graphs(responses, "PERMISSIVE")[1]
 
 
 def graph_outcomes(responses: DataFrame, mode: str = "PERMISSIVE") -> DataFrame:
     """Decoded graph store responses with the size ``n`` of their model, NULL without one."""
-    sizes = graph_models(responses).groupBy("request_id").agg(F.count(F.lit(1)).alias("_n"))
-    decoded = decode_graph(responses, mode).join(sizes, "request_id", "left")
+    decoded, models = _decoded_graphs(responses, mode)
+    sizes = models.groupBy("request_id").agg(F.count(F.lit(1)).alias("_n"))
+    decoded = decoded.join(sizes, "request_id", "left")
     n = F.when(F.col("has_model"), F.coalesce("_n", F.lit(0)))
     return decoded.select("request_id", "success", "status", "error", n.cast("bigint").alias("n"))
 
