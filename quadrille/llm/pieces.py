@@ -13,17 +13,23 @@ from __future__ import annotations
 import heapq
 import re
 import zlib
+from collections import Counter
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from quadrille.llm.shingles import runs
+
 SPACE = "▁"
 STRETCH = re.compile(f"{SPACE}+[^{SPACE}]*|[^{SPACE}]+")
 #: Stretches that a task remembers, and the longest one worth it.
-KEPT, LONGEST_KEPT = 1 << 18, 48
+KEPT, LONGEST_KEPT = 1 << 19, 48
+#: Words that go through one lattice.
+AT_ONCE = 1 << 13
 
 Segmentation = tuple[float, tuple[int, ...]]
 #: Score, ids, and what the next best segmentation loses.
@@ -31,17 +37,18 @@ Best = tuple[float, bytes, float]
 
 
 class Vocabulary:
-    """Pieces with scores; characters without a piece are their bytes, as one edge of the lattice."""
+    """Pieces with scores, the model's own unless others are given; characters without a piece are their bytes,
+    as one edge of the lattice."""
 
-    def __init__(self, path: str) -> None:
+    def __init__(self, path: str, scores: list[float] | None = None) -> None:
         import sentencepiece
 
-        model = sentencepiece.SentencePieceProcessor(model_file=path)
+        model = self.model = sentencepiece.SentencePieceProcessor(model_file=path)
         n = model.get_piece_size()
         self.text = [model.id_to_piece(i) for i in range(n)]
         self.byte = {int(self.text[i][1:-1], 16): i for i in range(n) if model.is_byte(i)}
         self.value = {i: b for b, i in self.byte.items()}
-        self.score = [model.get_score(i) for i in range(n)]
+        self.score = scores or [model.get_score(i) for i in range(n)]
         self.unknown = model.unk_id()
         special = {i for i in range(n) if model.is_byte(i) or model.is_control(i) or model.is_unknown(i) or model.is_unused(i)}
         self.piece = {self.text[i]: i for i in range(n) if i not in special}
@@ -49,11 +56,22 @@ class Vocabulary:
         #: What pieces begin with: the piece itself, or -1 if it is only the beginning of others.
         self.begins = {p[:k]: -1 for p in self.piece for k in range(1, len(p))} | self.piece
         self.inside = {p[k : k + 2] for p in self.piece for k in range(len(p) - 1)}
+        # A step from a beginning to a longer one: its number and the next character, as one sorted key.
+        node = {text: number for number, text in enumerate(self.begins, 1)} | {"": 0}
+        steps = sorted((node[t[:-1]] << 21 | ord(t[-1]), node[t], found) for t, found in self.begins.items())
+        self.step, self.to, self.ends = (np.array(x, np.int64) for x in zip(*steps))
+        self.edge_score = np.array(self.score)
 
     def fallback(self, char: str) -> tuple[int, ...]:
         found = tuple(self.byte.get(b, -1) for b in char.encode("utf-8", "surrogatepass"))
         return found if -1 not in found else (self.unknown,)
 
+    def library_ids(self, words: list[str]) -> list[list[int]]:
+        """The library's own segmentation of words with their blanks in front; no piece reaches over such a begin."""
+        found = self.model.encode([w[1:].replace(SPACE, " ") for w in words], num_threads=1)
+        # The library has nothing for an empty text.
+        return [ids if len(w) > 1 else [self.piece.get(w, self.unknown)] for w, ids in zip(words, found)]
+
     def lattice(self, text: str) -> tuple[list[list[tuple[int, float, tuple[int, ...]]]], list[float]]:
         """For each end the pieces that end there, as begin, score, ids; and the best score from the front."""
         size, longest, begins, score = len(text), self.longest, self.begins.get, self.score
@@ -103,6 +121,88 @@ class Vocabulary:
                     second = front[i] + total
         return front[-1], np.array([k for part in reversed(ids) for k in part], "<u4").tobytes(), front[-1] - second
 
+    def best_of_words(self, words: list[str]) -> list[Best]:
+        """What ``best`` gives for each of many words, by one lattice over all of them."""
+        sizes = np.fromiter(map(len, words), np.int64, len(words))
+        text = np.frombuffer("".join(words).encode("utf-32-le", "surrogatepass"), "<u4").astype(np.int64)
+        last = np.cumsum(sizes)
+        # Each word has one position more than characters, so that no end is another word's begin.
+        word = np.repeat(np.arange(len(words)), sizes)
+        place = np.arange(len(text)) + word
+        limit = (last + np.arange(len(words)))[word]
+        chars = np.zeros(len(text) + len(words), np.int64)
+        chars[place] = text
+        begin, at, into = place, np.zeros(len(place), np.int64), []
+        alone = np.zeros(len(chars), bool)
+        for k in range(1, self.longest + 1):
+            key = at << 21 | chars[begin + k - 1]
+            found = np.minimum(np.searchsorted(self.step, key), len(self.step) - 1)
+            alive = self.step[found] == key
+            begin, limit, found = begin[alive], limit[alive], found[alive]
+            whole = self.ends[found] >= 0
+            into.append((begin[whole], begin[whole] + k, self.ends[found[whole]]))
+            if k == 1:
+                alone[begin[whole]] = True
+            more = begin + k < limit
+            begin, limit, at = begin[more], limit[more], self.to[found[more]]
+        rest = place[~alone[place]]
+        into.append((rest, rest + 1, np.full(len(rest), -1)))
+        begin, end, piece = (np.concatenate(x) for x in zip(*into))
+        first = last - sizes + np.arange(len(words))
+        final = first + sizes
+        length = end - begin
+        inside = end - np.repeat(first, sizes + 1)[begin]
+        # By distance from the begin of the word, then by end; of one end the longest piece first.
+        order = np.argsort((inside << 42) | (end << 10) | (self.longest - length))
+        begin, end, piece, inside = begin[order], end[order], piece[order], inside[order]
+        score = self.edge_score[piece]
+        bytes_of = {c: self.fallback(chr(c)) for c in np.unique(chars[rest]).tolist()}
+        for e in np.flatnonzero(piece < 0).tolist():
+            score[e] = sum(self.score[k] for k in bytes_of[int(chars[begin[e]])])
+        # Best and second-best score of each position, the latter by another last piece or through a second best.
+        front = np.zeros(len(chars))
+        second = np.full(len(chars), float("-inf"))
+        into_best = np.zeros(len(chars), np.int64)
+        heads = np.flatnonzero(np.r_[True, end[1:] != end[:-1]]) if len(end) else end
+        steps = np.flatnonzero(np.r_[True, np.diff(inside[heads]) != 0, True]) if len(end) else [0]
+        for one, two in zip(steps[:-1], steps[1:]):
+            e, stop = heads[one], heads[two] if two < len(heads) else len(end)
+            starts, j = heads[one:two] - e, end[heads[one:two]]
+            total = front[begin[e:stop]] + score[e:stop]
+            most = np.maximum.reduceat(total, starts)
+            group = np.repeat(np.arange(len(starts)), np.diff(np.r_[starts, stop - e]))
+            # Of equal scores the longest last piece, as in the search below.
+            equal = np.flatnonzero(total == most[group])
+            chosen = equal[np.r_[True, group[equal][1:] != group[equal][:-1]]]
+            front[j], into_best[j] = most, chosen + e
+            total[chosen] = second[begin[chosen + e]] + score[chosen + e]
+            second[j] = np.maximum.reduceat(total, starts)
+        taken = np.zeros(len(begin), bool)
+        j, start = final[sizes > 0], first[sizes > 0]
+        while len(j):
+            edge = into_best[j]
+            taken[edge] = True
+            j = begin[edge]
+            more = j > start
+            j, start = j[more], start[more]
+        second = second[final]
+        best = np.flatnonzero(taken)
+        best = best[np.argsort(begin[best])]
+        own = np.searchsorted(first, begin[best], "right") - 1
+        cuts = np.searchsorted(own, np.arange(len(words) + 1)).tolist()
+        ids, data = piece[best], piece[best].astype("<u4").tobytes()
+        spelled = set(own[ids < 0].tolist())
+        out = []
+        for w, (s, loss) in enumerate(zip(front[final].tolist(), (front[final] - second).tolist())):
+            a, b = cuts[w], cuts[w + 1]
+            if w in spelled:
+                one = [k for e in best[a:b].tolist()
+                       for k in (bytes_of[int(chars[begin[e]])] if piece[e] < 0 else (int(piece[e]),))]
+                out.append((s, np.array(one, "<u4").tobytes(), loss))
+            else:
+                out.append((s, data[4 * a : 4 * b], loss))
+        return out
+
     def n_best(self, text: str, n: int) -> list[Segmentation]:
         """The ``n`` best segmentations of a stretch, best first; equal scores in the order of the search."""
         edges, front = self.lattice(text)
@@ -132,8 +232,8 @@ class Vocabulary:
 class Encoder:
     """The N best segmentations of whole texts; ids are little-endian unsigned 32-bit numbers in bytes."""
 
-    def __init__(self, path: str, n: int) -> None:
-        self.vocabulary, self.n = Vocabulary(path), n
+    def __init__(self, path: str, n: int, scores: list[float] | None = None) -> None:
+        self.vocabulary, self.n = Vocabulary(path, scores), n
         v = self.vocabulary
         self.raw = [bytes([v.value[i]]) if i in v.value else t.encode() for i, t in enumerate(v.text)]
         self.stretches: dict[str, Best] = {}
@@ -180,16 +280,37 @@ class Encoder:
         best = sum(p[0][0] for p in parts)
         return [(best - lost, b"".join(p[i][1] for p, i in zip(parts, choice))) for lost, choice in merged]
 
+    def words_of(self, texts: list[str]) -> list[list[str]]:
+        """The words of texts; the best of all but very long ones, which are worked on one by one, is remembered."""
+        split = [STRETCH.findall(SPACE + t.replace(" ", SPACE)) if t else [] for t in texts]
+        words = set().union(*split)
+        new = words - self.words.keys()
+        if len(self.words) + len(new) > KEPT:
+            self.words.clear()
+            new = words
+        listed = sorted(w for w in new if len(w) <= LONGEST_KEPT)
+        for at in range(0, len(listed), AT_ONCE):
+            some = listed[at : at + AT_ONCE]
+            self.words.update(zip(some, self.vocabulary.best_of_words(some)))
+        return split
+
     def encode(self, text: str) -> list[tuple[float, bytes]]:
         """The N best of a text: score and ids, best first. An empty text has one, without ids."""
-        if not text:
+        return self.encode_words(self.words_of([text])[0])
+
+    def encode_words(self, words: list[str]) -> list[tuple[float, bytes]]:
+        """The N best of the words of a text."""
+        if not words:
             return [(0.0, b"")]
         known = self.words.get
-        words = STRETCH.findall(SPACE + text.replace(" ", SPACE))
         found = [known(w) or self._word(w) for w in words]
         # Another segmentation can only be among the N best if its word loses among the least.
-        least = heapq.nsmallest(self.n - 1, zip([f[2] for f in found], range(len(found))))
-        open_ = sorted(k for loss, k in least if loss != float("inf"))
+        loss = np.array([f[2] for f in found])
+        least = np.sort(np.partition(loss, self.n - 2)[: self.n - 1] if 1 < self.n <= len(loss) else loss)
+        # Of equal losses the first words.
+        below = np.flatnonzero(loss < least[-1]) if self.n > 1 else loss[:0]
+        ties = np.flatnonzero(loss == least[-1])[: max(0, self.n - 1 - len(below))]
+        open_ = sorted(k for k in [*below.tolist(), *ties.tolist()] if loss[k] != float("inf"))
         parts, at = [], 0
         for k in open_:
             parts += [self._fixed(found[at:k]), self._alternatives(words[k])]
@@ -207,19 +328,64 @@ class Encoder:
         return text[1:] if text.startswith(" ") else text
 
 
-def encode_n_best(docs: DataFrame, model: str, n: int = 4) -> DataFrame:
+def piece_log_probabilities(docs: DataFrame, model: str) -> list[float]:
+    """The log-probability of each piece of the vocabulary, in order of the ids.
+
+    Pieces are counted in the library's segmentation of all whole texts, once more than seen, so unseen ones are possible.
+    NULL and empty texts have none. The list has the length of the vocabulary, whatever the table.
+    """
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        vocabulary = Vocabulary(model)
+        n = np.zeros(len(vocabulary.text), np.int64)
+        words: Counter[str] = Counter()
+
+        def count() -> None:
+            listed = list(words)
+            for at in range(0, len(listed), AT_ONCE):
+                some = listed[at : at + AT_ONCE]
+                ids = vocabulary.library_ids(some)
+                times = np.repeat([words[w] for w in some], [len(i) for i in ids])
+                n[:] += np.bincount(np.fromiter(chain.from_iterable(ids), np.int64, len(times)), times, len(n)).astype(np.int64)
+            words.clear()
+
+        for batch in batches:
+            for text in batch["text"]:
+                words.update(STRETCH.findall(SPACE + text.replace(" ", SPACE)) if text else ())
+                if len(words) > KEPT:
+                    count()
+        count()
+        seen = np.flatnonzero(n)
+        yield pd.DataFrame({"piece": seen, "n": n[seen]})
+
+    counted = docs.select(F.col("text").cast("string").alias("text")).mapInPandas(run, "piece long, n long")
+    found = counted.groupBy("piece").agg(F.sum("n").alias("n")).collect()
+    n = np.ones(len(Vocabulary(model).text))
+    for r in found:
+        n[r["piece"]] += r["n"]
+    return np.log(n / n.sum()).tolist()
+
+
+def _encoded(batches: Iterator[pd.DataFrame], encoder: Encoder) -> Iterator[tuple[pd.DataFrame, list[list[str]], list]]:
+    """Runs of rows with the words of their texts and the N best of each."""
+    for batch in batches:
+        texts = [t or "" for t in batch["text"]]
+        for a, b in runs(texts):
+            split = encoder.words_of(texts[a:b])
+            yield batch.iloc[a:b], split, [encoder.encode_words(words) for words in split]
+
+
+def encode_n_best(docs: DataFrame, model: str, n: int = 4, scores: list[float] | None = None) -> DataFrame:
     """``doc_id, text, scores, ids``: the ``n`` best segmentations of each text, best first.
 
-    ``model`` is the path of a model that every executor has. A NULL or empty text has one segmentation, with
+    ``model`` is the path of a model that every executor has; ``scores`` are those of its pieces, as
+    ``piece_log_probabilities`` gives them, else the model's own. A NULL or empty text has one segmentation, with
     score 0 and no ids; a text with fewer than ``n`` segmentations has all of them. Repeated rows are encoded alike,
     other columns are ignored, an empty table gives an empty result.
     """
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        encoder = Encoder(model, n)
-        for batch in batches:
-            found = [encoder.encode(t or "") for t in batch["text"]]
-            yield batch.assign(doc_id=batch["doc_id"].astype("Int64"), scores=[[s for s, _ in f] for f in found],
-                               ids=[[np.frombuffer(i, "<u4").astype(np.int32) for _, i in f] for f in found])
+        for rows, _, found in _encoded(batches, Encoder(model, n, scores)):
+            yield rows.assign(doc_id=rows["doc_id"].astype("Int64"), scores=[[s for s, _ in f] for f in found],
+                              ids=[[np.frombuffer(i, "<u4").astype(np.int32) for _, i in f] for f in found])
 
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     return rows.mapInPandas(run, "doc_id long, text string, scores array<double>, ids array<array<int>>")
@@ -238,22 +404,23 @@ def decode(rows: DataFrame, model: str, column: str = "ids") -> DataFrame:
 def encoding_digest(docs: DataFrame, model: str, n: int = 4) -> DataFrame:
     """``doc_id, n_ids, ids_crc32, scores, crc32s, round_trip`` of each document.
 
-    ``n_ids`` and ``ids_crc32`` are of the best segmentation, ``scores`` and ``crc32s`` of all ``n`` (ids as
-    little-endian unsigned 32-bit numbers); ``round_trip`` is whether the best decodes to the text, in
-    which the vocabulary's blank sign stands for a blank. Rows are handled as in ``encode_n_best``.
+    Pieces score their log-probabilities in ``docs``. ``n_ids`` and ``ids_crc32`` are of the best segmentation, ``scores``
+    and ``crc32s`` of all ``n`` (ids as little-endian unsigned 32-bit numbers); ``round_trip`` is whether the best decodes to
+    the text, in which the vocabulary's blank sign stands for a blank. Rows are handled as in ``encode_n_best``.
     """
+    scores = piece_log_probabilities(docs, model)
+
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        encoder = Encoder(model, n)
-        for batch in batches:
+        encoder = Encoder(model, n, scores)
+        for rows, split, encoded in _encoded(batches, encoder):
             out = []
-            for doc_id, text in zip(batch["doc_id"].astype("Int64"), batch["text"]):
-                text = text or ""
-                found = encoder.encode(text)
+            for words, found in zip(split, encoded):
                 crcs = [zlib.crc32(ids) for _, ids in found]
-                same = encoder.decode(found[0][1]) == text.replace(SPACE, " ")
-                out.append((doc_id, len(found[0][1]) // 4, crcs[0], [s for s, _ in found], crcs, same))
-            frame = pd.DataFrame(out, columns=["doc_id", "n_ids", "ids_crc32", "scores", "crc32s", "round_trip"])
-            yield frame.assign(doc_id=frame["doc_id"].astype("Int64"))
+                whole = "".join(words).replace(SPACE, " ")[1:]
+                out.append((len(found[0][1]) // 4, crcs[0], [s for s, _ in found], crcs, encoder.decode(found[0][1]) == whole))
+            frame = pd.DataFrame(out, columns=["n_ids", "ids_crc32", "scores", "crc32s", "round_trip"])
+            frame.insert(0, "doc_id", rows["doc_id"].astype("Int64").array)
+            yield frame
 
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     return rows.mapInPandas(run, "doc_id long, n_ids long, ids_crc32 long, scores array<double>, crc32s array<long>, round_trip boolean")

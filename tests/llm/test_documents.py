@@ -301,3 +301,23 @@ def test_balanced_parts():
     x = rng.standard_normal((333, 8))
     label = neighbours.balanced_parts(neighbours.neighbour_graph(x, 8), 8, rng)
     assert np.bincount(label, minlength=8).max() - np.bincount(label, minlength=8).min() <= 4
+
+
+def test_pieces_by_likelihood_of_the_table(spark):
+    rows = [(i, t) for i, t in enumerate(["understanding the international community", "", None, "a  b ", " ", "日本 \U0001f600", "the the"])]
+    scores = pieces.piece_log_probabilities(docs(spark, rows), MODEL)
+    vocabulary = pieces.Vocabulary(MODEL, scores)
+    plain = np.ones(len(scores))
+    for _, text in rows:
+        for i in vocabulary.model.encode(text or ""):
+            plain[i] += 1
+    assert np.allclose(scores, np.log(plain / plain.sum()))
+    encoder = pieces.Encoder(MODEL, 4, scores)
+    words = ["▁understanding", "▁the", "▁▁b", "▁日本\U0001f600", "▁", "▁tttttttttttt", "▁the\nend."]
+    for word, (score, ids, loss) in zip(words, vocabulary.best_of_words(words)):
+        whole = sorted(every_segmentation(vocabulary, word), reverse=True)
+        assert np.isclose(score, whole[0][0]) and np.isclose(loss, whole[0][0] - whole[1][0] if len(whole) > 1 else np.inf)
+        assert (score, ids) == vocabulary.best(word)[:2]
+    assert encoder.encode("understanding the international community")[0][1] == np.array(
+        vocabulary.model.encode("understanding the international community"), "<u4").tobytes()
+    assert pieces.piece_log_probabilities(docs(spark, []), MODEL) == [np.log(1 / len(scores))] * len(scores)
