@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..schema import OBJECT_COLS, Term, as_term, demand, object_is
+from .join_order import Statistics, order_by_size
 
 Pattern = tuple
 
@@ -128,9 +129,13 @@ def bgp_join(
     patterns: Sequence[Pattern],
     counts: dict[str, int] | None = None,
     single_valued: Sequence[str] = (),
+    statistics: Statistics | None = None,
 ) -> DataFrame:
     """All solutions of the patterns together.
 
+    They are joined in the order that ``statistics`` (characteristic sets of the table) estimate as the cheapest; without
+    them by their free positions, and ``counts`` of statements per predicate.
+
     Properties listed in ``single_valued`` have at most one value per subject and graph. Three or more
     such patterns on one subject variable are answered by one aggregation instead of joins; a
     subject that does have two values raises.
@@ -142,11 +147,14 @@ def bgp_join(
         return held
     star, others = _star(open_patterns, set(single_valued))
     resources = set().union(*[_resource_vars(p) for p in patterns])
+    if statistics is not None:
+        ordered = order_by_size(others, statistics, star)
+    else:
+        ordered = order_patterns(others, counts, star)
     if star:
         solutions = _match_star(quads, star)
-        ordered = order_patterns(others, counts, star)
     else:
-        first, *ordered = order_patterns(open_patterns, counts)
+        first, *ordered = ordered
         solutions = match(quads, first)
         star = [first]
     bound = {v for p in star for v in variables(p)}

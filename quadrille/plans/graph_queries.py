@@ -166,6 +166,7 @@ def bgp_join(spark, sf_dir):
             ("?n", "urn:p:n_regionkey", "urn:region:2", NATION),
             ("?n", "urn:p:n_name", "?nation", NATION),
         ],
+        statistics=V.quad_statistics(spark, sf_dir),
     )
     return solutions.select("o", "name", "nation")
 

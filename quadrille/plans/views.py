@@ -8,6 +8,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..operators.join_order import Statistics
 from ..operators.text_index import TextIndex, write_index
 from ..schema import QUAD_COLS, RDF, RDF_LANGSTRING, RDF_TYPE, RDFS, XSD
 from ..session import allow_skew_splits, fresh_path
@@ -72,6 +73,16 @@ def quads(spark: SparkSession, sf_dir: str, graphs: list[str | None] | None = No
     return read_quads(spark, _store(spark, sf_dir, "quads", ENTITIES), graphs)
 
 
+def quad_statistics(spark: SparkSession, sf_dir: str) -> Statistics:
+    """Characteristic sets of the quads, counted once per application."""
+    key = (spark.sparkContext.applicationId, sf_dir, "quad-statistics")
+    if key not in _stored:
+        path = fresh_path(spark, "quad-statistics")
+        Statistics.write(quads(spark, sf_dir), path)
+        _stored[key] = path
+    return Statistics.read(spark, _stored[key])
+
+
 def document_quads(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The documents as quads, their texts whole and tagged with their language."""
     return read_quads(spark, _store(spark, sf_dir, "document-quads", [DOCUMENTS]))
