@@ -11,7 +11,7 @@ from __future__ import annotations
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.functions import pandas_udf
 
@@ -26,8 +26,10 @@ HELD, LEAST_HELD = 256, 32
 ROWS_PER_PART = 4_096
 #: Neighbours of a vertex of the graph, and the recall wanted on vectors held out of training.
 DEGREE, RECALL = 16, 0.95
-#: Rows of any parts, and queries, that meet in one task, about.
-SLAB, QUERIES = 16_384, 512
+#: Rows of a part, and queries that probe it, that meet in one task, about.
+SLAB, QUERIES = 16_384, 2_048
+#: Queries that are compared at a time, and ties whose exact scores are taken at a time.
+FEW, TIES = 128, 1 << 16
 HIDDEN, EPOCHS, RATE, BATCH = 128, 25, 0.003, 256
 
 
@@ -135,15 +137,18 @@ def _matrix(vectors) -> np.ndarray:
     return np.stack([np.asarray(v, np.float64) for v in vectors])
 
 
-def best_of_block(queries: np.ndarray, query_ids: np.ndarray, rows: np.ndarray, row_ids: np.ndarray, k: int):
-    """For each query its ``k`` best rows of a block, other than itself: query, row, exact score."""
+def _best_of_few(queries: np.ndarray, query_ids: np.ndarray, rows: np.ndarray, row_ids: np.ndarray, k: int):
     scores = queries @ rows.T
     scores[query_ids[:, None] == row_ids[None, :]] = -np.inf
     k_here = min(k, scores.shape[1])
     least = np.partition(scores, scores.shape[1] - k_here, axis=1)[:, scores.shape[1] - k_here]
     # Rounding of the product of matrices must not decide between rows as near as this.
     q, r = np.nonzero((scores >= (least - 1e-9 * np.maximum(1.0, np.abs(least)))[:, None]) & np.isfinite(scores))
-    exact = (queries[q] * rows[r]).sum(axis=1)
+    del scores
+    exact = np.empty(len(q))
+    for at in range(0, len(q), TIES):
+        some = slice(at, at + TIES)
+        exact[some] = (queries[q[some]] * rows[r[some]]).sum(axis=1)
     order = np.lexsort((row_ids[r], -exact, q))
     q, r, exact = q[order], r[order], exact[order]
     place = np.arange(len(q)) - np.searchsorted(q, q)
@@ -151,27 +156,50 @@ def best_of_block(queries: np.ndarray, query_ids: np.ndarray, rows: np.ndarray,
     return query_ids[q[keep]], row_ids[r[keep]], exact[keep]
 
 
+def best_of_block(queries: np.ndarray, query_ids: np.ndarray, rows: np.ndarray, row_ids: np.ndarray, k: int):
+    """For each query its ``k`` best rows of a block, other than itself: query, row, exact score.
+
+    A few queries are compared with all rows at a time, so that memory holds even where every row ties.
+    """
+    found = [_best_of_few(queries[at : at + FEW], query_ids[at : at + FEW], rows, row_ids, k) for at in range(0, len(queries), FEW)]
+    return tuple(np.concatenate(x) for x in zip(*found))
+
+
+def tiles(routed: DataFrame, is_query) -> tuple[DataFrame, DataFrame]:
+    """Queries and rows, each with the ``part, slab, block`` in which they meet.
+
+    A part with many rows has several slabs, one with many queries several blocks. A row goes to the blocks of its own part,
+    a query to the slabs of the parts that it probes, and parts that no query probes are left out. What is counted
+    beforehand is one number a part.
+    """
+    queries = routed.where(is_query).select("vec_id", "vector", F.explode("parts").alias("part"))
+    rows = routed.select("vec_id", "vector", F.col("parts")[0].alias("part"))
+
+    def pieces_of(counted: DataFrame, size: int) -> Column:
+        found = {r["part"]: -(-r["count"] // size) for r in counted.groupBy("part").count().collect()}
+        return F.array(*[F.lit(found.get(part, 0)) for part in range(max(found, default=0) + 1)])
+
+    slabs, blocks = pieces_of(rows, SLAB), pieces_of(queries, QUERIES)
+    of_part = lambda numbers: F.coalesce(F.get(numbers, F.col("part")), F.lit(0))
+    every = lambda n: F.explode(F.sequence(F.lit(0), n - 1))
+    right = rows.where(of_part(blocks) > 0).select(
+        "part", F.pmod(F.xxhash64("vec_id"), of_part(slabs)).cast("int").alias("slab"), every(of_part(blocks)).alias("block"),
+        "vec_id", F.col("vector").alias("of_row"))
+    left = queries.where(of_part(slabs) > 0).select(
+        "part", every(of_part(slabs)).alias("slab"), F.pmod(F.xxhash64("vec_id", "part"), of_part(blocks)).cast("int").alias("block"),
+        F.col("vec_id").alias("query_id"), F.col("vector").alias("of_query"))
+    return left, right
+
+
 def _search(k: int):
-    """The best rows of a slab for each query of a block, out of the parts that the query probes."""
+    """The best rows of a slab for each query of a block, both of one part."""
 
     def run(key: tuple, left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
         if not len(left) or not len(right):
             return pd.DataFrame({"query_id": [], "vec_id": [], "score": []})
-        queries, query_ids = _matrix(left["of_query"]), left["query_id"].to_numpy()
-        rows, row_ids, part = _matrix(right["of_row"]), right["vec_id"].to_numpy(), right["part"].to_numpy()
-        probes = np.stack([np.asarray(p) for p in left["parts"]])
-        found = []
-        for one in np.unique(part):
-            q, r = np.flatnonzero((probes == one).any(axis=1)), np.flatnonzero(part == one)
-            if len(q):
-                found.append(best_of_block(queries[q], query_ids[q], rows[r], row_ids[r], k))
-        if not found:
-            return pd.DataFrame({"query_id": [], "vec_id": [], "score": []})
-        q, r, s = (np.concatenate(x) for x in zip(*found))
-        order = np.lexsort((r, -s, q))
-        q, r, s = q[order], r[order], s[order]
-        keep = np.arange(len(q)) - np.searchsorted(q, q) < k
-        return pd.DataFrame({"query_id": q[keep], "vec_id": r[keep], "score": s[keep]})
+        q, r, s = best_of_block(_matrix(left["of_query"]), left["query_id"].to_numpy(),
+                                _matrix(right["of_row"]), right["vec_id"].to_numpy(), k)
+        return pd.DataFrame({"query_id": q, "vec_id": r, "score": s})
 
     return run
 
@@ -251,16 +279,9 @@ def nearest_neighbours(table: DataFrame, is_query, k: int = 20, sample: int = SA
         return pd.Series(list(router.ranked(_matrix(vectors))[:, : index.probes].astype(np.int32)))
 
     routed = stage(rows.withColumn("parts", parts_of("vector")), "routed")
-    slabs = -(-lengths["n"] // SLAB)
-    blocks = max(1, -(-routed.where(is_query).count() // QUERIES))
-    every = lambda n: F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
-    right = routed.select(
-        F.pmod(F.xxhash64("vec_id"), F.lit(slabs)).cast("int").alias("slab"), every(blocks).alias("block"), "vec_id",
-        F.col("parts")[0].alias("part"), F.col("vector").alias("of_row"))
-    left = routed.where(is_query).select(
-        every(slabs).alias("slab"), F.pmod(F.xxhash64("vec_id"), F.lit(blocks)).cast("int").alias("block"),
-        F.col("vec_id").alias("query_id"), "parts", F.col("vector").alias("of_query"))
-    found = left.groupBy("slab", "block").cogroup(right.groupBy("slab", "block")).applyInPandas(
+    left, right = tiles(routed, is_query)
+    where = ["part", "slab", "block"]
+    found = left.groupBy(*where).cogroup(right.groupBy(*where)).applyInPandas(
         _search(k), "query_id long, vec_id long, score double")
     rank = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id"))
     return found.withColumn("rank", rank).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
