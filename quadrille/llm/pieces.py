@@ -10,8 +10,10 @@ of the text are merged from theirs.
 
 from __future__ import annotations
 
+import gc
 import heapq
 import re
+import sys
 import zlib
 from collections import Counter
 from collections.abc import Iterator
@@ -29,7 +31,7 @@ STRETCH = re.compile(f"{SPACE}+[^{SPACE}]*|[^{SPACE}]+")
 #: Stretches that a task remembers, and the longest one worth it.
 KEPT, LONGEST_KEPT = 1 << 19, 48
 #: Words that go through one lattice.
-AT_ONCE = 1 << 13
+AT_ONCE = 1 << 11
 
 Segmentation = tuple[float, tuple[int, ...]]
 #: Score, ids, and what the next best segmentation loses.
@@ -61,6 +63,10 @@ class Vocabulary:
         steps = sorted((node[t[:-1]] << 21 | ord(t[-1]), node[t], found) for t, found in self.begins.items())
         self.step, self.to, self.ends = (np.array(x, np.int64) for x in zip(*steps))
         self.edge_score = np.array(self.score)
+        # The first step has a table: where in ``step`` a character is, or -1.
+        begins = np.flatnonzero(self.step >> 21 == 0)
+        self.first_step = np.full(sys.maxunicode + 1, -1, np.int32)
+        self.first_step[self.step[begins]] = begins
 
     def fallback(self, char: str) -> tuple[int, ...]:
         found = tuple(self.byte.get(b, -1) for b in char.encode("utf-8", "surrogatepass"))
@@ -132,12 +138,16 @@ class Vocabulary:
         limit = (last + np.arange(len(words)))[word]
         chars = np.zeros(len(text) + len(words), np.int64)
         chars[place] = text
-        begin, at, into = place, np.zeros(len(place), np.int64), []
+        begin, at, into = place, place, []
         alone = np.zeros(len(chars), bool)
         for k in range(1, self.longest + 1):
-            key = at << 21 | chars[begin + k - 1]
-            found = np.minimum(np.searchsorted(self.step, key), len(self.step) - 1)
-            alive = self.step[found] == key
+            if k == 1:
+                found = self.first_step[text]
+                alive = found >= 0
+            else:
+                key = at << 21 | chars[begin + k - 1]
+                found = np.minimum(np.searchsorted(self.step, key), len(self.step) - 1)
+                alive = self.step[found] == key
             begin, limit, found = begin[alive], limit[alive], found[alive]
             whole = self.ends[found] >= 0
             into.append((begin[whole], begin[whole] + k, self.ends[found[whole]]))
@@ -284,11 +294,11 @@ class Encoder:
         """The words of texts; the best of all but very long ones, which are worked on one by one, is remembered."""
         split = [STRETCH.findall(SPACE + t.replace(" ", SPACE)) if t else [] for t in texts]
         words = set().union(*split)
-        new = words - self.words.keys()
+        new = [w for w in words if w not in self.words]
         if len(self.words) + len(new) > KEPT:
             self.words.clear()
-            new = words
-        listed = sorted(w for w in new if len(w) <= LONGEST_KEPT)
+            new = list(words)
+        listed = [w for w in new if len(w) <= LONGEST_KEPT]
         for at in range(0, len(listed), AT_ONCE):
             some = listed[at : at + AT_ONCE]
             self.words.update(zip(some, self.vocabulary.best_of_words(some)))
@@ -371,6 +381,8 @@ def _encoded(batches: Iterator[pd.DataFrame], encoder: Encoder) -> Iterator[tupl
         texts = [t or "" for t in batch["text"]]
         for a, b in runs(texts):
             split = encoder.words_of(texts[a:b])
+            # What is remembered holds no cycles and need not be searched for them again and again.
+            gc.freeze()
             yield batch.iloc[a:b], split, [encoder.encode_words(words) for words in split]
 
 
