@@ -194,6 +194,8 @@ def near_duplicates(docs: DataFrame, percent: int = 80, width: int = WIDTH,
     One row per document: ``doc_id, n_shingles, component_id, n_links`` as for the n-gram join. Sets that meet
     in a band make up families, directly or over others; all pairs of a family are verified exactly. A
     pair at the threshold is missed with a chance of about ``(1 - 0.8 ** BAND) ** (permutations / BAND)``.
+    A NULL or empty text and one without words has no shingles and is linked with nothing; repeated rows and equal texts are
+    in one group; other columns are ignored; an empty table gives an empty result.
     """
     described = ngram_join.describe_sets(docs, width)
     rows = described.where("slice is null").select("doc_id", "tid", "n", "key")

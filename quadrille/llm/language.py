@@ -216,7 +216,11 @@ def language_id(docs: DataFrame) -> DataFrame:
 
 
 def keep_languages(docs: DataFrame, least_share: float = 0.4) -> DataFrame:
-    """The rows whose text has a language that makes up ``least_share`` of it, all columns kept."""
+    """The rows whose text has a language that makes up ``least_share`` of it, all columns kept, whatever their names.
+
+    Texts that are NULL, empty or without a letter go. Repeated rows and equal texts are judged alike, a share of just
+    ``least_share`` stays. An empty table stays empty.
+    """
     langs, table = learn(docs)
     predict = _predictor(langs, docs.sparkSession.sparkContext.broadcast(table))
     rows = docs.select(F.struct(*docs.columns).alias("row"), predict(F.col("text").cast("string")).alias("predicted"))

@@ -239,7 +239,11 @@ def toxicity(docs: DataFrame, labels: DataFrame, threshold: float = 0.7, sample:
 
 
 def keep_civil(docs: DataFrame, labels: DataFrame, threshold: float = 0.7, sample: int = SAMPLE) -> DataFrame:
-    """The rows of ``docs`` that score below ``threshold``, all columns kept."""
+    """The rows of ``docs`` that score below ``threshold``, all columns kept, whatever their names.
+
+    NULL and empty texts are scored as texts without words. Repeated rows and equal texts score alike, so all of them
+    stay or go. An empty table stays empty. Without labels of both classes all rows have one score.
+    """
     model = train(docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")),
                   labels, sample)
     if model.trees is None:
