@@ -71,6 +71,8 @@ def main() -> None:
     times["nquads_write"] = timed(lambda: writers.write_nquads(writers.read_quads(spark, stored), lines))
     times["nquads_ingest"] = timed(lambda: run(rdf_lines.read_nquads(spark, lines)))
 
+    times["quad_statistics"] = timed(lambda: views.quad_statistics(spark, SF_DIR))
+
     for name in QUERIES:
         query = catalog.queries()[name]
         times[name] = min(timed(lambda: run(query(spark, SF_DIR))) for _ in range(RUNS))
