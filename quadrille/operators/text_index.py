@@ -1,12 +1,12 @@
 """A stored inverted index over literals, and top-k search on it by BM25 with block maxima.
 
-Distinct literals are dealt over blocks by the hash of their digest. The index holds
+Distinct literals are numbered as they are written, and a block is a run of numbers. The index holds
 
 * ``postings``: ``word, block, key, tf, len``, clustered by word and block, so that a search reads the row groups
   of its words and blocks alone;
 * ``blocks``: per word and block the largest ``impact`` that one of its literals has, without the weight of the word;
 * ``words``: in how many literals a word stands; ``stats``: how many literals there are, and their mean length;
-* ``texts``: the literals by digest.
+* ``texts``: the literals with their numbers (``key``) and lengths.
 
 A literal of a block scores at most the sum of the block's maxima, and in every block one literal scores at least the
 largest of them. So the k-th largest of the latter is a score that the k best reach, and blocks whose sum is below
@@ -56,27 +56,37 @@ def impact(tf: Column, length: Column, avg: Column) -> Column:
     return tf * (K1 + 1) / (tf + K1 * (1 - B + B * length / avg))
 
 
+def _counts(found: Column) -> Column:
+    """``word, tf`` of each distinct word of an array: sorted, equal words stand together."""
+    let = lambda value, body: F.get(F.transform(F.array(value), body), F.lit(0))
+
+    def runs(w: Column) -> Column:
+        places = F.when(F.size(w) > 0, F.sequence(F.lit(0), F.size(w) - 1))
+        starts = F.filter(places, lambda i: (i == 0) | (F.get(w, i) != F.get(w, i - 1)))
+        return let(starts, lambda at: F.transform(at, lambda i, k: F.struct(
+            F.get(w, i).alias("word"), (F.coalesce(F.get(at, k + 1), F.size(w)) - i).alias("tf"))))
+
+    return let(F.array_sort(found), runs)
+
+
 def write_index(quads: DataFrame, path: str, block: int = BLOCK) -> None:
     """Index the literals of all named graphs under a path. Each distinct literal counts once.
 
-    Words are counted per literal before they are shuffled; a word that stands in most literals is spread over
-    its blocks. The index is that of one state of the quads: it is written anew for another.
+    Words are counted within their literal, so postings move once, and hold a number and no digest: digests do not
+    compress. A word that stands in most literals is spread over its blocks. The index is that of one state of the quads:
+    it is written anew for another.
     """
     spark = quads.sparkSession
-    literals = named_graphs(quads).where(F.col("o_type") == "literal").select("o").distinct()
-    texts = literals.select(F.sha2("o", 256).alias("key"), F.col("o").alias("value"))
-    texts.repartitionByRange("key").sortWithinPartitions("key").write.parquet(f"{path}/texts")
-    cut = spark.read.parquet(f"{path}/texts").select("key", words("value").alias("_w")).select("key", F.size("_w").alias("len"), "_w")
-    cut.agg(F.count("*").alias("n"), F.avg("len").alias("avg")).write.parquet(f"{path}/stats")
-    n, avg = spark.read.parquet(f"{path}/stats").first()
-    blocks = max(1, -(-n // block))
-    counted = (
-        cut.select("key", "len", F.explode("_w").alias("word")).groupBy("word", "key", "len").agg(F.count("*").cast("int").alias("tf"))
-        .withColumn("block", F.pmod(F.xxhash64("key"), F.lit(blocks)).cast("int"))
-    )
+    literals = named_graphs(quads).where(F.col("o_type") == "literal").select(F.col("o").alias("value")).distinct()
+    # Numbers depend on the order of the rows, so they are read from what was written, never computed again.
+    literals.select(F.monotonically_increasing_id().alias("key"), "value", F.size(words("value")).alias("len")).write.parquet(f"{path}/texts")
+    texts = spark.read.parquet(f"{path}/texts")
+    texts.agg(F.count("*").alias("n"), F.avg("len").alias("avg")).write.parquet(f"{path}/stats")
+    avg = spark.read.parquet(f"{path}/stats").first()["avg"]
+    counted = texts.select("key", "len", F.explode(_counts(words("value"))).alias("_c"))
     (
-        counted.select("word", "block", "key", "tf", "len").repartitionByRange("word", "block")
-        .sortWithinPartitions("word", "block").write.parquet(f"{path}/postings")
+        counted.select("_c.word", F.expr(f"key div {block}").alias("block"), "key", "_c.tf", "len")
+        .repartitionByRange("word", "block").sortWithinPartitions("word", "block", "key").write.parquet(f"{path}/postings")
     )
     postings = spark.read.parquet(f"{path}/postings")
     per_block = postings.groupBy("word", "block").agg(
@@ -132,4 +142,4 @@ class TextIndex:
         scored = stage(self.scores(search, k).withColumn("_s", F.round("score", 9)), "search-scores")
         reached = scored.orderBy(F.desc("_s")).limit(k).agg(F.min("_s")).scalar()
         best = scored.where(F.col("_s") >= reached).join(self.table("texts"), "key")
-        return best.orderBy(F.desc("_s"), "value").limit(k).select("key", "value", "score")
+        return best.orderBy(F.desc("_s"), "value").limit(k).select(F.sha2("value", 256).alias("key"), "value", "score")

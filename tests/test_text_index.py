@@ -72,3 +72,14 @@ def test_statements_of_the_hits(quads, index):
 def test_an_index_of_nothing(spark, quads, tmp_path):
     text_index.write_index(quads.limit(0), str(tmp_path / "none"))
     assert text_index.TextIndex(spark, str(tmp_path / "none")).top("red", 3).collect() == []
+
+
+def test_postings_hold_numbers_and_true_counts(spark, quads, index):
+    """Digests in postings took several times the disk of the texts."""
+    postings = index.table("postings")
+    assert dict(postings.dtypes)["key"] == "bigint"
+    texts = index.table("texts")
+    assert texts.count() == texts.select("key").distinct().count() == texts.select("value").distinct().count()
+    words = texts.select("key", F.explode(text_index.words("value")).alias("word")).groupBy("word", "key").agg(F.count("*").alias("tf"))
+    assert {tuple(r) for r in postings.select("word", "key", "tf").collect()} == {tuple(r) for r in words.collect()}
+    assert postings.where("block != key div 8").count() == 0
