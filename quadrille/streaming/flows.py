@@ -6,12 +6,14 @@ they are. What needs state says how long it keeps it.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import json
+from collections.abc import Callable, Iterator
 
+import pandas as pd
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
+from pyspark.sql.streaming.state import GroupState
 
 from ..functions.terms import is_results_json
 from ..operators.graph_log import last_resets, unhidden
@@ -101,67 +103,57 @@ def stream_zip(
 
 _PARTS = {RDF_SUBJECT: "s", RDF_PREDICATE: "p", RDF_OBJECT: "o", RDF_GRAPH: "g"}
 DEREIFIED_SCHEMA = ", ".join(f"{c} string" for c in ["doc", "node", *QUAD_COLS, "error"])
+#: What is kept of a node: when it is due, whether it was complete, and its parts as JSON.
+_NODE_STATE = "due bigint, done boolean, parts string"
 
 
-def _collector(keep_ms: int) -> StatefulProcessor:
-    """The state of one node. The class is made here so that it travels to the workers by value."""
+def _collector(keep_ms: int) -> Callable:
+    """What is done with a node. The function is made here so that it travels to the workers by value."""
+    parts_of, columns = dict(_PARTS), list(QUAD_COLS)
+    object_columns = list(OBJECT_COLS)
 
-    class Collect(StatefulProcessor):
+    def collect(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
         """Keeps the parts of a node until there are four, and remembers it until its time is up.
 
         Its time is the latest event time of its parts and ``keep_ms`` more. Parts that come again are
-        ignored, also after the node was complete.
+        ignored, also after the node was complete. A row in and a row out is one text, as frames with many
+        columns cost more than what is done with them.
         """
+        out = []
 
-        def init(self, handle: StatefulProcessorHandle) -> None:
-            self._handle = handle
-            self._parts = handle.getMapState("parts", "part string", ", ".join(f"{c} string" for c in OBJECT_COLS))
-            self._due = handle.getValueState("due", "at bigint, done boolean")
-
-        def _row(self, key, error, **values):
-            from pyspark.sql import Row
-
-            names = ["doc", "node", *QUAD_COLS, "error"]
+        def put(error: str | None, **values: str | None) -> None:
             filled = {"doc": key[0], "node": key[1], "error": error, **values}
-            return Row(**{n: filled.get(n) for n in names})
-
-        def handleInputRows(self, key, rows, timerValues) -> Iterator:
-            old, done = self._due.get() if self._due.exists() else (None, False)
-            due = old
-            for row in rows:
-                part = _PARTS.get(row.p)
-                if part is None:
-                    yield self._row(key, f"not a part of a reified statement: {row.p}")
-                    continue
-                due = max(due or 0, row.at_ms + keep_ms)
-                if not done and not self._parts.containsKey((part,)):
-                    self._parts.updateValue((part,), tuple(getattr(row, c) for c in OBJECT_COLS))
-            if due is None:
-                return
-            if not done:
-                got = {k[0]: v for k, v in self._parts.iterator()}
-                if len(got) == len(_PARTS):
-                    done = True
-                    self._parts.clear()
-                    o = dict(zip(OBJECT_COLS, got["o"]))
-                    yield self._row(key, None, g=got["g"][0], s=got["s"][0], s_type=got["s"][1], p=got["p"][0], **o)
-            if due != old:
-                if old is not None:
-                    self._handle.deleteTimer(old)
-                self._handle.registerTimer(due)
-            self._due.update((due, done))
-
-        def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator:
-            if self._parts.exists():
-                missing = sorted(set(_PARTS.values()) - {k[0] for k, _ in self._parts.iterator()})
-                yield self._row(key, "incomplete reified statement, no " + ", ".join(missing))
-            self._parts.clear()
-            self._due.clear()
-
-        def close(self) -> None:
-            pass
-
-    return Collect()
+            out.append(json.dumps({c: v for c, v in filled.items() if v is not None}))
+
+        due, done, parts = state.get if state.exists else (None, False, "{}")
+        parts = json.loads(parts)
+        if state.hasTimedOut:
+            if parts:
+                put("incomplete reified statement, no " + ", ".join(sorted(set(parts_of.values()) - set(parts))))
+            state.remove()
+        else:
+            for batch in batches:
+                for at, said in zip(batch["at_ms"].tolist(), batch["said"].tolist()):
+                    p, *term = json.loads(said)
+                    part = parts_of.get(p)
+                    if part is None:
+                        put(f"not a part of a reified statement: {p}")
+                        continue
+                    due = max(due or 0, int(at) + keep_ms)
+                    if not done:
+                        parts.setdefault(part, term)
+            if due is not None:
+                if not done and len(parts) == 4:
+                    s, p, o, g = (parts[x] for x in "spog")
+                    put(None, **dict(zip(columns, (g[0], s[0], s[1], p[0], *o))))
+                    done, parts = True, {}
+                state.update((due, done, json.dumps(parts)))
+                # A time that has passed already is up at the next move of the watermark.
+                state.setTimeoutTimestamp(max(due, state.getCurrentWatermarkMs(), 1))
+        if out:
+            yield pd.DataFrame({"said": out})
+
+    return collect
 
 
 def stream_dereify(triples: DataFrame, event_time: str, late: str, keep_ms: int) -> DataFrame:
@@ -171,20 +163,19 @@ def stream_dereify(triples: DataFrame, event_time: str, late: str, keep_ms: int)
     node still incomplete ``keep_ms`` of event time after its latest part comes out as an ``error`` row
     and is forgotten; a complete one is remembered as long, so that repeated parts give nothing new. This is
     the one stateful operator that needs Python: the built-in aggregates either wait for the watermark or
-    never forget. It runs on the RocksDB state store, which it sets for the session.
+    never forget. The state of a node travels with its rows, so no node costs a call to the state store. It runs on the
+    RocksDB state store, which it sets for the session.
     """
     triples.sparkSession.conf.set(
         "spark.sql.streaming.stateStore.providerClass",
         "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
     )
-    timed = triples.withColumn("at_ms", F.unix_millis(F.col(event_time).cast("timestamp")))
-    keyed = timed.withWatermark(event_time, late).groupBy("doc", "s")
-    return keyed.transformWithState(
-        statefulProcessor=_collector(keep_ms),
-        outputStructType=DEREIFIED_SCHEMA,
-        outputMode="append",
-        timeMode="eventTime",
-    )
+    said = F.to_json(F.array("p", *OBJECT_COLS))
+    timed = triples.withWatermark(event_time, late).select(
+        "doc", "s", F.unix_millis(F.col(event_time).cast("timestamp")).alias("at_ms"), said.alias("said"), event_time)
+    rows = timed.groupBy("doc", "s").applyInPandasWithState(
+        _collector(keep_ms), "said string", _NODE_STATE, "append", "EventTimeTimeout")
+    return rows.select(F.from_json("said", DEREIFIED_SCHEMA, {"mode": "FAILFAST", "maxStringLen": str(2**31 - 1)}).alias("r")).select("r.*")
 
 
 # --- graph log --------------------------------------------------------------------------------

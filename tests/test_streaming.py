@@ -171,3 +171,11 @@ def test_zip(spark, tmp_path):
     )
     got = finish(spark, zipped.select("request_id", "body"), tmp_path, "out")
     assert sorted(map(tuple, got.collect())) == [(1, "ok"), (3, "ok")]
+
+
+def test_state_of_a_node_comes_with_its_rows(spark, tmp_path):
+    """A call to the state store per part and node took most of the time."""
+    parts = construct.reify(frame(spark, rows())).select(F.lit("d").alias("doc"), *TRIPLE_COLS).withColumn("at", F.lit(at(0)))
+    stream = flows.stream_dereify(batches(spark, tmp_path, parts), "at", "1 minute", keep_ms=600_000)
+    plan = stream._jdf.queryExecution().analyzed().toString()
+    assert "FlatMapGroupsInPandasWithState" in plan and "TransformWithState" not in plan
