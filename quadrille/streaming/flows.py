@@ -250,7 +250,10 @@ class GraphLogSink:
     def _write(self, first: int, last: int, rows: DataFrame, resets: DataFrame) -> None:
         folder = self._segment(first, last)
         whole = rows.groupBy(F.struct(*QUAD_COLS).alias("q")).agg(F.max("seq").alias("seq")).select("seq", "q.*")
-        clustered = whole.repartitionByRange(graph_bucket("g", self.buckets), F.xxhash64("g"), "p", "s").sortWithinPartitions("g", "p", "s")
+        # Dealt by hash: a range partitioning sends samples to the driver for every segment, whatever its size. A bucket that is
+        # hot is split by adaptive execution, small ones are put together.
+        dealt = whole.withColumn("_bucket", graph_bucket("g", self.buckets)).hint("rebalance", "_bucket")
+        clustered = dealt.sortWithinPartitions("g", "p", "s").drop("_bucket")
         clustered.write.mode("overwrite").parquet(folder + "/rows")
         resets.write.mode("overwrite").parquet(folder + "/resets")
 

@@ -179,3 +179,16 @@ def test_state_of_a_node_comes_with_its_rows(spark, tmp_path):
     stream = flows.stream_dereify(batches(spark, tmp_path, parts), "at", "1 minute", keep_ms=600_000)
     plan = stream._jdf.queryExecution().analyzed().toString()
     assert "FlatMapGroupsInPandasWithState" in plan and "TransformWithState" not in plan
+
+
+def test_segments_send_no_samples_to_the_driver(spark, tmp_path, monkeypatch):
+    from pyspark.sql.classic.dataframe import DataFrame as Classic
+
+    def refuse(*args):
+        raise AssertionError("a range partitioning takes samples")
+
+    monkeypatch.setattr(Classic, "repartitionByRange", refuse)
+    sink = flows.GraphLogSink(spark, str(tmp_path / "store"), buckets=4)
+    quads = frame(spark, rows()).withColumn("seq", F.lit(1).cast("bigint")).withColumn("op", F.lit("POST"))
+    sink.apply(quads, 0)
+    assert as_set(sink.state()) == set(rows())
