@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from ..operators.join_order import Statistics
 from ..operators.text_index import TextIndex, write_index
 from ..schema import QUAD_COLS, RDF, RDF_LANGSTRING, RDF_TYPE, RDFS, XSD
-from ..session import allow_skew_splits, fresh_path
+from ..session import allow_skew_splits, bound_tasks, fresh_path
 from ..sources.relational import Entity, to_quads
 from ..sources.writers import read_quads, write_quads
 
@@ -51,6 +51,7 @@ _stored: dict[tuple[str, str, str], str] = {}
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     allow_skew_splits(spark)
+    bound_tasks(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
