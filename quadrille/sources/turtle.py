@@ -18,7 +18,8 @@ from __future__ import annotations
 import math
 from collections.abc import Callable, Iterator
 
-import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -282,17 +283,108 @@ def parse_cells(texts: DataFrame, text: str, scope: Column, out: str) -> DataFra
     return texts.withColumn(out, F.when(F.col(text).isNotNull(), quads))
 
 
+# --- plain statements: one pass of one expression, for all but the rarer forms ----------------------------------
+
+_PLAIN_GAP = r"(?:\s++|#[^\n\x01-\x03]*+)*+"
+#: A word ends here for the grammar of tokens as well.
+_WORD_ENDS = r"""(?=[\s;,#<"]|\.(?:\s|\z))"""
+_PLAIN_IRI = r'<[A-Za-z][A-Za-z0-9+.-]*+:[^<>"{}|^`\\\x00-\x20]*+>'
+_PLAIN_NAME = rf"(?:[A-Za-z][A-Za-z0-9_-]*+)?+:[A-Za-z0-9_:-]*+{_WORD_ENDS}"
+_PLAIN_BNODE = rf"_:[A-Za-z0-9_-]++{_WORD_ENDS}"
+_PLAIN_NUMBER = rf"(?:[+-]?+(?:[0-9]++(?:\.[0-9]++)?+|\.[0-9]++)(?:[eE][+-]?+[0-9]++)?+|true|false){_WORD_ENDS}"
+_PLAIN_TEXT = r"""[^"\\\n\r\x01-\x03]*+(?:\\[tbnrf"'\\][^"\\\n\r\x01-\x03]*+)*+"""
+_PLAIN_VERB = f"{_PLAIN_IRI}|{_PLAIN_NAME}|a{_WORD_ENDS}"
+_PLAIN_STRING = rf'"(?!"")({_PLAIN_TEXT})"(?:@([a-zA-Z]++(?:-[a-zA-Z0-9]++)*+){_WORD_ENDS}|\^\^({_PLAIN_IRI}|{_PLAIN_NAME})|(?!{_PLAIN_GAP}(?:@|\^)))'
+#: Subject and verb, a comma, or a verb after semicolons; and then an object.
+_PLAIN = (
+    rf"\G(?:\A{_PLAIN_GAP}({_PLAIN_IRI}|{_PLAIN_NAME}|{_PLAIN_BNODE}){_PLAIN_GAP}({_PLAIN_VERB})|{_PLAIN_GAP},|(?!\A)(?:{_PLAIN_GAP};)++{_PLAIN_GAP}({_PLAIN_VERB}))"
+    rf"{_PLAIN_GAP}(?:({_PLAIN_IRI}|{_PLAIN_NAME}|{_PLAIN_BNODE}|{_PLAIN_NUMBER})|{_PLAIN_STRING})"
+)
+_PLAIN_END = rf"\A(?:{_PLAIN_GAP};)*+{_PLAIN_GAP}\.\z"
+# A row per object: subject, verb, object, datatype; and behind other separators language and text.
+_ROW, _PART = "\x02", "\x03"
+_PLAIN_ROW = _SEP.join(["$1", "$2$3", "$4", f"$7{_PART}$6{_PART}$5"]) + _ROW
+_PLAIN_NAMES = r"(?:\A|[\x01\x02])((?:[A-Za-z][A-Za-z0-9_-]*+)?+:)"
+_PLAIN_DIRECTIVE = rf"(?i)\A{_PLAIN_GAP}@?(?:prefix\s{_PLAIN_GAP}(?:[a-z][a-z0-9_-]*+)?+:|base\s){_PLAIN_GAP}{_PLAIN_IRI}{_PLAIN_GAP}\.?\z"
+
+
+def _with_verbs(rows: Column) -> Column:
+    """Rows after a comma get the verb of the row before."""
+    start = F.struct(F.lit("").alias("verb"), F.array().cast("array<string>").alias("out"))
+
+    def one(done: Column, row: Column) -> Column:
+        verb = F.substring_index(F.substring_index(row, _SEP, 2), _SEP, -1)
+        full = F.when(row.startswith(_SEP * 2), F.concat(F.lit(_SEP), done["verb"], F.substr(row, F.lit(2)))).otherwise(row)
+        return F.struct(F.when(verb == "", done["verb"]).otherwise(verb).alias("verb"), F.concat(done["out"], F.array(full)).alias("out"))
+
+    return F.aggregate(rows, start, one, lambda done: done["out"])
+
+
+def _plain_rows(statements: DataFrame) -> DataFrame:
+    """Adds ``rows``, an entry per triple, to ``statement, ends, place, last, names`` where the statement is a plain one;
+    NULL where it is left to the whole grammar. ``names`` is what the names mean after the last declaration."""
+    cut = statements.withColumn("_flat", F.when(F.col("ends") & F.coalesce(F.col("place") > F.col("last"), F.lit(True)),
+                                                F.regexp_replace("statement", _PLAIN, _PLAIN_ROW)))
+    cut = cut.withColumn("_rows", F.split("_flat", _ROW))
+    used = F.regexp_extract_all("_flat", F.lit(_PLAIN_NAMES), F.lit(1))
+    plain = F.element_at("_rows", -1).rlike(_PLAIN_END) & (F.size("_rows") > 1) & (F.size(F.array_except(used, F.map_keys("names"))) == 0)
+    rows = F.slice("_rows", F.lit(1), F.size("_rows") - 1)
+    rows = F.when(F.contains("_flat", F.lit(_ROW + _SEP * 2)), _with_verbs(rows)).otherwise(rows)
+    return cut.withColumn("rows", F.when(plain, rows)).drop("_rows", "_flat")
+
+
+def _plain_triple(row: Column, subject: Column, names: Column, scope: Column) -> dict[str, Column]:
+    """The columns of a triple from the fields of its row."""
+    def resource(token: Column) -> Column:
+        name = F.concat(F.substring_index(token, ":", 1), F.lit(":"))
+        return (F.when(token.startswith("<"), F.substring(token, F.lit(2), F.char_length(token) - 2))
+                .when(token.startswith("_:"), F.concat(scope, F.substr(token, F.lit(3))))
+                .otherwise(F.concat(F.try_element_at(names, name), F.substr(token, F.char_length(name) + 1))))
+
+    def kind(token: Column) -> Column:
+        return F.when(token.startswith("_:"), "bnode").otherwise("uri")
+
+    field = lambda i: F.get(row, F.lit(i))
+    token, literal = field(2), field(3)
+    is_string = token == ""
+    is_number = token.isin("true", "false") | token.rlike(r"\A[0-9+.-]")
+    lang = F.substring_index(F.substring_index(literal, _PART, 2), _PART, -1)
+    datatype = F.substring_index(literal, _PART, 1)
+    number = F.lit(XSD + "boolean")
+    for kind_of, pattern in _NUMBERS.items():
+        number = F.when(token.rlike(pattern), F.lit(kind_of)).otherwise(number)
+    of_string = F.when(lang != "", F.lit(RDF_LANGSTRING)).when(datatype != "", resource(datatype)).otherwise(F.lit(XSD_STRING))
+    return {
+        "s": resource(subject), "s_type": kind(subject),
+        "p": F.when(field(1) == "a", F.lit(RDF_TYPE)).otherwise(resource(field(1))),
+        "o": F.when(is_string, _lexical(F.substring_index(literal, _PART, -1))).when(is_number, token).otherwise(resource(token)),
+        "o_type": F.when(is_string | is_number, "literal").otherwise(kind(token)),
+        "o_datatype": F.when(is_string, of_string).when(is_number, number),
+        "o_lang": F.when(is_string, F.nullif(lang, F.lit(""))),
+    }
+
+
 # --- files --------------------------------------------------------------------------------------------------
 
 
-def _chunks(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+def _chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """The lines of each batch that stand together in a part, as one text."""
     now, chunk = None, 0
     for batch in batches:
-        for key, rows in batch.groupby(["file", "part"], sort=False):
+        if not batch.num_rows:
+            continue
+        value, file, part = (batch.column(c) for c in ("value", "file", "part"))
+        change = pc.or_(pc.not_equal(file[1:], file[:-1]), pc.not_equal(part[1:], part[:-1]))
+        cuts = [0, *(i + 1 for i in pc.indices_nonzero(change).to_pylist()), batch.num_rows]
+        texts = pc.binary_join(pa.ListArray.from_arrays(pa.array(cuts, pa.int32()), pc.fill_null(value, "")), "\n")
+        keys, chunks = [(file[i].as_py(), part[i].as_py()) for i in cuts[:-1]], []
+        for key in keys:
             chunk = chunk + 1 if key == now else 0
             now = key
-            yield pd.DataFrame({"file": [key[0]], "part": [key[1]], "chunk": [chunk], "text": ["\n".join(rows["value"].fillna(""))]})
+            chunks.append(chunk)
+        yield pa.RecordBatch.from_arrays(
+            [pa.array([k[0] for k in keys], pa.string()), pa.array([k[1] for k in keys], pa.int64()), pa.array(chunks, pa.int64()), texts],
+            ["file", "part", "chunk", "text"])
 
 
 def _how_it_ends(text: Column) -> Column:
@@ -321,9 +413,8 @@ def _scan(rows: DataFrame, keys: list[str], order: str, longest: int) -> DataFra
     return rows
 
 
-def _beginnings(chunks: DataFrame) -> DataFrame:
+def _beginnings(own: DataFrame) -> DataFrame:
     """``file, part, chunk, begins`` of the chunks that begin within a string: first within each part, then over parts."""
-    own = stage(chunks.select("file", "part", "chunk", _how_it_ends(F.col("text")).alias("ends")), "turtle-ends")
     longest = own.groupBy("file", "part").agg(F.count("*").alias("n"))
     longest = longest.groupBy("file").agg(F.max("n").alias("n"), F.count("*").alias("parts")).agg(F.max("n"), F.max("parts")).first()
     within = _scan(own, ["file", "part"], "chunk", longest[0] or 1)
@@ -337,24 +428,37 @@ def _beginnings(chunks: DataFrame) -> DataFrame:
     return within.join(parts, ["file", "part"]).select("file", "part", "chunk", begins.alias("begins")).where("begins > 0")
 
 
-def _cut(chunks: DataFrame) -> DataFrame:
+def _pieces(chunks: DataFrame, begin: Column, *more: Column) -> DataFrame:
     """A row per chunk: ``head`` up to its first end of a statement, NULL without one, the statements ``inner``, and
     the ``tail`` after the last."""
-    begins = stage(_beginnings(chunks), "turtle-begins")
-    text, begin = F.col("text"), F.coalesce("begins", F.lit(0))
+    text = F.col("text")
     closed = F.when(begin == 1, F.regexp_extract(text, _CLOSES[0], 0)).when(begin == 2, F.regexp_extract(text, _CLOSES[1], 0)).otherwise("")
-    rows = chunks.join(begins, ["file", "part", "chunk"], "left").withColumn("closed", closed)
+    rows = chunks.withColumn("closed", closed)
     inside = (begin > 0) & (F.col("closed") == "")
     pieces = F.when(~inside, _find(F.substr(text, F.char_length("closed") + 1), _STATEMENT)).otherwise(F.array().cast("array<string>"))
     rows = rows.withColumn("pieces", pieces)
     last = F.try_element_at("pieces", F.lit(-1))
     rows = rows.withColumn("done", F.size("pieces") - F.when(last.rlike(_IS_DONE), 0).otherwise(1))
     ended = F.col("done") > 0
-    return stage(rows.select(
+    return rows.select(
         "file", "part", "chunk",
         F.when(ended, F.concat("closed", F.get("pieces", F.lit(0)))).alias("head"),
         F.when(ended, F.coalesce(F.get("pieces", F.col("done")), F.lit(""))).otherwise(text).alias("tail"),
-        F.when(ended, F.slice("pieces", F.lit(2), F.col("done") - 1)).otherwise(F.array().cast("array<string>")).alias("inner")), "turtle-cut")
+        F.when(ended, F.slice("pieces", F.lit(2), F.col("done") - 1)).otherwise(F.array().cast("array<string>")).alias("inner"), *more)
+
+
+def _cut(chunks: DataFrame) -> DataFrame:
+    """The pieces of each chunk. All are cut as if they began outside of strings, those that do not are then cut again."""
+    first = stage(_pieces(chunks, F.lit(0), _how_it_ends(F.col("text")).alias("ends")), "turtle-cut")
+    cut = first.drop("ends")
+    own = first.select("file", "part", "chunk", "ends")
+    if own.where(F.col("ends") != F.array(F.lit(0), F.lit(1), F.lit(2))).isEmpty():
+        return cut
+    keys = ["file", "part", "chunk"]
+    begins = stage(_beginnings(own), "turtle-begins")
+    whole = F.concat(F.coalesce("head", F.lit("")), F.array_join("inner", ""), F.col("tail"))
+    again = _pieces(cut.join(begins, keys).select(*keys, whole.alias("text"), "begins"), F.col("begins"))
+    return stage(cut.join(begins, keys, "left_anti").unionByName(again), "turtle-cut")
 
 
 def _over_chunks(cut: DataFrame) -> DataFrame:
@@ -403,7 +507,7 @@ def parse_turtle(lines: DataFrame, mode: str = "FAILFAST") -> DataFrame:
     orders the parts of a file from 0 on."""
     if mode not in ("FAILFAST", "DROPMALFORMED", "PERMISSIVE"):
         raise ValueError(f"unknown mode {mode!r}")
-    cut = _cut(lines.select("value", "file", "part").mapInPandas(_chunks, "file string, part bigint, chunk bigint, text string"))
+    cut = _cut(lines.select("value", "file", "part").mapInArrow(_chunks, "file string, part bigint, chunk bigint, text string"))
     # Statements within a chunk come after those that end in it.
     inner = cut.select("file", "part", "chunk", F.posexplode("inner").alias("at", "statement")).select(
         "file", F.struct("part", "chunk", (F.col("at") + (1 << 32)).alias("at")).alias("place"), "statement",
@@ -411,12 +515,25 @@ def parse_turtle(lines: DataFrame, mode: str = "FAILFAST") -> DataFrame:
     statements = inner.unionByName(_over_chunks(cut)).where(~F.col("statement").rlike(_BLANK))
     known = stage(_changes(statements), "turtle-known")
     scope = F.concat(F.lower(F.hex(F.xxhash64("file"))), F.lit("."))
-    rows = statements.join(known, "file", "left").select(
-        scope.alias("scope"), "place", "statement", "ends", F.coalesce("known", F.array().cast(_KNOWN)).alias("known"))
-    parsed = rows.select(_parsed(
-        F.col("statement"), F.col("ends"), F.col("known"), F.col("place"), F.col("scope")).alias("r"))
+    # What names mean after the last declaration of a file, which is before nearly all of its statements.
+    names = F.map_from_entries(F.transform(F.array_distinct(F.transform("known", lambda d: d["name"])), lambda n: F.struct(
+        n, F.try_element_at(F.filter("known", lambda d: d["name"] == n), F.lit(-1))["iri"])))
+    known = known.select("file", "known", F.array_max(F.transform("known", lambda d: d["place"])).alias("last"),
+                         F.map_filter(names, lambda _, iri: iri.isNotNull()).alias("names"))
+    rows = statements.where(~F.col("statement").rlike(_PLAIN_DIRECTIVE)).join(known, "file", "left").select(
+        scope.alias("scope"), "place", "statement", "ends", "last", F.coalesce("known", F.array().cast(_KNOWN)).alias("known"),
+        F.coalesce("names", F.create_map().cast("map<string,string>")).alias("names"))
+    is_rare = F.col("rows").isNull()
+    rows = _plain_rows(rows).select(
+        "scope", F.when(is_rare, F.struct("statement", "ends", "known", "place")).alias("rare"), F.when(~is_rare, F.col("names")).alias("names"),
+        F.substring_index(F.get("rows", F.lit(0)), _SEP, 1).alias("subject"), F.explode_outer("rows").alias("row"))
+    parsed = rows.select("scope", "names", "subject", F.split("row", _SEP).alias("row"), F.when(F.col("rare").isNotNull(), _parsed(
+        F.col("rare.statement"), F.col("rare.ends"), F.col("rare.known"), F.col("rare.place"), F.col("scope"))).alias("r"))
     # An outer explode, and one condition on what comes out of it: others would be pushed below and parse once more.
-    each = parsed.select("r.text", F.explode_outer("r.triples").alias("t"))
+    each = parsed.select("scope", "names", "subject", "row", "r.text", F.explode_outer("r.triples").alias("rare"))
+    plain = _plain_triple(F.col("row"), F.col("subject"), F.col("names"), F.col("scope"))
+    is_plain = F.col("row").isNotNull()
+    each = each.select("text", F.when(is_plain, F.struct(*(plain[c].alias(c) for c in TRIPLE_COLS))).otherwise(F.col("rare")).alias("t"))
     columns = [F.lit(None).cast("string").alias("g"), *(F.col(f"t.{c}") for c in TRIPLE_COLS)]
     if mode == "PERMISSIVE":
         kept = each.where("t IS NOT NULL OR text IS NOT NULL")

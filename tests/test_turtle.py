@@ -84,3 +84,27 @@ def test_cells_resolve_by_themselves(spark):
     assert found == {
         1: [("http://b/d/a", "http://b/d/x#b", "http://b/c")], 2: None, 3: [], 4: None, 5: [], 6: None,
         7: [("urn:p:a", "urn:p:b", "7.n"), ("urn:q:a", "http://www.w3.org/1999/02/22-rdf-syntax-ns#type", "1")]}
+
+
+def test_plain_statements_are_read_without_the_whole_grammar(spark):
+    """Both ways give the same triples, and statements such as those of large files take the short one."""
+    text = ('@prefix p: <urn:p:> .\nPREFIX : <urn:d:>\nprefix x: <http://www.w3.org/2001/XMLSchema#>\n'
+            '<urn:a:1> a p:t ; # note\n p:n "it\'s \\"x\\"\\n", "y"@en-GB , "1"^^x:int;; p:m 1.5, -2, 1e3, true ;\n :o <urn:o#p>, _:b .\n'
+            '_:b p:n "" ; p:v :, "a"^^<urn:t>.p:q p:r p:s .\n')
+    rare = ('<rel> p:a p:b .\n', 'p:a p:b unknown:c .\n', "p:a p:b 'single' .\n", 'p:a p:b """long""" .\n', 'p:a p:b "\\u0041" .\n', 'p:a p:b "x" @en .\n',
+            'p:a _:v p:b .\n', 'p:a p:b a .\n', 'p:a p:b .\n', 'p:a p:b "x"^^ p:c .\n', 'p:a\\-b p:b p:c .\n', 'p:a p:b "x\x02y\x01z" .\n', 'p:a ; p:b p:c .\n')
+    statements = spark.createDataFrame([(s,) for s in (text.split("XMLSchema#>\n")[1].split(".p:q")[0].rsplit(".\n", 1)[0] + ".", *rare)], "statement string")
+    names = F.create_map(*(F.lit(x) for x in ("p:", "urn:p:", ":", "urn:d:", "x:", XSD)))
+    place = lambda n: F.struct(F.lit(0).alias("part"), F.lit(n).alias("at"))
+    cut = statements.select("statement", F.lit(True).alias("ends"), place(2).alias("place"), place(1).alias("last"), names.alias("names"))
+    found = {r["statement"]: r["rows"] for r in turtle._plain_rows(cut).select("statement", "rows").collect()}
+    assert {s for s, rows in found.items() if rows is None} == set(rare) and max(len(rows or []) for rows in found.values()) == 10
+
+    def parsed(doc):
+        rows = turtle.parse_turtle(turtle_parts(spark, {"f": doc}, 1000), "PERMISSIVE").collect()
+        return sorted(str((*r[:4], *("_" if k == "bnode" else v for k, v in ((r[5], r[4]),)), *r[5:])) for r in rows if r[2] == "uri" or r[1] is None)
+
+    # In front of the last declaration all is left to the whole grammar.
+    late = "@prefix last: <urn:last:> .\n"
+    whole = text + "".join(rare)
+    assert parsed(whole) == parsed(whole + late) and len(parsed(whole)) > 14
