@@ -116,9 +116,10 @@ def parse_statements(
         raise ValueError(f"unknown mode {mode!r}")
     raw = F.col(line)
     rest = [c for c in lines.columns if c != line]
-    cut = lines.where(_has_content(raw)).withColumn("_f", _fields(raw, quads))
+    # An explode, so that conditions on the fields are not pushed below and match each line once more.
+    cut = lines.where(_has_content(raw)).select(*rest, raw.alias("_line"), F.explode(F.array(_fields(raw, quads))).alias("_f"))
     columns = _statement(F.col("_f"), F.lit("") if scope is None else scope)
-    parsed = cut.select(*rest, raw.alias("_line"), *[c.alias(n) for n, c in columns.items()])
+    parsed = cut.select(*rest, "_line", *[c.alias(n) for n, c in columns.items()])
     ok = F.coalesce(F.col("ok"), F.lit(False))
     if mode == "DROPMALFORMED":
         return parsed.where(ok).select(*rest, *QUAD_COLS)
