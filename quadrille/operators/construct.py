@@ -174,23 +174,28 @@ def reify(quads: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
     )
 
 
-def dereify(triples: DataFrame, keep: Sequence[str] = (), on_error: str = "FAILFAST") -> DataFrame:
+def dereify(
+    triples: DataFrame, keep: Sequence[str] = (), on_error: str = "FAILFAST", is_set: bool = False
+) -> DataFrame:
     """Quads of groups of four statements on one node (within the ``keep`` columns), as a set.
 
     A node that lacks a part is an error: ``FAILFAST`` raises, ``DROPMALFORMED`` drops it, and
-    ``PERMISSIVE`` returns it with the label in ``_corrupt_record``.
+    ``PERMISSIVE`` returns it with the label in ``_corrupt_record``. With ``is_set`` it is known that no two nodes state
+    the same quad, such as those of ``reify``, whose labels are digests of their quads; the nodes then move only once.
     """
-    part = lambda iri: F.max(
-        F.when(F.col("p") == iri, F.struct(*OBJECT_COLS))
-    )
-    nodes = triples.groupBy(*keep, "s", "s_type").agg(
-        part(RDF_SUBJECT).alias("_s"),
-        part(RDF_PREDICATE).alias("_p"),
-        part(RDF_OBJECT).alias("_o"),
-        part(RDF_GRAPH).alias("_g"),
+    # Only what makes up the quad moves. Labels that are digests in hexadecimal, such as those of reify, move as their bytes.
+    is_digest = F.coalesce(F.col("s").rlike("^[0-9a-f]{32}\\z"), F.lit(False))
+    part = lambda iri, cols: F.max(F.when(F.col("p") == iri, F.struct(*cols)))
+    nodes = triples.select(
+        *keep, F.when(is_digest, F.unhex("s")).alias("_digest"), F.when(~is_digest, F.col("s")).alias("_label"), "s_type", "p", *OBJECT_COLS,
+    ).groupBy(*keep, "_digest", "_label", "s_type").agg(
+        part(RDF_SUBJECT, ["o", "o_type"]).alias("_s"),
+        part(RDF_PREDICATE, ["o"]).alias("_p"),
+        part(RDF_OBJECT, OBJECT_COLS).alias("_o"),
+        part(RDF_GRAPH, ["o"]).alias("_g"),
     )
     whole = F.col("_s").isNotNull() & F.col("_p").isNotNull() & F.col("_o").isNotNull() & F.col("_g").isNotNull()
-    label = F.col("s")
+    label = F.coalesce(F.lower(F.hex("_digest")), F.col("_label"))
     columns = [
         F.col("_g.o").alias("g"),
         F.col("_s.o").alias("s"),
@@ -199,16 +204,16 @@ def dereify(triples: DataFrame, keep: Sequence[str] = (), on_error: str = "FAILF
         *[F.col(f"_o.{c}").alias(c) for c in OBJECT_COLS],
     ]
     if on_error == "DROPMALFORMED":
-        return statement_set(nodes.where(whole).select(*keep, *columns), [*keep, *QUAD_COLS])
+        return statement_set(nodes.where(whole).select(*keep, *columns), [*keep, *QUAD_COLS], is_set)
     if on_error == "FAILFAST":
         message = F.concat(F.lit("incomplete reified statement: "), label)
-        return statement_set(demand(nodes, whole, message).select(*keep, *columns), [*keep, *QUAD_COLS])
+        return statement_set(demand(nodes, whole, message).select(*keep, *columns), [*keep, *QUAD_COLS], is_set)
     marked = nodes.select(
         *keep,
         *[F.when(whole, c).alias(n) for c, n in zip(columns, QUAD_COLS)],
         F.when(~whole, label).alias("_corrupt_record"),
     )
-    return marked.dropDuplicates()
+    return marked if is_set else marked.dropDuplicates()
 
 
 def dereify_positional(

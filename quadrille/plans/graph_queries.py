@@ -272,13 +272,15 @@ def limit(spark, sf_dir):
     f"SELECT '{RDF}' || part AS p, o, o_type, o_datatype, count(*) AS n FROM parts GROUP BY ALL",
 )
 def reify(spark, sf_dir):
-    rows = construct.reify(V.quads(spark, sf_dir))
-    return rows.groupBy("p", "o", "o_type", "o_datatype").agg(F.countDistinct("s").alias("n"))
+    # Nodes of a set of quads are all different: the quads are made a set once, so that their nodes need not be.
+    rows = construct.reify(construct.statement_set(V.quads(spark, sf_dir)))
+    return rows.groupBy("p", "o", "o_type", "o_datatype").agg(F.count("s").alias("n"))
 
 
 @query("dereify", Q + f"SELECT DISTINCT {C} FROM quads WHERE g IS NOT NULL")
 def dereify(spark, sf_dir):
-    return construct.dereify(construct.reify(V.quads(spark, sf_dir)))
+    # The label of a node is a digest of its quad, so equal quads are one node already and move no second time.
+    return construct.dereify(construct.reify(V.quads(spark, sf_dir)), is_set=True)
 
 
 @query(

@@ -3,7 +3,9 @@ from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
 from quadrille.operators import bgp, construct, dataset, update
-from quadrille.schema import QUAD_COLS, RDF_TYPE, Term, iri, literal
+from quadrille.plans import graph_queries
+from quadrille.plans import views as V
+from quadrille.schema import QUAD_COLS, RDF_SUBJECT, RDF_TYPE, Term, iri, literal
 
 from .data import ALT, COMMENT, KIND, LABEL, MODEL, as_set, frame, res, rows, text, uri
 
@@ -103,6 +105,32 @@ def test_dataset_clause(quads):
     assert merged.count() == 23 and dataset.named_graphs(merged).count() == 0
 
 
+def test_labels_of_any_form_are_put_back(spark, quads):
+    """Digests move as bytes, but are no other labels; nodes of ``reify`` need no second exchange, even of repeated quads."""
+    again = construct.dereify(construct.reify(quads.unionByName(quads)), is_set=True)
+    assert again._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning") == 1
+    assert sorted(map(str, again.collect())) == sorted(map(str, quads.collect()))
+    labels = ["0123456789abcdef" * 2, "0123456789ABCDEF" * 2, "b0", "", "0123456789abcdef" * 2 + "\n"]
+    data = [(label, "bnode", RDF_SUBJECT, "urn:s", "uri", None, None) for label in labels]
+    nodes = spark.createDataFrame(data, "s string, s_type string, p string, o string, o_type string, o_datatype string, o_lang string")
+    bad = construct.dereify(nodes, on_error="PERMISSIVE").collect()
+    assert sorted(r["_corrupt_record"] for r in bad) == sorted(labels)
+
+
+def test_nodes_are_counted_once_after_one_small_exchange(spark, tmp_path):
+    """The quads are made a set before they are reified, so no exchange holds a row per node and part."""
+    data = [(1, "A", 1, 1.5, "M"), (1, "A", 1, 1.5, "M"), (2, "B", 1, 1.5, "M")]
+    spark.createDataFrame(data, "c_custkey long, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string").write.parquet(f"{tmp_path}/customer.parquet")
+    for e in V.ENTITIES:
+        if e.table != "customer":
+            spark.createDataFrame([], f"{e.key} long, " + ", ".join(f"{c} string" for c in e.columns)).write.parquet(f"{tmp_path}/{e.table}.parquet")
+    found = graph_queries.reify(spark, str(tmp_path))
+    n = {(r["p"].rsplit("#")[1], r["o"]): r["n"] for r in found.collect()}
+    assert n["graph", "urn:g:customer"] == 10 and n["subject", "urn:customer:1"] == 5 and n["object", "M"] == 2
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "count(distinct" not in plan and "hashpartitioning(_q" in plan
+
+
 def test_reify_and_back(quads):
     parts = construct.reify(quads)
     assert parts.count() == 4 * 24
