@@ -25,13 +25,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.functions import pandas_udf
 
-from quadrille.session import stage
+from quadrille.session import bound_batches, stage
 
 #: Labelled rows learned from, and entries of the lexicon, at most.
 SAMPLE, LEXICON = 20_000, 4_096
 #: The least log-likelihood ratio statistic and log-odds of a lexicon entry.
 EVIDENCE, LEAST_ODDS = 20.0, 2.0
 PREFIXES = (4, 5, 6)
+#: Words that a task remembers, and entries that it counts at a time, at most (but for those of one text).
+CODES, COUNTED = 1 << 16, 1 << 17
 #: Words this near count as said to someone.
 NEAR = 8
 EDGE = ".,;:!?\"'()[]{}<>*-_/\\|«»“”‘’…"
@@ -59,13 +61,22 @@ def entries_of(word: str) -> list[str]:
 
 
 def _count_entries(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    toxic, clean = Counter(), Counter()
+
+    def counted() -> pd.DataFrame:
+        keys = list(toxic.keys() | clean.keys())
+        out = pd.DataFrame({"entry": keys, "toxic": [toxic[k] for k in keys], "clean": [clean[k] for k in keys]})
+        toxic.clear()
+        clean.clear()
+        return out
+
     for batch in batches:
-        toxic, clean = Counter(), Counter()
         for text, label in zip(batch["text"], batch["toxic"]):
             found = {e for w in set((text or "").split()) for e in entries_of(bare(w))}
             (toxic if label else clean).update(found)
-        keys = list(toxic.keys() | clean.keys())
-        yield pd.DataFrame({"entry": keys, "toxic": [toxic[k] for k in keys], "clean": [clean[k] for k in keys]})
+            if len(toxic) + len(clean) >= COUNTED:
+                yield counted()
+    yield counted()
 
 
 def learn_lexicon(labelled: DataFrame) -> dict[str, float]:
@@ -119,7 +130,7 @@ class WordCodes(dict):
         code |= min(letters, 255) << 22 | min(capitals, 255) << 30
         code |= (plain in SECOND_PERSON) << self.PERSON | (letters > 2 and capitals == letters) << self.SHOUT
         code |= odd << self.OBFUSCATED | (hidden is not None) << self.HIDDEN
-        if len(self) < 1 << 20:
+        if len(self) < CODES:
             self[word] = code
         return code
 
@@ -202,6 +213,7 @@ class Model:
 
 
 def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
+    bound_batches(docs.sparkSession)
     labelled = stage(labelled_sample(docs, labels, sample), "labelled")
     lexicon = learn_lexicon(labelled.where(_fold(5) < 3))
     rows = stage(with_features(labelled.where(_fold(5) >= 3), lexicon, "doc_id long, toxic int"), "features")

@@ -6,9 +6,10 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pandas as pd
 import pytest
 
-from quadrille.llm import language, toxicity, url_filter
+from quadrille.llm import language, pieces, toxicity, url_filter
 from quadrille.llm.queries import URL_RULES
 
 DOCS = "doc_id long, text string, lang string, row int, features string, score string"
@@ -227,3 +228,26 @@ def test_url_filter_without_rules_or_rows(spark):
     frame = spark.createDataFrame([(1, "http://a.b/c", "", 1, "")], PAGES)
     assert [r["verdict"] for r in url_filter.url_filter(frame, []).collect()] == ["allow"]
     assert url_filter.url_filter(frame.where("false"), URL_RULES).collect() == []
+
+
+def test_words_that_are_remembered_and_counted_are_bounded(monkeypatch):
+    monkeypatch.setattr(toxicity, "CODES", 50)
+    codes = toxicity.WordCodes({"bad": 3.0})
+    text = " ".join(f"w{i} bad" for i in range(400))
+    assert toxicity.features_of(text, codes)[3] == math.log1p(400) and len(codes) <= 50
+    batch = pd.DataFrame({"text": [f"alpha{i} beta" for i in range(100)] * 2, "toxic": [1] * 100 + [0] * 100})
+
+    def counts():
+        parts = list(toxicity._count_entries(iter([batch])))
+        whole = pd.concat(parts).groupby("entry").sum()
+        return len(parts), {e: (r.toxic, r.clean) for e, r in whole.iterrows()}
+
+    monkeypatch.setattr(toxicity, "COUNTED", 20)
+    many, small = counts()
+    monkeypatch.setattr(toxicity, "COUNTED", 1 << 17)
+    assert (1, small) == counts() and many > 1 and small["beta"] == (100, 100)
+
+
+def test_words_of_texts_with_and_without_odd_blanks():
+    for t in ("", " ", "a", "a b", " a", "a ", "a  b", "a\u2581b", "a\nb c", "\u2581", "a b "):
+        assert pieces.words_in(t) == (pieces.STRETCH.findall("\u2581" + t.replace(" ", "\u2581")) if t else [])
