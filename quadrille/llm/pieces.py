@@ -33,6 +33,14 @@ KEPT, LONGEST_KEPT = 1 << 19, 48
 #: Words that go through one lattice.
 AT_ONCE = 1 << 11
 
+
+def words_in(text: str) -> list[str]:
+    """The words of a text, each with the blanks before it."""
+    if "  " in text or SPACE in text or text.startswith(" "):
+        return STRETCH.findall(SPACE + text.replace(" ", SPACE))
+    return [SPACE + w for w in text.split(" ")] if text else []
+
+
 Segmentation = tuple[float, tuple[int, ...]]
 #: Score, ids, and what the next best segmentation loses.
 Best = tuple[float, bytes, float]
@@ -292,7 +300,7 @@ class Encoder:
 
     def words_of(self, texts: list[str]) -> list[list[str]]:
         """The words of texts; the best of all but very long ones, which are worked on one by one, is remembered."""
-        split = [STRETCH.findall(SPACE + t.replace(" ", SPACE)) if t else [] for t in texts]
+        split = [words_in(t) for t in texts]
         words = set().union(*split)
         new = [w for w in words if w not in self.words]
         if len(self.words) + len(new) > KEPT:
@@ -331,10 +339,13 @@ class Encoder:
     def _fixed(found: list[Best]) -> list[tuple[float, bytes]]:
         return [(sum([f[0] for f in found]), b"".join([f[1] for f in found]))]
 
+    def spelled(self, ids: bytes) -> bytes:
+        """The pieces of ids, joined, in UTF-8."""
+        return b"".join(map(self.raw.__getitem__, np.frombuffer(ids, "<u4").tolist()))
+
     def decode(self, ids: bytes) -> str:
         """The text of ids: pieces joined, runs of byte pieces read as UTF-8, the leading blank taken off."""
-        data = b"".join(map(self.raw.__getitem__, np.frombuffer(ids, "<u4").tolist()))
-        text = data.decode("utf-8", "replace").replace(SPACE, " ")
+        text = self.spelled(ids).decode("utf-8", "replace").replace(SPACE, " ")
         return text[1:] if text.startswith(" ") else text
 
 
@@ -360,7 +371,7 @@ def piece_log_probabilities(docs: DataFrame, model: str) -> list[float]:
 
         for batch in batches:
             for text in batch["text"]:
-                words.update(STRETCH.findall(SPACE + text.replace(" ", SPACE)) if text else ())
+                words.update(words_in(text or ""))
                 if len(words) > KEPT:
                     count()
         count()
@@ -428,8 +439,9 @@ def encoding_digest(docs: DataFrame, model: str, n: int = 4) -> DataFrame:
             out = []
             for words, found in zip(split, encoded):
                 crcs = [zlib.crc32(ids) for _, ids in found]
-                whole = "".join(words).replace(SPACE, " ")[1:]
-                out.append((len(found[0][1]) // 4, crcs[0], [s for s, _ in found], crcs, encoder.decode(found[0][1]) == whole))
+                # No word holds a blank, and only bytes of the text itself stand for characters: the bytes tell the texts apart.
+                whole = "".join(words).encode("utf-8", "surrogatepass")
+                out.append((len(found[0][1]) // 4, crcs[0], [s for s, _ in found], crcs, encoder.spelled(found[0][1]) == whole))
             frame = pd.DataFrame(out, columns=["n_ids", "ids_crc32", "scores", "crc32s", "round_trip"])
             frame.insert(0, "doc_id", rows["doc_id"].astype("Int64").array)
             yield frame
