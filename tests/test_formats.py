@@ -331,3 +331,14 @@ def test_numbers_that_are_no_characters(spark, escape):
     assert [r[0] for r in lines.select(rdf_lines.body_is_valid(F.col("value"))).collect()] == [False, False, True]
     alone = spark.createDataFrame([(escape,)], "v string").select(terms.unescape(F.col("v"))).first()[0]
     assert alone is None
+
+
+def test_a_line_is_matched_once(spark):
+    """The condition on malformed lines does not compute the fields a second time."""
+    lines = spark.range(2).select(F.concat(F.lit("<urn:s> <urn:p> <urn:o"), F.col("id").cast("string"), F.lit("> .")).alias("value"))
+    for quads in (True, False):
+        out = rdf_lines.parse_statements(lines, mode="FAILFAST", quads=quads)
+        plan = out._jdf.queryExecution().optimizedPlan().toString()
+        assert plan.count("split(regexp_replace(") <= 2 and "Filter" in plan
+        assert not any("regexp_replace" in line for line in plan.splitlines() if "raise_error" in line)
+        assert {r["o"] for r in out.collect()} == {"urn:o0", "urn:o1"}
