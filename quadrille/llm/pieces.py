@@ -3,24 +3,22 @@
 A text is a lattice of pieces; a segmentation is a path, and its score the sum of the scores of its pieces. Viterbi
 scores from the front are exact heuristics for an A-star search from the back, which therefore completes
 the N best paths and touches little else. The lattice falls apart wherever two neighbouring characters never
-stand inside one piece, so it is worked on stretch by stretch. The best path of each stretch, and what the
-next best loses, are remembered; the search runs in the few words of a text that lose least, and the N best
-of the text are merged from theirs.
+stand inside one piece, so it is worked on stretch by stretch. The words of a run of texts are numbered by Arrow; the
+best path of each distinct one, and what the next best loses, are remembered in arrays. The search runs in the few words
+of a text that lose least, and the N best of the text are merged from theirs.
 """
 
 from __future__ import annotations
 
-import gc
 import heapq
 import re
 import sys
 import zlib
-from collections import Counter
 from collections.abc import Iterator
-from itertools import chain
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -30,8 +28,14 @@ SPACE = "▁"
 STRETCH = re.compile(f"{SPACE}+[^{SPACE}]*|[^{SPACE}]+")
 #: Stretches that a task remembers, and the longest one worth it.
 KEPT, LONGEST_KEPT = 1 << 19, 48
-#: Words that go through one lattice.
-AT_ONCE = 1 << 11
+#: Bytes of the distinct words that a task remembers, and of a run of texts.
+REMEMBERED, RUN = 1 << 24, 1 << 21
+#: Characters of words of one length that go through one lattice.
+AT_ONCE = 1 << 15
+#: Words that the library is given as one text, and at once.
+JOINED, GIVEN = 64, 1 << 14
+#: The steps of the vocabulary are found by a product of their keys, in so many slots.
+PRODUCT, SLOTS = np.uint64(0x9E3779B97F4A7C15), 18
 
 
 def words_in(text: str) -> list[str]:
@@ -41,6 +45,49 @@ def words_in(text: str) -> list[str]:
     return [SPACE + w for w in text.split(" ")] if text else []
 
 
+def blanked(text: str) -> bytes:
+    """A text with the blank before its first word, the blank sign as a blank, in UTF-8."""
+    return (" " + text.replace(SPACE, " ")).encode("utf-8", "surrogatepass") if text else b""
+
+
+def ranges(first: np.ndarray, count: np.ndarray) -> np.ndarray:
+    """So many numbers from each first one on, in a row."""
+    upto = np.cumsum(count)
+    return np.repeat(first - upto + count, count) + np.arange(upto[-1] if len(upto) else 0)
+
+
+def buffers(words: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """Where words begin among their bytes, and the last ends; and these bytes."""
+    _, places, data = words.buffers()
+    places = np.frombuffer(places, np.int64)[words.offset : words.offset + len(words) + 1]
+    return places - places[0], np.frombuffer(data or b"", np.uint8)[places[0] : places[-1]]
+
+
+class Words:
+    """Numbers for the distinct words of texts, which they keep until the words take more than ``REMEMBERED`` bytes."""
+
+    def __init__(self) -> None:
+        self.known = pa.array([], pa.large_binary())
+
+    def number(self, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, int]:
+        """The number of every word of blanked texts, in order; where each text begins among them, and the last ends;
+        how many words are known from before."""
+        data = np.frombuffer(b"".join(texts), np.uint8)
+        ends = np.cumsum([0, *map(len, texts)])
+        # A word begins at its first blank, each text at a word.
+        begins = data == 32
+        begins[1:] &= data[:-1] != 32
+        begins[ends[:-1][np.diff(ends) > 0]] = True
+        places = np.flatnonzero(begins)
+        words = pa.Array.from_buffers(pa.large_binary(), len(places), [
+            None, pa.py_buffer(np.append(places, len(data)).astype(np.int64)), pa.py_buffer(data)])
+        coded = pa.concat_arrays([self.known, words]).dictionary_encode()
+        if len(self.known) and coded.dictionary.nbytes > REMEMBERED:
+            self.known, coded = self.known[:0], words.dictionary_encode()
+        before, self.known = len(self.known), coded.dictionary
+        return coded.indices.to_numpy()[before:], np.searchsorted(places, ends), before
+
+
 Segmentation = tuple[float, tuple[int, ...]]
 #: Score, ids, and what the next best segmentation loses.
 Best = tuple[float, bytes, float]
@@ -75,16 +122,56 @@ class Vocabulary:
         begins = np.flatnonzero(self.step >> 21 == 0)
         self.first_step = np.full(sys.maxunicode + 1, -1, np.int32)
         self.first_step[self.step[begins]] = begins
+        # Other steps: one of each slot, and whether it has more. Behind the last step stands one that no key is.
+        slot = self._slot(self.step)
+        self.in_slot = np.full(1 << SLOTS, len(self.step), np.int32)
+        self.in_slot[slot] = np.arange(len(self.step))
+        self.shared = np.bincount(slot, minlength=1 << SLOTS) > 1
+        self.step = np.append(self.step, 1 << 62)
+
+    @staticmethod
+    def _slot(keys: np.ndarray) -> np.ndarray:
+        return ((keys.view(np.uint64) * PRODUCT) >> np.uint64(64 - SLOTS)).view(np.int64)
+
+    def _steps(self, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Where in ``step`` keys are, and whether they are there."""
+        slot = self._slot(keys)
+        found = self.in_slot[slot]
+        alive = self.step[found] == keys
+        again = np.flatnonzero(self.shared[slot] & ~alive)
+        if len(again):
+            found[again] = np.searchsorted(self.step, keys[again])
+            alive[again] = self.step[found[again]] == keys[again]
+        return found, alive
 
     def fallback(self, char: str) -> tuple[int, ...]:
         found = tuple(self.byte.get(b, -1) for b in char.encode("utf-8", "surrogatepass"))
         return found if -1 not in found else (self.unknown,)
 
-    def library_ids(self, words: list[str]) -> list[list[int]]:
-        """The library's own segmentation of words with their blanks in front; no piece reaches over such a begin."""
-        found = self.model.encode([w[1:].replace(SPACE, " ") for w in words], num_threads=1)
-        # The library has nothing for an empty text.
-        return [ids if len(w) > 1 else [self.piece.get(w, self.unknown)] for w, ids in zip(words, found)]
+    def library_counts(self, words: pa.Array, times: np.ndarray) -> np.ndarray:
+        """How often each piece stands in the library's own segmentation of blanked words, each so many times; no piece
+        reaches over such a begin."""
+        n = np.zeros(len(self.text), np.int64)
+        places, data = buffers(words)
+        # Blanks alone would be read with the next word.
+        lone = data[places[1:] - 1] == 32
+        for k in np.flatnonzero(lone).tolist():
+            # The library has nothing for an empty text.
+            ids = self.model.encode(" " * (int(places[k + 1] - places[k]) - 1)) or [self.piece.get(SPACE, self.unknown)]
+            n += int(times[k]) * np.bincount(ids, minlength=len(n))
+        # Words that occur equally often are joined. Without a piece for the blank, unknown characters would meet.
+        joined = JOINED if SPACE in self.piece else 1
+        order = np.argsort(times, kind="stable")
+        order = order[~lone[order]]
+        times = times[order]
+        places, data = buffers(words.take(pa.array(order)))
+        heads = np.flatnonzero(np.diff(times, prepend=-1, append=-1)).tolist()
+        for a, b in ((k, min(k + GIVEN, end)) for head, end in zip(heads[:-1], heads[1:]) for k in range(head, end, GIVEN)):
+            cuts = [*places[a:b:joined].tolist(), int(places[b])]
+            texts = [data[i + 1 : j].tobytes().decode("utf-8", "surrogatepass") for i, j in zip(cuts[:-1], cuts[1:])]
+            ids = self.model.encode(texts, num_threads=1)
+            n += int(times[a]) * np.bincount(np.concatenate([np.array(i, np.int64) for i in ids]), minlength=len(n))
+        return n
 
     def lattice(self, text: str) -> tuple[list[list[tuple[int, float, tuple[int, ...]]]], list[float]]:
         """For each end the pieces that end there, as begin, score, ids; and the best score from the front."""
@@ -136,90 +223,96 @@ class Vocabulary:
         return front[-1], np.array([k for part in reversed(ids) for k in part], "<u4").tobytes(), front[-1] - second
 
     def best_of_words(self, words: list[str]) -> list[Best]:
-        """What ``best`` gives for each of many words, by one lattice over all of them."""
-        sizes = np.fromiter(map(len, words), np.int64, len(words))
-        text = np.frombuffer("".join(words).encode("utf-32-le", "surrogatepass"), "<u4").astype(np.int64)
-        last = np.cumsum(sizes)
-        # Each word has one position more than characters, so that no end is another word's begin.
-        word = np.repeat(np.arange(len(words)), sizes)
-        place = np.arange(len(text)) + word
-        limit = (last + np.arange(len(words)))[word]
-        chars = np.zeros(len(text) + len(words), np.int64)
-        chars[place] = text
-        begin, at, into = place, place, []
-        alone = np.zeros(len(chars), bool)
-        for k in range(1, self.longest + 1):
+        """What ``best`` gives for each of many words, by ``best_paths``."""
+        chars = np.frombuffer("".join(words).encode("utf-32-le", "surrogatepass"), "<u4")
+        score, loss, first, count, ids = self.best_paths(chars, np.fromiter(map(len, words), np.int64, len(words)))
+        return [(s, ids[a : a + n].tobytes(), x) for s, x, a, n in zip(*(x.tolist() for x in (score, loss, first, count)))]
+
+    def best_paths(self, chars: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, ...]:
+        """The best segmentations of words of so many characters each: score, what the next best loses, and where the
+        ids of each begin in the last array, and how many they are. Words of one length share a lattice."""
+        score, loss = np.zeros(len(sizes)), np.full(len(sizes), np.inf)
+        first, count = np.zeros(len(sizes), np.int64), np.zeros(len(sizes), np.int64)
+        begin, order = np.cumsum(sizes) - sizes, np.argsort(sizes, kind="stable")
+        ids, made = [np.zeros(0, "<u4")], 0
+        ends = np.cumsum(np.bincount(sizes)).tolist() if len(sizes) else []
+        for size in range(1, len(ends)):
+            for at in range(ends[size - 1], ends[size], most := max(1, AT_ONCE // size)):
+                w = order[at : min(ends[size], at + most)]
+                score[w], loss[w], count[w], some = self._best_of_length(chars[begin[w] + np.arange(size)[:, None]].astype(np.int64))
+                first[w] = made + np.cumsum(count[w]) - count[w]
+                made += len(some)
+                ids.append(some)
+        return score, loss, first, count, np.concatenate(ids)
+
+    def _best_of_length(self, chars: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """``best_paths`` of words that are the columns of a table: score, loss, number of ids; and all ids."""
+        size, n = chars.shape
+        flat = chars.ravel()
+        # For each length of a piece the table of pieces by their ends, and of their scores.
+        pieces, scores = {}, {}
+        begin, at = np.arange(size * n), None
+        for k in range(1, min(size, self.longest) + 1):
             if k == 1:
-                found = self.first_step[text]
+                found = self.first_step[flat]
                 alive = found >= 0
             else:
-                key = at << 21 | chars[begin + k - 1]
-                found = np.minimum(np.searchsorted(self.step, key), len(self.step) - 1)
-                alive = self.step[found] == key
-            begin, limit, found = begin[alive], limit[alive], found[alive]
-            whole = self.ends[found] >= 0
-            into.append((begin[whole], begin[whole] + k, self.ends[found[whole]]))
-            if k == 1:
-                alone[begin[whole]] = True
-            more = begin + k < limit
-            begin, limit, at = begin[more], limit[more], self.to[found[more]]
-        rest = place[~alone[place]]
-        into.append((rest, rest + 1, np.full(len(rest), -1)))
-        begin, end, piece = (np.concatenate(x) for x in zip(*into))
-        first = last - sizes + np.arange(len(words))
-        final = first + sizes
-        length = end - begin
-        inside = end - np.repeat(first, sizes + 1)[begin]
-        # By distance from the begin of the word, then by end; of one end the longest piece first.
-        order = np.argsort((inside << 42) | (end << 10) | (self.longest - length))
-        begin, end, piece, inside = begin[order], end[order], piece[order], inside[order]
-        score = self.edge_score[piece]
-        bytes_of = {c: self.fallback(chr(c)) for c in np.unique(chars[rest]).tolist()}
-        for e in np.flatnonzero(piece < 0).tolist():
-            score[e] = sum(self.score[k] for k in bytes_of[int(chars[begin[e]])])
+                # Behind the last character nothing begins.
+                cut = np.searchsorted(begin, (size - k + 1) * n)
+                begin, at = begin[:cut], at[:cut]
+                found, alive = self._steps(at << 21 | flat[begin + (k - 1) * n])
+            begin, found = begin[alive], found[alive]
+            at, piece = self.to[found], self.ends[found]
+            whole = np.flatnonzero(piece >= 0)
+            if k == 1 or len(whole):
+                pieces[k], scores[k] = np.full((size + 1) * n, -1, np.int32), np.full((size + 1) * n, -np.inf)
+                end, piece = begin[whole] + k * n, piece[whole]
+                pieces[k][end], scores[k][end] = piece, self.edge_score[piece]
+            if not len(begin):
+                break
+        rest = np.flatnonzero(pieces[1][n:] < 0)
+        kinds, kind = np.unique(flat[rest], return_inverse=True)
+        bytes_of = {c: self.fallback(chr(c)) for c in kinds.tolist()}
+        scores[1][rest + n] = np.array([sum(self.score[i] for i in b) for b in bytes_of.values()], float)[kind]
         # Best and second-best score of each position, the latter by another last piece or through a second best.
-        front = np.zeros(len(chars))
-        second = np.full(len(chars), float("-inf"))
-        into_best = np.zeros(len(chars), np.int64)
-        heads = np.flatnonzero(np.r_[True, end[1:] != end[:-1]]) if len(end) else end
-        steps = np.flatnonzero(np.r_[True, np.diff(inside[heads]) != 0, True]) if len(end) else [0]
-        for one, two in zip(steps[:-1], steps[1:]):
-            e, stop = heads[one], heads[two] if two < len(heads) else len(end)
-            starts, j = heads[one:two] - e, end[heads[one:two]]
-            total = front[begin[e:stop]] + score[e:stop]
-            most = np.maximum.reduceat(total, starts)
-            group = np.repeat(np.arange(len(starts)), np.diff(np.r_[starts, stop - e]))
-            # Of equal scores the longest last piece, as in the search below.
-            equal = np.flatnonzero(total == most[group])
-            chosen = equal[np.r_[True, group[equal][1:] != group[equal][:-1]]]
-            front[j], into_best[j] = most, chosen + e
-            total[chosen] = second[begin[chosen + e]] + score[chosen + e]
-            second[j] = np.maximum.reduceat(total, starts)
-        taken = np.zeros(len(begin), bool)
-        j, start = final[sizes > 0], first[sizes > 0]
-        while len(j):
-            edge = into_best[j]
-            taken[edge] = True
-            j = begin[edge]
-            more = j > start
-            j, start = j[more], start[more]
-        second = second[final]
-        best = np.flatnonzero(taken)
-        best = best[np.argsort(begin[best])]
-        own = np.searchsorted(first, begin[best], "right") - 1
-        cuts = np.searchsorted(own, np.arange(len(words) + 1)).tolist()
-        ids, data = piece[best], piece[best].astype("<u4").tobytes()
-        spelled = set(own[ids < 0].tolist())
-        out = []
-        for w, (s, loss) in enumerate(zip(front[final].tolist(), (front[final] - second).tolist())):
-            a, b = cuts[w], cuts[w + 1]
-            if w in spelled:
-                one = [k for e in best[a:b].tolist()
-                       for k in (bytes_of[int(chars[begin[e]])] if piece[e] < 0 else (int(piece[e]),))]
-                out.append((s, np.array(one, "<u4").tobytes(), loss))
-            else:
-                out.append((s, data[4 * a : 4 * b], loss))
-        return out
+        front, second = np.zeros((size + 1, n)), np.full((size + 1, n), -np.inf)
+        length = np.zeros((size + 1, n), np.int64)
+        tables = [(k, scores[k].reshape(size + 1, n)) for k in sorted(scores, reverse=True)]
+        for j in range(1, size + 1):
+            best, last, other, through = np.full(n, -np.inf), length[j], second[j], np.full(n, -np.inf)
+            for k, table in tables:
+                if k > j:
+                    continue
+                total = front[j - k] + table[j]
+                # Of equal scores the longest last piece, as in the search below.
+                better = total > best
+                np.maximum(other, np.minimum(total, best), out=other)
+                np.copyto(last, k, where=better)
+                np.copyto(through, second[j - k] + table[j], where=better)
+                np.maximum(best, total, out=best)
+            front[j] = best
+            np.maximum(other, through, out=other)
+        # The pieces of the best path where they begin, from the back.
+        path, word, j = np.full((size, n), -2, np.int32), np.arange(n), np.full(n, size)
+        while len(word):
+            k = length[j, word]
+            i = j - k
+            for one in np.unique(k).tolist():
+                of = k == one
+                path[i[of], word[of]] = pieces[one][j[of] * n + word[of]]
+            more = i > 0
+            word, j = word[more], i[more]
+        taken = path.T > -2
+        ids, count = path.T[taken], taken.sum(axis=1)
+        spelled = np.flatnonzero(ids < 0)
+        if len(spelled):
+            parts = [bytes_of[c] for c in chars.T[taken][spelled].tolist()]
+            times = np.ones(len(ids), np.int64)
+            times[spelled] = [len(b) for b in parts]
+            count = np.bincount(np.repeat(np.arange(n), count), times, n).astype(np.int64)
+            ids = np.repeat(ids, times)
+            ids[ids < 0] = [i for b in parts for i in b]
+        return front[-1], front[-1] - second[-1], count, ids.astype("<u4")
 
     def n_best(self, text: str, n: int) -> list[Segmentation]:
         """The ``n`` best segmentations of a stretch, best first; equal scores in the order of the search."""
@@ -253,9 +346,14 @@ class Encoder:
     def __init__(self, path: str, n: int, scores: list[float] | None = None) -> None:
         self.vocabulary, self.n = Vocabulary(path, scores), n
         v = self.vocabulary
-        self.raw = [bytes([v.value[i]]) if i in v.value else t.encode() for i, t in enumerate(v.text)]
+        raw = [bytes([v.value[i]]) if i in v.value else t.encode() for i, t in enumerate(v.text)]
+        self.raw, self.raw_size = np.frombuffer(b"".join(raw), np.uint8), np.fromiter(map(len, raw), np.int64, len(raw))
+        self.raw_first = np.cumsum(self.raw_size) - self.raw_size
         self.stretches: dict[str, Best] = {}
-        self.words: dict[str, Best] = {}
+        self.words = Words()
+        #: Of each word that is remembered the score, what the next best loses, where its ids are, and all ids.
+        self.score, self.loss, self.first, self.count = np.zeros(0), np.zeros(0), np.zeros(0, np.int64), np.zeros(0, np.int64)
+        self.ids = np.zeros(0, "<u4")
         self.searched: dict[str, list[tuple[float, bytes]]] = {}
 
     @staticmethod
@@ -270,16 +368,8 @@ class Encoder:
         return self.stretches.get(text) or self._kept(self.stretches, text, self.vocabulary.best(text))
 
     def _word(self, text: str) -> Best:
-        inside = self.vocabulary.inside
-        if len(text) > 2 and text[-2:] not in inside and text[-3:-1] in inside:
-            # Mostly a word and a punctuation mark.
-            head = text[:-1]
-            found = [self.words.get(head) or self._word(head), self._stretch(text[-1])]
-        else:
-            found = [self._stretch(s) for s in self.vocabulary.stretches(text)]
-        if len(found) > 1:
-            found = [(sum(f[0] for f in found), b"".join(f[1] for f in found), min(f[2] for f in found))]
-        return self._kept(self.words, text, found[0])
+        found = [self._stretch(s) for s in self.vocabulary.stretches(text)]
+        return sum(f[0] for f in found), b"".join(f[1] for f in found), min(f[2] for f in found)
 
     def _alternatives(self, word: str) -> list[tuple[float, bytes]]:
         """The N best of a word: of its stretches by search, merged."""
@@ -298,50 +388,70 @@ class Encoder:
         best = sum(p[0][0] for p in parts)
         return [(best - lost, b"".join(p[i][1] for p, i in zip(parts, choice))) for lost, choice in merged]
 
-    def words_of(self, texts: list[str]) -> list[list[str]]:
-        """The words of texts; the best of all but very long ones, which are worked on one by one, is remembered."""
-        split = [words_in(t) for t in texts]
-        words = set().union(*split)
-        new = [w for w in words if w not in self.words]
-        if len(self.words) + len(new) > KEPT:
-            self.words.clear()
-            new = list(words)
-        listed = [w for w in new if len(w) <= LONGEST_KEPT]
-        for at in range(0, len(listed), AT_ONCE):
-            some = listed[at : at + AT_ONCE]
-            self.words.update(zip(some, self.vocabulary.best_of_words(some)))
-        return split
+    def _learn(self, before: int) -> None:
+        """The best of the words that are new, from number ``before`` on; very long ones are worked on one by one."""
+        places, data = buffers(self.words.known[before:])
+        text = data.tobytes().decode("utf-8", "surrogatepass").replace(" ", SPACE)
+        chars = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), "<u4")
+        leads = np.append(0, np.cumsum(data & 0xC0 != 0x80))
+        ends = leads[places]
+        sizes = np.diff(ends)
+        listed = sizes <= LONGEST_KEPT
+        score, loss, first, count, ids = self.vocabulary.best_paths(chars[np.repeat(listed, sizes)], np.where(listed, sizes, 0))
+        parts, made = [ids], len(ids)
+        for w in np.flatnonzero(~listed).tolist():
+            score[w], found, loss[w] = self._word(chars[ends[w] : ends[w + 1]].tobytes().decode("utf-32-le", "surrogatepass"))
+            parts.append(np.frombuffer(found, "<u4"))
+            first[w], count[w] = made, len(parts[-1])
+            made += len(parts[-1])
+        if not before:
+            self.ids = self.ids[:0]
+        first += len(self.ids)
+        self.ids = np.concatenate([self.ids, *parts])
+        self.score, self.loss, self.first, self.count = (np.concatenate([old[:before], some]) for old, some in (
+            (self.score, score), (self.loss, loss), (self.first, first), (self.count, count)))
 
     def encode(self, text: str) -> list[tuple[float, bytes]]:
         """The N best of a text: score and ids, best first. An empty text has one, without ids."""
-        return self.encode_words(self.words_of([text])[0])
-
-    def encode_words(self, words: list[str]) -> list[tuple[float, bytes]]:
-        """The N best of the words of a text."""
-        if not words:
-            return [(0.0, b"")]
-        known = self.words.get
-        found = [known(w) or self._word(w) for w in words]
-        # Another segmentation can only be among the N best if its word loses among the least.
-        loss = np.array([f[2] for f in found])
-        least = np.sort(np.partition(loss, self.n - 2)[: self.n - 1] if 1 < self.n <= len(loss) else loss)
+        return self.encode_texts([blanked(text)])[0]
+
+    def encode_texts(self, texts: list[bytes]) -> list[list[tuple[float, bytes]]]:
+        """The N best of each of a run of blanked texts."""
+        words, ends, before = self.words.number(texts)
+        if len(self.words.known) > before:
+            self._learn(before)
+        score, loss, count = self.score[words].tolist(), self.loss[words], self.count[words]
+        upto = np.append(0, 4 * np.cumsum(count)).tolist()
+        data = self.ids[ranges(self.first[words], count)].tobytes()
+
+        def fixed(a: int, b: int) -> list[tuple[float, bytes]]:
+            return [(sum(score[a:b]), data[upto[a] : upto[b]])]
+
+        out = []
+        for at, end in zip(ends[:-1].tolist(), ends[1:].tolist()):
+            parts = []
+            for k in (self._open(loss[at:end]) + at).tolist():
+                word = self.words.known[int(words[k])].as_py().decode("utf-8", "surrogatepass").replace(" ", SPACE)
+                parts += [fixed(at, k), self._alternatives(word)]
+                at = k + 1
+            out.append(self._merge([*parts, fixed(at, end)]))
+        return out
+
+    def _open(self, loss: np.ndarray) -> np.ndarray:
+        """Another segmentation can only be among the N best if its word loses among the least: these words."""
+        if self.n < 2 or not len(loss):
+            return np.zeros(0, np.int64)
+        least = np.sort(np.partition(loss, self.n - 2)[: self.n - 1] if self.n <= len(loss) else loss)
         # Of equal losses the first words.
-        below = np.flatnonzero(loss < least[-1]) if self.n > 1 else loss[:0]
+        below = np.flatnonzero(loss < least[-1])
         ties = np.flatnonzero(loss == least[-1])[: max(0, self.n - 1 - len(below))]
-        open_ = sorted(k for k in [*below.tolist(), *ties.tolist()] if loss[k] != float("inf"))
-        parts, at = [], 0
-        for k in open_:
-            parts += [self._fixed(found[at:k]), self._alternatives(words[k])]
-            at = k + 1
-        return self._merge([*parts, self._fixed(found[at:])])
-
-    @staticmethod
-    def _fixed(found: list[Best]) -> list[tuple[float, bytes]]:
-        return [(sum([f[0] for f in found]), b"".join([f[1] for f in found]))]
+        found = np.sort(np.append(below, ties))
+        return found[loss[found] != np.inf]
 
     def spelled(self, ids: bytes) -> bytes:
         """The pieces of ids, joined, in UTF-8."""
-        return b"".join(map(self.raw.__getitem__, np.frombuffer(ids, "<u4").tolist()))
+        found = np.frombuffer(ids, "<u4")
+        return self.raw[ranges(self.raw_first[found], self.raw_size[found])].tobytes()
 
     def decode(self, ids: bytes) -> str:
         """The text of ids: pieces joined, runs of byte pieces read as UTF-8, the leading blank taken off."""
@@ -358,23 +468,15 @@ def piece_log_probabilities(docs: DataFrame, model: str) -> list[float]:
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         vocabulary = Vocabulary(model)
         n = np.zeros(len(vocabulary.text), np.int64)
-        words: Counter[str] = Counter()
-
-        def count() -> None:
-            listed = list(words)
-            for at in range(0, len(listed), AT_ONCE):
-                some = listed[at : at + AT_ONCE]
-                ids = vocabulary.library_ids(some)
-                times = np.repeat([words[w] for w in some], [len(i) for i in ids])
-                n[:] += np.bincount(np.fromiter(chain.from_iterable(ids), np.int64, len(times)), times, len(n)).astype(np.int64)
-            words.clear()
-
-        for batch in batches:
-            for text in batch["text"]:
-                words.update(words_in(text or ""))
-                if len(words) > KEPT:
-                    count()
-        count()
+        words, times = Words(), np.zeros(0, np.int64)
+        for texts in _texts(batch["text"] for batch in batches):
+            last = words.known
+            found, _, before = words.number(texts)
+            if before < len(last):
+                n += vocabulary.library_counts(last, times)
+            times = np.bincount(found, minlength=len(words.known)) + np.append(
+                times[:before], np.zeros(len(words.known) - before, np.int64))
+        n += vocabulary.library_counts(words.known, times)
         seen = np.flatnonzero(n)
         yield pd.DataFrame({"piece": seen, "n": n[seen]})
 
@@ -386,15 +488,21 @@ def piece_log_probabilities(docs: DataFrame, model: str) -> list[float]:
     return np.log(n / n.sum()).tolist()
 
 
-def _encoded(batches: Iterator[pd.DataFrame], encoder: Encoder) -> Iterator[tuple[pd.DataFrame, list[list[str]], list]]:
-    """Runs of rows with the words of their texts and the N best of each."""
+def _texts(columns: Iterator[pd.Series]) -> Iterator[list[bytes]]:
+    """Runs of blanked texts."""
+    for column in columns:
+        texts = [t or "" for t in column]
+        for a, b in runs(texts, RUN):
+            yield [blanked(t) for t in texts[a:b]]
+
+
+def _encoded(batches: Iterator[pd.DataFrame], encoder: Encoder) -> Iterator[tuple[pd.DataFrame, list[bytes], list]]:
+    """Runs of rows with their blanked texts and the N best of each."""
     for batch in batches:
-        texts = [t or "" for t in batch["text"]]
-        for a, b in runs(texts):
-            split = encoder.words_of(texts[a:b])
-            # What is remembered holds no cycles and need not be searched for them again and again.
-            gc.freeze()
-            yield batch.iloc[a:b], split, [encoder.encode_words(words) for words in split]
+        at = 0
+        for texts in _texts(iter([batch["text"]])):
+            yield batch.iloc[at : at + len(texts)], texts, encoder.encode_texts(texts)
+            at += len(texts)
 
 
 def encode_n_best(docs: DataFrame, model: str, n: int = 4, scores: list[float] | None = None) -> DataFrame:
@@ -435,12 +543,12 @@ def encoding_digest(docs: DataFrame, model: str, n: int = 4) -> DataFrame:
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         encoder = Encoder(model, n, scores)
-        for rows, split, encoded in _encoded(batches, encoder):
+        for rows, texts, encoded in _encoded(batches, encoder):
             out = []
-            for words, found in zip(split, encoded):
+            for text, found in zip(texts, encoded):
                 crcs = [zlib.crc32(ids) for _, ids in found]
                 # No word holds a blank, and only bytes of the text itself stand for characters: the bytes tell the texts apart.
-                whole = "".join(words).encode("utf-8", "surrogatepass")
+                whole = text.replace(b" ", SPACE.encode())
                 out.append((len(found[0][1]) // 4, crcs[0], [s for s, _ in found], crcs, encoder.spelled(found[0][1]) == whole))
             frame = pd.DataFrame(out, columns=["n_ids", "ids_crc32", "scores", "crc32s", "round_trip"])
             frame.insert(0, "doc_id", rows["doc_id"].astype("Int64").array)

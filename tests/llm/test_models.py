@@ -10,8 +10,9 @@ import pandas as pd
 import pytest
 
 from quadrille.llm import language, pieces, toxicity, url_filter
-from quadrille.llm.queries import URL_RULES
+from quadrille.llm.queries import URL_RULES, tokenizer_path
 
+MODEL = tokenizer_path("piece_bpe_32k.model")
 DOCS = "doc_id long, text string, lang string, row int, features string, score string"
 
 
@@ -251,3 +252,59 @@ def test_words_that_are_remembered_and_counted_are_bounded(monkeypatch):
 def test_words_of_texts_with_and_without_odd_blanks():
     for t in ("", " ", "a", "a b", " a", "a ", "a  b", "a\u2581b", "a\nb c", "\u2581", "a b "):
         assert pieces.words_in(t) == (pieces.STRETCH.findall("\u2581" + t.replace(" ", "\u2581")) if t else [])
+
+
+ODD_TEXTS = ["", " ", "a", "the cat, the cat", " a", "a ", "a  b", "a\u2581b", "a\nb c", "\u2581", "  ", "", "\u65e5\u672c \U0001f600 \u00e9t\u00e9", "don't stop.",
+             "x" * 60 + " " + "ab, " * 30, "\u0000 q\u0301"]
+
+
+def test_words_are_numbered_once(monkeypatch):
+    words, names = pieces.Words(), {}
+    for texts in ([], ODD_TEXTS, ["a new one", "", " a"], [""], ODD_TEXTS[::-1]):
+        numbers, ends, before = words.number([pieces.blanked(t) for t in texts])
+        assert before == len(names)
+        found = [words.known[int(k)].as_py().decode().replace(" ", "\u2581") for k in numbers]
+        assert [found[a:b] for a, b in zip(ends[:-1], ends[1:])] == [pieces.words_in(t) for t in texts]
+        names |= dict(zip(numbers.tolist(), found))
+        assert len(set(names.values())) == len(names) == len(words.known)
+    monkeypatch.setattr(pieces, "REMEMBERED", 100)
+    assert words.number([b" fresh words"])[2] == 0 and words.known.to_pylist() == [b" fresh", b" words"]
+
+
+def test_the_library_is_given_equally_frequent_words_at_once(monkeypatch):
+    vocabulary = pieces.Vocabulary(MODEL)
+    texts = ODD_TEXTS + [" ".join(f"word{i}ing" for i in range(k, 700)) for k in (0, 300)]
+    words = pieces.Words()
+    numbers = words.number([pieces.blanked(t) for t in texts])[0]
+    given, times, model = [], np.bincount(numbers, minlength=len(words.known)), vocabulary.model
+
+    class Counted:
+        def encode(self, some, **more):
+            given.extend(some if isinstance(some, list) else [some])
+            return model.encode(some, **more)
+
+    vocabulary.model = Counted()
+    found = vocabulary.library_counts(words.known, times)
+    plain = Counter(i for t in texts for i in model.encode(t.replace("\u2581", " ")))
+    assert {i: n for i, n in enumerate(found.tolist()) if n} == dict(plain)
+    assert len(given) < 40 < 700 < len(words.known)
+    assert not vocabulary.library_counts(pieces.Words().known, np.zeros(0, np.int64)).any()
+
+
+def test_best_paths_of_many_words_are_those_of_one():
+    rng = random.Random(4)
+    vocabulary = pieces.Vocabulary(MODEL, [-rng.choice([1.0, 2.5, 7.25, 9.0]) for _ in range(32000)])
+    words = ["\u2581" * rng.randint(0, 2) + "".join(rng.choice("abeinstr.,\n\u00e9\u65e5\U0001f600") for _ in range(rng.randint(1, 14))) for _ in range(500)] + [""]
+    for word, found in zip(words, vocabulary.best_of_words(words), strict=True):
+        assert found == vocabulary.best(word)
+    assert vocabulary.best_of_words([]) == []
+
+
+def test_what_is_remembered_does_not_change_the_n_best(monkeypatch):
+    rng = random.Random(6)
+    texts = ODD_TEXTS + [" ".join(rng.choice(["the", "cat", "sat,", "word%d" % rng.randint(0, 99), "\u65e5\u672c"]) for _ in range(50)) for _ in range(40)]
+    whole = pieces.Encoder(MODEL, 4).encode_texts([pieces.blanked(t) for t in texts])
+    encoder = pieces.Encoder(MODEL, 4)
+    assert [encoder.decode(f[0][1]) for f in whole] == [t.replace("\u2581", " ") for t in texts]
+    monkeypatch.setattr(pieces, "REMEMBERED", 500)
+    assert [encoder.encode(t) for t in texts] == whole and len(encoder.score) == len(encoder.words.known) < 60
