@@ -1,7 +1,13 @@
 """The n-gram join and the MinHash join against all pairs."""
 
+import tracemalloc
+from types import SimpleNamespace
+
+import numpy as np
+import pandas as pd
 import pytest
 
+from quadrille import session
 from quadrille.llm import fingerprints, ngram_join
 
 SCHEMA = "doc_id long, text string, u string, v long, key int, row int"
@@ -103,3 +109,45 @@ def test_one_row_of_each_group_stays(spark):
 @pytest.mark.parametrize("text, n", [("a b c d", 1), ("a b c d e", 2), ("a a a a a", 1), ("a", 1), ("", 0)])
 def test_set_sizes(spark, text, n):
     assert ngram_join.ngram_jaccard_join(frame(spark, [(1, text)])).first()["n_shingles"] == n
+
+
+def test_ngrams_are_made_and_moved_once(spark, monkeypatch):
+    plans, stage = [], ngram_join.stage
+
+    def seen(df, name):
+        plans.append((name, df._jdf.queryExecution().executedPlan().toString()))
+        return stage(df, name)
+
+    monkeypatch.setattr(ngram_join, "stage", seen)
+    rows = varied()
+    assert result(ngram_join.ngram_jaccard_join(frame(spark, rows))) == brute(rows, 4, 85)
+    first = next(plan for name, plan in plans if name == "grams")
+    assert first.count("MapInPandas") == 1 and first.count("Exchange hashpartitioning") == 1
+
+
+def test_batches_for_python_are_bounded(spark):
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    before = spark.conf.get(key)
+    try:
+        spark.conf.set(key, "64MB")
+        ngram_join.ngram_jaccard_join(frame(spark, [(1, "a b c d e"), (2, "a b c d e")]))
+        assert session._bytes(spark.conf.get(key)) <= session.BATCH_BYTES
+    finally:
+        spark.conf.set(key, before)
+
+
+@pytest.mark.parametrize("step", ["describe", "prefixes", "sets"])
+def test_memory_of_a_worker(step):
+    texts = [" ".join(f"w{i * 700 + j}" for j in range(700)).encode() for i in range(800)]
+    batch = pd.DataFrame({"doc_id": range(800), "tid": range(800), "text": texts})
+    run = {"describe": ngram_join._describe(4),
+           "prefixes": ngram_join._prefixes(4, 85, SimpleNamespace(value=np.zeros(1 << ngram_join.SKETCH_BITS, np.uint8))),
+           "sets": ngram_join._full_sets(4)}[step]
+    tracemalloc.start()
+    try:
+        for _ in run(iter([batch])):
+            pass
+        # The cells of the sketch take 16 MB.
+        assert tracemalloc.get_traced_memory()[1] < (32 << 20 if step == "describe" else 20 << 20)
+    finally:
+        tracemalloc.stop()
