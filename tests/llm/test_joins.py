@@ -6,6 +6,7 @@ from types import SimpleNamespace
 import numpy as np
 import pandas as pd
 import pytest
+from pyspark.sql import functions as F
 
 from quadrille import session
 from quadrille.llm import fingerprints, ngram_join
@@ -125,6 +126,35 @@ def test_ngrams_are_made_and_moved_once(spark, monkeypatch):
     assert first.count("MapInPandas") == 1 and first.count("Exchange hashpartitioning") == 1
 
 
+def test_texts_stay_where_they_are(spark, monkeypatch):
+    plans, stage = [], ngram_join.stage
+
+    def seen(df, name):
+        plans.append((name, df._jdf.queryExecution().executedPlan().toString()))
+        return stage(df, name)
+
+    monkeypatch.setattr(ngram_join, "stage", seen)
+    rows = varied()
+    assert result(ngram_join.ngram_jaccard_join(frame(spark, rows))) == brute(rows, 4, 85)
+    moved = [x for x in next(plan for name, plan in plans if name == "sets").splitlines() if "hashpartitioning" in x]
+    assert moved and all("hashpartitioning(key#" in x for x in moved)
+
+
+def test_filter_lets_all_wanted_and_few_others_through(spark):
+    chosen = spark.range(3000).select(F.when(F.col("id") > 0, F.col("id")).alias("doc_id"), (F.col("id") * 7).alias("tid"))
+    others = spark.range(3000).select(F.col("id").alias("doc_id"), (F.col("id") * 7 + 1).alias("tid"))
+    wanted = SimpleNamespace(value=ngram_join._filter(chosen))
+    assert wanted.value.nbytes == 1 << ngram_join.FILTER_BITS >> 3
+    run = ngram_join._full_sets(4, wanted)
+
+    def through(df):
+        batch = df.select(ngram_join._place().alias("place"), F.lit(b"a b c d e").alias("text")).toPandas()
+        return sum(len(x) for x in run(iter([batch])))
+
+    assert through(chosen) == 3000
+    assert through(others) < 30
+
+
 def test_batches_for_python_are_bounded(spark):
     key = "spark.sql.execution.arrow.maxBytesPerBatch"
     before = spark.conf.get(key)
