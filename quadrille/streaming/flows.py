@@ -103,78 +103,93 @@ def stream_zip(
 
 _PARTS = {RDF_SUBJECT: "s", RDF_PREDICATE: "p", RDF_OBJECT: "o", RDF_GRAPH: "g"}
 DEREIFIED_SCHEMA = ", ".join(f"{c} string" for c in ["doc", "node", *QUAD_COLS, "error"])
-#: What is kept of a node: when it is due, whether it was complete, and its parts as JSON.
-_NODE_STATE = "due bigint, done boolean, parts string"
+#: Nodes are kept in so many groups, as a call costs far more than a node.
+NODE_GROUPS = 1 << 13
+#: What is kept of a group, as JSON: document and label of each node, when it is due, when its timer is up, and its parts, NULL
+#: once it was complete.
+_GROUP_STATE = "nodes string"
 
 
 def _collector(keep_ms: int) -> Callable:
-    """What is done with a node. The function is made here so that it travels to the workers by value."""
+    """What is done with a group of nodes. The function is made here so that it travels to the workers by value."""
     parts_of, columns = dict(_PARTS), list(QUAD_COLS)
-    object_columns = list(OBJECT_COLS)
 
     def collect(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        """Keeps the parts of a node until there are four, and remembers it until its time is up.
+        """Keeps the parts of each node until there are four, and remembers it until its time is up.
 
-        Its time is the latest event time of its parts and ``keep_ms`` more. Parts that come again are
+        The time of a node is the latest event time of its parts and ``keep_ms`` more. Parts that come again are
         ignored, also after the node was complete. A row in and a row out is one text, as frames with many
         columns cost more than what is done with them.
         """
         out = []
+        now = state.getCurrentWatermarkMs()
+        nodes = {(n[0], n[1]): n for n in json.loads(state.get[0])} if state.exists else {}
 
-        def put(error: str | None, **values: str | None) -> None:
-            filled = {"doc": key[0], "node": key[1], "error": error, **values}
+        def put(node: tuple, error: str | None, **values: str | None) -> None:
+            filled = {"doc": node[0], "node": node[1], "error": error, **values}
             out.append(json.dumps({c: v for c, v in filled.items() if v is not None}))
 
-        due, done, parts = state.get if state.exists else (None, False, "{}")
-        parts = json.loads(parts)
-        if state.hasTimedOut:
-            if parts:
-                put("incomplete reified statement, no " + ", ".join(sorted(set(parts_of.values()) - set(parts))))
-            state.remove()
-        else:
+        if not state.hasTimedOut:
+            touched = {}
             for batch in batches:
-                for at, said in zip(batch["at_ms"].tolist(), batch["said"].tolist()):
-                    p, *term = json.loads(said)
+                rows = json.loads("[" + ",".join(batch["said"].tolist()) + "]")
+                for at, (doc, s, p, *term) in zip(batch["at_ms"].tolist(), rows):
+                    name = (doc, s)
+                    node = nodes.get(name)
+                    if node is not None:
+                        touched[name] = node
                     part = parts_of.get(p)
                     if part is None:
-                        put(f"not a part of a reified statement: {p}")
+                        put(name, f"not a part of a reified statement: {p}")
                         continue
-                    due = max(due or 0, int(at) + keep_ms)
-                    if not done:
-                        parts.setdefault(part, term)
-            if due is not None:
-                if not done and len(parts) == 4:
-                    s, p, o, g = (parts[x] for x in "spog")
-                    put(None, **dict(zip(columns, (g[0], s[0], s[1], p[0], *o))))
-                    done, parts = True, {}
-                state.update((due, done, json.dumps(parts)))
+                    if node is None:
+                        node = nodes[name] = touched[name] = [doc, s, 0, 0, {}]
+                    node[2] = max(node[2], int(at) + keep_ms)
+                    if node[4] is not None:
+                        node[4].setdefault(part, term)
+            for name, node in touched.items():
+                if node[4] is not None and len(node[4]) == 4:
+                    s, p, o, g = (node[4][x] for x in "spog")
+                    put(name, None, **dict(zip(columns, (g[0], s[0], s[1], p[0], *o))))
+                    node[4] = None
                 # A time that has passed already is up at the next move of the watermark.
-                state.setTimeoutTimestamp(max(due, state.getCurrentWatermarkMs(), 1))
+                node[3] = max(node[2], now, 1)
+        for name in [name for name, node in nodes.items() if node[3] < now]:
+            parts = nodes.pop(name)[4]
+            if parts:
+                put(name, "incomplete reified statement, no " + ", ".join(sorted(set(parts_of.values()) - set(parts))))
+        if nodes:
+            state.update((json.dumps(list(nodes.values())),))
+            state.setTimeoutTimestamp(min(node[3] for node in nodes.values()))
+        elif state.exists:
+            state.remove()
         if out:
             yield pd.DataFrame({"said": out})
 
     return collect
 
 
-def stream_dereify(triples: DataFrame, event_time: str, late: str, keep_ms: int) -> DataFrame:
+def stream_dereify(triples: DataFrame, event_time: str, late: str, keep_ms: int, groups: int = NODE_GROUPS) -> DataFrame:
     """Quads of reified statements whose four parts may arrive in any order and batch.
 
     ``triples``: ``doc``, triple columns and an event time. A quad comes out with its fourth part. A
     node still incomplete ``keep_ms`` of event time after its latest part comes out as an ``error`` row
     and is forgotten; a complete one is remembered as long, so that repeated parts give nothing new. This is
     the one stateful operator that needs Python: the built-in aggregates either wait for the watermark or
-    never forget. The state of a node travels with its rows, so no node costs a call to the state store. It runs on the
-    RocksDB state store, which it sets for the session.
+    never forget. Nodes are kept in ``groups`` by their hash: a group costs one call and one value of the state store in each
+    batch that has rows of it, however many nodes it holds. Their number is part of the checkpoint. The state of a group
+    travels with its rows. It runs on the RocksDB state store, which it sets for the session.
     """
     triples.sparkSession.conf.set(
         "spark.sql.streaming.stateStore.providerClass",
         "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
     )
-    said = F.to_json(F.array("p", *OBJECT_COLS))
+    said = F.to_json(F.array(F.col("doc").cast("string"), "s", "p", *OBJECT_COLS))
     timed = triples.withWatermark(event_time, late).select(
-        "doc", "s", F.unix_millis(F.col(event_time).cast("timestamp")).alias("at_ms"), said.alias("said"), event_time)
-    rows = timed.groupBy("doc", "s").applyInPandasWithState(
-        _collector(keep_ms), "said string", _NODE_STATE, "append", "EventTimeTimeout")
+        F.pmod(F.xxhash64("doc", "s"), F.lit(groups)).alias("nodes"),
+        F.unix_millis(F.col(event_time).cast("timestamp")).alias("at_ms"), said.alias("said"), event_time)
+    rows = timed.groupBy("nodes").applyInPandasWithState(
+        _collector(keep_ms), "said string", _GROUP_STATE, "append", "EventTimeTimeout")
     return rows.select(F.from_json("said", DEREIFIED_SCHEMA, {"mode": "FAILFAST", "maxStringLen": str(2**31 - 1)}).alias("r")).select("r.*")
 
 

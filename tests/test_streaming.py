@@ -63,6 +63,32 @@ def test_dereify_parts_of_one_time_in_many_batches(spark, tmp_path):
     assert [(r.error, *(r[c] for c in QUAD_COLS)) for r in got.collect()] == [(None, *quad)]
 
 
+def test_dereify_keeps_nodes_in_groups(spark, tmp_path):
+    """Nodes of one group are due at their own times, also in a batch that has rows of the group; it is one row of state."""
+    quads = {n: text("urn:g", f"urn:{n}", "urn:p", n) for n in "abc"}
+    parts = {n: construct.reify(frame(spark, [q])).select(F.lit("d").alias("doc"), *TRIPLE_COLS).withColumn("s", F.lit(n))
+             for n, q in quads.items()}
+
+    def of(node, minute, *names):
+        return parts[node].where(F.regexp_extract("p", "#(.*)", 1).isin(*names)).withColumn("at", F.lit(at(minute)))
+
+    whole = ("subject", "predicate", "object", "graph")
+    first = of("a", 0, "subject").unionByName(of("b", 0, *whole[:3])).unionByName(of("c", 0, *whole))
+    second = of("a", 8, "predicate").unionByName(of("c", 8, "graph"))
+    tick = of("a", 13, "subject").withColumn("s", F.lit("tick"))
+    last = of("a", 14, "object", "graph")
+    stream = flows.stream_dereify(batches(spark, tmp_path, first, second, tick, last), "at", "1 minute", keep_ms=600_000, groups=1)
+    query = stream.writeStream.format("parquet").option("path", str(tmp_path / "out")).option(
+        "checkpointLocation", str(tmp_path / "state")).trigger(availableNow=True).start()
+    query.awaitTermination()
+    assert {p["stateOperators"][0]["numRowsTotal"] for p in query.recentProgress if p["stateOperators"]} == {1}
+    got = spark.read.schema(stream.schema).parquet(str(tmp_path / "out"))
+    assert as_set(got.where("error IS NULL").select(*QUAD_COLS)) == {quads["a"], quads["c"]}
+    errors = [(r.doc, r.node, r.error) for r in got.where("error IS NOT NULL").collect()]
+    assert errors == [("d", "b", "incomplete reified statement, no g")]
+    assert got.count() == 3
+
+
 def test_dedup_over_batches(spark, tmp_path):
     quads = frame(spark, rows())
     stream = batches(spark, tmp_path, quads, quads)
