@@ -26,7 +26,7 @@ def read_ntriples(spark, sf_dir):
 @query("read_nquads", ALL + f"SELECT DISTINCT {C} FROM quads")
 def read_nquads(spark, sf_dir):
     path = fresh_path(spark, "nq")
-    writers.write_nquads(V.all_quads(spark, sf_dir), path)
+    writers.write_nquads(V.all_quads(spark, sf_dir), path, compression="gzip")
     return statement_set(rdf_lines.read_nquads(spark, path))
 
 

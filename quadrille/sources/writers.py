@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from ..functions.terms import nt_iri, nt_term
 from ..schema import QUAD_COLS, XSD_STRING, same_row, statement_set
-from ..session import stage
+from ..session import dropped_shuffles, stage
 
 
 def _triple() -> list[Column]:
@@ -28,12 +28,26 @@ def to_nquads(quads: DataFrame) -> DataFrame:
     return quads.select(F.concat_ws(" ", *_triple(), graph, F.lit(".")).alias("value"))
 
 
-def write_ntriples(quads: DataFrame, path: str, mode: str = "errorifexists") -> None:
-    to_ntriples(quads).write.mode(mode).text(path)
+#: A compressed file is read by one task, so it gets no more lines than this.
+FILE_LINES = 1 << 16
 
 
-def write_nquads(quads: DataFrame, path: str, mode: str = "errorifexists") -> None:
-    to_nquads(quads).write.mode(mode).text(path)
+def _write_lines(lines: DataFrame, path: str, mode: str, compression: str | None) -> None:
+    writer = lines.write.mode(mode)
+    if compression is not None:
+        writer = writer.option("compression", compression).option("maxRecordsPerFile", FILE_LINES)
+    with dropped_shuffles(lines.sparkSession):
+        writer.text(path)
+
+
+def write_ntriples(quads: DataFrame, path: str, mode: str = "errorifexists", compression: str | None = None) -> None:
+    """Text files of lines; with a ``compression`` that Spark knows, such as ``gzip``, in files of at most ``FILE_LINES``."""
+    _write_lines(to_ntriples(quads), path, mode, compression)
+
+
+def write_nquads(quads: DataFrame, path: str, mode: str = "errorifexists", compression: str | None = None) -> None:
+    """As ``write_ntriples``, each line with its graph."""
+    _write_lines(to_nquads(quads), path, mode, compression)
 
 
 def _binding(variables: Sequence[str]) -> Column:
@@ -146,11 +160,9 @@ class Layout:
 def _write_buckets(quads: DataFrame, path: str, depth: Column, mode: str = "errorifexists") -> None:
     placed = quads.select(*QUAD_COLS, depth.alias("g_depth")).withColumn(
         "g_slot", F.pmod(F.xxhash64("g"), F.call_function("shiftleft", F.lit(1).cast("bigint"), F.col("g_depth"))).cast("int"))
-    (
-        placed.repartitionByRange(*_BUCKET, "p", "s", F.xxhash64("o"))
-        .sortWithinPartitions(*_BUCKET, "p", "s")
-        .write.mode(mode).partitionBy(*_BUCKET).parquet(path)
-    )
+    clustered = placed.repartitionByRange(*_BUCKET, "p", "s", F.xxhash64("o")).sortWithinPartitions(*_BUCKET, "p", "s")
+    with dropped_shuffles(quads.sparkSession):
+        clustered.write.mode(mode).partitionBy(*_BUCKET).parquet(path)
 
 
 def _table(spark: SparkSession, path: str) -> DataFrame:

@@ -1,3 +1,5 @@
+import glob
+import gzip
 import json
 
 import pytest
@@ -342,3 +344,33 @@ def test_a_line_is_matched_once(spark):
         assert plan.count("split(regexp_replace(") <= 2 and "Filter" in plan
         assert not any("regexp_replace" in line for line in plan.splitlines() if "raise_error" in line)
         assert {r["o"] for r in out.collect()} == {"urn:o0", "urn:o1"}
+
+
+def lines_in(folder):
+    opened = lambda p: gzip.open(p, "rt") if p.endswith(".gz") else open(p)
+    return {p: len(opened(p).read().splitlines()) for p in glob.glob(f"{folder}/part-*")}
+
+
+@pytest.mark.parametrize("quads", [True, False])
+def test_compressed_lines_come_back_from_small_files(spark, tmp_path, monkeypatch, quads):
+    monkeypatch.setattr(writers, "FILE_LINES", 100)
+    data = frame(spark, [text("urn:g" if quads else None, f"urn:s{i}", "urn:p", f"v\n{i}") for i in range(250)]).coalesce(1)
+    write, read = (writers.write_nquads, rdf_lines.read_nquads) if quads else (writers.write_ntriples, rdf_lines.read_ntriples)
+    path = str(tmp_path / "lines")
+    write(data, path, compression="gzip")
+    files = lines_in(path)
+    assert all(p.endswith(".gz") for p in files)
+    assert sorted(files.values()) == [50, 100, 100]
+    assert as_set(read(spark, path)) == as_set(data)
+
+
+@pytest.mark.parametrize("name, folder", [("read_nquads", "nq")])
+def test_lines_that_are_read_back_are_compressed(spark, tmp_path, monkeypatch, name, folder):
+    from quadrille.plans import source_queries
+
+    data = frame(spark, [text("urn:g", f"urn:s{i}", "urn:p", f"v{i}") for i in range(30)])
+    monkeypatch.setattr(source_queries.V, "all_quads", lambda spark, sf_dir: data)
+    monkeypatch.setattr(source_queries, "fresh_path", lambda spark, name: str(tmp_path / name))
+    assert getattr(source_queries, name)(spark, "unused").count() == 30
+    files = lines_in(tmp_path / folder)
+    assert sum(files.values()) == 30 and all(p.endswith(".gz") for p in files)
