@@ -19,7 +19,7 @@ C, TRIPLE = V.COLS, ", ".join(TRIPLE_COLS)
 @query("read_ntriples", ALL + f"SELECT DISTINCT CAST(NULL AS VARCHAR) AS g, {TRIPLE} FROM quads")
 def read_ntriples(spark, sf_dir):
     path = fresh_path(spark, "nt")
-    writers.write_ntriples(V.all_quads(spark, sf_dir), path)
+    writers.write_ntriples(V.all_quads(spark, sf_dir), path, compression="gzip")
     return statement_set(rdf_lines.read_ntriples(spark, path))
 
 

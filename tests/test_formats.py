@@ -364,7 +364,7 @@ def test_compressed_lines_come_back_from_small_files(spark, tmp_path, monkeypatc
     assert as_set(read(spark, path)) == as_set(data)
 
 
-@pytest.mark.parametrize("name, folder", [("read_nquads", "nq")])
+@pytest.mark.parametrize("name, folder", [("read_nquads", "nq"), ("read_ntriples", "nt")])
 def test_lines_that_are_read_back_are_compressed(spark, tmp_path, monkeypatch, name, folder):
     from quadrille.plans import source_queries
 
